@@ -200,6 +200,12 @@ def combine_three_sources(homes: DataFrame, sources: Sequence[int] = (1, 2, 3),
     non-empty value in source order (else the last source's value or '' / []).
     """
     anchors, matches = resolve_passes(homes, sources, use_inside_fallback)
+    return combine_from(anchors, matches, homes, sources)
+
+
+def combine_from(anchors: DataFrame, matches: DataFrame, homes: DataFrame,
+                 sources: Sequence[int] = (1, 2, 3)) -> DataFrame:
+    """Assemble the per-anchor row of :func:`combine_three_sources` from resolved passes."""
     # long form: (pass, anchor_id) x (source, id, own)
     own_rows = anchors.select("pass", "anchor_id", F.col("anchor_source").alias("source"),
                               F.col("anchor_id").alias("hid"), F.lit(True).alias("own"))
@@ -416,3 +422,30 @@ def longest_facilities(rooms: DataFrame, key: Sequence[str], order: Sequence[str
     fac = F.coalesce(F.col(col), F.array().cast("array<string>"))
     rank = F.struct(F.size(fac).alias("_n"), *[(-F.col(o)).alias(f"_o{i}") for i, o in enumerate(order)])
     return rooms.groupBy(*key).agg(F.max_by(fac, rank).alias(col))
+
+
+# --- S6 ----------------------------------------------------------------------------------------
+
+def combined_documents(homes: DataFrame, rooms: DataFrame, reviews: DataFrame,
+                       sources: Sequence[int] = (1, 2, 3), use_inside_fallback: bool = False,
+                       review_payload: Sequence[str] = ("id", "score")) -> DataFrame:
+    """One nested document per resolved property.
+
+    rooms/reviews: source, homename, id, seq (+ roomtype, facilities, photos for
+    rooms). Rooms and reviews come only from homes that gave them (anchor, or
+    first claim); rooms are matched by A9, reviews nested per source (A3).
+    """
+    anchors, matches = resolve_passes(homes, sources, use_inside_fallback)
+    flat = combine_from(anchors, matches, homes, sources)
+    det = details_of(anchors, matches, homes)
+    hkey = F.concat_ws("/", F.col("pass").cast("string"), F.col("anchor_id").cast("string"))
+    rj = rows_of_home(det, rooms).withColumn("home", hkey)
+    rm = greedy_room_match(rj, home="home", sources=sources)
+    rooms_n = rm.groupBy("home").agg(F.array_sort(F.collect_list(F.struct(
+        "room_ord", "roomtype", "anchor_source", *[f"id_{s}" for s in sources], "facilities", "photos"))).alias("rooms"))
+    rv = rows_of_home(det, reviews)
+    rv_n = nest_by_source(rv, ["pass", "anchor_id"], sources, payload=review_payload)
+    doc = flat.withColumn("home", hkey).join(rooms_n, "home", "left").drop("home")
+    doc = doc.join(rv_n, ["pass", "anchor_id"], "left")
+    empty_rooms = F.array().cast(rooms_n.schema["rooms"].dataType)
+    return doc.withColumn("rooms", F.coalesce("rooms", empty_rooms))

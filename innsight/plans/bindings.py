@@ -23,12 +23,15 @@ def _brand_no(c):
     return F.substring(c, 7, 10).cast("int")
 
 
-def homes_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+def homes_from_part(spark: SparkSession, sf_dir: str, block: int | None = None) -> DataFrame:
+    """Homes; with ``block`` the name gets the block number p_partkey div block
+    appended, so names (and rooms/reviews per name) stay bounded as data grows."""
     p = read_table(spark, sf_dir, "part")
     k, size = F.col("p_partkey"), F.col("p_size")
+    name = F.col("p_name") if block is None else F.concat_ws(" ", "p_name", F.floor(k / block).cast("string"))
     return p.select(
         k.alias("id"), k.alias("seq"), (_brand_no(F.col("p_brand")) % 3 + 1).alias("source"),
-        F.col("p_name").alias("homename"), F.col("p_type").alias("city"),
+        name.alias("homename"), F.col("p_type").alias("city"),
         F.concat(F.lit("https://stay.example/h/"), k.cast("string")).alias("url"),
         F.concat((size % 10).cast("string"), F.lit(","), (size % 7).cast("string")).alias("rating"),
         (size * 1013 + k % 997).cast("string").alias("cheapest_price"),
@@ -39,6 +42,11 @@ def homes_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def homes_cte(block: int | None = None) -> str:
+    name = "p_name" if block is None else f"p_name || ' ' || CAST(p_partkey // {block} AS VARCHAR)"
+    return HOMES_CTE.replace("p_name AS homename", f"{name} AS homename")
+
+
 HOMES_CTE = """homes AS (
   SELECT p_partkey AS id, p_partkey AS seq, CAST(substr(p_brand, 7) AS INTEGER) % 3 + 1 AS source,
          p_name AS homename, p_type AS city,
@@ -113,3 +121,36 @@ REVIEWS_LI_CTE = """reviews AS (
          CAST(substr(p_brand, 7) AS INTEGER) % 3 + 1 AS source, p_name AS homename,
          l_quantity AS score, l_returnflag AS flag
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+
+# --- rooms and reviews of named homes (bounded per home: lineitem rows of one part) -----------
+
+def home_rows_from_lineitem(spark: SparkSession, sf_dir: str, block: int | None = None) -> DataFrame:
+    """Rows that belong to a named home: every lineitem row of a part belongs to the
+    home (source, name) of that part. kind = 'room' for the first two line numbers."""
+    li = read_table(spark, sf_dir, "lineitem")
+    k = F.col("p_partkey")
+    name = F.col("p_name") if block is None else F.concat_ws(" ", "p_name", F.floor(k / block).cast("string"))
+    p = read_table(spark, sf_dir, "part").select(
+        "p_partkey", name.alias("homename"), (_brand_no(F.col("p_brand")) % 3 + 1).alias("source"))
+    j = li.join(p, li["l_partkey"] == p["p_partkey"])
+    words = F.array(*[F.lit(w) for w in ROOM_WORDS])
+    rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return j.select(
+        rid.alias("id"), rid.alias("seq"), "source", "homename",
+        F.when(F.col("l_linenumber") <= 2, F.lit("room")).otherwise(F.lit("review")).alias("kind"),
+        F.concat_ws(" ", F.element_at(words, (F.col("l_orderkey") % len(ROOM_WORDS) + 1).cast("int")),
+                    F.col("l_returnflag")).alias("roomtype"),
+        F.col("l_quantity").alias("score"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.lit(None).cast("array<string>"))
+         .otherwise(F.array(F.col("l_returnflag"), F.col("l_linestatus"))).alias("facilities"),
+        F.lit(None).cast("array<string>").alias("photos"))
+
+
+def home_rows_cte(block: int | None = None) -> str:
+    name = "p_name" if block is None else f"p_name || ' ' || CAST(p_partkey // {block} AS VARCHAR)"
+    return f"""hrows AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey * 10 + l_linenumber AS seq,
+         CAST(substr(p_brand, 7) AS INTEGER) % 3 + 1 AS source, {name} AS homename,
+         CASE WHEN l_linenumber <= 2 THEN 'room' ELSE 'review' END AS kind, l_quantity AS score
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""

@@ -154,7 +154,7 @@ def q_claimed_ids(spark, sf):
 
 # --- O1 (flagship) ------------------------------------------------------------------------------
 
-def _combine_sql() -> str:
+def _combine_sql(homes_cte: str = HOMES_CTE, tail: str | None = None) -> str:
     attrs = ["url", "rating", "cheapest_price", "address", "description", "property_highlights", "images"]
     wide_cols = []
     for s in (1, 2, 3):
@@ -174,12 +174,13 @@ def _combine_sql() -> str:
     for a in ("property_highlights", "images"):
         sel.append(f"array_to_string(coalesce(CASE WHEN len({a}_1) > 0 THEN {a}_1 END, CASE WHEN len({a}_2) > 0 THEN {a}_2 END, "
                    f"CASE WHEN id_3 IS NOT NULL THEN coalesce({a}_3, []::VARCHAR[]) ELSE []::VARCHAR[] END), '|') AS {a}")
-    return (_with(HOMES_CTE, W1_CTE, ANC_CTE, M_CTE, PASSES_CTE,
+    return (_with(homes_cte, W1_CTE, ANC_CTE, M_CTE, PASSES_CTE,
                   """lng AS (SELECT pass, anchor_id, anchor_source AS source, anchor_id AS hid, true AS own FROM pa
             UNION ALL SELECT pass, anchor_id, source, match_id AS hid, owned AS own FROM pm)""",
                   f"""wide AS (SELECT l.pass, l.anchor_id, {', '.join(wide_cols)}
             FROM lng l JOIN homes h ON h.source = l.source AND h.id = l.hid GROUP BY l.pass, l.anchor_id)""")
-            + f"SELECT {', '.join(sel)} FROM wide w JOIN pa ON pa.pass = w.pass AND pa.anchor_id = w.anchor_id")
+            + (tail if tail is not None else
+               f"SELECT {', '.join(sel)} FROM wide w JOIN pa ON pa.pass = w.pass AND pa.anchor_id = w.anchor_id"))
 
 
 def combine_flat(spark, sf_dir):

@@ -1,7 +1,119 @@
-"""Queries."""
+"""Room and detail queries."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from innsight.functions.keys import room_keywords_sql
+from innsight.operators import resolve as R
+from innsight.plans.bindings import (home_rows_cte, home_rows_from_lineitem, homes_cte, homes_from_part,
+                                     rooms_cte, rooms_from_part)
+from innsight.plans.q_resolve import ANC_CTE, M_CTE, PASSES_CTE, W1_CTE, _combine_sql, _with
 from innsight.plans.registry import register
+from innsight.session import scratch_path
+
+KEYED_ROOMS = f"r AS (SELECT *, lower(roomtype) AS low, {room_keywords_sql('roomtype')} AS room_key FROM rooms)"
+
+
+@register("shorten_room_type", _with(rooms_cte(), KEYED_ROOMS) + "SELECT id, roomtype, room_key FROM r")
+def q_shorten_room_type(spark, sf):
+    return R.with_room_key(rooms_from_part(spark, sf)).select("id", "roomtype", "room_key")
+
+
+@register("room_candidates", _with(rooms_cte(), KEYED_ROOMS) + """
+SELECT DISTINCT a.home, a.source AS a_source, a.id AS a_id, b.source AS b_source, b.id AS b_id
+FROM r a JOIN r b ON a.home = b.home AND a.source < b.source
+WHERE contains(a.low, b.low) OR contains(b.low, a.low) OR a.room_key = b.room_key""")
+def q_room_candidates(spark, sf):
+    return R.room_candidates(rooms_from_part(spark, sf), home="home")
+
+
+def _greedy_flat(df):
+    return df.select("home", "room_ord", "roomtype", "anchor_source", "id_1", "id_2", "id_3",
+                     F.array_join("facilities", "|").alias("facilities"), F.array_join("photos", "|").alias("photos"))
+
+
+@register("greedy_room_match")
+def q_greedy_room_match(spark, sf):
+    """Ordered fold per home; no SQL form (golden and model tests in tests/)."""
+    return _greedy_flat(R.greedy_room_match(rooms_from_part(spark, sf), home="home"))
+
+
+@register("longest_facilities", _with(rooms_cte(), KEYED_ROOMS) + """
+SELECT home, room_key, array_to_string(coalesce(facilities, []::VARCHAR[]), '|') AS facilities FROM (
+  SELECT *, row_number() OVER (PARTITION BY home, room_key
+                               ORDER BY len(coalesce(facilities, []::VARCHAR[])) DESC, source, seq) AS rn FROM r)
+WHERE rn = 1""")
+def q_longest_facilities(spark, sf):
+    r = R.with_room_key(rooms_from_part(spark, sf))
+    out = R.longest_facilities(r, ["home", "room_key"])
+    return out.select("home", "room_key", F.array_join("facilities", "|").alias("facilities"))
+
+
+# --- J1 / J2 / A3 on W1 homes and the lineitem rows of each named home ---------------------------
+
+_DET_SQL = """SELECT w.source, w.homename, count(r.id) AS n_rows, sum(r.score) AS sum_score
+FROM w1 w LEFT JOIN hrows r ON r.source = w.source AND r.homename = w.homename AND r.kind = '{kind}'
+GROUP BY w.source, w.homename"""
+
+
+def _details(spark, sf, kind):
+    w1 = R.first_per_name(homes_from_part(spark, sf, block=60)).select("source", "homename")
+    rows = home_rows_from_lineitem(spark, sf, block=60).where(F.col("kind") == kind)
+    j = w1.join(rows, ["source", "homename"], "left")
+    return j.groupBy("source", "homename").agg(F.count("id").cast("bigint").alias("n_rows"),
+                                               F.sum("score").alias("sum_score"))
+
+
+@register("rooms_of_home", _with(homes_cte(60), W1_CTE, home_rows_cte(60)) + _DET_SQL.format(kind="room"))
+def q_rooms_of_home(spark, sf):
+    return _details(spark, sf, "room")
+
+
+@register("reviews_of_home", _with(homes_cte(60), W1_CTE, home_rows_cte(60)) + _DET_SQL.format(kind="review"))
+def q_reviews_of_home(spark, sf):
+    return _details(spark, sf, "review")
+
+
+@register("nest_by_source", _with(homes_cte(), home_rows_cte()) + """
+SELECT homename,
+  count(CASE WHEN source = 1 THEN id END) AS n_1, count(CASE WHEN source = 2 THEN id END) AS n_2,
+  count(CASE WHEN source = 3 THEN id END) AS n_3,
+  sum(CASE WHEN source = 1 THEN score END) AS sum_1, sum(CASE WHEN source = 2 THEN score END) AS sum_2,
+  sum(CASE WHEN source = 3 THEN score END) AS sum_3
+FROM hrows WHERE kind = 'review' GROUP BY homename""")
+def q_nest_by_source(spark, sf):
+    """A3 summary form (counts and sums per source): bounded output for hot names."""
+    rows = home_rows_from_lineitem(spark, sf).where(F.col("kind") == "review")
+    return R.count_by_source(rows, ["homename"], value="score")
+
+
+# --- S6: build nested documents, write, read back ------------------------------------------------
+
+_DOC_TAIL = """, det AS (SELECT pass, anchor_id, anchor_source AS source, homename FROM pa
+               UNION ALL SELECT pass, anchor_id, source, match_name AS homename FROM pm WHERE owned)
+SELECT pa.pass, pa.anchor_id, pa.homename,
+  count(CASE WHEN d.source = 1 THEN r.id END) AS n_reviews_1,
+  count(CASE WHEN d.source = 2 THEN r.id END) AS n_reviews_2,
+  count(CASE WHEN d.source = 3 THEN r.id END) AS n_reviews_3
+FROM pa JOIN det d ON d.pass = pa.pass AND d.anchor_id = pa.anchor_id
+LEFT JOIN hrows r ON r.source = d.source AND r.homename = d.homename AND r.kind = 'review'
+GROUP BY pa.pass, pa.anchor_id, pa.homename"""
+
+
+def _doc_sql() -> str:
+    sql = _with(homes_cte(60), home_rows_cte(60), W1_CTE, ANC_CTE, M_CTE, PASSES_CTE) + "SELECT 1"
+    return sql[: -len("\nSELECT 1")] + _DOC_TAIL
+
+
+@register("combined_documents", _doc_sql())
+def q_combined_documents(spark, sf):
+    homes = homes_from_part(spark, sf, block=60)
+    rows = home_rows_from_lineitem(spark, sf, block=60)
+    docs = R.combined_documents(homes, rows.where(F.col("kind") == "room"), rows.where(F.col("kind") == "review"))
+    path = scratch_path(spark, "combined_documents")
+    docs.write.mode("overwrite").parquet(path)
+    back = spark.read.parquet(path)
+    return back.select("pass", "anchor_id", "homename",
+                       *[F.size(F.coalesce(F.col(f"rows_{s}"), F.array())).cast("bigint").alias(f"n_reviews_{s}")
+                         for s in (1, 2, 3)])
