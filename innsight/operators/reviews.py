@@ -252,10 +252,13 @@ def batch_number(df: DataFrame, order_col: str, size: int = 500, out: str = "bat
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, F.col(order_col)).withColumn("_pid", F.spark_partition_id())
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     w_in = Window.partitionBy("_pid").orderBy(order_col)
     ranked = ranged.withColumn("_rn", F.row_number().over(w_in))
+    # counts and ranks must see the same range partitioning: materialise once
+    # (reliable checkpoint in the shared folder, lineage cut)
+    ranked = ranked.checkpoint(eager=True)
+    counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     j = ranked.join(F.broadcast(offsets), "_pid")  # one row per partition
     return j.withColumn(out, F.floor((F.col("_off") + F.col("_rn") - 1) / size).cast("bigint")).drop("_pid", "_rn", "_off")
