@@ -42,7 +42,7 @@ def form_url_encode(c: Column) -> Column:
 
 def review_date_parse(c: Column, prefix: str = "Reviewed: ") -> Column:
     """'Reviewed: 3 March 2023' -> DATE 2023-03-03; NULL when it does not parse."""
-    return F.try_to_date(py_strip(F.replace(c, F.lit(prefix), F.lit(""))), F.lit("d MMMM yyyy"))
+    return F.try_to_date(py_strip(F.replace(c, F.lit(prefix), F.lit(""))), "d MMMM yyyy")
 
 
 def epoch_ms_date(c: Column) -> Column:
@@ -59,3 +59,8 @@ def _quote_re(s: str) -> str:
     import re
 
     return re.escape(s)
+
+
+def epoch_millis(ts: Column) -> Column:
+    """Milliseconds since 1970-01-01 of a TIMESTAMP_NTZ (wall clock taken as UTC), no session zone involved."""
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
