@@ -41,8 +41,8 @@ shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
 COMPOUND_ALPHA = 15
 # ---------------------------------------------------------------------------
 
-# Python's string.punctuation: the 32 ASCII punctuation characters (= Java \p{Punct}).
-_EDGE_PUNCT = "^\\p{Punct}+|\\p{Punct}+$"
+# Python's string.punctuation: the 32 ASCII punctuation characters.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Python str.isdigit() is true for decimal digits and other digits such as '²'.
 _ANY_DIGIT = "[\\p{Nd}\\p{No}]"
 # sklearn's default token pattern (?u)\b\w\w+\b, written as maximal runs of \w.
@@ -54,16 +54,18 @@ def review_tokens(text: Column, stop_words: list[str] | None = None) -> Column:
 
     tab/newline -> space, lower, split on single spaces, strip ASCII punctuation
     at both ends, drop tokens with any digit, drop stop words, drop empties.
+    The strip is ``btrim`` with the punctuation set (no regex) and the three
+    drop rules are one filter.
     """
     stops = ENGLISH_STOP_WORDS if stop_words is None else stop_words
-    t = F.coalesce(text, F.lit(""))
-    t = F.lower(F.translate(t, "\t\n", "  "))
-    toks = F.split(t, " ", -1)
-    toks = F.transform(toks, lambda w: F.regexp_replace(w, _EDGE_PUNCT, ""))
-    toks = F.filter(toks, lambda w: ~w.rlike(_ANY_DIGIT))
-    if stops:
-        toks = F.filter(toks, lambda w: ~w.isin(stops))
-    return F.filter(toks, lambda w: F.length(w) > 0)
+    t = F.lower(F.translate(F.coalesce(text, F.lit("")), "\t\n", "  "))
+    toks = F.transform(F.split(t, " ", -1), lambda w: F.btrim(w, F.lit(PUNCTUATION)))
+
+    def keep(w: Column) -> Column:
+        ok = (F.length(w) > 0) & ~w.rlike(_ANY_DIGIT)
+        return ok & ~w.isin(stops) if stops else ok
+
+    return F.filter(toks, keep)
 
 
 def finish_tokens(tokens: Column, lemmas: dict[str, str] | None = None) -> Column:

@@ -70,21 +70,20 @@ def lemmatise(df: DataFrame, key: str, tokens_col: str, lemmas: DataFrame,
     """T2 with a lemma table of any size: explode, left join, rebuild in order.
 
     ``tokens_col`` is the token array before lemmatisation (``T.review_tokens``);
-    ``key`` must be unique per row. Other columns are carried through the
-    aggregate, so the only exchange moves one row per review.
+    ``key`` must be unique per row. Only (key, pos, token) travel with the
+    exploded rows; the rebuilt text (one row per key after the partial
+    aggregate) is joined back.
     """
-    others = [c for c in df.columns if c not in (key, tokens_col)]
-    ex = df.select(key, *others, F.posexplode_outer(tokens_col).alias("_pos", "_tok"))
+    ex = df.select(F.col(key).alias("_k"), F.posexplode(tokens_col).alias("_pos", "_tok"))
     lem = lemmas.select(F.col("token").alias("_lt"), F.col("lemma").alias("_lemma"))
     lem = lem.groupBy("_lt").agg(F.min("_lemma").alias("_lemma"))
     j = ex.join(lem, ex["_tok"] == lem["_lt"], "left")
     word = F.coalesce(F.col("_lemma"), F.col("_tok"))
-    agg = j.groupBy(key).agg(
-        *[F.any_value(c).alias(c) for c in others],
-        F.array_sort(F.collect_list(F.when(F.col("_tok").isNotNull(), F.struct(F.col("_pos"), word.alias("w"))))).alias("_ws"),
-    )
+    agg = j.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), word.alias("w")))).alias("_ws"))
     words = F.transform(F.col("_ws"), lambda s: s["w"])
-    return agg.select(key, *others, F.array_join(F.filter(words, lambda w: F.length(w) > 1), " ").alias(out))
+    text = F.array_join(F.filter(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.length(w) > 1), " ")
+    res = df.join(agg, df[key] == agg["_k"], "left")
+    return res.select(*[df[c] for c in df.columns if c != tokens_col], text.alias(out))
 
 
 # --- A5 / A6 ------------------------------------------------------------------
@@ -104,6 +103,10 @@ def vocabulary_top_k(df: DataFrame, text_col: str = "clean_review", k: int = 100
 
 # --- A7 / J8 / P18 --------------------------------------------------------------
 
+# Lexicons up to this many entries are applied in-row as a literal map (no shuffle).
+MAX_INLINE_LEXICON = 256
+
+
 def polarity_scores(df: DataFrame, key: str, lexicon: DataFrame, text_col: str = "clean_review",
                     broadcast_lexicon: bool = True) -> DataFrame:
     """Neg, neu, pos (3 places) and compound (4 places) per row from a lexicon.
@@ -112,24 +115,46 @@ def polarity_scores(df: DataFrame, key: str, lexicon: DataFrame, text_col: str =
     integers, so the scores do not depend on summation order. Unknown tokens are
     neutral; an empty text scores 0 everywhere. Rounding of the ratios is exact
     half-up on the rational value.
+
+    Plan: a lexicon of at most ``MAX_INLINE_LEXICON`` entries (counted) becomes a
+    literal map and the scores are an in-row fold (no exchange). A larger lexicon
+    is joined to the exploded (key, token) rows -- only the key travels with the
+    tokens -- and the per-key sums (one row per review after the partial
+    aggregate) are joined back.
     """
-    others = [c for c in df.columns if c != key]
-    toks = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), " "), lambda w: F.length(w) > 0)
-    ex = df.select(key, *others, F.explode_outer(toks).alias("_tok"))
     lex = lexicon.select(F.col("token").alias("_lx"), F.round(F.col("valence") * 10).cast("bigint").alias("_v10"))
     lex = lex.groupBy("_lx").agg(F.max("_v10").alias("_v10"))
+    toks = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), " "), lambda w: F.length(w) > 0)
+    small = lex.limit(MAX_INLINE_LEXICON + 1).collect()
+    if len(small) <= MAX_INLINE_LEXICON:
+        m = F.create_map(*[x for r in sorted(small) for x in (F.lit(r["_lx"]), F.lit(int(r["_v10"])))]) if small \
+            else F.create_map().cast("map<string,bigint>")
+        zero = F.lit(0).cast("bigint")
+        # three projections so that no expensive expression is evaluated twice:
+        # token values -> one fold with a struct accumulator -> scores
+        step = df.select("*", F.transform(toks, lambda w: F.coalesce(F.element_at(m, w), zero)).alias("_vals"))
+        init = F.struct(zero.alias("s"), zero.alias("p"), zero.alias("n"), zero.alias("u"))
+        acc = F.aggregate("_vals", init, lambda a, v: F.struct(
+            (a["s"] + v).alias("s"), (a["p"] + F.when(v > 0, v + 10).otherwise(zero)).alias("p"),
+            (a["n"] + F.when(v < 0, 10 - v).otherwise(zero)).alias("n"),
+            (a["u"] + F.when(v == 0, F.lit(1).cast("bigint")).otherwise(zero)).alias("u")))
+        step = step.select(*[F.col(c) for c in df.columns], acc.alias("_acc"))
+        return step.select(*[F.col(c) for c in df.columns],
+                           *_scores(F.col("_acc.s"), F.col("_acc.p"), F.col("_acc.n"), F.col("_acc.u")))
     if broadcast_lexicon:
         lex = sized_broadcast(lex)
+    ex = df.select(F.col(key).alias("_k"), F.explode(toks).alias("_tok"))
     j = ex.join(lex, ex["_tok"] == lex["_lx"], "left")
-    v = F.when(F.col("_tok").isNotNull(), F.coalesce(F.col("_v10"), F.lit(0)))
-    agg = j.groupBy(key).agg(
-        *[F.any_value(c).alias(c) for c in others],
+    v = F.coalesce(F.col("_v10"), F.lit(0))
+    agg = j.groupBy("_k").agg(
         F.sum(v).alias("_s10"),
         F.sum(F.when(v > 0, v + 10)).alias("_p10"),
         F.sum(F.when(v < 0, 10 - v)).alias("_n10"),
         F.count(F.when(v == 0, 1)).alias("_u"),
     )
-    return agg.select(key, *others, *_scores(F.col("_s10"), F.col("_p10"), F.col("_n10"), F.col("_u")))
+    out = df.join(agg, df[key] == agg["_k"], "left")
+    return out.select(*[df[c] for c in df.columns],
+                      *_scores(F.col("_s10"), F.col("_p10"), F.col("_n10"), F.coalesce(F.col("_u"), F.lit(0))))
 
 
 def _scores(s10: Column, p10: Column, n10: Column, u: Column) -> list[Column]:
