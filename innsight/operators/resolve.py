@@ -341,15 +341,15 @@ GREEDY_SCHEMA = ("home string, room_ord int, roomtype string, anchor_source int,
                  "id_1 bigint, id_2 bigint, id_3 bigint, facilities array<string>, photos array<string>")
 
 
-def _greedy_fold(pdf: pd.DataFrame, sources: Sequence[int], mode: str) -> list[dict]:
-    """The ordered one-pass assignment of one home (rows sorted by source, seq)."""
-    by_src = {s: pdf[pdf["source"] == s] for s in sources}
-    rooms = {s: list(zip(g["id"], g["roomtype"], g["_low"], g["room_key"], g["facilities"], g["photos"]))
-             for s, g in by_src.items()}
+def _greedy_fold(rooms: dict, sources: Sequence[int], mode: str) -> list[dict]:
+    """The ordered one-pass assignment of one home.
+
+    rooms: source -> list of (id, roomtype, lower type, key, facilities, photos) in stored order.
+    """
     added: set[str] = set()
     out = []
     for s in sources:
-        for rid, rt, low, key, fac, photos in rooms[s]:
+        for rid, rt, low, key, fac, photos in rooms.get(s, ()):
             if rt in added:
                 continue
             added.add(rt)
@@ -360,7 +360,7 @@ def _greedy_fold(pdf: pd.DataFrame, sources: Sequence[int], mode: str) -> list[d
             for o in sources:
                 if o == s:
                     continue
-                for oid, ort, olow, okey, ofac, ophotos in rooms[o]:
+                for oid, ort, olow, okey, ofac, ophotos in rooms.get(o, ()):
                     if ort in added:
                         continue
                     if mode == "merge_equal":
@@ -381,16 +381,46 @@ def _greedy_fold(pdf: pd.DataFrame, sources: Sequence[int], mode: str) -> list[d
     return out
 
 
+_GREEDY_COLS = ["home", "room_ord", "roomtype", "anchor_source", "id_1", "id_2", "id_3", "facilities", "photos"]
+
+
+def _fold_frame(pdf: pd.DataFrame, sources: Sequence[int], mode: str) -> pd.DataFrame:
+    """Fold every home of a frame sorted by (home, source, seq)."""
+    homes = pdf["home"].to_numpy()
+    cols = [pdf[c].tolist() for c in ("source", "id", "roomtype", "_low", "room_key", "facilities", "photos")]
+    src, ids, rts, lows, keys, facs, phs = cols
+    rows = []
+    n = len(homes)
+    start = 0
+    while start < n:
+        end = start + 1
+        while end < n and homes[end] == homes[start]:
+            end += 1
+        per_src: dict = {}
+        for i in range(start, end):
+            per_src.setdefault(src[i], []).append((ids[i], rts[i], lows[i], keys[i], facs[i], phs[i]))
+        for k, rec in enumerate(_greedy_fold(per_src, sources, mode)):
+            rows.append((homes[start], k, rec["roomtype"], rec["anchor_source"], rec.get(f"id_{sources[0]}"),
+                         rec.get(f"id_{sources[1]}"), rec.get(f"id_{sources[2]}"), rec["facilities"], rec["photos"]))
+        start = end
+    res = pd.DataFrame(rows, columns=_GREEDY_COLS)
+    for c in ("id_1", "id_2", "id_3"):
+        res[c] = res[c].astype("Int64")
+    return res
+
+
 def greedy_room_match(rooms: DataFrame, home: str = "home", sources: Sequence[int] = (1, 2, 3),
                       keywords=None, mode: str = "reference") -> DataFrame:
     """A9 (+A10): rooms of one home matched across sources by the ordered greedy rule.
 
     rooms: home, source, id, seq, roomtype, facilities, photos. The rule is an
     ordered fold (each step depends on the set of types taken so far), so each
-    home is folded in one task by ``applyInPandas``; homes are spread by the
-    shuffle. K4 keys are computed JVM-side before the fold. Rooms without a type
-    are dropped; NULL facilities count as []. ``mode='merge_equal'`` lets equal
-    types merge and keeps empty keys apart (equal strings are still taken once).
+    home is folded in one task: rows are hash-partitioned by home and sorted by
+    (home, source, seq); ``mapInPandas`` walks each partition's Arrow batches and
+    folds one home after the other (a home cut by a batch edge is carried to the
+    next batch). K4 keys are computed JVM-side before the fold. Rooms without a
+    type are dropped; NULL facilities count as []. ``mode='merge_equal'`` lets
+    equal types merge and keeps empty keys apart (equal strings are still taken once).
     """
     if len(sources) != 3:
         raise ValueError("the output schema carries three sources")
@@ -398,22 +428,27 @@ def greedy_room_match(rooms: DataFrame, home: str = "home", sources: Sequence[in
     r = r.select(F.col(home).cast("string").alias("home"), F.col("source").cast("int").alias("source"),
                  F.col("id").cast("long").alias("id"), F.col("seq").cast("long").alias("seq"), "roomtype",
                  F.lower("roomtype").alias("_low"), "room_key", "facilities", "photos")
+    r = r.repartition("home").sortWithinPartitions("home", "source", "seq")
     srcs = list(sources)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["source", "seq"], kind="stable")
-        recs = _greedy_fold(pdf, srcs, mode)
-        h = pdf["home"].iloc[0]
-        rows = [{"home": h, "room_ord": i, "roomtype": rec["roomtype"], "anchor_source": rec["anchor_source"],
-                 "id_1": rec.get(f"id_{srcs[0]}"), "id_2": rec.get(f"id_{srcs[1]}"), "id_3": rec.get(f"id_{srcs[2]}"),
-                 "facilities": rec["facilities"], "photos": rec["photos"]} for i, rec in enumerate(recs)]
-        res = pd.DataFrame(rows, columns=["home", "room_ord", "roomtype", "anchor_source", "id_1", "id_2", "id_3",
-                                          "facilities", "photos"])
-        for c in ("id_1", "id_2", "id_3"):
-            res[c] = res[c].astype("Int64")
-        return res
-
-    return r.groupBy("home").applyInPandas(fold, GREEDY_SCHEMA)
+    def fold_partition(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+                carry = None
+            if pdf.empty:
+                continue
+            last = pdf["home"].iloc[-1]
+            tail = (pdf["home"] == last).to_numpy()
+            carry = pdf[tail].reset_index(drop=True)
+            done = pdf[~tail]
+            if len(done):
+                yield _fold_frame(done, srcs, mode)
+        if carry is not None and len(carry):
+            yield _fold_frame(carry, srcs, mode)
+
+    return r.mapInPandas(fold_partition, GREEDY_SCHEMA)
 
 
 def longest_facilities(rooms: DataFrame, key: Sequence[str], order: Sequence[str] = ("source", "seq"),
