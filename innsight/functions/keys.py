@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip(): any Unicode whitespace at either end.
-_EDGE_WS = "(?U)^\\s+|\\s+$"
+# Python's str.strip() removes the characters for which str.isspace() is true.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
 # `.` stops only at "\n" (UNIX_LINES), as in Python's re.
 _CUT_CONTACT = "(?d)(Phone|sđt).*"
 _OUTSIDE_INSIDE = "(?d)^(.*?)\\((.*?)\\)$"
@@ -37,8 +39,9 @@ ROOM_KEYWORDS: list[tuple[str, list[str]]] = [
 
 
 def py_strip(c: Column) -> Column:
-    """Strip Unicode whitespace at both ends (Spark ``trim`` removes spaces only)."""
-    return F.regexp_replace(c, _EDGE_WS, "")
+    """Strip whitespace at both ends as Python's str.strip() does (Spark ``trim``
+    removes spaces only); a character-set ``btrim``, no regex."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def clean_homename(c: Column) -> Column:

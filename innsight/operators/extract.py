@@ -136,25 +136,32 @@ PAGE_DATA_SCHEMA = T.StructType([T.StructField("props", T.StructType([T.StructFi
 
 
 def embedded_json(pages: DataFrame, html: str = "html") -> DataFrame:
-    """P9 + P11: parse the embedded page data; pages with invalid JSON are skipped.
+    """P9 + P11: parse the embedded page data once; pages with invalid JSON are skipped.
 
-    Adds address, rating, description (P10 text), images and highlights (P11)
-    and the parsed reviewList (for P12).
+    The payload (first '{' to last '}') is parsed into a VARIANT; fields are
+    read by path with defaults (missing -> NULL / []), so each page is parsed
+    once. Adds address, rating, description (P10 text), images and highlights
+    (P11) and the review list (for P12).
     """
     payload = py_strip(F.regexp_extract(F.col(html), EMBEDDED_SCRIPT_RE, 1))
     clipped = F.regexp_extract(payload, "(?s)(\\{.*\\})", 1)
-    df = pages.withColumn("_json", clipped).where(
-        (F.length("_json") > 0) & F.try_parse_json(F.col("_json")).isNotNull())
-    df = df.withColumn("_d", F.from_json("_json", PAGE_DATA_SCHEMA)["props"]["pageProps"])
-    hotel = F.col("_d.hotel")
+    df = pages.withColumn("_v", F.try_parse_json(F.nullif(clipped, F.lit("")))).where(F.col("_v").isNotNull())
+
+    def get(path: str, typ) -> Column:
+        t = typ if isinstance(typ, str) else typ.simpleString()
+        return F.try_variant_get(F.col("_v"), "$.props.pageProps." + path, t)
+
+    assets = get("hotel.assets", T.ArrayType(T.StructType([T.StructField("url", T.StringType())])))
+    tags = get("hotel.hotelFacilitiesTagDisplay", T.ArrayType(T.StructType([T.StructField("name", T.StringType())])))
+    reviews = get("reviewSummary.reviewList", T.ArrayType(REVIEW_ITEM))
     return df.select(
         *[c for c in pages.columns if c != html],
-        hotel["address"].alias("address"),
-        hotel["userRating"].alias("rating"),
-        html_text(F.coalesce(hotel["attribute"]["description"], F.lit(""))).alias("description"),
-        json_array_field(hotel["assets"], "url").alias("images"),
-        json_array_field(hotel["hotelFacilitiesTagDisplay"], "name").alias("property_highlights"),
-        F.coalesce(F.col("_d.reviewSummary.reviewList"), F.array().cast(T.ArrayType(REVIEW_ITEM))).alias("review_list"),
+        get("hotel.address", "string").alias("address"),
+        get("hotel.userRating", "double").alias("rating"),
+        html_text(F.coalesce(get("hotel.attribute.description", "string"), F.lit(""))).alias("description"),
+        json_array_field(assets, "url").alias("images"),
+        json_array_field(tags, "name").alias("property_highlights"),
+        F.coalesce(reviews, F.array().cast(T.ArrayType(REVIEW_ITEM))).alias("review_list"),
     )
 
 

@@ -236,13 +236,18 @@ def topic_keyword_overlap(topic_words: DataFrame, keywords: DataFrame) -> DataFr
 
 
 def topic_autolabel(topic_words: DataFrame, keywords: DataFrame) -> DataFrame:
-    """T4: (topic, label): matching group names in group order joined by ' ', else 'Uncategorized'."""
-    hits = topic_keyword_overlap(topic_words, keywords)
-    named = hits.groupBy("topic").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("ord", "name"))), lambda s: s["name"]), " ").alias("label"))
-    all_topics = topic_words.select("topic").distinct()
-    return all_topics.join(named, "topic", "left").select(
-        "topic", F.coalesce(F.col("label"), F.lit(T.UNCATEGORIZED)).alias("label"))
+    """T4: (topic, label): matching group names in group order joined by ' ', else 'Uncategorized'.
+
+    One pass: topic words left-joined to the keyword table, grouped by topic.
+    """
+    tw = topic_words.select("topic", "word")
+    kw = keywords.select(F.col("word").alias("_kw"), "ord", "name")
+    j = tw.join(kw, tw["word"] == kw["_kw"], "left")
+    hits = F.collect_set(F.when(F.col("name").isNotNull(), F.struct("ord", "name")))
+    g = j.groupBy("topic").agg(F.array_sort(hits).alias("_h"))
+    label = F.when(F.size("_h") > 0, F.array_join(F.transform("_h", lambda s: s["name"]), " ")) \
+        .otherwise(F.lit(T.UNCATEGORIZED))
+    return g.select("topic", label.alias("label"))
 
 
 # --- J6 / A8 / W7 / T5 ------------------------------------------------------------

@@ -93,3 +93,12 @@ def test_lemmatise_table_path(spark):
     lem = spark.createDataFrame([("rooms", "room"), ("clean", "c")], "token string, lemma string")
     got = dict(RV.lemmatise(toks, "id", "tokens", lem).select("id", "clean_review").collect())
     assert got == {1: "room", 2: ""}
+
+
+def test_py_strip_equals_python_strip(spark):
+    from innsight.functions.keys import py_strip
+
+    samples = ["  a b  ", "  x　", "\x1c\ty\r\n", "", "   ", "​z​", "é\x85"]
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = [r[0] for r in df.select(py_strip(F.col("s"))).collect()]
+    assert got == [s.strip() for s in samples]
