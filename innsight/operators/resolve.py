@@ -86,31 +86,40 @@ def containment_match(anchors: DataFrame, candidates: DataFrame, key: Sequence[s
     def other_group(df: DataFrame) -> DataFrame:
         return df.where(F.col(anchor_group) != F.col(group)) if anchor_group else df
 
-    # empty needle: every candidate of the city matches
-    e_tab = cand.groupBy(*by, group).agg(F.min(best).alias("_m"))
-    res_e = other_group(anc.where(nlen == 0).join(e_tab, by)).select(*key, group, "_m")
-
-    # 1-2 characters: exact substring tables, pre-aggregated
-    subs = cand.select(*by, group, best.alias("_b"),
-                       F.explode(F.concat(_grams(F.col("_lname"), 1), _grams(F.col("_lname"), 2))).alias("_sub"))
-    s_tab = subs.groupBy(*by, group, "_sub").agg(F.min("_b").alias("_m"))
-    s_tab = s_tab.withColumnRenamed("_sub", "_needle")
-    a_s = anc.where((nlen >= 1) & (nlen <= 2))
-    res_s = other_group(a_s.join(s_tab, [*by, "_needle"])).select(*key, group, "_m")
+    # which needle classes occur (one small aggregate over the anchors); a
+    # class without anchors adds no stages
+    stats = anc.agg(F.max((nlen <= 2).cast("int")).alias("short"), F.max((nlen >= 3).cast("int")).alias("long")).first()
+    parts = []
+
+    # 0-2 characters: exact substring table, pre-aggregated per (city, source,
+    # substring); the empty needle is the substring '' that every name has
+    if stats["short"]:
+        subs = cand.select(*by, group, best.alias("_b"), F.explode(F.concat(
+            F.array(F.lit("")), _grams(F.col("_lname"), 1), _grams(F.col("_lname"), 2))).alias("_needle"))
+        s_tab = subs.groupBy(*by, group, "_needle").agg(F.min("_b").alias("_m"))
+        a_s = anc.where(nlen <= 2)
+        parts.append(other_group(a_s.join(s_tab, [*by, "_needle"])).select(*key, group, "_m"))
 
     # 3+ characters: rarest 3-gram index join, verified by contains
-    cg = cand.select(*by, group, name, cid, "_lname", F.explode(_grams(F.col("_lname"), 3)).alias("_gram"))
-    freq = cg.groupBy(*by, group, "_gram").agg(F.count(F.lit(1)).alias("_freq"))
-    a_g = anc.where(nlen >= 3).withColumn("_ng", _grams(F.col("_needle"), 3))
-    ag = a_g.select(*key, *by, "_needle", F.size("_ng").alias("_n_ng"), F.explode("_ng").alias("_gram"))
-    agf = other_group(ag.join(freq, [*by, "_gram"]))
-    rare = agf.groupBy(*key, *by, "_needle", "_n_ng", group).agg(
-        F.count(F.lit(1)).alias("_hit"), F.min(F.struct("_freq", "_gram")).alias("_r"))
-    rare = rare.where(F.col("_hit") == F.col("_n_ng")).select(*key, *by, "_needle", group, F.col("_r._gram").alias("_gram"))
-    pairs = rare.join(cg, [*by, group, "_gram"]).where(F.col("_lname").contains(F.col("_needle")))
-    res_g = pairs.groupBy(*key, group).agg(F.min(best).alias("_m"))
-
-    out = res_e.unionByName(res_s).unionByName(res_g)
+    if stats["long"]:
+        cg = cand.select(*by, group, name, cid, "_lname", F.explode(_grams(F.col("_lname"), 3)).alias("_gram"))
+        freq = cg.groupBy(*by, group, "_gram").agg(F.count(F.lit(1)).alias("_freq"))
+        a_g = anc.where(nlen >= 3).withColumn("_ng", _grams(F.col("_needle"), 3))
+        ag = a_g.select(*key, *by, "_needle", F.size("_ng").alias("_n_ng"), F.explode("_ng").alias("_gram"))
+        agf = other_group(ag.join(freq, [*by, "_gram"]))
+        rare = agf.groupBy(*key, *by, "_needle", "_n_ng", group).agg(
+            F.count(F.lit(1)).alias("_hit"), F.min(F.struct("_freq", "_gram")).alias("_r"))
+        rare = rare.where(F.col("_hit") == F.col("_n_ng")).select(*key, *by, "_needle", group, F.col("_r._gram").alias("_gram"))
+        pairs = rare.join(cg, [*by, group, "_gram"]).where(F.col("_lname").contains(F.col("_needle")))
+        parts.append(pairs.groupBy(*key, group).agg(F.min(best).alias("_m")))
+
+    if not parts:  # no anchor has a needle: typed empty result
+        from pyspark.sql import types as T
+
+        fields = [anc.schema[k] for k in key] + [candidates.schema[group], T.StructField("match_name", T.StringType()),
+                                                 T.StructField("match_id", candidates.schema[cid].dataType)]
+        return anc.sparkSession.createDataFrame([], T.StructType(fields))
+    out = _union(parts)
     return out.select(*key, group, F.col("_m.match_name").alias("match_name"), F.col("_m.match_id").alias("match_id"))
 
 

@@ -194,14 +194,23 @@ def topic_model(df: DataFrame, text_col: str = "clean_review", k: int = 5, max_i
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
 
+    from pyspark import StorageLevel
+
     spark = df.sparkSession
-    toks = df.select(T.terms(F.col(text_col)).alias("_terms"))
+    # the corpus is read by the vocabulary fit, the transform and every LDA
+    # pass: keep the term arrays and the vectors (rebuilt from lineage if an
+    # executor is lost) and spread the vectors over all cores
+    toks = df.select(T.terms(F.col(text_col)).alias("_terms")).persist(StorageLevel.MEMORY_AND_DISK)
     cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab_size).fit(toks)
-    vec = cv.transform(toks).filter(F.size("_terms") > 0).select("_tf")
+    vec = (cv.transform(toks).filter(F.size("_terms") > 0).select("_tf")
+           .repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK))
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="_tf",
               subsamplingRate=1.0, learningOffset=10.0, learningDecay=0.7)
     model = lda.fit(vec)
+    vec.unpersist()
+    toks.unpersist()
     desc = model.describeTopics(top_words)
+    # the model summary: k x top_words term indices, and the fitted vocabulary (<= vocab_size)
     vocab = spark.createDataFrame([(i, w) for i, w in enumerate(cv.vocabulary)], "term_index int, word string")
     ex = desc.select(F.col("topic").cast("int").alias("topic"),
                      F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
