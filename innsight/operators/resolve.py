@@ -138,14 +138,15 @@ def best_matches(homes: DataFrame, use_inside_fallback: bool = False, w1: DataFr
     With ``use_inside_fallback`` (K3), anchors shaped 'outside (inside)' that find
     nothing with the outside part try the inside part.
     """
-    w1 = first_per_name(homes) if w1 is None else w1
+    if w1 is None:  # read by both needle forms and their class checks: compute once
+        w1 = first_per_name(homes).persist(StorageLevel.MEMORY_AND_DISK)
     anc = anchors_of(w1)
     m = containment_match(anc, homes)
     if use_inside_fallback:
         inside = anchors_of(w1, use_inside=True).where(F.col("needle").isNotNull())
         m2 = containment_match(inside, homes)
         m2 = m2.join(m.select("anchor_source", "anchor_id", "source"), ["anchor_source", "anchor_id", "source"], "left_anti")
-        m = m.unionByName(m2)
+        m = m.withColumn("used_inside", F.lit(False)).unionByName(m2.withColumn("used_inside", F.lit(True)))
     return m
 
 

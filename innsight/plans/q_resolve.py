@@ -230,3 +230,40 @@ def q_per_source_struct(spark, sf):
             aggs.append(R.per_source_value(F.max(F.when(F.col("source") == s, F.col("id"))),
                                            F.max(F.when(F.col("source") == s, F.col(a)))).alias(f"{a}_{s}"))
     return w1.groupBy("homename").agg(*aggs)
+
+
+# --- K3 at work: outside parts that match nothing fall back to the inside part -------------------
+
+def _fallback_homes(spark, sf):
+    h = homes_from_part(spark, sf)
+    name = F.when(F.col("id") % 4 == 0, F.concat(F.lit("V"), F.col("id").cast("string"), F.lit("X ("),
+                                                 F.col("homename"), F.lit(")"))).otherwise(F.col("homename"))
+    return h.withColumn("homename", name)
+
+
+_FALLBACK_HOMES = HOMES_CTE.replace(
+    "p_name AS homename", "CASE WHEN p_partkey % 4 = 0 THEN 'V' || CAST(p_partkey AS VARCHAR) || 'X (' || p_name || ')' "
+    "ELSE p_name END AS homename")
+_INSIDE_CTE = f"""anc2 AS (
+  SELECT source AS anchor_source, id AS anchor_id, city,
+         lower(trim(regexp_replace(trim(regexp_extract(homename, {_OI}, 2)), '(Phone|sđt).*', '', 'g'))) AS needle
+  FROM w1 WHERE regexp_matches(homename, {_OI})),
+m2 AS (
+  SELECT * FROM (
+    SELECT a.anchor_source, a.anchor_id, c.source, c.id AS match_id, c.homename AS match_name,
+           row_number() OVER (PARTITION BY a.anchor_source, a.anchor_id, c.source ORDER BY c.homename, c.id) AS rk
+    FROM anc2 a JOIN homes c
+      ON c.city = a.city AND c.source <> a.anchor_source AND contains(lower(c.homename), a.needle))
+  WHERE rk = 1)"""
+
+
+@register("fallback_match", _with(_FALLBACK_HOMES, W1_CTE, ANC_CTE, M_CTE, _INSIDE_CTE) + """
+SELECT anchor_source, anchor_id, source, match_id, match_name, false AS used_inside FROM m
+UNION ALL
+SELECT anchor_source, anchor_id, source, match_id, match_name, true AS used_inside FROM m2
+WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.anchor_source = m2.anchor_source AND m.anchor_id = m2.anchor_id
+                  AND m.source = m2.source)""")
+def q_fallback_match(spark, sf):
+    """K3 on: anchors shaped 'outside (inside)' whose outside part finds nothing in a source try the inside part."""
+    m = R.best_matches(_fallback_homes(spark, sf), use_inside_fallback=True)
+    return m.select("anchor_source", "anchor_id", "source", "match_id", "match_name", "used_inside")

@@ -102,3 +102,18 @@ def test_py_strip_equals_python_strip(spark):
     df = spark.createDataFrame([(s,) for s in samples], "s string")
     got = [r[0] for r in df.select(py_strip(F.col("s"))).collect()]
     assert got == [s.strip() for s in samples]
+
+
+def test_text_plans_stay_in_jvm(spark):
+    from innsight.operators import incremental as I
+
+    docs = spark.createDataFrame([(1, "Good room, 7.5", "8,5")], "id long, review_content string, review_score string")
+    lex = spark.createDataFrame([("good", 1.9)], "token string, valence double")
+    topics = [(0, ["room"]), (1, ["view"])]
+    labels = RV.topic_autolabel(RV.topics_table(spark, topics), RV.keywords_table(spark))
+    out = I.enrich_reviews(docs, "id", lexicon=lex, topics=topics, topic_labels=labels)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert node not in plan, node
+    r = out.first()
+    assert r["sentiment"] == "positive" and r["label"] == "location"
