@@ -184,8 +184,9 @@ def resolve_passes(homes: DataFrame, sources: Sequence[int] = (1, 2, 3),
     claim = matches.groupBy("source", "match_id").agg(F.min(F.struct("pass", "anchor_seq")).alias("_c"))
     matches = matches.join(claim, ["source", "match_id"]).withColumn(
         "owned", (F.col("_c.pass") == F.col("pass")) & (F.col("_c.anchor_seq") == F.col("anchor_seq"))).drop("_c")
-    return anchors, matches.select("pass", "anchor_source", "anchor_id", "anchor_seq", "source",
-                                   "match_id", "match_name", "owned")
+    matches = matches.select("pass", "anchor_source", "anchor_id", "anchor_seq", "source", "match_id", "match_name", "owned")
+    # both are read by the assembled row, the details and the documents: keep them
+    return anchors.persist(StorageLevel.MEMORY_AND_DISK), matches.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
