@@ -175,8 +175,10 @@ def resolve_passes(homes: DataFrame, sources: Sequence[int] = (1, 2, 3),
         if pass_matches:
             claimed = _union(pass_matches).where(F.col("source") == src).select(F.col("match_id").alias("anchor_id"))
             a = a.join(claimed, "anchor_id", "left_anti")
-        a = a.withColumn("pass", F.lit(p_idx))
+        # a pass is read by every later pass and by the claim rule: keep it
+        a = a.withColumn("pass", F.lit(p_idx)).persist(StorageLevel.MEMORY_AND_DISK)
         m = m_all.join(a.select("anchor_source", "anchor_id", "anchor_seq", "pass"), ["anchor_source", "anchor_id"])
+        m = m.persist(StorageLevel.MEMORY_AND_DISK)
         pass_anchors.append(a)
         pass_matches.append(m)
     anchors = _union(pass_anchors).select("pass", "anchor_source", "anchor_id", "anchor_seq", "homename", "city")
