@@ -221,7 +221,11 @@ def topic_model(df: DataFrame, text_col: str = "clean_review", k: int = 5, max_i
 def topic_top_words(topic_terms: DataFrame, n: int = 10) -> DataFrame:
     """The n heaviest words per topic, heaviest first, from (topic, word, weight)."""
     w = Window.partitionBy("topic").orderBy(F.desc("weight"), F.asc("word"))
-    return topic_terms.withColumn("rank", F.row_number().over(w) - 1).filter(F.col("rank") < n)
+    # filter on row_number itself so Catalyst plans a WindowGroupLimit (a
+    # partial top-n per topic before the exchange: a topic's vocabulary never
+    # lands whole in one task)
+    top = topic_terms.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+    return top.withColumn("rank", F.col("_rn") - 1).drop("_rn")
 
 
 # --- T4 / J7 --------------------------------------------------------------------

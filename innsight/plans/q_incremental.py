@@ -146,6 +146,25 @@ def q_stream_complete_homes(spark, sf):
     return ST.stream_complete_homes(spark, src, PAGE_SCHEMA, key="conv_id")
 
 
+def _review_pages(spark, sf):
+    c = read_table(spark, sf, "conversations")
+    ann = c.groupBy("conv_id").agg((F.max("turn") + 1).cast("bigint").alias("announced")).where(F.col("conv_id") % 10 != 0)
+    pages = (c.withColumn("page", F.floor(F.col("turn") / 2).cast("bigint"))
+             .groupBy("conv_id", "page").agg(F.count(F.when(F.col("role") != "system", 1)).cast("bigint").alias("n_reviews")))
+    pages = pages.join(ann, "conv_id").select("conv_id", "announced", "page", "n_reviews")
+    src = scratch_path(spark, "review-pages")
+    pages.repartition(4, (F.col("page") * 7 + F.col("conv_id")) % 4).write.mode("overwrite").parquet(src)
+    return src
+
+
+@register("stream_complete_homes_expiring", "WITH " + _HOMES_SQL + """
+SELECT h.conv_id, h.announced, arr.arrived FROM h JOIN arr USING (conv_id)
+WHERE h.announced IS NOT NULL AND arr.arrived = h.announced""")
+def q_stream_complete_homes_expiring(spark, sf):
+    """R1 with bounded state (per-home state removed on release, expired when idle)."""
+    return ST.stream_complete_homes_expiring(spark, _review_pages(spark, sf), PAGE_SCHEMA, key="conv_id")
+
+
 # --- R2 ----------------------------------------------------------------------------------------------
 
 REVIEW_FILE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("review_content", T.StringType()),

@@ -69,3 +69,59 @@ def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.Struc
     ups = spark.read.parquet(out)
     latest = ups.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("_batch")).alias("_u")).select(key, "_u.*")
     return I.keyed_upsert(base, latest, key, list(cols))
+
+
+def stream_complete_homes_expiring(spark: SparkSession, pages_dir: str, schema: T.StructType, key: str = "home",
+                                   announced: str = "announced", n: str = "n_reviews", max_files: int = 1,
+                                   idle_timeout_ms: int = 3_600_000) -> DataFrame:
+    """R1 with bounded state: one (arrived, announced) state per home in flight.
+
+    The state of a home is removed when it is released and expires when no page
+    of it arrived for ``idle_timeout`` (processing time), so homes that never
+    complete do not keep state forever. Released homes equal the plain form.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    out_schema = T.StructType([T.StructField(key, schema[key].dataType), T.StructField(announced, T.LongType()),
+                               T.StructField("arrived", T.LongType())])
+    state_schema = T.StructType([T.StructField("arrived", T.LongType()), T.StructField("announced", T.LongType())])
+
+    def release(k, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        arrived, total = state.get if state.exists else (0, None)
+        for pdf in pdfs:
+            arrived += int(pdf[n].sum())
+            total = int(pdf[announced].iloc[0])
+        if total is not None and arrived == total:
+            if state.exists:
+                state.remove()
+            yield pd.DataFrame({key: [k[0]], announced: [total], "arrived": [arrived]})
+        else:
+            state.update((arrived, total))
+            state.setTimeoutDuration(int(idle_timeout_ms))
+
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
+    rel = src.select(key, announced, n).groupBy(key).applyInPandasWithState(
+        release, out_schema, state_schema, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    out = scratch_path(spark, "released-ttl")
+    ckpt = scratch_path(spark, "released-ttl-ckpt")
+    # Pending timeouts make a query run no-data batches forever, so an
+    # availableNow run would not end; this query runs without them (the
+    # streaming query snapshots the session conf at start) and timeouts fire
+    # with the next batch that carries data.
+    key_conf = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key_conf, "true")
+    spark.conf.set(key_conf, "false")
+    try:
+        q = (rel.writeStream.outputMode("append").option("checkpointLocation", ckpt)
+             .foreachBatch(_batch_sink(out)).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key_conf, before)
+    q.awaitTermination()
+    try:
+        return spark.read.schema(out_schema).parquet(out).select(key, announced, "arrived")
+    except Exception:  # nothing released
+        return spark.createDataFrame([], out_schema)

@@ -100,3 +100,15 @@ def test_frontier_encoding(spark):
     r = X.crawl_frontier(df, "2024-02-28").first()
     assert "ss=Ho+Chi+Minh+~%2A&checkin=2024-02-29&checkout=2024-03-01" in r["search_url"]
     assert r["search_url_2"].endswith("spec=29-02-2024.01-03-2024")
+
+
+def test_expiring_stream_equals_plain_stream(spark):
+    pages = spark.createDataFrame([(2, 3, 1, 1), (1, 0, 0, 0), (3, 2, 0, 1), (2, 3, 0, 2), (5, 4, 0, 1)],
+                                  "home long, announced long, page long, n_reviews long")
+    src = scratch_path(spark, "test-pages-ttl")
+    pages.repartition(3).write.mode("overwrite").parquet(src)
+    schema = T.StructType([T.StructField("home", T.LongType()), T.StructField("announced", T.LongType()),
+                           T.StructField("page", T.LongType()), T.StructField("n_reviews", T.LongType())])
+    plain = sorted(map(tuple, ST.stream_complete_homes(spark, src, schema).collect()))
+    ttl = sorted(map(tuple, ST.stream_complete_homes_expiring(spark, src, schema).collect()))
+    assert plain == ttl == [(1, 0, 0), (2, 3, 3)]

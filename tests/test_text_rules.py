@@ -117,3 +117,12 @@ def test_text_plans_stay_in_jvm(spark):
         assert node not in plan, node
     r = out.first()
     assert r["sentiment"] == "positive" and r["label"] == "location"
+
+
+def test_topic_top_words_plans_partial_limit(spark):
+    df = spark.createDataFrame([(0, "a", 3), (0, "b", 2), (1, "c", 5)], "topic int, word string, weight long")
+    out = RV.topic_top_words(df, 1)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert sorted((r["topic"], r["word"], r["rank"]) for r in out.collect()) == [(0, "a", 0), (1, "c", 0)]
