@@ -316,26 +316,38 @@ def room_candidates(rooms: DataFrame, home: str = "home", keywords=None, mode: s
 
     Match: lower(a) contains lower(b), or the reverse, or equal K4 keys (in
     ``mode='merge_equal'`` empty keys do not match). Built as the union of an
-    equi-join on (home, key) and an exact substring index join on
-    (home, lower type); no theta join over the home.
+    equi-join on (home, key) and a containment join over the distinct lower
+    types of the home: a type of 3+ characters joins the types holding its
+    rarest 3-gram (verified by ``contains``), a shorter type joins the types
+    holding it among their 0-2 character substrings. O(length) rows per type,
+    no theta join over the home.
     """
-    r = with_room_key(rooms, keywords).select(home, "source", "id", "roomtype", "room_key",
-                                              F.lower("roomtype").alias("_low"))
+    r = with_room_key(rooms).select(home, "source", "id", "roomtype", "room_key", F.lower("roomtype").alias("_low"))
     a = r.select(*[F.col(c).alias(f"a_{c}") for c in r.columns])
     b = r.select(*[F.col(c).alias(f"b_{c}") for c in r.columns])
     keq = a.join(b, (F.col(f"a_{home}") == F.col(f"b_{home}")) & (F.col("a_room_key") == F.col("b_room_key")))
     if mode == "merge_equal":
         keq = keq.where(F.col("a_room_key") != "")
-    # containment: every substring of the longer type, equi-joined to the shorter type
-    subs = r.select(home, "source", "id", "_low",
-                    F.explode(F.array_distinct(F.flatten(F.transform(
-                        F.sequence(F.lit(1), F.greatest(F.length("_low"), F.lit(1))),
-                        lambda i: F.transform(F.sequence(i, F.greatest(F.length("_low"), F.lit(1))),
-                                              lambda e: F.substring(F.col("_low"), i, e - i + 1)))))).alias("_sub"))
-    short = r.select(F.col(home).alias("_h"), F.col("source").alias("_s"), F.col("id").alias("_i"), F.col("_low").alias("_t"))
-    cont = subs.join(short, (subs[home] == short["_h"]) & (subs["_sub"] == short["_t"]) & (subs["source"] != short["_s"]))
-    pairs = cont.select(F.col(home).alias("_home"), F.col("source").alias("_s1"), F.col("id").alias("_i1"),
-                        F.col("_s").alias("_s2"), F.col("_i").alias("_i2"))
+
+    # containment over distinct (home, source, type): needle x inside haystack y
+    types = r.select(F.col(home).alias("_h"), F.col("source").alias("_s"), "_low").distinct()
+    hay_g = types.select("_h", F.col("_s").alias("_ys"), F.col("_low").alias("_y"),
+                         F.explode(_grams(F.col("_low"), 3)).alias("_g"))
+    freq = hay_g.groupBy("_h", "_g").agg(F.count(F.lit(1)).alias("_f"))
+    x_long = types.where(F.length("_low") >= 3).select("_h", F.col("_s").alias("_xs"), F.col("_low").alias("_x"))
+    xg = x_long.select("_h", "_xs", "_x", F.explode(_grams(F.col("_x"), 3)).alias("_g"))
+    rare = xg.join(freq, ["_h", "_g"]).groupBy("_h", "_xs", "_x").agg(F.min(F.struct("_f", "_g")).alias("_r"))
+    rare = rare.select("_h", "_xs", "_x", F.col("_r._g").alias("_g"))
+    long_pairs = rare.join(hay_g, ["_h", "_g"]).where((F.col("_xs") != F.col("_ys")) & F.col("_y").contains(F.col("_x")))
+    hay_s = types.select("_h", F.col("_s").alias("_ys"), F.col("_low").alias("_y"), F.explode(F.concat(
+        F.array(F.lit("")), _grams(F.col("_low"), 1), _grams(F.col("_low"), 2))).alias("_x"))
+    x_short = types.where(F.length("_low") <= 2).select("_h", F.col("_s").alias("_xs"), F.col("_low").alias("_x"))
+    short_pairs = x_short.join(hay_s, ["_h", "_x"]).where(F.col("_xs") != F.col("_ys"))
+    tpairs = long_pairs.select("_h", "_xs", "_x", "_ys", "_y").unionByName(short_pairs.select("_h", "_xs", "_x", "_ys", "_y"))
+    rx = r.select(F.col(home).alias("_h"), F.col("source").alias("_xs"), F.col("_low").alias("_x"), F.col("id").alias("_i1"))
+    ry = r.select(F.col(home).alias("_h"), F.col("source").alias("_ys"), F.col("_low").alias("_y"), F.col("id").alias("_i2"))
+    cont = tpairs.join(rx, ["_h", "_xs", "_x"]).join(ry, ["_h", "_ys", "_y"])
+    pairs = cont.select(F.col("_h").alias("_home"), F.col("_xs").alias("_s1"), "_i1", F.col("_ys").alias("_s2"), "_i2")
     # orient pairs so the lower source is "a"
     oriented = pairs.select(
         "_home",

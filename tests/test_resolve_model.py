@@ -207,3 +207,25 @@ def test_shorten_room_type_vietnamese(spark):
     assert got[1] == ""  # the variant keeps its leading space
     assert got[2] == "balcony dormitory room"
     assert got[3] == ""
+
+
+def test_room_candidates_match_brute_force(spark):
+    rng = random.Random(11)
+    types = TYPES + ["a", "ab", "Ab", "b", "room", "Room 2", "xroomx", "giường phụ thêm"]
+    rows = []
+    for i in range(160):
+        rows.append((f"h{rng.randrange(6)}", rng.choice([1, 2, 3]), i, i, rng.choice(types), None, None))
+    df = spark.createDataFrame(rows, "home string, source int, id bigint, seq bigint, roomtype string, "
+                                     "facilities array<string>, photos array<string>")
+    for mode in ("reference", "merge_equal"):
+        got = {(r["home"], r["a_id"], r["b_id"]) for r in R.room_candidates(df, mode=mode).collect()}
+        want = set()
+        for h1, s1, i1, _, t1, _, _ in rows:
+            for h2, s2, i2, _, t2, _, _ in rows:
+                if h1 != h2 or s1 >= s2:
+                    continue
+                k1, k2 = _key(t1), _key(t2)
+                key_ok = k1 == k2 and (mode == "reference" or k1 != "")
+                if t1.lower() in t2.lower() or t2.lower() in t1.lower() or key_ok:
+                    want.add((h1, i1, i2))
+        assert got == want, mode
