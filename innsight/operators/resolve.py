@@ -453,6 +453,13 @@ def greedy_room_match(rooms: DataFrame, home: str = "home", sources: Sequence[in
     r = r.select(F.col(home).cast("string").alias("home"), F.col("source").cast("int").alias("source"),
                  F.col("id").cast("long").alias("id"), F.col("seq").cast("long").alias("seq"), "roomtype",
                  F.lower("roomtype").alias("_low"), "room_key", "facilities", "photos")
+    # Only the first room of a type string in a source can ever be taken (the
+    # taken set holds strings, and an equal later room is always skipped), so
+    # keep that one room per (home, source, type): a partial aggregate that
+    # bounds the fold of a home by its distinct types, not by its rooms.
+    first = r.groupBy("home", "source", "roomtype").agg(
+        F.min_by(F.struct("id", "seq", "_low", "room_key", "facilities", "photos"), F.col("seq")).alias("_r"))
+    r = first.select("home", "source", "_r.id", "_r.seq", "roomtype", "_r._low", "_r.room_key", "_r.facilities", "_r.photos")
     r = r.repartition("home").sortWithinPartitions("home", "source", "seq")
     srcs = list(sources)
 
