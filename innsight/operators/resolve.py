@@ -362,19 +362,21 @@ def room_candidates(rooms: DataFrame, home: str = "home", keywords=None, mode: s
 
 # --- A9 / A10 ----------------------------------------------------------------------------
 
+AVAILABLES_TYPE = "array<struct<occupancy:int,price:string>>"
 GREEDY_SCHEMA = ("home string, room_ord int, roomtype string, anchor_source int, "
-                 "id_1 bigint, id_2 bigint, id_3 bigint, facilities array<string>, photos array<string>")
+                 "id_1 bigint, id_2 bigint, id_3 bigint, facilities array<string>, photos array<string>, "
+                 f"availables_1 {AVAILABLES_TYPE}, availables_2 {AVAILABLES_TYPE}, availables_3 {AVAILABLES_TYPE}")
 
 
 def _greedy_fold(rooms: dict, sources: Sequence[int], mode: str) -> list[dict]:
     """The ordered one-pass assignment of one home.
 
-    rooms: source -> list of (id, roomtype, lower type, key, facilities, photos) in stored order.
+    rooms: source -> list of (id, roomtype, lower type, key, facilities, photos, availables) in stored order.
     """
     added: set[str] = set()
     out = []
     for s in sources:
-        for rid, rt, low, key, fac, photos in rooms.get(s, ()):
+        for rid, rt, low, key, fac, photos, avail in rooms.get(s, ()):
             if rt in added:
                 continue
             added.add(rt)
@@ -382,10 +384,11 @@ def _greedy_fold(rooms: dict, sources: Sequence[int], mode: str) -> list[dict]:
                    "photos": list(photos) if photos is not None else []}
             for t in sources:
                 rec[f"id_{t}"] = rid if t == s else None
+                rec[f"av_{t}"] = avail if t == s else None
             for o in sources:
                 if o == s:
                     continue
-                for oid, ort, olow, okey, ofac, ophotos in rooms.get(o, ()):
+                for oid, ort, olow, okey, ofac, ophotos, oavail in rooms.get(o, ()):
                     if ort in added:
                         continue
                     if mode == "merge_equal":
@@ -395,6 +398,7 @@ def _greedy_fold(rooms: dict, sources: Sequence[int], mode: str) -> list[dict]:
                     if not ok:
                         continue
                     rec[f"id_{o}"] = oid
+                    rec[f"av_{o}"] = oavail
                     if o == sources[0]:
                         rec["photos"] = list(ophotos) if ophotos is not None else []
                     ofl = list(ofac) if ofac is not None else []
@@ -406,14 +410,22 @@ def _greedy_fold(rooms: dict, sources: Sequence[int], mode: str) -> list[dict]:
     return out
 
 
-_GREEDY_COLS = ["home", "room_ord", "roomtype", "anchor_source", "id_1", "id_2", "id_3", "facilities", "photos"]
+_GREEDY_COLS = ["home", "room_ord", "roomtype", "anchor_source", "id_1", "id_2", "id_3", "facilities", "photos",
+                "availables_1", "availables_2", "availables_3"]
+
+
+def _plain(av):
+    """Arrow array<struct> cell -> list of dicts (None stays None)."""
+    if av is None:
+        return None
+    return [dict(x) for x in av]
 
 
 def _fold_frame(pdf: pd.DataFrame, sources: Sequence[int], mode: str) -> pd.DataFrame:
     """Fold every home of a frame sorted by (home, source, seq)."""
     homes = pdf["home"].to_numpy()
-    cols = [pdf[c].tolist() for c in ("source", "id", "roomtype", "_low", "room_key", "facilities", "photos")]
-    src, ids, rts, lows, keys, facs, phs = cols
+    cols = [pdf[c].tolist() for c in ("source", "id", "roomtype", "_low", "room_key", "facilities", "photos", "availables")]
+    src, ids, rts, lows, keys, facs, phs, avs = cols
     rows = []
     n = len(homes)
     start = 0
@@ -423,10 +435,11 @@ def _fold_frame(pdf: pd.DataFrame, sources: Sequence[int], mode: str) -> pd.Data
             end += 1
         per_src: dict = {}
         for i in range(start, end):
-            per_src.setdefault(src[i], []).append((ids[i], rts[i], lows[i], keys[i], facs[i], phs[i]))
+            per_src.setdefault(src[i], []).append((ids[i], rts[i], lows[i], keys[i], facs[i], phs[i], _plain(avs[i])))
         for k, rec in enumerate(_greedy_fold(per_src, sources, mode)):
             rows.append((homes[start], k, rec["roomtype"], rec["anchor_source"], rec.get(f"id_{sources[0]}"),
-                         rec.get(f"id_{sources[1]}"), rec.get(f"id_{sources[2]}"), rec["facilities"], rec["photos"]))
+                         rec.get(f"id_{sources[1]}"), rec.get(f"id_{sources[2]}"), rec["facilities"], rec["photos"],
+                         rec.get(f"av_{sources[0]}"), rec.get(f"av_{sources[1]}"), rec.get(f"av_{sources[2]}")))
         start = end
     res = pd.DataFrame(rows, columns=_GREEDY_COLS)
     for c in ("id_1", "id_2", "id_3"):
@@ -450,16 +463,18 @@ def greedy_room_match(rooms: DataFrame, home: str = "home", sources: Sequence[in
     if len(sources) != 3:
         raise ValueError("the output schema carries three sources")
     r = with_room_key(rooms.where(F.col("roomtype").isNotNull()), keywords)
+    avail = (F.col("availables") if "availables" in rooms.columns else F.lit(None)).cast(AVAILABLES_TYPE)
     r = r.select(F.col(home).cast("string").alias("home"), F.col("source").cast("int").alias("source"),
                  F.col("id").cast("long").alias("id"), F.col("seq").cast("long").alias("seq"), "roomtype",
-                 F.lower("roomtype").alias("_low"), "room_key", "facilities", "photos")
+                 F.lower("roomtype").alias("_low"), "room_key", "facilities", "photos", avail.alias("availables"))
     # Only the first room of a type string in a source can ever be taken (the
     # taken set holds strings, and an equal later room is always skipped), so
     # keep that one room per (home, source, type): a partial aggregate that
     # bounds the fold of a home by its distinct types, not by its rooms.
     first = r.groupBy("home", "source", "roomtype").agg(
-        F.min_by(F.struct("id", "seq", "_low", "room_key", "facilities", "photos"), F.col("seq")).alias("_r"))
-    r = first.select("home", "source", "_r.id", "_r.seq", "roomtype", "_r._low", "_r.room_key", "_r.facilities", "_r.photos")
+        F.min_by(F.struct("id", "seq", "_low", "room_key", "facilities", "photos", "availables"), F.col("seq")).alias("_r"))
+    r = first.select("home", "source", "_r.id", "_r.seq", "roomtype", "_r._low", "_r.room_key", "_r.facilities",
+                     "_r.photos", "_r.availables")
     r = r.repartition("home").sortWithinPartitions("home", "source", "seq")
     srcs = list(sources)
 
@@ -508,8 +523,10 @@ def combined_documents(homes: DataFrame, rooms: DataFrame, reviews: DataFrame,
     hkey = F.concat_ws("/", F.col("pass").cast("string"), F.col("anchor_id").cast("string"))
     rj = rows_of_home(det, rooms).withColumn("home", hkey)
     rm = greedy_room_match(rj, home="home", sources=sources)
+    extra = [f"availables_{t}" for t in (1, 2, 3) if f"availables_{t}" in rm.columns]
     rooms_n = rm.groupBy("home").agg(F.array_sort(F.collect_list(F.struct(
-        "room_ord", "roomtype", "anchor_source", *[f"id_{s}" for s in sources], "facilities", "photos"))).alias("rooms"))
+        "room_ord", "roomtype", "anchor_source", *[f"id_{s}" for s in sources], "facilities", "photos",
+        *extra))).alias("rooms"))
     rv = rows_of_home(det, reviews)
     rv_n = nest_by_source(rv, ["pass", "anchor_id"], sources, payload=review_payload)
     doc = flat.withColumn("home", hkey).join(rooms_n, "home", "left").drop("home")

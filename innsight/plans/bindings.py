@@ -144,7 +144,9 @@ def home_rows_from_lineitem(spark: SparkSession, sf_dir: str, block: int | None
         F.col("l_quantity").alias("score"),
         F.when(F.col("l_linenumber") % 2 == 0, F.lit(None).cast("array<string>"))
          .otherwise(F.array(F.col("l_returnflag"), F.col("l_linestatus"))).alias("facilities"),
-        F.lit(None).cast("array<string>").alias("photos"))
+        F.lit(None).cast("array<string>").alias("photos"),
+        F.array(F.struct((F.col("l_orderkey") % 4 + 1).cast("int").alias("occupancy"),
+                         F.format_number(F.col("l_extendedprice"), 0).alias("price"))).alias("availables"))
 
 
 def home_rows_cte(block: int | None = None) -> str:

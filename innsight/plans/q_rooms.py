@@ -29,8 +29,12 @@ def q_room_candidates(spark, sf):
 
 
 def _greedy_flat(df):
+    def avail(t):
+        return F.array_join(F.transform(F.coalesce(F.col(f"availables_{t}"), F.array()),
+                                        lambda a: F.concat_ws(":", a["occupancy"].cast("string"), a["price"])), "|")
     return df.select("home", "room_ord", "roomtype", "anchor_source", "id_1", "id_2", "id_3",
-                     F.array_join("facilities", "|").alias("facilities"), F.array_join("photos", "|").alias("photos"))
+                     F.array_join("facilities", "|").alias("facilities"), F.array_join("photos", "|").alias("photos"),
+                     *[avail(t).alias(f"availables_{t}") for t in (1, 2, 3)])
 
 
 @register("greedy_room_match")
