@@ -111,6 +111,16 @@ def page_cards(pages: DataFrame, html: str = "html") -> DataFrame:
                       py_strip(decode_entities(F.col("_c.name"))).alias("name"))
 
 
+def card_price(c: Column) -> Column:
+    """Card price text 'VND\u00a0509.259' -> '509.259' (the piece after the first no-break space)."""
+    return F.get(F.split(c, "\u00a0"), 1)
+
+
+def card_rating(c: Column) -> Column:
+    """Card rating '7,1' -> '7.1' (text kept; NULL stays NULL)."""
+    return F.replace(c, F.lit(","), F.lit("."))
+
+
 def last_match(c: Column, pattern: str, group: int = 1) -> Column:
     """Last of all regex matches, NULL when none."""
     return F.try_element_at(F.regexp_extract_all(c, F.lit(pattern), group), F.lit(-1))

@@ -112,3 +112,10 @@ def test_expiring_stream_equals_plain_stream(spark):
     plain = sorted(map(tuple, ST.stream_complete_homes(spark, src, schema).collect()))
     ttl = sorted(map(tuple, ST.stream_complete_homes_expiring(spark, src, schema).collect()))
     assert plain == ttl == [(1, 0, 0), (2, 3, 3)]
+
+
+def test_card_price_and_rating(spark):
+    df = spark.createDataFrame([("VND 509.259", "7,1"), ("509", None)], "p string, r string")
+    got = df.select(X.card_price(F.col("p")).alias("p"), X.card_rating(F.col("r")).alias("r")).collect()
+    assert (got[0]["p"], got[0]["r"]) == ("509.259", "7.1")
+    assert (got[1]["p"], got[1]["r"]) == (None, None)
