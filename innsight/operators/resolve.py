@@ -508,14 +508,17 @@ def longest_facilities(rooms: DataFrame, key: Sequence[str], order: Sequence[str
 
 # --- S6 ----------------------------------------------------------------------------------------
 
-def combined_documents(homes: DataFrame, rooms: DataFrame, reviews: DataFrame,
-                       sources: Sequence[int] = (1, 2, 3), use_inside_fallback: bool = False,
-                       review_payload: Sequence[str] = ("id", "score")) -> DataFrame:
-    """One nested document per resolved property.
-
-    rooms/reviews: source, homename, id, seq (+ roomtype, facilities, photos for
-    rooms). Rooms and reviews come only from homes that gave them (anchor, or
-    first claim); rooms are matched by A9, reviews nested per source (A3).
+def combined_document_tables(homes: DataFrame, rooms: DataFrame, reviews: DataFrame,
+                             sources: Sequence[int] = (1, 2, 3), use_inside_fallback: bool = False,
+                             review_payload: Sequence[str] = ("id", "score")) -> tuple[DataFrame, DataFrame]:
+    """S6 as two tables: (documents, reviews).
+
+    documents: one row per resolved property (flat fields of O1 and its matched
+    rooms, A9, nested). reviews: pass, anchor_id, source, seq and the payload of
+    every review the property owns (A3 by key): a property's reviews are not
+    bounded, so they are not collected into its row. rooms/reviews input:
+    source, homename, id, seq (+ roomtype, facilities, photos for rooms). Rooms
+    and reviews come only from homes that gave them (anchor, or first claim).
     """
     anchors, matches = resolve_passes(homes, sources, use_inside_fallback)
     flat = combine_from(anchors, matches, homes, sources)
@@ -524,12 +527,26 @@ def combined_documents(homes: DataFrame, rooms: DataFrame, reviews: DataFrame,
     rj = rows_of_home(det, rooms).withColumn("home", hkey)
     rm = greedy_room_match(rj, home="home", sources=sources)
     extra = [f"availables_{t}" for t in (1, 2, 3) if f"availables_{t}" in rm.columns]
+    # a fold emits at most one room per distinct type of the property: bounded
     rooms_n = rm.groupBy("home").agg(F.array_sort(F.collect_list(F.struct(
         "room_ord", "roomtype", "anchor_source", *[f"id_{s}" for s in sources], "facilities", "photos",
         *extra))).alias("rooms"))
-    rv = rows_of_home(det, reviews)
-    rv_n = nest_by_source(rv, ["pass", "anchor_id"], sources, payload=review_payload)
     doc = flat.withColumn("home", hkey).join(rooms_n, "home", "left").drop("home")
-    doc = doc.join(rv_n, ["pass", "anchor_id"], "left")
     empty_rooms = F.array().cast(rooms_n.schema["rooms"].dataType)
-    return doc.withColumn("rooms", F.coalesce("rooms", empty_rooms))
+    doc = doc.withColumn("rooms", F.coalesce("rooms", empty_rooms))
+    rv = rows_of_home(det, reviews).select("pass", "anchor_id", "source", "seq",
+                                           *[c for c in review_payload if c != "seq"])
+    return doc, rv
+
+
+def combined_documents(homes: DataFrame, rooms: DataFrame, reviews: DataFrame,
+                       sources: Sequence[int] = (1, 2, 3), use_inside_fallback: bool = False,
+                       review_payload: Sequence[str] = ("id", "score")) -> DataFrame:
+    """S6 fully nested: the documents with the reviews as one array per source.
+
+    Only for properties with a bounded number of reviews; at scale write
+    :func:`combined_document_tables` instead (the reviews array of a hot
+    property is one row built by one task).
+    """
+    doc, rv = combined_document_tables(homes, rooms, reviews, sources, use_inside_fallback, review_payload)
+    return doc.join(nest_by_source(rv, ["pass", "anchor_id"], sources, payload=review_payload), ["pass", "anchor_id"], "left")

@@ -11,6 +11,7 @@ from innsight.plans.bindings import (home_rows_cte, home_rows_from_lineitem, hom
 from innsight.plans.q_resolve import ANC_CTE, M_CTE, PASSES_CTE, W1_CTE, _combine_sql, _with
 from innsight.plans.registry import register
 from innsight.session import scratch_path
+from innsight.sources.tables import write_document_tables
 
 KEYED_ROOMS = f"r AS (SELECT *, lower(roomtype) AS low, {room_keywords_sql('roomtype')} AS room_key FROM rooms)"
 
@@ -114,10 +115,15 @@ def _doc_sql() -> str:
 def q_combined_documents(spark, sf):
     homes = homes_from_part(spark, sf, block=60)
     rows = home_rows_from_lineitem(spark, sf, block=60)
-    docs = R.combined_documents(homes, rows.where(F.col("kind") == "room"), rows.where(F.col("kind") == "review"))
+    docs, reviews = R.combined_document_tables(homes, rows.where(F.col("kind") == "room"),
+                                               rows.where(F.col("kind") == "review"))
     path = scratch_path(spark, "combined_documents")
-    docs.write.mode("overwrite").parquet(path)
-    back = spark.read.parquet(path)
-    return back.select("pass", "anchor_id", "homename",
-                       *[F.size(F.coalesce(F.col(f"rows_{s}"), F.array())).cast("bigint").alias(f"n_reviews_{s}")
-                         for s in (1, 2, 3)])
+    write_document_tables(docs, reviews, path)
+    back = spark.read.parquet(f"{path}/documents")
+    n = (spark.read.parquet(f"{path}/reviews").groupBy("pass", "anchor_id")
+         .agg(*[F.count(F.when(F.col("source") == s, F.col("id"))).cast("bigint").alias(f"n_reviews_{s}")
+                for s in (1, 2, 3)]))
+    out = back.select("pass", "anchor_id", "homename").join(n, ["pass", "anchor_id"], "left")
+    return out.select("pass", "anchor_id", "homename",
+                      *[F.coalesce(F.col(f"n_reviews_{s}"), F.lit(0)).cast("bigint").alias(f"n_reviews_{s}")
+                        for s in (1, 2, 3)])

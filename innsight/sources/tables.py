@@ -94,6 +94,15 @@ def write_documents(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def write_document_tables(docs: DataFrame, reviews: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """S6 sink at scale: ``path/documents`` (one row per property) and
+    ``path/reviews`` (keyed child rows, one folder per source, sorted by
+    property inside each file so a property's reviews sit in few row groups)."""
+    write_documents(docs, f"{path}/documents", fmt)
+    (reviews.sortWithinPartitions("pass", "anchor_id", "seq")
+     .write.mode("overwrite").partitionBy("source").format(fmt).save(f"{path}/reviews"))
+
+
 def fresh_table_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared checkpoint folder (never a machine-local temp dir)."""
     return scratch_path(spark, name)

@@ -229,3 +229,26 @@ def test_room_candidates_match_brute_force(spark):
                 if t1.lower() in t2.lower() or t2.lower() in t1.lower() or key_ok:
                     want.add((h1, i1, i2))
         assert got == want, mode
+
+
+def test_document_tables_equal_nested_documents(spark):
+    """The reviews child table holds exactly the nested arrays, in stored order."""
+    from innsight.plans.bindings import home_rows_from_lineitem, homes_from_part
+
+    sf = "/root/testdata/sf0.001"
+    homes = homes_from_part(spark, sf, block=60)
+    rows = home_rows_from_lineitem(spark, sf, block=60)
+    room, review = rows.where(F.col("kind") == "room"), rows.where(F.col("kind") == "review")
+    nested = {(r["pass"], r["anchor_id"]): r for r in R.combined_documents(homes, room, review).collect()}
+    docs, reviews = R.combined_document_tables(homes, room, review)
+    assert docs.count() == len(nested)
+    from_table = {}
+    for r in reviews.collect():
+        from_table.setdefault((r["pass"], r["anchor_id"], r["source"]), []).append((r["seq"], r["id"], r["score"]))
+    n = 0
+    for key, doc in nested.items():
+        for s in (1, 2, 3):
+            arr = [(x["_o"], x["id"], x["score"]) for x in (doc[f"rows_{s}"] or [])]
+            assert arr == sorted(from_table.get((*key, s), [])), (key, s)
+            n += len(arr)
+    assert n == reviews.count() > 0
