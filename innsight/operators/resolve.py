@@ -187,8 +187,14 @@ def resolve_passes(homes: DataFrame, sources: Sequence[int] = (1, 2, 3),
     matches = matches.join(claim, ["source", "match_id"]).withColumn(
         "owned", (F.col("_c.pass") == F.col("pass")) & (F.col("_c.anchor_seq") == F.col("anchor_seq"))).drop("_c")
     matches = matches.select("pass", "anchor_source", "anchor_id", "anchor_seq", "source", "match_id", "match_name", "owned")
-    # both are read by the assembled row, the details and the documents: keep them
-    return anchors.persist(StorageLevel.MEMORY_AND_DISK), matches.persist(StorageLevel.MEMORY_AND_DISK)
+    # both are read by the assembled row, the details and the documents. A
+    # reliable checkpoint in the shared folder cuts the lineage: later plans
+    # start from two small scans instead of re-embedding every pass (the plan
+    # text grows with each pass), and a lost executor does not replay passes.
+    anchors, matches = anchors.checkpoint(eager=True), matches.checkpoint(eager=True)
+    for d in (w1, m_all, *pass_anchors, *pass_matches):
+        d.unpersist()
+    return anchors, matches
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
