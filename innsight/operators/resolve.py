@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innsight.functions.keys import match_needle, shorten_room_type, ROOM_KEYWORDS
+from innsight.session import ensure_checkpoint_dir
 
 HOME_ATTRS = ["url", "rating", "cheapest_price", "address", "description", "property_highlights", "images"]
 
@@ -191,6 +192,7 @@ def resolve_passes(homes: DataFrame, sources: Sequence[int] = (1, 2, 3),
     # reliable checkpoint in the shared folder cuts the lineage: later plans
     # start from two small scans instead of re-embedding every pass (the plan
     # text grows with each pass), and a lost executor does not replay passes.
+    ensure_checkpoint_dir(homes.sparkSession)
     anchors, matches = anchors.checkpoint(eager=True), matches.checkpoint(eager=True)
     for d in (w1, m_all, *pass_anchors, *pass_matches):
         d.unpersist()

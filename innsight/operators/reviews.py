@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from innsight.functions import text as T
 from innsight.functions.parse import score_normalise
+from innsight.session import ensure_checkpoint_dir
 
 # Largest parameter table that is broadcast after a counted check.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -299,6 +300,7 @@ def batch_number(df: DataFrame, order_col: str, size: int = 500, out: str = "bat
     ranked = ranged.withColumn("_rn", F.row_number().over(w_in))
     # counts and ranks must see the same range partitioning: materialise once
     # (reliable checkpoint in the shared folder, lineage cut)
+    ensure_checkpoint_dir(spark)
     ranked = ranked.checkpoint(eager=True)
     counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
