@@ -252,3 +252,31 @@ def test_document_tables_equal_nested_documents(spark):
             assert arr == sorted(from_table.get((*key, s), [])), (key, s)
             n += len(arr)
     assert n == reviews.count() > 0
+
+
+def test_hot_name_is_pre_aggregated(spark):
+    """A name held by 40% of all rows: right first row, and W1 collapses map-side."""
+    rows = [(1 + i % 3, i, 1000 - i, "hot" if i % 5 < 2 else f"n{i % 37}", f"c{i % 4}") for i in range(3000)]
+    homes = spark.createDataFrame(rows, HOME_SCHEMA).repartition(8)
+    w1 = R.first_per_name(homes)
+    want = {}
+    for src, i, seq, name, _ in rows:
+        if (src, name) not in want or seq < want[(src, name)]:
+            want[(src, name)] = seq
+    got = {(r["source"], r["homename"]): r["seq"] for r in w1.collect()}
+    assert got == want
+    plan = w1._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "Window" not in plan
+
+
+def test_document_reviews_are_not_collected(spark):
+    """S6 at scale: the reviews child table is a join, never a per-property collect."""
+    from innsight.plans.bindings import home_rows_from_lineitem, homes_from_part
+
+    sf = "/root/testdata/sf0.001"
+    rows = home_rows_from_lineitem(spark, sf, block=60)
+    docs, reviews = R.combined_document_tables(homes_from_part(spark, sf, block=60), rows.where(F.col("kind") == "room"),
+                                               rows.where(F.col("kind") == "review"))
+    plan = reviews._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan
+    assert set(reviews.columns) == {"pass", "anchor_id", "source", "seq", "id", "score"}
