@@ -280,3 +280,18 @@ def test_document_reviews_are_not_collected(spark):
     plan = reviews._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan and "collect_set" not in plan
     assert set(reviews.columns) == {"pass", "anchor_id", "source", "seq", "id", "score"}
+
+
+def test_resolved_passes_do_not_depend_on_cache(spark):
+    """The resolved anchors and matches start from a reliable checkpoint: dropping
+    every cached block (as a lost executor would) changes nothing."""
+    rnd = random.Random(7)
+    rows = [(rnd.choice([1, 2, 3]), i, rnd.randrange(50), rnd.choice(WORDS), rnd.choice(["x", "y"])) for i in range(60)]
+    homes = spark.createDataFrame(rows, HOME_SCHEMA)
+    anchors, matches = R.resolve_passes(homes)
+    before = (sorted(map(tuple, anchors.collect())), sorted(map(tuple, matches.collect())))
+    for d in (anchors, matches):
+        plan = d._jdf.queryExecution().optimizedPlan().toString()
+        assert "LogicalRDD" in plan and "InMemoryRelation" not in plan
+    spark.catalog.clearCache()
+    assert (sorted(map(tuple, anchors.collect())), sorted(map(tuple, matches.collect()))) == before
