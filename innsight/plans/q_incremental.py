@@ -143,7 +143,7 @@ def q_stream_complete_homes(spark, sf):
     src = scratch_path(spark, "review-pages")
     # arrival order: later pages first, spread over four files
     pages.repartition(4, (F.col("page") * 7 + F.col("conv_id")) % 4).write.mode("overwrite").parquet(src)
-    return ST.stream_complete_homes(spark, src, PAGE_SCHEMA, key="conv_id")
+    return ST.stream_complete_homes(spark, src, PAGE_SCHEMA, key="conv_id", max_files=1)
 
 
 def _review_pages(spark, sf):
@@ -162,7 +162,8 @@ SELECT h.conv_id, h.announced, arr.arrived FROM h JOIN arr USING (conv_id)
 WHERE h.announced IS NOT NULL AND arr.arrived = h.announced""")
 def q_stream_complete_homes_expiring(spark, sf):
     """R1 with bounded state (per-home state removed on release, expired when idle)."""
-    return ST.stream_complete_homes_expiring(spark, _review_pages(spark, sf), PAGE_SCHEMA, key="conv_id")
+    return ST.stream_complete_homes_expiring(spark, _review_pages(spark, sf), PAGE_SCHEMA, key="conv_id",
+                                             max_files=1)
 
 
 # --- R2 ----------------------------------------------------------------------------------------------
@@ -192,5 +193,5 @@ def q_stream_enrich_reviews(spark, sf):
     kwargs = dict(lexicon=F.broadcast(QT.lexicon_df(spark)), topics=QT.TEST_TOPICS, topic_labels=labels,
                   translations=d.where(F.col("lang") == "de").select("text", F.upper("text").alias("en")),
                   lemmas=QT.TEST_LEMMAS, score_col="score", already_numeric=True)
-    out = ST.stream_enrich_reviews(spark, src, REVIEW_FILE_SCHEMA, base, "doc_id", kwargs)
+    out = ST.stream_enrich_reviews(spark, src, REVIEW_FILE_SCHEMA, base, "doc_id", kwargs, max_files=1)
     return out.select("doc_id", "lang", "sentiment", "label")

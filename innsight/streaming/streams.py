@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 from innsight.operators import incremental as I
 from innsight.session import scratch_path
 
+# Files read per micro-batch: large enough that a backlog is a few big batches,
+# small enough that one batch's state update and commit stay bounded.
+MAX_FILES_PER_TRIGGER = 1000
+
 
 def _batch_sink(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -28,7 +32,7 @@ def _batch_sink(path: str):
 
 
 def stream_complete_homes(spark: SparkSession, pages_dir: str, schema: T.StructType, key: str = "home",
-                          announced: str = "announced", n: str = "n_reviews", max_files: int = 1) -> DataFrame:
+                          announced: str = "announced", n: str = "n_reviews", max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Run the release stream over the page files in ``pages_dir``; return released homes.
 
     The state is one running sum per home (bounded by the number of homes in
@@ -50,7 +54,7 @@ def stream_complete_homes(spark: SparkSession, pages_dir: str, schema: T.StructT
 
 
 def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.StructType, base: DataFrame, key: str,
-                          enrich_kwargs: dict, cols=("sentiment", "label"), max_files: int = 1) -> DataFrame:
+                          enrich_kwargs: dict, cols=("sentiment", "label"), max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """R2: enrich every new review file and upsert (key) the result into ``base``.
 
     Each micro-batch writes its enriched rows to its own folder; the upsert (S5)
@@ -72,7 +76,7 @@ def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.Struc
 
 
 def stream_complete_homes_expiring(spark: SparkSession, pages_dir: str, schema: T.StructType, key: str = "home",
-                                   announced: str = "announced", n: str = "n_reviews", max_files: int = 1,
+                                   announced: str = "announced", n: str = "n_reviews", max_files: int = MAX_FILES_PER_TRIGGER,
                                    idle_timeout_ms: int = 3_600_000) -> DataFrame:
     """R1 with bounded state: one (arrived, announced) state per home in flight.
 
