@@ -101,3 +101,56 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), "url", HOST_RULES + WORD_RULES).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@_query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict on every document."""
+    from innsight.llm.quality import clean_documents
+
+    return clean_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["doc_id"], with_text=False)
+
+
+def _word_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    from innsight.llm.bpe import encode_texts
+
+    return encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), _word_vocabulary(), "text", ["doc_id"],
+                        digests_only=True)
+
+
+def held_out():
+    """Documents of which no language is learnt."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+@_query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of them."""
+    from innsight.llm.langid import fit, predict
+
+    d = table(spark, sf_dir, "documents")
+    model = fit(d.where(~F.coalesce(held_out(), F.lit(False))), "text", "lang", F.col("doc_id"))
+    return predict(d.select("doc_id", "text"), model, "text", ["doc_id"]).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@_query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of at most 2048."""
+    from innsight.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), _byte_vocabulary(), 1, "text", ["doc_id"])
