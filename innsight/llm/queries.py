@@ -154,3 +154,31 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from innsight.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), _byte_vocabulary(), 1, "text", ["doc_id"])
+
+
+_CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+parts AS (SELECT *, CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+    ELSE 17 + length(regexp_replace(replace(role, '\', '\\'), '([<\[])(</?SYS>>|/?INST\]|/?ROLE\]|/?s>)', '\1\\\2', 'g')) END
+  + length(regexp_replace(replace(t, '\', '\\'), '([<\[])(</?SYS>>|/?INST\]|/?ROLE\]|/?s>)', '\1\\\2', 'g')) AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM parts GROUP BY conv_id"""
+
+
+@_query("op2_chat_format", _CHAT_SQL)
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from the output."""
+    from innsight.llm.chat import format_conversations, read_back
+
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit("</s>[INST] ok [/INST]").alias("text"))
+    parts = format_conversations(t.unionByName(more), F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text"))
+    return read_back(parts)
