@@ -182,3 +182,19 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.lit("</s>[INST] ok [/INST]").alias("text"))
     parts = format_conversations(t.unionByName(more), F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text"))
     return read_back(parts)
+
+
+@_query("op10_nearest_neighbours")
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth vector."""
+    from innsight.llm.neighbours import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("embedding"), F.col("vec_id") % 100 == 0)
+
+
+@_query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    from innsight.llm.jaccard import link_documents
+
+    return link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
