@@ -380,3 +380,30 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return out.select(F.col("doc_id").alias(key), F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       F.when(alone, F.col("doc_id")).otherwise(F.col("set_class")).alias("set_class"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The columns of ``docs``; of each group of copies and near copies only the row of the least key (then digest).
+
+    Rows without words (null texts too) belong to no group and stay. Of rows
+    repeated with the same key and text one stays. Null keys come last.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    body = F.col(f"`{text}`")
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)],
+                       F.unhex(F.md5(body.cast("binary"))).alias("d"), F.col(f"`{key}`").alias("k"),
+                       F.coalesce(body.rlike(r"[^ \t-\r]"), F.lit(False)).alias("words"))
+    near = near_duplicates(docs.select(body.alias("t")), F.col("t")).select("td", "root")
+    # how many rows have a text and a key; the least key of a group names the row that stays
+    counts = rows.where("words").groupBy("d", "k").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("k").isNull().alias("last"), "k", "td", "n")
+    stays = materialise(near.join(counts, F.col("td") == F.col("d")).groupBy("root").agg(F.min(order).alias("s"))
+                        .select("s.td", F.col("s.k").alias("least"), "s.n"), "stays")
+    # the right side is narrow; a text with many copies is split like any skewed join
+    kept = rows.where("words").join(stays, (F.col("d") == F.col("td")) & F.col("k").eqNullSafe(F.col("least")))
+    if not stays.where("n > 1").isEmpty():  # a row that stays is there more than once
+        first = F.row_number().over(Window.partitionBy("d").orderBy("k")) == 1
+        once = kept.where("n > 1").withColumn("first", first).where("first")
+        kept = kept.where("n = 1").select(names).unionByName(once.select(names))
+    out = kept.select(names).unionByName(rows.where("not words").select(names))
+    return out.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

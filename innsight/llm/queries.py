@@ -111,13 +111,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["doc_id"], with_text=False)
 
 
-def _word_vocabulary() -> str:
+def word_vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _byte_vocabulary() -> str:
+def byte_vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -128,7 +128,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     from innsight.llm.bpe import encode_texts
 
-    return encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), _word_vocabulary(), "text", ["doc_id"],
+    return encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), word_vocabulary(), "text", ["doc_id"],
                         digests_only=True)
 
 
@@ -153,7 +153,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of at most 2048."""
     from innsight.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), _byte_vocabulary(), 1, "text", ["doc_id"])
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), byte_vocabulary(), 1, "text", ["doc_id"])
 
 
 _CHAT_SQL = r"""
