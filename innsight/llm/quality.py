@@ -24,9 +24,10 @@ BOILERPLATE = ("accept all cookies", "all rights reserved", "cookie policy", "en
                "powered by", "privacy policy", "terms of service", "terms of use", "this site uses cookies",
                "use of cookies")
 
-#: A prose line of at least so many words must end like a sentence.
+#: A line of at least so many words must end like a sentence, or hold the end of one.
 PROSE_WORDS = 8
-#: Largest shares of a line's words that may carry symbols, stand apart as separators, shout, or be one and the same word.
+#: Largest shares of a line's words that may carry symbols, stand apart as separators, shout, or be one and the same word
+#: (or repeat the word before).
 SYMBOL_SHARE, SEPARATOR_SHARE, SHOUT_SHARE, SAME_SHARE = 0.25, 0.2, 0.7, 0.5
 #: A document must keep this share of the characters of its words.
 KEEP_SHARE = 0.5
@@ -39,7 +40,7 @@ FIELDS += [T.StructField("base_failed", T.BooleanType()), T.StructField("kept",
 def line_fails(line: str, words: list[str]) -> bool:
     """Whether a line with words breaks the punctuation, navigation or boilerplate rule."""
     n = len(words)
-    if n >= PROSE_WORDS and not words[-1].endswith(TERMINAL):
+    if n >= PROSE_WORDS and not any(w.endswith(TERMINAL) for w in reversed(words)):
         return True
     low = line.lower()
     if n <= 4 and low.strip(" \t\r\x0b\x0c.!:|»›") in NAVIGATION:
@@ -55,7 +56,10 @@ def line_fails(line: str, words: list[str]) -> bool:
         return True
     if sum(len(w) > 1 and w.isupper() for w in words) > SHOUT_SHARE * n:
         return True
-    return n >= 10 and Counter(words).most_common(1)[0][1] > SAME_SHARE * n
+    if n < 10:
+        return False
+    echoes = sum(a == b for a, b in zip(words, words[1:]))
+    return echoes > SAME_SHARE * n or Counter(words).most_common(1)[0][1] > SAME_SHARE * n
 
 
 def _marked(word: str) -> bool:

@@ -30,13 +30,13 @@ def host_rule(verdict: str, host: str, path: str) -> Rule:
     """A host with all its subdomains, and the start of a path. The longest rule wins."""
     name = host + path
     # the last run of a path prefix may go on in the url, so only runs closed by the prefix itself are whole tokens
-    closed = re.findall(TOKEN, host) + re.findall(r"[a-z0-9]+(?=[^a-z0-9])", path)
+    closed = re.findall(TOKEN, host) + re.findall(r"[a-z0-9]+(?=[^a-z0-9])", path.lower())
     return Rule(name, verdict, rf"^(?:[^ ]*\.)?{re.escape(host)} {re.escape(path)}", tuple(closed), len(name), True)
 
 
 def word_rule(word: str) -> Rule:
     """Block a whole token of the host or path."""
-    return Rule(word, "block", rf"(?:^|[^a-z0-9]){re.escape(word)}(?:$|[^a-z0-9])", (word,), len(word), False)
+    return Rule(word, "block", rf"(?i)(?:^|[^a-z0-9]){re.escape(word)}(?:$|[^a-z0-9])", (word,), len(word), False)
 
 
 # --- fixed values: the host rules of the production filter, then tokens of hosts and paths that are never training text
