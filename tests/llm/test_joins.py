@@ -106,7 +106,7 @@ def test_runs_follow_the_target():
 
 def test_one_of_each_group_stays(spark):
     rng = random.Random(9)
-    copies = near_copies(rng, 5)
+    copies = near_copies(rng, 5, 200)
     data = [(7, copies[0], "td"), (3, copies[1], "td"), (3, copies[1], "td"), (None, copies[0], "x"), (9, "alone here", None), (9, "alone here", None),
             (None, "no key", "k"), (None, None, "n"), (5, "", "e"), (5, "", "e"), (8, copies[2], "root")]
     df = spark.createDataFrame(data, "doc_id long, text string, td string")
