@@ -1,7 +1,8 @@
 """Multi-source entity resolution (DataFrame -> DataFrame).
 
 Input model: one ``homes`` frame for all sources with columns
-``source int, id bigint, seq bigint, homename string, city <any comparable>``
+``source, id, seq bigint, homename string, city <any comparable>`` (ids and
+sources of any type)
 plus attribute columns (url, rating, cheapest_price, address, description,
 property_highlights, images). ``seq`` is the stored order inside a source.
 
@@ -24,13 +25,13 @@ from __future__ import annotations
 
 from typing import Sequence
 
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from innsight.functions.keys import match_needle, shorten_room_type, ROOM_KEYWORDS
-from innsight.session import ensure_checkpoint_dir
+from innsight.functions.keys import match_needle, shorten_room_type
+from innsight.operators.components import components
+from innsight.session import ensure_checkpoint_dir, written
 
 HOME_ATTRS = ["url", "rating", "cheapest_price", "address", "description", "property_highlights", "images"]
 
@@ -39,10 +40,15 @@ HOME_ATTRS = ["url", "rating", "cheapest_price", "address", "description", "prop
 
 def first_per_name(homes: DataFrame, name: str = "homename", order: str = "seq",
                    by: Sequence[str] = ("source",)) -> DataFrame:
-    """The first stored row (lowest ``order``) of every distinct name per source."""
+    """The first stored row (lowest ``order``) of every distinct name per source.
+
+    Rows without a name are dropped (as in A1); a NULL order comes after all others.
+    """
     cols = [c for c in homes.columns]
     keys = [*by, name]
-    agg = homes.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in cols if c not in keys]), F.col(order)).alias("_r"))
+    rank = F.struct(F.col(order).isNull(), F.col(order))
+    agg = homes.where(F.col(name).isNotNull()).groupBy(*keys).agg(
+        F.min_by(F.struct(*[c for c in cols if c not in keys]), rank).alias("_r"))
     return agg.select(*keys, "_r.*").select(*cols)
 
 
@@ -82,45 +88,33 @@ def containment_match(anchors: DataFrame, candidates: DataFrame, key: Sequence[s
     anc = anchors.select(*key, *by, F.col("needle").alias("_needle")).where(F.col("_needle").isNotNull())
     for b in by:
         anc = anc.where(F.col(b).isNotNull())
+    # anchors with the same needle are matched once: the verify join sees distinct needles only
+    same = ([anchor_group] if anchor_group else []) + by + ["_needle"]
+    needles = anc.select(*same).distinct()
     nlen = F.length("_needle")
 
     def other_group(df: DataFrame) -> DataFrame:
         return df.where(F.col(anchor_group) != F.col(group)) if anchor_group else df
 
-    # which needle classes occur (one small aggregate over the anchors); a
-    # class without anchors adds no stages
-    stats = anc.agg(F.max((nlen <= 2).cast("int")).alias("short"), F.max((nlen >= 3).cast("int")).alias("long")).first()
-    parts = []
-
     # 0-2 characters: exact substring table, pre-aggregated per (city, source,
     # substring); the empty needle is the substring '' that every name has
-    if stats["short"]:
-        subs = cand.select(*by, group, best.alias("_b"), F.explode(F.concat(
-            F.array(F.lit("")), _grams(F.col("_lname"), 1), _grams(F.col("_lname"), 2))).alias("_needle"))
-        s_tab = subs.groupBy(*by, group, "_needle").agg(F.min("_b").alias("_m"))
-        a_s = anc.where(nlen <= 2)
-        parts.append(other_group(a_s.join(s_tab, [*by, "_needle"])).select(*key, group, "_m"))
+    subs = cand.select(*by, group, best.alias("_b"), F.explode(F.concat(
+        F.array(F.lit("")), _grams(F.col("_lname"), 1), _grams(F.col("_lname"), 2))).alias("_needle"))
+    s_tab = subs.groupBy(*by, group, "_needle").agg(F.min("_b").alias("_m"))
+    short = other_group(needles.where(nlen <= 2).join(s_tab, [*by, "_needle"])).select(*same, group, "_m")
 
     # 3+ characters: rarest 3-gram index join, verified by contains
-    if stats["long"]:
-        cg = cand.select(*by, group, name, cid, "_lname", F.explode(_grams(F.col("_lname"), 3)).alias("_gram"))
-        freq = cg.groupBy(*by, group, "_gram").agg(F.count(F.lit(1)).alias("_freq"))
-        a_g = anc.where(nlen >= 3).withColumn("_ng", _grams(F.col("_needle"), 3))
-        ag = a_g.select(*key, *by, "_needle", F.size("_ng").alias("_n_ng"), F.explode("_ng").alias("_gram"))
-        agf = other_group(ag.join(freq, [*by, "_gram"]))
-        rare = agf.groupBy(*key, *by, "_needle", "_n_ng", group).agg(
-            F.count(F.lit(1)).alias("_hit"), F.min(F.struct("_freq", "_gram")).alias("_r"))
-        rare = rare.where(F.col("_hit") == F.col("_n_ng")).select(*key, *by, "_needle", group, F.col("_r._gram").alias("_gram"))
-        pairs = rare.join(cg, [*by, group, "_gram"]).where(F.col("_lname").contains(F.col("_needle")))
-        parts.append(pairs.groupBy(*key, group).agg(F.min(best).alias("_m")))
-
-    if not parts:  # no anchor has a needle: typed empty result
-        from pyspark.sql import types as T
-
-        fields = [anc.schema[k] for k in key] + [candidates.schema[group], T.StructField("match_name", T.StringType()),
-                                                 T.StructField("match_id", candidates.schema[cid].dataType)]
-        return anc.sparkSession.createDataFrame([], T.StructType(fields))
-    out = _union(parts)
+    cg = cand.select(*by, group, name, cid, "_lname", F.explode(_grams(F.col("_lname"), 3)).alias("_gram"))
+    freq = cg.groupBy(*by, group, "_gram").agg(F.count(F.lit(1)).alias("_freq"))
+    ng = needles.where(nlen >= 3).withColumn("_ng", _grams(F.col("_needle"), 3))
+    ng = ng.select(*same, F.size("_ng").alias("_n_ng"), F.explode("_ng").alias("_gram"))
+    rare = other_group(ng.join(freq, [*by, "_gram"])).groupBy(*same, "_n_ng", group).agg(
+        F.count(F.lit(1)).alias("_hit"), F.min(F.struct("_freq", "_gram")).alias("_r"))
+    rare = rare.where(F.col("_hit") == F.col("_n_ng")).select(*same, group, F.col("_r._gram").alias("_gram"))
+    pairs = rare.join(cg, [*by, group, "_gram"]).where(F.col("_lname").contains(F.col("_needle")))
+    long = pairs.groupBy(*same, group).agg(F.min(best).alias("_m"))
+
+    out = anc.join(short.unionByName(long), same)
     return out.select(*key, group, F.col("_m.match_name").alias("match_name"), F.col("_m.match_id").alias("match_id"))
 
 
@@ -139,8 +133,8 @@ def best_matches(homes: DataFrame, use_inside_fallback: bool = False, w1: DataFr
     With ``use_inside_fallback`` (K3), anchors shaped 'outside (inside)' that find
     nothing with the outside part try the inside part.
     """
-    if w1 is None:  # read by both needle forms and their class checks: compute once
-        w1 = first_per_name(homes).persist(StorageLevel.MEMORY_AND_DISK)
+    if w1 is None:
+        w1 = first_per_name(homes)
     anc = anchors_of(w1)
     m = containment_match(anc, homes)
     if use_inside_fallback:
@@ -153,7 +147,7 @@ def best_matches(homes: DataFrame, use_inside_fallback: bool = False, w1: DataFr
 
 # --- O1 / O2 / W3 / J4 ---------------------------------------------------------------
 
-def resolve_passes(homes: DataFrame, sources: Sequence[int] = (1, 2, 3),
+def resolve_passes(homes: DataFrame, sources: Sequence = (1, 2, 3),
                    use_inside_fallback: bool = False) -> tuple[DataFrame, DataFrame]:
     """O1 core: anchors of every pass and their matches with the claim flag.
 
@@ -211,7 +205,7 @@ def claimed_ids(matches: DataFrame) -> DataFrame:
     return matches.select("source", F.col("match_id").alias("id")).distinct()
 
 
-def combine_three_sources(homes: DataFrame, sources: Sequence[int] = (1, 2, 3),
+def combine_three_sources(homes: DataFrame, sources: Sequence = (1, 2, 3),
                           use_inside_fallback: bool = False) -> DataFrame:
     """O1 + P16 + P17: one row per anchor of every pass.
 
@@ -225,7 +219,7 @@ def combine_three_sources(homes: DataFrame, sources: Sequence[int] = (1, 2, 3),
 
 
 def combine_from(anchors: DataFrame, matches: DataFrame, homes: DataFrame,
-                 sources: Sequence[int] = (1, 2, 3)) -> DataFrame:
+                 sources: Sequence = (1, 2, 3)) -> DataFrame:
     """Assemble the per-anchor row of :func:`combine_three_sources` from resolved passes."""
     # long form: (pass, anchor_id) x (source, id, own)
     own_rows = anchors.select("pass", "anchor_id", F.col("anchor_source").alias("source"),
@@ -289,7 +283,7 @@ def rows_of_home(details: DataFrame, rows: DataFrame) -> DataFrame:
     return details.join(rows, ["source", "homename"])
 
 
-def nest_by_source(rows: DataFrame, key: Sequence[str], sources: Sequence[int] = (1, 2, 3),
+def nest_by_source(rows: DataFrame, key: Sequence[str], sources: Sequence = (1, 2, 3),
                    payload: Sequence[str] = ("review_id",), order: str = "seq") -> DataFrame:
     """A3: per key, one array per source of the rows' payload, in stored order.
 
@@ -301,7 +295,7 @@ def nest_by_source(rows: DataFrame, key: Sequence[str], sources: Sequence[int] =
     return rows.groupBy(*key).agg(*aggs)
 
 
-def count_by_source(rows: DataFrame, key: Sequence[str], sources: Sequence[int] = (1, 2, 3),
+def count_by_source(rows: DataFrame, key: Sequence[str], sources: Sequence = (1, 2, 3),
                     value: str | None = None) -> DataFrame:
     """A3 summary: per key and source the row count (and sum of ``value``)."""
     aggs = []
@@ -319,191 +313,213 @@ def with_room_key(rooms: DataFrame, keywords=None, col: str = "roomtype", out: s
     return rooms.withColumn(out, shorten_room_type(F.col(col), keywords))
 
 
+MATCH_MODES = ("reference", "merge_equal")
+
+
+def _check_mode(mode: str) -> None:
+    if mode not in MATCH_MODES:
+        raise ValueError(f"mode must be one of {MATCH_MODES}, not {mode!r}")
+
+
+def _contained(strings: DataFrame, by: str, col: str) -> DataFrame:
+    """(by, x, y): distinct strings x, y of one ``by`` value where y contains x, x <> y.
+
+    A string of 3+ characters joins the strings that hold its rarest 3-gram
+    (verified by ``contains``), a shorter one the strings that hold it among
+    their 0-2 character substrings: a few rows per string, no theta join.
+    """
+    d = strings.select(F.col(by).alias("_h"), F.col(col).alias("_s")).where(F.col("_s").isNotNull()).distinct()
+    grams = d.select("_h", F.col("_s").alias("_y"), F.explode(_grams(F.col("_s"), 3)).alias("_g"))
+    freq = grams.groupBy("_h", "_g").agg(F.count(F.lit(1)).alias("_f"))
+    own = d.where(F.length("_s") >= 3).select("_h", F.col("_s").alias("_x"), F.explode(_grams(F.col("_s"), 3)).alias("_g"))
+    rare = own.join(freq, ["_h", "_g"]).groupBy("_h", "_x").agg(F.min(F.struct("_f", "_g")).alias("_r"))
+    long = rare.select("_h", "_x", F.col("_r._g").alias("_g")).join(grams, ["_h", "_g"]).where(F.col("_y").contains(F.col("_x")))
+    parts = d.select("_h", F.col("_s").alias("_y"), F.explode(F.concat(
+        F.array(F.lit("")), _grams(F.col("_s"), 1), _grams(F.col("_s"), 2))).alias("_x"))
+    short = d.where(F.length("_s") <= 2).select("_h", F.col("_s").alias("_x")).join(parts, ["_h", "_x"])
+    both = long.select("_h", "_x", "_y").unionByName(short.select("_h", "_x", "_y")).where("_x <> _y")
+    return both.select(F.col("_h").alias(by), F.col("_x").alias("x"), F.col("_y").alias("y"))
+
+
+def type_candidates(rooms: DataFrame, home: str = "home", keywords=None, mode: str = "reference") -> DataFrame:
+    """J5 over distinct types: (home, a_source, a_type, b_source, b_type), a before b by source.
+
+    Two types of one home in different sources match if one's lower-cased text
+    contains the other's, or their K4 keys are equal (with ``merge_equal``
+    empty keys do not match). Rooms without a type match nothing.
+    """
+    _check_mode(mode)
+    t = with_room_key(rooms.where(F.col("roomtype").isNotNull()), keywords).select(
+        F.col(home).alias("_home"), "source", F.col("roomtype").alias("type"), F.lower("roomtype").alias("low"), "room_key").distinct()
+
+    def side(p: str) -> DataFrame:
+        return t.select("_home", F.col("source").alias(f"{p}_source"), F.col("type").alias(f"{p}_type"),
+                        F.col("low").alias(f"{p}_low"), F.col("room_key").alias(f"{p}_key"))
+
+    a, b = side("a"), side("b")
+    cols = ["_home", "a_source", "a_type", "b_source", "b_type"]
+    keyed = a.join(b.withColumnRenamed("b_key", "a_key"), ["_home", "a_key"])
+    if mode == "merge_equal":
+        keyed = keyed.where("a_key <> ''")
+    same = a.join(b.withColumnRenamed("b_low", "a_low"), ["_home", "a_low"])
+    inside = _contained(t, "_home", "low")
+    inside = inside.unionByName(inside.select("_home", F.col("x").alias("y"), F.col("y").alias("x")))
+    held = inside.withColumnsRenamed({"x": "a_low", "y": "b_low"}).join(a, ["_home", "a_low"]).join(b, ["_home", "b_low"])
+    pairs = keyed.select(cols).unionByName(same.select(cols)).unionByName(held.select(cols))
+    return pairs.where("a_source < b_source").distinct().withColumnRenamed("_home", home)
+
+
 def room_candidates(rooms: DataFrame, home: str = "home", keywords=None, mode: str = "reference") -> DataFrame:
     """Pairs of rooms of one home in different sources (a < b by source) that may merge.
 
-    Match: lower(a) contains lower(b), or the reverse, or equal K4 keys (in
-    ``mode='merge_equal'`` empty keys do not match). Built as the union of an
-    equi-join on (home, key) and a containment join over the distinct lower
-    types of the home: a type of 3+ characters joins the types holding its
-    rarest 3-gram (verified by ``contains``), a shorter type joins the types
-    holding it among their 0-2 character substrings. O(length) rows per type,
-    no theta join over the home.
+    The matching is :func:`type_candidates`; its pairs of types are then joined
+    to the rooms that carry them, so the output has one row per pair of rooms.
     """
-    r = with_room_key(rooms).select(home, "source", "id", "roomtype", "room_key", F.lower("roomtype").alias("_low"))
-    a = r.select(*[F.col(c).alias(f"a_{c}") for c in r.columns])
-    b = r.select(*[F.col(c).alias(f"b_{c}") for c in r.columns])
-    keq = a.join(b, (F.col(f"a_{home}") == F.col(f"b_{home}")) & (F.col("a_room_key") == F.col("b_room_key")))
-    if mode == "merge_equal":
-        keq = keq.where(F.col("a_room_key") != "")
-
-    # containment over distinct (home, source, type): needle x inside haystack y
-    types = r.select(F.col(home).alias("_h"), F.col("source").alias("_s"), "_low").distinct()
-    hay_g = types.select("_h", F.col("_s").alias("_ys"), F.col("_low").alias("_y"),
-                         F.explode(_grams(F.col("_low"), 3)).alias("_g"))
-    freq = hay_g.groupBy("_h", "_g").agg(F.count(F.lit(1)).alias("_f"))
-    x_long = types.where(F.length("_low") >= 3).select("_h", F.col("_s").alias("_xs"), F.col("_low").alias("_x"))
-    xg = x_long.select("_h", "_xs", "_x", F.explode(_grams(F.col("_x"), 3)).alias("_g"))
-    rare = xg.join(freq, ["_h", "_g"]).groupBy("_h", "_xs", "_x").agg(F.min(F.struct("_f", "_g")).alias("_r"))
-    rare = rare.select("_h", "_xs", "_x", F.col("_r._g").alias("_g"))
-    long_pairs = rare.join(hay_g, ["_h", "_g"]).where((F.col("_xs") != F.col("_ys")) & F.col("_y").contains(F.col("_x")))
-    hay_s = types.select("_h", F.col("_s").alias("_ys"), F.col("_low").alias("_y"), F.explode(F.concat(
-        F.array(F.lit("")), _grams(F.col("_low"), 1), _grams(F.col("_low"), 2))).alias("_x"))
-    x_short = types.where(F.length("_low") <= 2).select("_h", F.col("_s").alias("_xs"), F.col("_low").alias("_x"))
-    short_pairs = x_short.join(hay_s, ["_h", "_x"]).where(F.col("_xs") != F.col("_ys"))
-    tpairs = long_pairs.select("_h", "_xs", "_x", "_ys", "_y").unionByName(short_pairs.select("_h", "_xs", "_x", "_ys", "_y"))
-    rx = r.select(F.col(home).alias("_h"), F.col("source").alias("_xs"), F.col("_low").alias("_x"), F.col("id").alias("_i1"))
-    ry = r.select(F.col(home).alias("_h"), F.col("source").alias("_ys"), F.col("_low").alias("_y"), F.col("id").alias("_i2"))
-    cont = tpairs.join(rx, ["_h", "_xs", "_x"]).join(ry, ["_h", "_ys", "_y"])
-    pairs = cont.select(F.col("_h").alias("_home"), F.col("_xs").alias("_s1"), "_i1", F.col("_ys").alias("_s2"), "_i2")
-    # orient pairs so the lower source is "a"
-    oriented = pairs.select(
-        "_home",
-        F.when(F.col("_s1") < F.col("_s2"), F.col("_s1")).otherwise(F.col("_s2")).alias("a_source"),
-        F.when(F.col("_s1") < F.col("_s2"), F.col("_i1")).otherwise(F.col("_i2")).alias("a_id"),
-        F.when(F.col("_s1") < F.col("_s2"), F.col("_s2")).otherwise(F.col("_s1")).alias("b_source"),
-        F.when(F.col("_s1") < F.col("_s2"), F.col("_i2")).otherwise(F.col("_i1")).alias("b_id"))
-    keyed = keq.where(F.col("a_source") < F.col("b_source")).select(
-        F.col(f"a_{home}").alias("_home"), "a_source", "a_id", "b_source", "b_id")
-    return oriented.unionByName(keyed).distinct().withColumnRenamed("_home", home)
+    p = type_candidates(rooms, home, keywords, mode)
+
+    def side(s: str) -> DataFrame:
+        return rooms.select(F.col(home), F.col("source").alias(f"{s}_source"), F.col("roomtype").alias(f"{s}_type"), F.col("id").alias(f"{s}_id"))
+
+    out = p.join(side("a"), [home, "a_source", "a_type"]).join(side("b"), [home, "b_source", "b_type"])
+    return out.select(home, "a_source", "a_id", "b_source", "b_id").distinct()
 
 
 # --- A9 / A10 ----------------------------------------------------------------------------
 
 AVAILABLES_TYPE = "array<struct<occupancy:int,price:string>>"
-GREEDY_SCHEMA = ("home string, room_ord int, roomtype string, anchor_source int, "
-                 "id_1 bigint, id_2 bigint, id_3 bigint, facilities array<string>, photos array<string>, "
-                 f"availables_1 {AVAILABLES_TYPE}, availables_2 {AVAILABLES_TYPE}, availables_3 {AVAILABLES_TYPE}")
 
 
-def _greedy_fold(rooms: dict, sources: Sequence[int], mode: str) -> list[dict]:
-    """The ordered one-pass assignment of one home.
+def _type_groups(types: DataFrame, mode: str) -> DataFrame:
+    """(home, roomtype, grp): types of a home that matches join, directly or over other types.
 
-    rooms: source -> list of (id, roomtype, lower type, key, facilities, photos, availables) in stored order.
+    types: home, roomtype, low, room_key. Equal keys and equal lower-cased
+    texts are linked to their least type (a star, not all pairs).
     """
-    added: set[str] = set()
-    out = []
-    for s in sources:
-        for rid, rt, low, key, fac, photos, avail in rooms.get(s, ()):
-            if rt in added:
-                continue
-            added.add(rt)
-            rec = {"roomtype": rt, "anchor_source": s, "facilities": list(fac) if fac is not None else [],
-                   "photos": list(photos) if photos is not None else []}
-            for t in sources:
-                rec[f"id_{t}"] = rid if t == s else None
-                rec[f"av_{t}"] = avail if t == s else None
-            for o in sources:
-                if o == s:
-                    continue
-                for oid, ort, olow, okey, ofac, ophotos, oavail in rooms.get(o, ()):
-                    if ort in added:
-                        continue
-                    if mode == "merge_equal":
-                        ok = olow in low or low in olow or (okey == key and key != "")
-                    else:
-                        ok = olow in low or low in olow or okey == key
-                    if not ok:
-                        continue
-                    rec[f"id_{o}"] = oid
-                    rec[f"av_{o}"] = oavail
-                    if o == sources[0]:
-                        rec["photos"] = list(ophotos) if ophotos is not None else []
-                    ofl = list(ofac) if ofac is not None else []
-                    if len(ofl) > len(rec["facilities"]):
-                        rec["facilities"] = ofl
-                    added.add(ort)
-                    break
-            out.append(rec)
-    return out
+    node = F.concat(F.length("home").cast("string"), F.lit(":"), F.col("home"), F.col("roomtype"))
+    t = types.select("home", "roomtype", "low", "room_key", node.alias("node")).distinct()
+
+    def star(key: str) -> DataFrame:
+        least = t.groupBy("home", key).agg(F.min("node").alias("b"))
+        return t.join(least, ["home", key]).select("home", key, F.col("node").alias("a"), "b")
+
+    keyed = star("room_key")
+    if mode == "merge_equal":
+        keyed = keyed.where("room_key <> ''")
+    least = t.groupBy("home", "low").agg(F.min("node").alias("n"))
+    inside = (_contained(t, "home", "low").join(least.withColumnsRenamed({"low": "x", "n": "a"}), ["home", "x"])
+              .join(least.withColumnsRenamed({"low": "y", "n": "b"}), ["home", "y"]))
+    links = keyed.select("a", "b").unionByName(star("low").select("a", "b")).unionByName(inside.select("a", "b"))
+    roots = components(links)
+    return t.join(roots, "node", "left").select("home", "roomtype", F.coalesce("root", "node").alias("grp"))
 
 
-_GREEDY_COLS = ["home", "room_ord", "roomtype", "anchor_source", "id_1", "id_2", "id_3", "facilities", "photos",
-                "availables_1", "availables_2", "availables_3"]
-
-
-def _plain(av):
-    """Arrow array<struct> cell -> list of dicts (None stays None)."""
-    if av is None:
-        return None
-    return [dict(x) for x in av]
-
-
-def _fold_frame(pdf: pd.DataFrame, sources: Sequence[int], mode: str) -> pd.DataFrame:
-    """Fold every home of a frame sorted by (home, source, seq)."""
-    homes = pdf["home"].to_numpy()
-    cols = [pdf[c].tolist() for c in ("source", "id", "roomtype", "_low", "room_key", "facilities", "photos", "availables")]
-    src, ids, rts, lows, keys, facs, phs, avs = cols
-    rows = []
-    n = len(homes)
-    start = 0
-    while start < n:
-        end = start + 1
-        while end < n and homes[end] == homes[start]:
-            end += 1
-        per_src: dict = {}
-        for i in range(start, end):
-            per_src.setdefault(src[i], []).append((ids[i], rts[i], lows[i], keys[i], facs[i], phs[i], _plain(avs[i])))
-        for k, rec in enumerate(_greedy_fold(per_src, sources, mode)):
-            rows.append((homes[start], k, rec["roomtype"], rec["anchor_source"], rec.get(f"id_{sources[0]}"),
-                         rec.get(f"id_{sources[1]}"), rec.get(f"id_{sources[2]}"), rec["facilities"], rec["photos"],
-                         rec.get(f"av_{sources[0]}"), rec.get(f"av_{sources[1]}"), rec.get(f"av_{sources[2]}")))
-        start = end
-    res = pd.DataFrame(rows, columns=_GREEDY_COLS)
-    for c in ("id_1", "id_2", "id_3"):
-        res[c] = res[c].astype("Int64")
-    return res
-
-
-def greedy_room_match(rooms: DataFrame, home: str = "home", sources: Sequence[int] = (1, 2, 3),
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _assign(items: Column, n_sources: int, mode: str, item_type: str) -> Column:
+    """The ordered rule over the sorted items of one group: array of (anchor, picks).
+
+    A left fold over the items carries the strings taken so far. An item whose
+    string is free opens a room; an inner fold over the source ranks adds the
+    first free, matching item of every other source.
+    """
+    out_type = f"array<struct<anchor:{item_type},picks:array<{item_type}>>>"
+    strings, picks = F.array().cast("array<string>"), F.array().cast(f"array<{item_type}>")
+    ranks = F.array(*[F.lit(i) for i in range(n_sources)])
+
+    def fits(x: Column, y: Column) -> Column:
+        same_key = x["room_key"] == y["room_key"]
+        if mode == "merge_equal":
+            same_key = same_key & (x["room_key"] != "")
+        return x["low"].contains(y["low"]) | y["low"].contains(x["low"]) | same_key
+
+    def opened(acc: Column, x: Column) -> Column:
+        start = F.struct(F.array_append(acc["taken"], x["roomtype"]).alias("taken"), picks.alias("picks"))
+
+        def pick(st: Column, rank: Column) -> Column:
+            # equal strings stay apart in the reference mode; else they are blocked only by earlier rooms
+            blocked = acc["taken"] if mode == "merge_equal" else st["taken"]
+            free = F.filter(items, lambda y: (y["rank"] == rank) & (rank != x["rank"])
+                            & ~F.array_contains(blocked, y["roomtype"]) & fits(x, y))
+            return _let(free, lambda c: F.when(F.size(c) > 0, F.struct(
+                F.array_append(st["taken"], c[0]["roomtype"]).alias("taken"),
+                F.array_append(st["picks"], c[0]).alias("picks"))).otherwise(st))
+
+        return _let(F.aggregate(ranks, start, pick), lambda st: F.struct(
+            st["taken"].alias("taken"),
+            F.array_append(acc["out"], F.struct(x.alias("anchor"), st["picks"].alias("picks"))).alias("out")))
+
+    init = F.struct(strings.alias("taken"), F.array().cast(out_type).alias("out"))
+    step = lambda acc, x: F.when(F.array_contains(acc["taken"], x["roomtype"]), acc).otherwise(opened(acc, x))
+    return F.aggregate(items, init, step)["out"]
+
+
+def matched_rooms(rooms: DataFrame, home: str = "home", sources: Sequence = (1, 2, 3), keywords=None,
+                  mode: str = "reference") -> DataFrame:
+    """A9 (+A10) without numbering: home, anchor_rank, anchor_seq, roomtype, anchor_source, id_<s>, facilities, photos, availables_<s>.
+
+    See :func:`greedy_room_match`; ``anchor_rank`` (place of the source) and
+    ``anchor_seq`` order the rooms of a home.
+    """
+    _check_mode(mode)
+    sources = list(sources)
+    rank = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source").cast(rooms.schema["source"].dataType)) - 1
+    avail = (F.col("availables") if "availables" in rooms.columns else F.lit(None)).cast(AVAILABLES_TYPE)
+    empty = F.array().cast("array<string>")
+    r = with_room_key(rooms.where(F.col("roomtype").isNotNull()), keywords).select(
+        F.col(home).cast("string").alias("home"), rank.cast("int").alias("rank"), F.col("seq").cast("long").alias("seq"), "id",
+        "roomtype", F.lower("roomtype").alias("low"), "room_key", F.coalesce("facilities", empty).alias("facilities"),
+        F.coalesce("photos", empty).alias("photos"), avail.alias("availables")).where("rank >= 0 and home is not null")
+    # only the first room of a string in a source can ever be taken: a partial
+    # aggregate bounds a home by its distinct types, not by its rooms
+    fields = ["rank", "seq", "id", "roomtype", "low", "room_key", "facilities", "photos", "availables"]
+    first = r.groupBy("home", "rank", "roomtype").agg(
+        F.min_by(F.struct(*fields), F.struct(F.col("seq").isNull(), F.col("seq"))).alias("item"))
+    first = written(first.select("home", "roomtype", "item"), "room-types")
+    # rooms act on each other only inside a group of matching types, so a home is folded group by group
+    groups = _type_groups(first.select("home", "roomtype", "item.low", "item.room_key"), mode)
+    items = first.join(groups, ["home", "roomtype"]).groupBy("home", "grp").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    item_type = first.schema["item"].dataType.simpleString()
+    rec = items.select("home", F.explode(_assign(F.col("items"), len(sources), mode, item_type)).alias("m"))
+    a, picks = F.col("m.anchor"), F.col("m.picks")
+    lead = F.filter(picks, lambda p: p["rank"] == 0)
+    out = rec.select(
+        "home", a["rank"].alias("anchor_rank"), a["seq"].alias("anchor_seq"), a["roomtype"].alias("roomtype"),
+        F.element_at(F.array(*[F.lit(s) for s in sources]), a["rank"] + 1).alias("anchor_source"),
+        F.aggregate(picks, a["facilities"], lambda f, p: F.when(F.size(p["facilities"]) > F.size(f), p["facilities"]).otherwise(f)).alias("facilities"),
+        F.when(F.size(lead) > 0, F.get(lead, 0)["photos"]).otherwise(a["photos"]).alias("photos"),
+        F.concat(F.array(a), picks).alias("all"))
+
+    def of(rank: int, field: str) -> Column:
+        return F.get(F.filter("all", lambda p: p["rank"] == rank), 0)[field]
+
+    return out.select(*[c for c in out.columns if c != "all"], *[of(i, "id").alias(f"id_{s}") for i, s in enumerate(sources)],
+                      *[of(i, "availables").alias(f"availables_{s}") for i, s in enumerate(sources)])
+
+
+def greedy_room_match(rooms: DataFrame, home: str = "home", sources: Sequence = (1, 2, 3),
                       keywords=None, mode: str = "reference") -> DataFrame:
     """A9 (+A10): rooms of one home matched across sources by the ordered greedy rule.
 
-    rooms: home, source, id, seq, roomtype, facilities, photos. The rule is an
-    ordered fold (each step depends on the set of types taken so far), so each
-    home is folded in one task: rows are hash-partitioned by home and sorted by
-    (home, source, seq); ``mapInPandas`` walks each partition's Arrow batches and
-    folds one home after the other (a home cut by a batch edge is carried to the
-    next batch). K4 keys are computed JVM-side before the fold. Rooms without a
-    type are dropped; NULL facilities count as []. ``mode='merge_equal'`` lets
-    equal types merge and keeps empty keys apart (equal strings are still taken once).
+    rooms: home, source, id, seq, roomtype, facilities, photos (ids and sources
+    of any type; rows of sources not listed are left out). Sources are taken in
+    the given order and rooms by ``seq``. A room whose type string was taken is
+    skipped; else it opens a matched room and takes from every other source the
+    first room whose string is free and which matches it (J5). Rooms without a
+    type are dropped; NULL facilities count as []. With ``mode='merge_equal'``
+    equal strings of different sources merge and empty keys do not match.
+
+    Plan: types that cannot meet, directly or over other types, are apart
+    (connected groups of J5); each group is one row whose sorted items are
+    folded by a built-in aggregate expression, so a home's work is spread over its groups and no Python runs.
     """
-    if len(sources) != 3:
-        raise ValueError("the output schema carries three sources")
-    r = with_room_key(rooms.where(F.col("roomtype").isNotNull()), keywords)
-    avail = (F.col("availables") if "availables" in rooms.columns else F.lit(None)).cast(AVAILABLES_TYPE)
-    r = r.select(F.col(home).cast("string").alias("home"), F.col("source").cast("int").alias("source"),
-                 F.col("id").cast("long").alias("id"), F.col("seq").cast("long").alias("seq"), "roomtype",
-                 F.lower("roomtype").alias("_low"), "room_key", "facilities", "photos", avail.alias("availables"))
-    # Only the first room of a type string in a source can ever be taken (the
-    # taken set holds strings, and an equal later room is always skipped), so
-    # keep that one room per (home, source, type): a partial aggregate that
-    # bounds the fold of a home by its distinct types, not by its rooms.
-    first = r.groupBy("home", "source", "roomtype").agg(
-        F.min_by(F.struct("id", "seq", "_low", "room_key", "facilities", "photos", "availables"), F.col("seq")).alias("_r"))
-    r = first.select("home", "source", "_r.id", "_r.seq", "roomtype", "_r._low", "_r.room_key", "_r.facilities",
-                     "_r.photos", "_r.availables")
-    r = r.repartition("home").sortWithinPartitions("home", "source", "seq")
-    srcs = list(sources)
-
-    def fold_partition(batches):
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-                carry = None
-            if pdf.empty:
-                continue
-            last = pdf["home"].iloc[-1]
-            tail = (pdf["home"] == last).to_numpy()
-            carry = pdf[tail].reset_index(drop=True)
-            done = pdf[~tail]
-            if len(done):
-                yield _fold_frame(done, srcs, mode)
-        if carry is not None and len(carry):
-            yield _fold_frame(carry, srcs, mode)
-
-    return r.mapInPandas(fold_partition, GREEDY_SCHEMA)
+    m = matched_rooms(rooms, home, sources, keywords, mode)
+    order = Window.partitionBy("home").orderBy("anchor_rank", "anchor_seq", "roomtype")
+    ids, avs = [f"id_{s}" for s in sources], [f"availables_{s}" for s in sources]
+    return m.withColumn("room_ord", F.row_number().over(order) - 1).select(
+        "home", "room_ord", "roomtype", "anchor_source", *ids, "facilities", "photos", *avs)
 
 
 def longest_facilities(rooms: DataFrame, key: Sequence[str], order: Sequence[str] = ("source", "seq"),
@@ -517,7 +533,7 @@ def longest_facilities(rooms: DataFrame, key: Sequence[str], order: Sequence[str
 # --- S6 ----------------------------------------------------------------------------------------
 
 def combined_document_tables(homes: DataFrame, rooms: DataFrame, reviews: DataFrame,
-                             sources: Sequence[int] = (1, 2, 3), use_inside_fallback: bool = False,
+                             sources: Sequence = (1, 2, 3), use_inside_fallback: bool = False,
                              review_payload: Sequence[str] = ("id", "score")) -> tuple[DataFrame, DataFrame]:
     """S6 as two tables: (documents, reviews).
 
@@ -533,12 +549,11 @@ def combined_document_tables(homes: DataFrame, rooms: DataFrame, reviews: DataFr
     det = details_of(anchors, matches, homes)
     hkey = F.concat_ws("/", F.col("pass").cast("string"), F.col("anchor_id").cast("string"))
     rj = rows_of_home(det, rooms).withColumn("home", hkey)
-    rm = greedy_room_match(rj, home="home", sources=sources)
-    extra = [f"availables_{t}" for t in (1, 2, 3) if f"availables_{t}" in rm.columns]
-    # a fold emits at most one room per distinct type of the property: bounded
+    rm = matched_rooms(rj, home="home", sources=sources)
+    # at most one room per distinct type of the property: bounded
     rooms_n = rm.groupBy("home").agg(F.array_sort(F.collect_list(F.struct(
-        "room_ord", "roomtype", "anchor_source", *[f"id_{s}" for s in sources], "facilities", "photos",
-        *extra))).alias("rooms"))
+        "anchor_rank", "anchor_seq", "roomtype", "anchor_source", *[f"id_{s}" for s in sources], "facilities", "photos",
+        *[f"availables_{s}" for s in sources]))).alias("rooms"))
     doc = flat.withColumn("home", hkey).join(rooms_n, "home", "left").drop("home")
     empty_rooms = F.array().cast(rooms_n.schema["rooms"].dataType)
     doc = doc.withColumn("rooms", F.coalesce("rooms", empty_rooms))
@@ -548,7 +563,7 @@ def combined_document_tables(homes: DataFrame, rooms: DataFrame, reviews: DataFr
 
 
 def combined_documents(homes: DataFrame, rooms: DataFrame, reviews: DataFrame,
-                       sources: Sequence[int] = (1, 2, 3), use_inside_fallback: bool = False,
+                       sources: Sequence = (1, 2, 3), use_inside_fallback: bool = False,
                        review_payload: Sequence[str] = ("id", "score")) -> DataFrame:
     """S6 fully nested: the documents with the reviews as one array per source.
 

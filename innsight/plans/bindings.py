@@ -8,7 +8,7 @@ homes   <- part: id = seq = p_partkey, source = brand number mod 3 + 1,
            'old ring', so containment has real cases).
 rooms   <- part: home = p_partkey div 24 (bounded rooms per home at every scale),
            source = p_partkey mod 3 + 1, roomtype = p_name + a room word.
-reviews <- lineitem joined to part: the review belongs to the part's (source, name).
+rooms and reviews of named homes <- lineitem joined to part: the row belongs to the part's (source, name).
 """
 
 from __future__ import annotations
@@ -23,6 +23,24 @@ def _brand_no(c):
     return F.substring(c, 7, 10).cast("int")
 
 
+#: Source names of the named binding (ids are then strings too, as in the declared schemas).
+SOURCE_NAMES = ("alpha", "beta", "gamma")
+
+
+def with_named_sources(df: DataFrame) -> DataFrame:
+    """Sources 1, 2, 3 by name and ids as strings, as the declared entity schemas have them."""
+    names = F.array(*[F.lit(s) for s in SOURCE_NAMES])
+    return df.withColumn("source", F.element_at(names, F.col("source").cast("int"))).withColumn(
+        "id", F.concat(F.lit("x"), F.col("id").cast("string")))
+
+
+def named_cte(name: str, cte: str) -> str:
+    """The same over a CTE called ``name``: it becomes ``<name>0``, with the named form under its name."""
+    names = "[" + ", ".join(f"'{s}'" for s in SOURCE_NAMES) + "]"
+    return (cte.replace(f"{name} AS (", f"{name}0 AS (", 1)
+            + f",\n{name} AS (SELECT * REPLACE ({names}[source] AS source, 'x' || CAST(id AS VARCHAR) AS id) FROM {name}0)")
+
+
 def homes_from_part(spark: SparkSession, sf_dir: str, block: int | None = None) -> DataFrame:
     """Homes; with ``block`` the name gets the block number p_partkey div block
     appended, so names (and rooms/reviews per name) stay bounded as data grows."""
@@ -91,38 +109,22 @@ def rooms_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _words_sql() -> str:
+    return "[" + ", ".join("'" + w + "'" for w in ROOM_WORDS) + "]"
+
+
 def rooms_cte() -> str:
-    words = "[" + ", ".join("'" + w + "'" for w in ROOM_WORDS) + "]"
     return f"""rooms AS (
   SELECT 'H' || CAST(p_partkey // 24 AS VARCHAR) AS home, CAST(p_partkey % 3 + 1 AS INTEGER) AS source,
          p_partkey AS id, p_partkey AS seq,
-         p_name || ' ' || {words}[p_size % {len(ROOM_WORDS)} + 1] AS roomtype,
+         p_name || ' ' || {_words_sql()}[p_size % {len(ROOM_WORDS)} + 1] AS roomtype,
          CASE WHEN p_size % 5 = 0 THEN NULL
-              ELSE [p_type, p_brand, string_split(p_name, ' ')[1]][1:(p_size % 3 + 1)] END AS facilities
+              ELSE [p_type, p_brand, string_split(p_name, ' ')[1]][1:(p_size % 3 + 1)] END AS facilities,
+         CASE WHEN p_partkey % 3 = 0 THEN ['photo/' || CAST(p_partkey AS VARCHAR)] END AS photos,
+         CAST(p_size % 4 + 1 AS VARCHAR) || ':' || CAST(p_partkey * 50000 + 300000 AS VARCHAR) AS availables
   FROM part)"""
 
 
-# --- reviews from lineitem ------------------------------------------------------------------
-
-def reviews_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    p = read_table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name", (_brand_no(F.col("p_brand")) % 3 + 1).alias("source"))
-    j = li.join(p, li["l_partkey"] == p["p_partkey"])
-    return j.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("review_id"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
-        "source", F.col("p_name").alias("homename"),
-        F.col("l_quantity").alias("score"), F.col("l_returnflag").alias("flag"))
-
-
-REVIEWS_LI_CTE = """reviews AS (
-  SELECT l_orderkey * 10 + l_linenumber AS review_id, l_orderkey * 10 + l_linenumber AS seq,
-         CAST(substr(p_brand, 7) AS INTEGER) % 3 + 1 AS source, p_name AS homename,
-         l_quantity AS score, l_returnflag AS flag
-  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
-
-
 # --- rooms and reviews of named homes (bounded per home: lineitem rows of one part) -----------
 
 def home_rows_from_lineitem(spark: SparkSession, sf_dir: str, block: int | None = None) -> DataFrame:
@@ -146,7 +148,7 @@ def home_rows_from_lineitem(spark: SparkSession, sf_dir: str, block: int | None
          .otherwise(F.array(F.col("l_returnflag"), F.col("l_linestatus"))).alias("facilities"),
         F.lit(None).cast("array<string>").alias("photos"),
         F.array(F.struct((F.col("l_orderkey") % 4 + 1).cast("int").alias("occupancy"),
-                         F.format_number(F.col("l_extendedprice"), 0).alias("price"))).alias("availables"))
+                         F.round("l_extendedprice").cast("bigint").cast("string").alias("price"))).alias("availables"))
 
 
 def home_rows_cte(block: int | None = None) -> str:
@@ -154,5 +156,9 @@ def home_rows_cte(block: int | None = None) -> str:
     return f"""hrows AS (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey * 10 + l_linenumber AS seq,
          CAST(substr(p_brand, 7) AS INTEGER) % 3 + 1 AS source, {name} AS homename,
-         CASE WHEN l_linenumber <= 2 THEN 'room' ELSE 'review' END AS kind, l_quantity AS score
+         CASE WHEN l_linenumber <= 2 THEN 'room' ELSE 'review' END AS kind, l_quantity AS score,
+         {_words_sql()}[l_orderkey % {len(ROOM_WORDS)} + 1] || ' ' || l_returnflag AS roomtype,
+         CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE [l_returnflag, l_linestatus] END AS facilities,
+         NULL::VARCHAR[] AS photos,
+         CAST(l_orderkey % 4 + 1 AS VARCHAR) || ':' || CAST(CAST(round(l_extendedprice) AS BIGINT) AS VARCHAR) AS availables
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from innsight.functions import keys as K
@@ -154,33 +156,41 @@ def q_claimed_ids(spark, sf):
 
 # --- O1 (flagship) ------------------------------------------------------------------------------
 
-def _combine_sql(homes_cte: str = HOMES_CTE, tail: str | None = None) -> str:
+def combine_ctes(homes_cte: str = HOMES_CTE, names: tuple = (1, 2, 3)) -> tuple[str, list[str]]:
+    """(final SELECT, CTEs before it) of the assembled row; ``names`` are the three sources."""
     attrs = ["url", "rating", "cheapest_price", "address", "description", "property_highlights", "images"]
+    lit = [f"'{s}'" if isinstance(s, str) else str(s) for s in names]
     wide_cols = []
-    for s in (1, 2, 3):
-        wide_cols.append(f"max(CASE WHEN l.source = {s} THEN hid END) AS id_{s}")
-        wide_cols.append(f"bool_or(CASE WHEN l.source = {s} THEN own END) AS own_{s}")
+    for s, v in zip(names, lit):
+        wide_cols.append(f"max(CASE WHEN l.source = {v} THEN hid END) AS id_{s}")
+        wide_cols.append(f"bool_or(CASE WHEN l.source = {v} THEN own END) AS own_{s}")
         for a in attrs:
-            wide_cols.append(f"first(h.{a}) FILTER (WHERE l.source = {s}) AS {a}_{s}")
+            wide_cols.append(f"first(h.{a}) FILTER (WHERE l.source = {v}) AS {a}_{s}")
     sel = ["w.pass", "w.anchor_id", "pa.homename", "pa.city"]
-    for s in (1, 2, 3):
+    for s in names:
         sel += [f"id_{s}", f"coalesce(own_{s}, false) AS own_{s}"]
     for a, o in (("rating", "rating"), ("cheapest_price", "price"), ("url", "url")):
-        for s in (1, 2, 3):
+        for s in names:
             sel.append(f"CASE WHEN id_{s} IS NULL THEN '' ELSE coalesce(CAST({a}_{s} AS VARCHAR), '') END AS {o}_{s}")
+    x, y, z = names
     for a in ("description", "address"):
-        sel.append(f"coalesce(CASE WHEN {a}_1 <> '' THEN {a}_1 END, CASE WHEN {a}_2 <> '' THEN {a}_2 END, "
-                   f"CASE WHEN id_3 IS NOT NULL THEN coalesce({a}_3, '') ELSE '' END) AS {a}")
+        sel.append(f"coalesce(CASE WHEN {a}_{x} <> '' THEN {a}_{x} END, CASE WHEN {a}_{y} <> '' THEN {a}_{y} END, "
+                   f"CASE WHEN id_{z} IS NOT NULL THEN coalesce({a}_{z}, '') ELSE '' END) AS {a}")
     for a in ("property_highlights", "images"):
-        sel.append(f"array_to_string(coalesce(CASE WHEN len({a}_1) > 0 THEN {a}_1 END, CASE WHEN len({a}_2) > 0 THEN {a}_2 END, "
-                   f"CASE WHEN id_3 IS NOT NULL THEN coalesce({a}_3, []::VARCHAR[]) ELSE []::VARCHAR[] END), '|') AS {a}")
-    return (_with(homes_cte, W1_CTE, ANC_CTE, M_CTE, PASSES_CTE,
-                  """lng AS (SELECT pass, anchor_id, anchor_source AS source, anchor_id AS hid, true AS own FROM pa
+        sel.append(f"array_to_string(coalesce(CASE WHEN len({a}_{x}) > 0 THEN {a}_{x} END, CASE WHEN len({a}_{y}) > 0 THEN {a}_{y} END, "
+                   f"CASE WHEN id_{z} IS NOT NULL THEN coalesce({a}_{z}, []::VARCHAR[]) ELSE []::VARCHAR[] END), '|') AS {a}")
+    passes = re.sub(r"source = ([123])\b", lambda m: f"source = {lit[int(m[1]) - 1]}", PASSES_CTE)
+    ctes = [homes_cte, W1_CTE, ANC_CTE, M_CTE, passes,
+            """lng AS (SELECT pass, anchor_id, anchor_source AS source, anchor_id AS hid, true AS own FROM pa
             UNION ALL SELECT pass, anchor_id, source, match_id AS hid, owned AS own FROM pm)""",
-                  f"""wide AS (SELECT l.pass, l.anchor_id, {', '.join(wide_cols)}
-            FROM lng l JOIN homes h ON h.source = l.source AND h.id = l.hid GROUP BY l.pass, l.anchor_id)""")
-            + (tail if tail is not None else
-               f"SELECT {', '.join(sel)} FROM wide w JOIN pa ON pa.pass = w.pass AND pa.anchor_id = w.anchor_id"))
+            f"""wide AS (SELECT l.pass, l.anchor_id, {', '.join(wide_cols)}
+            FROM lng l JOIN homes h ON h.source = l.source AND h.id = l.hid GROUP BY l.pass, l.anchor_id)"""]
+    return f"SELECT {', '.join(sel)} FROM wide w JOIN pa ON pa.pass = w.pass AND pa.anchor_id = w.anchor_id", ctes
+
+
+def _combine_sql() -> str:
+    final, ctes = combine_ctes()
+    return _with(*ctes) + final
 
 
 def combine_flat(spark, sf_dir):

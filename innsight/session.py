@@ -7,9 +7,8 @@ where the session leaves them unset (local runs and tests).
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -43,15 +42,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local mode, tests) a private folder is created.
+    ``spark.checkpoint.dir`` names a shared folder and is used as is. Only in a
+    local session that leaves it unset (tests, the bench) a folder below the
+    session's warehouse is taken; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="innsight-ckpt-")
+        d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints-{sc.applicationId}"
         spark.conf.set("spark.checkpoint.dir", d)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(d)
@@ -63,4 +63,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/tables-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a scratch table and read it back.
+
+    Cuts the lineage: a lost executor replays nothing before this point, and
+    every later reader sees the same rows in the same files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the scratch tables this application wrote; no frame read from them may be used afterwards."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
