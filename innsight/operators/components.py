@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from innsight.session import written
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """The key once more as a struct: a join on it shuffles both sides for itself, so that
+    its skewed partitions can be split; on the plain key it would reuse the aggregate's, which cannot."""
+    return df.withColumn("k", F.struct("a"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """links (a, b) -> (node, root): every node of a link and the least node of its component.
 
@@ -23,9 +29,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = _apart(both).join(_apart(least).drop("a"), "k").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(
+        small = _apart(large).join(_apart(least).drop("a"), "k").select(F.explode(F.array(
             F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         e = written(small.select("e.*").where("a <> b").distinct(), "links")
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
