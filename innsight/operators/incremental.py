@@ -16,42 +16,70 @@ from innsight.operators import reviews as RV
 
 # --- T7 -----------------------------------------------------------------------------------
 
-def enrich_reviews(reviews: DataFrame, key: str, lexicon: DataFrame, topics: list[tuple[int, list[str]]],
-                   topic_labels: DataFrame, translations: DataFrame | None = None,
-                   lemmas: dict[str, str] | None = None, stop_words: list[str] | None = None,
+def enrich_reviews(reviews: DataFrame, key: str, lexicon: DataFrame, topics: list[tuple[int, list[str]]] | DataFrame,
+                   topic_labels: DataFrame | None = None, translations: DataFrame | None = None,
+                   lemmas: dict[str, str] | DataFrame | None = None, stop_words: list[str] | None = None,
                    text_col: str = "review_content", score_col: str = "review_score",
                    already_numeric: bool = False) -> DataFrame:
-    """P1 -> P2 -> J9 -> T1 -> A7 -> T6 -> T5 as one lazy plan.
+    """P1 -> P2 -> J9 -> T1 (T2) -> A7 -> T6 -> T5 as one lazy plan.
 
-    ``topics`` is the fitted topic summary (k x words, from :func:`RV.topic_model`
-    or given); ``topic_labels`` is (topic, label) from :func:`RV.topic_autolabel`.
+    ``topics`` is the fitted topic summary (topic, rank, word) of
+    :func:`RV.topic_model`, or lists; ``topic_labels`` is (topic, label), by
+    default from :func:`RV.topic_autolabel` over the topics. ``lemmas`` is a
+    table (token, lemma) of any size, or a small dict. ``key`` must be unique.
     Returns the input columns plus clean_review, neg, neu, pos, compound,
-    sentiment and label. The only exchanges are the translation join and the
-    per-review re-aggregation of the lexicon join (one row per review).
+    sentiment and label.
     """
+    spark = reviews.sparkSession
+    topics = RV.topic_lists(topics)
+    if topic_labels is None:
+        topic_labels = RV.topic_autolabel(RV.topics_table(spark, topics), RV.keywords_table(spark))
     r = RV.valid_reviews(reviews, text_col)
     r = r.withColumn("score", F.col(score_col).cast("double")) if already_numeric else RV.with_score(r, score_col, "score")
     if translations is not None:
         r = RV.translation_lookup(r, translations, text_col, out="en_review")
     else:
         r = r.withColumn("en_review", F.col(text_col))
-    r = RV.clean_reviews(r, "en_review", "clean_review", stop_words, lemmas)
+    if isinstance(lemmas, DataFrame):
+        r = r.withColumn("_tokens", T.review_tokens(F.col("en_review"), stop_words))
+        r = RV.lemmatise(r, key, "_tokens", lemmas, "clean_review")
+    else:
+        r = RV.clean_reviews(r, "en_review", "clean_review", stop_words, lemmas)
     r = RV.polarity_scores(r, key, lexicon)
     r = RV.label_sentiment(r, "score", "sentiment")
     return RV.assign_topics(r, topics, topic_labels, "clean_review", "label")
 
 
+def fit_and_enrich(reviews: DataFrame, key: str, lexicon: DataFrame, lemmas: DataFrame, keywords: DataFrame | None = None,
+                   translations: DataFrame | None = None, text_col: str = "review_content", score_col: str = "review_score",
+                   already_numeric: bool = False, k: int = 5, max_iter: int = 10, seed: int = 42) -> DataFrame:
+    """T3 -> T4 -> T7: fit topics on the cleaned reviews, label them by keyword groups, enrich with them."""
+    spark = reviews.sparkSession
+    r = RV.valid_reviews(reviews, text_col)
+    r = RV.translation_lookup(r, translations, text_col) if translations is not None else r.withColumn("en_review", F.col(text_col))
+    clean = RV.lemmatise(r.select(key, T.review_tokens(F.col("en_review")).alias("_tokens")), key, "_tokens", lemmas)
+    summary = RV.topic_lists(RV.topic_model(clean, k=k, max_iter=max_iter, seed=seed))
+    table = RV.topics_table(spark, summary)
+    labels = RV.topic_autolabel(table, RV.keywords_table(spark) if keywords is None else keywords)
+    return enrich_reviews(reviews, key, lexicon, summary, labels, translations, lemmas, None, text_col, score_col, already_numeric)
+
+
 # --- S5 -------------------------------------------------------------------------------------
 
-def keyed_upsert(base: DataFrame, updates: DataFrame, key: Sequence[str] | str, cols: Sequence[str]) -> DataFrame:
+def keyed_upsert(base: DataFrame, updates: DataFrame, key: Sequence[str] | str, cols: Sequence[str],
+                 order: str | None = None) -> DataFrame:
     """Set ``cols`` from ``updates`` on rows with the same key; insert unmatched keys.
 
     Matched rows keep their other columns; inserted rows carry NULL in the
-    columns ``updates`` does not have. Updates must have one row per key.
-    Idempotent: applying the same updates twice gives the same table.
+    columns ``updates`` does not have. Of several updates of one key the last
+    by ``order`` counts (without ``order``, or on ties, the one with the
+    greatest values, so the result does not depend on row order). Idempotent:
+    applying the same updates twice gives the same table.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(cols)
+    rank = F.struct(*([F.col(order)] if order else []), *[F.col(c) for c in cols])
+    updates = updates.groupBy(*keys).agg(F.max_by(F.struct(*cols), rank).alias("_r")).select(*keys, "_r.*")
     up = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols]).withColumn("_u_hit", F.lit(True))
     j = base.join(up, keys, "full_outer")
     out = []

@@ -8,8 +8,9 @@ Plan notes
   exploded rows of one review sit in one input partition, so the per-review
   re-aggregation is collapsed by the partial aggregate before the exchange and
   the shuffle moves one row per review.
-* Parameter tables are joined with ``broadcast`` only when they are literal
-  (size known when built) or after a counted size check.
+* No broadcast is forced: parameter tables made from Python rows are local
+  relations, so the planner knows their size; other tables are left to the
+  planner and AQE.
 """
 
 from __future__ import annotations
@@ -20,17 +21,16 @@ from pyspark.sql import functions as F
 
 from innsight.functions import text as T
 from innsight.functions.parse import score_normalise
-from innsight.session import ensure_checkpoint_dir
+from innsight.session import written
 
-# Largest parameter table that is broadcast after a counted check.
-MAX_BROADCAST_ROWS = 2_000_000
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small parameter table as a local relation (its size is known to the planner)."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-
-def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the table is proven small; else leave the choice to AQE."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    shape = to_arrow_schema(spark.createDataFrame([], schema).schema)
+    cols = list(zip(*rows)) if rows else [[] for _ in shape]
+    return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(cols, shape)], schema=shape))
 
 
 # --- P1 / P2 -----------------------------------------------------------------
@@ -51,11 +51,17 @@ def with_score(df: DataFrame, col: str = "review_score", out: str = "score") ->
 
 def translation_lookup(df: DataFrame, translations: DataFrame, text_col: str = "review_content",
                        out: str = "en_review") -> DataFrame:
-    """Left equi-join to translations(text, en); untranslated text stays as is."""
-    tr = translations.select(F.col("text").alias("_tr_text"), F.col("en").alias("_tr_en"))
-    tr = tr.groupBy("_tr_text").agg(F.min("_tr_en").alias("_tr_en"))  # one translation per text
-    j = df.join(tr, df[text_col] == tr["_tr_text"], "left")
-    return j.withColumn(out, F.coalesce(F.col("_tr_en"), F.col(text_col))).drop("_tr_text", "_tr_en")
+    """Left equi-join to translations(text, en); untranslated text stays as is.
+
+    The join key is a 64-bit hash of the text, not the text; texts with one
+    hash sit in one small map, and the text itself is looked up there, so a
+    chance collision changes nothing. The least translation of a text counts.
+    """
+    tr = translations.where(F.col("text").isNotNull()).groupBy("text").agg(F.min("en").alias("en"))
+    tr = tr.groupBy(F.xxhash64("text").alias("_tr_h")).agg(
+        F.map_from_entries(F.collect_list(F.struct("text", "en"))).alias("_tr_m"))
+    j = df.withColumn("_tr_k", F.xxhash64(text_col)).join(tr, F.col("_tr_k") == F.col("_tr_h"), "left")
+    return j.withColumn(out, F.coalesce(F.try_element_at("_tr_m", F.col(text_col)), F.col(text_col))).drop("_tr_k", "_tr_h", "_tr_m")
 
 
 # --- T1 / T2 ------------------------------------------------------------------
@@ -68,22 +74,21 @@ def clean_reviews(df: DataFrame, text_col: str = "review_content", out: str = "c
 
 def lemmatise(df: DataFrame, key: str, tokens_col: str, lemmas: DataFrame,
               out: str = "clean_review") -> DataFrame:
-    """T2 with a lemma table of any size: explode, left join, rebuild in order.
+    """T2 with a lemma table of any size (token, lemma).
 
     ``tokens_col`` is the token array before lemmatisation (``T.review_tokens``);
-    ``key`` must be unique per row. Only (key, pos, token) travel with the
-    exploded rows; the rebuilt text (one row per key after the partial
-    aggregate) is joined back.
+    ``key`` must be unique per row. Only a row's distinct tokens are looked up,
+    only those with a lemma travel on, and they come back to the row as one
+    small map; the text is rebuilt in the row, in order.
     """
-    ex = df.select(F.col(key).alias("_k"), F.posexplode(tokens_col).alias("_pos", "_tok"))
-    lem = lemmas.select(F.col("token").alias("_lt"), F.col("lemma").alias("_lemma"))
-    lem = lem.groupBy("_lt").agg(F.min("_lemma").alias("_lemma"))
-    j = ex.join(lem, ex["_tok"] == lem["_lt"], "left")
-    word = F.coalesce(F.col("_lemma"), F.col("_tok"))
-    agg = j.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), word.alias("w")))).alias("_ws"))
-    words = F.transform(F.col("_ws"), lambda s: s["w"])
-    text = F.array_join(F.filter(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.length(w) > 1), " ")
-    res = df.join(agg, df[key] == agg["_k"], "left")
+    lem = lemmas.where(F.col("token").isNotNull()).groupBy(F.col("token").alias("_tok")).agg(F.min("lemma").alias("_lemma"))
+    ex = df.select(F.col(key).alias("_k"), F.explode(F.array_distinct(tokens_col)).alias("_tok"))
+    hits = ex.join(lem.where(F.col("_lemma").isNotNull()), "_tok").groupBy("_k").agg(
+        F.map_from_entries(F.collect_list(F.struct("_tok", "_lemma"))).alias("_m"))
+    res = df.join(hits, df[key] == hits["_k"], "left")
+    none = F.create_map().cast("map<string,string>")
+    mapped = F.transform(tokens_col, lambda w: F.coalesce(F.try_element_at(F.coalesce("_m", none), w), w))
+    text = F.array_join(F.filter(F.coalesce(mapped, F.array().cast("array<string>")), lambda w: F.length(w) > 1), " ")
     return res.select(*[df[c] for c in df.columns if c != tokens_col], text.alias(out))
 
 
@@ -104,62 +109,43 @@ def vocabulary_top_k(df: DataFrame, text_col: str = "clean_review", k: int = 100
 
 # --- A7 / J8 / P18 --------------------------------------------------------------
 
-# Lexicons up to this many entries are applied in-row as a literal map (no shuffle).
-MAX_INLINE_LEXICON = 256
+def lexicon_hits(df: DataFrame, key: str, lexicon: DataFrame, text_col: str = "clean_review") -> DataFrame:
+    """(key, n_tokens, n_known, s10, p10, n10) per row from lexicon(token, valence).
 
+    Tokens are joined to the lexicon by equality. Valences are read to one
+    decimal place and summed as integers (s10: sum, p10: sum of v + 10 over
+    v > 0, n10: sum of 10 - v over v < 0), so nothing depends on the order of
+    summation. A token listed twice has its largest valence, a NULL valence
+    counts as 0, a NULL token is no entry. ``key`` must be unique per row.
+    Only (key, token) travel; a row's tokens are summed up before the shuffle.
+    """
+    lex = lexicon.where(F.col("token").isNotNull()).groupBy(F.col("token").alias("_tok")).agg(
+        F.coalesce(F.max(F.round(F.col("valence") * 10).cast("bigint")), F.lit(0)).alias("_v"))
+    toks = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), " "), lambda w: F.length(w) > 0)
+    ex = df.select(F.col(key), F.explode_outer(toks).alias("_tok"))
+    v = F.col("_v")
+    return ex.join(lex, "_tok", "left").groupBy(key).agg(
+        F.count("_tok").alias("n_tokens"), F.count("_v").alias("n_known"), F.coalesce(F.sum(v), F.lit(0)).alias("s10"),
+        F.coalesce(F.sum(F.when(v > 0, v + 10)), F.lit(0)).alias("p10"),
+        F.coalesce(F.sum(F.when(v < 0, 10 - v)), F.lit(0)).alias("n10"),
+        F.count(F.when(v != 0, 1)).alias("n_valued"))
 
-def polarity_scores(df: DataFrame, key: str, lexicon: DataFrame, text_col: str = "clean_review",
-                    broadcast_lexicon: bool = True) -> DataFrame:
-    """Neg, neu, pos (3 places) and compound (4 places) per row from a lexicon.
 
-    lexicon(token, valence); valences are read to one decimal place and summed as
-    integers, so the scores do not depend on summation order. Unknown tokens are
-    neutral; an empty text scores 0 everywhere. Rounding of the ratios is exact
-    half-up on the rational value.
+def polarity_scores(df: DataFrame, key: str, lexicon: DataFrame, text_col: str = "clean_review") -> DataFrame:
+    """Neg, neu, pos (3 places) and compound (4 places) per row from a lexicon of any size.
 
-    Plan: a lexicon of at most ``MAX_INLINE_LEXICON`` entries (counted) becomes a
-    literal map and the scores are an in-row fold (no exchange). A larger lexicon
-    is joined to the exploded (key, token) rows -- only the key travels with the
-    tokens -- and the per-key sums (one row per review after the partial
-    aggregate) are joined back.
+    Unknown tokens are neutral; an empty text scores 0 everywhere. Rounding of
+    the ratios is exact half-up on the rational value. One path for every
+    lexicon: J8 sums (see :func:`lexicon_hits`), joined back by key.
     """
-    lex = lexicon.select(F.col("token").alias("_lx"), F.round(F.col("valence") * 10).cast("bigint").alias("_v10"))
-    lex = lex.groupBy("_lx").agg(F.max("_v10").alias("_v10"))
-    toks = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), " "), lambda w: F.length(w) > 0)
-    small = lex.limit(MAX_INLINE_LEXICON + 1).collect()
-    if len(small) <= MAX_INLINE_LEXICON:
-        m = F.create_map(*[x for r in sorted(small) for x in (F.lit(r["_lx"]), F.lit(int(r["_v10"])))]) if small \
-            else F.create_map().cast("map<string,bigint>")
-        zero = F.lit(0).cast("bigint")
-        # three projections so that no expensive expression is evaluated twice:
-        # token values -> one fold with a struct accumulator -> scores
-        step = df.select("*", F.transform(toks, lambda w: F.coalesce(F.element_at(m, w), zero)).alias("_vals"))
-        init = F.struct(zero.alias("s"), zero.alias("p"), zero.alias("n"), zero.alias("u"))
-        acc = F.aggregate("_vals", init, lambda a, v: F.struct(
-            (a["s"] + v).alias("s"), (a["p"] + F.when(v > 0, v + 10).otherwise(zero)).alias("p"),
-            (a["n"] + F.when(v < 0, 10 - v).otherwise(zero)).alias("n"),
-            (a["u"] + F.when(v == 0, F.lit(1).cast("bigint")).otherwise(zero)).alias("u")))
-        step = step.select(*[F.col(c) for c in df.columns], acc.alias("_acc"))
-        return step.select(*[F.col(c) for c in df.columns],
-                           *_scores(F.col("_acc.s"), F.col("_acc.p"), F.col("_acc.n"), F.col("_acc.u")))
-    if broadcast_lexicon:
-        lex = sized_broadcast(lex)
-    ex = df.select(F.col(key).alias("_k"), F.explode(toks).alias("_tok"))
-    j = ex.join(lex, ex["_tok"] == lex["_lx"], "left")
-    v = F.coalesce(F.col("_v10"), F.lit(0))
-    agg = j.groupBy("_k").agg(
-        F.sum(v).alias("_s10"),
-        F.sum(F.when(v > 0, v + 10)).alias("_p10"),
-        F.sum(F.when(v < 0, 10 - v)).alias("_n10"),
-        F.count(F.when(v == 0, 1)).alias("_u"),
-    )
-    out = df.join(agg, df[key] == agg["_k"], "left")
+    hits = lexicon_hits(df, key, lexicon, text_col).withColumnRenamed(key, "_k")
+    out = df.join(hits, df[key].eqNullSafe(hits["_k"]), "left")
     return out.select(*[df[c] for c in df.columns],
-                      *_scores(F.col("_s10"), F.col("_p10"), F.col("_n10"), F.coalesce(F.col("_u"), F.lit(0))))
+                      *_scores(F.col("s10"), F.col("p10"), F.col("n10"), F.col("n_tokens") - F.col("n_valued")))
 
 
 def _scores(s10: Column, p10: Column, n10: Column, u: Column) -> list[Column]:
-    s10, p10, n10 = F.coalesce(s10, F.lit(0)), F.coalesce(p10, F.lit(0)), F.coalesce(n10, F.lit(0))
+    s10, p10, n10, u = (F.coalesce(c, F.lit(0)) for c in (s10, p10, n10, u))
     tot10 = p10 + n10 + u * 10
 
     def ratio(num10: Column) -> Column:
@@ -192,31 +178,29 @@ def topic_model(df: DataFrame, text_col: str = "clean_review", k: int = 5, max_i
     (subsamplingRate=1), learningOffset=10, learningDecay=0.7. The model is
     distributed; only its k x top_words summary is turned into a table.
     """
-    from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizer
-
     from pyspark import StorageLevel
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizerModel
 
     spark = df.sparkSession
-    # the corpus is read by the vocabulary fit, the transform and every LDA
-    # pass: keep the term arrays and the vectors (rebuilt from lineage if an
-    # executor is lost) and spread the vectors over all cores
-    toks = df.select(T.terms(F.col(text_col)).alias("_terms")).persist(StorageLevel.MEMORY_AND_DISK)
-    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab_size).fit(toks)
-    vec = (cv.transform(toks).filter(F.size("_terms") > 0).select("_tf")
-           .repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK))
+    # the vocabulary is A5 (ties by term), a bounded list; the vectors are read
+    # by every pass of the fit and keep the partitioning of the input
+    vocab = [r["term"] for r in vocabulary_top_k(df, text_col, vocab_size).collect()]
+    if not vocab:
+        return spark.createDataFrame([], "topic int, rank int, word string, weight double")
+    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="_terms", outputCol="_tf")
+    toks = df.select(T.terms(F.col(text_col)).alias("_terms")).filter(F.size("_terms") > 0)
+    vec = cv.transform(toks).select("_tf").persist(StorageLevel.MEMORY_AND_DISK)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="_tf",
               subsamplingRate=1.0, learningOffset=10.0, learningDecay=0.7)
     model = lda.fit(vec)
     vec.unpersist()
-    toks.unpersist()
-    desc = model.describeTopics(top_words)
-    # the model summary: k x top_words term indices, and the fitted vocabulary (<= vocab_size)
-    vocab = spark.createDataFrame([(i, w) for i, w in enumerate(cv.vocabulary)], "term_index int, word string")
-    ex = desc.select(F.col("topic").cast("int").alias("topic"),
-                     F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
+    # the model summary: k x top_words term indices
+    words = local_table(spark, list(enumerate(vocab)), "term_index int, word string")
+    ex = model.describeTopics(top_words).select(
+        F.col("topic").cast("int").alias("topic"), F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
     ex = ex.select("topic", "rank", F.col("tw.termIndices").alias("term_index"), F.col("tw.termWeights").alias("weight"))
-    return ex.join(F.broadcast(vocab), "term_index").select("topic", "rank", "word", "weight")
+    return ex.join(words, "term_index").select("topic", "rank", "word", "weight")
 
 
 def topic_top_words(topic_terms: DataFrame, n: int = 10) -> DataFrame:
@@ -233,13 +217,30 @@ def topic_top_words(topic_terms: DataFrame, n: int = 10) -> DataFrame:
 
 def topics_table(spark: SparkSession, topics: list[tuple[int, list[str]]]) -> DataFrame:
     rows = [(int(t), int(r), w) for t, ws in topics for r, w in enumerate(ws)]
-    return spark.createDataFrame(rows, "topic int, rank int, word string")
+    return local_table(spark, rows, "topic int, rank int, word string")
 
 
 def keywords_table(spark: SparkSession, keywords: list[tuple[str, list[str]]] | None = None) -> DataFrame:
     kw = T.TOPIC_KEYWORDS if keywords is None else keywords
     rows = [(i, name, w) for i, (name, ws) in enumerate(kw) for w in ws]
-    return spark.createDataFrame(rows, "ord int, name string, word string")
+    return local_table(spark, rows, "ord int, name string, word string")
+
+
+#: Most rows of a topic summary (k topics of a few words each); it becomes literals of an expression.
+MAX_TOPIC_ROWS = 10_000
+
+
+def topic_lists(topics: list[tuple[int, list[str]]] | DataFrame) -> list[tuple[int, list[str]]]:
+    """The topics as lists: given, or from a summary (topic, rank, word), which must be small."""
+    if not isinstance(topics, DataFrame):
+        return topics
+    rows = topics.select("topic", "rank", "word").limit(MAX_TOPIC_ROWS + 1).collect()
+    if len(rows) > MAX_TOPIC_ROWS:
+        raise ValueError(f"a topic summary has at most {MAX_TOPIC_ROWS} rows")
+    out: dict[int, list[str]] = {}
+    for r in sorted(rows, key=lambda r: (r["topic"], r["rank"])):
+        out.setdefault(int(r["topic"]), []).append(r["word"])
+    return list(out.items())
 
 
 def topic_keyword_overlap(topic_words: DataFrame, keywords: DataFrame) -> DataFrame:
@@ -266,22 +267,23 @@ def topic_autolabel(topic_words: DataFrame, keywords: DataFrame) -> DataFrame:
 
 # --- J6 / A8 / W7 / T5 ------------------------------------------------------------
 
-def review_topic_cross(df: DataFrame, topics: list[tuple[int, list[str]]], text_col: str = "clean_review") -> DataFrame:
+def review_topic_cross(df: DataFrame, topics: list[tuple[int, list[str]]] | DataFrame,
+                       text_col: str = "clean_review") -> DataFrame:
     """J6 + A8: one row per review and topic with the number of topic words found.
 
     The topics (k x 10 words, a model summary) are literals of the expression,
     so the pairing is a row generator, not a join.
     """
-    return df.select("*", F.inline(T.topic_counts(F.col(text_col), topics)).alias("topic", "match_count"))
+    return df.select("*", F.inline(T.topic_counts(F.col(text_col), topic_lists(topics))).alias("topic", "match_count"))
 
 
-def assign_topics(df: DataFrame, topics: list[tuple[int, list[str]]], labels: DataFrame,
+def assign_topics(df: DataFrame, topics: list[tuple[int, list[str]]] | DataFrame, labels: DataFrame,
                   text_col: str = "clean_review", out: str = "label") -> DataFrame:
-    """T5: best topic by W7, then its label; no matching word -> 'Unknown'."""
-    with_topic = df.withColumn("_topic", T.argmax_first(T.topic_counts(F.col(text_col), topics)))
-    lab = F.broadcast(labels.select(F.col("topic").alias("_lt"), F.col("label").alias("_lab")))  # k rows
+    """T5: best topic by W7, then its label from (topic, label); no matching word -> 'Unknown'."""
+    with_topic = df.withColumn("_topic", T.argmax_first(T.topic_counts(F.col(text_col), topic_lists(topics))))
+    lab = labels.select(F.col("topic").alias("_lt"), F.col("label").alias("_lab"))
     j = with_topic.join(lab, with_topic["_topic"] == lab["_lt"], "left")
-    return j.withColumn(out, F.coalesce(F.col("_lab"), F.lit(T.UNKNOWN))).drop("_lt", "_lab")
+    return j.withColumn(out, F.coalesce(F.col("_lab"), F.lit(T.UNKNOWN))).drop("_lt", "_lab", "_topic")
 
 
 # --- W5 -------------------------------------------------------------------------
@@ -289,21 +291,18 @@ def assign_topics(df: DataFrame, topics: list[tuple[int, list[str]]], labels: Da
 def batch_number(df: DataFrame, order_col: str, size: int = 500, out: str = "batch") -> DataFrame:
     """Consecutive blocks of ``size`` rows in ``order_col`` order.
 
-    No global window: the rows are range-partitioned, each partition's count is
-    aggregated (one row per partition, broadcast), and a row's global position is
-    its partition offset plus its rank inside the partition.
+    One shuffle of the rows: they are range-partitioned and sorted inside the
+    partitions, where ``monotonically_increasing_id`` numbers them; a row's
+    global position is the number of rows in the partitions before plus its
+    number. Offsets are one row per partition.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(order_col)).withColumn("_pid", F.spark_partition_id())
-    w_in = Window.partitionBy("_pid").orderBy(order_col)
-    ranked = ranged.withColumn("_rn", F.row_number().over(w_in))
-    # counts and ranks must see the same range partitioning: materialise once
-    # (reliable checkpoint in the shared folder, lineage cut)
-    ensure_checkpoint_dir(spark)
-    ranked = ranked.checkpoint(eager=True)
+    # counts and numbers must see the same partitions: written once in the shared folder
+    ranked = written(df.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col)
+                     .withColumn("_id", F.monotonically_increasing_id()), "batch-rows")
+    ranked = ranked.withColumn("_pid", F.shiftright("_id", 33)).withColumn("_rn", F.col("_id").bitwiseAND((1 << 33) - 1))
     counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
-    j = ranked.join(F.broadcast(offsets), "_pid")  # one row per partition
-    return j.withColumn(out, F.floor((F.col("_off") + F.col("_rn") - 1) / size).cast("bigint")).drop("_pid", "_rn", "_off")
+    before = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_pid")) - F.col("_n")  # one row a partition
+    j = ranked.join(counts.select("_pid", before.alias("_off")), "_pid")
+    return j.withColumn(out, F.floor((F.col("_off") + F.col("_rn")) / size).cast("bigint")).drop("_id", "_pid", "_rn", "_off", "_n")

@@ -190,7 +190,7 @@ def q_stream_enrich_reviews(spark, sf):
         .repartition(4, "doc_id").write.mode("overwrite").parquet(src)
     base = d.select("doc_id", "lang", F.lit(None).cast("string").alias("sentiment"), F.lit(None).cast("string").alias("label"))
     labels = RV.topic_autolabel(RV.topics_table(spark, QT.TEST_TOPICS), RV.keywords_table(spark))
-    kwargs = dict(lexicon=F.broadcast(QT.lexicon_df(spark)), topics=QT.TEST_TOPICS, topic_labels=labels,
+    kwargs = dict(lexicon=QT.lexicon_df(spark), topics=QT.TEST_TOPICS, topic_labels=labels,
                   translations=d.where(F.col("lang") == "de").select("text", F.upper("text").alias("en")),
                   lemmas=QT.TEST_LEMMAS, score_col="score", already_numeric=True)
     out = ST.stream_enrich_reviews(spark, src, REVIEW_FILE_SCHEMA, base, "doc_id", kwargs, max_files=1)

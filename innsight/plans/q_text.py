@@ -121,11 +121,15 @@ def cleaned(spark, sf):
 
 
 def lexicon_df(spark):
-    return spark.createDataFrame(sorted(TEST_LEXICON.items()), "token string, valence double")
+    return RV.local_table(spark, sorted(TEST_LEXICON.items()), "token string, valence double")
+
+
+def lemmas_df(spark):
+    return RV.local_table(spark, sorted(TEST_LEMMAS.items()), "token string, lemma string")
 
 
 def scored(spark, sf):
-    return RV.polarity_scores(cleaned(spark, sf), "doc_id", F.broadcast(lexicon_df(spark)), broadcast_lexicon=False)
+    return RV.polarity_scores(cleaned(spark, sf), "doc_id", lexicon_df(spark))
 
 
 # --- P1 / P2 / J9 ----------------------------------------------------------------------------
@@ -154,16 +158,11 @@ def q_score_normalise(spark, sf):
 
 
 @register("translation_lookup", """WITH tr AS (SELECT text, min(upper(text)) AS en FROM documents WHERE lang = 'fr' GROUP BY text)
-SELECT d.doc_id, tr.en IS NOT NULL AS translated, length(coalesce(tr.en, d.text)) AS en_len,
-       substr(coalesce(tr.en, d.text), 1, 24) AS en_head
-FROM documents d LEFT JOIN tr ON tr.text = d.text""")
+SELECT d.doc_id, coalesce(tr.en, d.text) AS en_review FROM documents d LEFT JOIN tr ON tr.text = d.text""")
 def q_translation_lookup(spark, sf):
     d = read_table(spark, sf, "documents")
     tr = d.where(F.col("lang") == "fr").select("text", F.upper("text").alias("en"))
-    out = RV.translation_lookup(d.select("doc_id", F.col("text").alias("review_content")), tr)
-    j = out.join(tr.select(F.col("text").alias("_t")).distinct(), out["review_content"] == F.col("_t"), "left")
-    return j.select("doc_id", F.col("_t").isNotNull().alias("translated"), F.length("en_review").alias("en_len"),
-                    F.substring("en_review", 1, 24).alias("en_head"))
+    return RV.translation_lookup(d.select("doc_id", F.col("text").alias("review_content")), tr).select("doc_id", "en_review")
 
 
 # --- T1 / T2 ------------------------------------------------------------------------------
@@ -177,8 +176,7 @@ def q_clean_review(spark, sf):
 def q_lemmatise(spark, sf):
     """T2 through the table-join path (lemma table of any size)."""
     d = reviews_from_documents(spark, sf).select("doc_id", T.review_tokens(F.col("text")).alias("tokens"))
-    lem = spark.createDataFrame(sorted(TEST_LEMMAS.items()), "token string, lemma string")
-    return RV.lemmatise(d, "doc_id", "tokens", F.broadcast(lem)).select("doc_id", "clean_review")
+    return RV.lemmatise(d, "doc_id", "tokens", lemmas_df(spark)).select("doc_id", "clean_review")
 
 
 # --- A5 / A6 --------------------------------------------------------------------------------
@@ -204,6 +202,27 @@ def q_polarity_scores(spark, sf):
     return scored(spark, sf).select("doc_id", "neg", "neu", "pos", "compound")
 
 
+# A lexicon as large as the corpus' vocabulary: a valence for every token (by its length), NULL rows among them.
+_BIG_LEX = """lexrows AS (SELECT tok AS token, (length(tok) * 13 % 81 - 40) / 10.0 AS valence FROM (
+    SELECT DISTINCT unnest(list_filter(string_split(clean_review, ' '), lambda w: length(w) > 0)) AS tok FROM c)
+  UNION ALL SELECT NULL, 1.0 UNION ALL SELECT 'of', NULL UNION ALL SELECT 'the', NULL),
+lex AS (SELECT token, coalesce(max(CAST(round(valence * 10) AS BIGINT)), 0) AS v10 FROM lexrows WHERE token IS NOT NULL GROUP BY token)"""
+
+
+def big_lexicon(spark, sf):
+    toks = F.filter(F.split("clean_review", " "), lambda w: F.length(w) > 0)
+    t = cleaned(spark, sf).select(F.explode(toks).alias("token")).distinct()
+    rows = t.select("token", ((F.length("token") * 13 % 81 - 40) / F.lit(10.0)).alias("valence"))
+    return rows.unionByName(RV.local_table(spark, [(None, 1.0), ("of", None), ("the", None)], "token string, valence double"))
+
+
+@register("polarity_scores_large_lexicon", _with(CLEAN_CTE, _BIG_LEX, POL_CTE) + "SELECT doc_id, neg, neu, pos, compound FROM scores")
+def q_polarity_scores_large_lexicon(spark, sf):
+    """A7 with a valence for every token of the corpus, and with NULL tokens and valences."""
+    s = RV.polarity_scores(cleaned(spark, sf), "doc_id", big_lexicon(spark, sf))
+    return s.select("doc_id", "neg", "neu", "pos", "compound")
+
+
 @register("drop_columns_widen", _with(CLEAN_CTE, LEX_CTE, POL_CTE) + "SELECT doc_id, neg, neu, pos, compound FROM scores")
 def q_drop_columns_widen(spark, sf):
     s = scored(spark, sf).select("doc_id", F.struct("neg", "neu", "pos", "compound").alias("sentiments"))
@@ -217,13 +236,8 @@ FROM c LEFT JOIN (SELECT doc_id, unnest(list_filter(string_split(clean_review, '
 LEFT JOIN lex ON lex.token = x.tok
 GROUP BY c.doc_id""")
 def q_lexicon_join(spark, sf):
-    c = cleaned(spark, sf)
-    toks = F.filter(F.split("clean_review", " "), lambda w: F.length(w) > 0)
-    ex = c.select("doc_id", F.explode_outer(toks).alias("tok"))
-    lex = F.broadcast(lexicon_df(spark).select(F.col("token"), F.round(F.col("valence") * 10).cast("bigint").alias("v10")))
-    j = ex.join(lex, ex["tok"] == lex["token"], "left")
-    return j.groupBy("doc_id").agg(F.count("tok").alias("n_tokens"), F.count("token").alias("n_known"),
-                                   F.coalesce(F.sum("v10"), F.lit(0)).cast("bigint").alias("sum_v10"))
+    h = RV.lexicon_hits(cleaned(spark, sf), "doc_id", lexicon_df(spark))
+    return h.select("doc_id", "n_tokens", "n_known", F.col("s10").cast("bigint").alias("sum_v10"))
 
 
 @register("sentiment_label", _with(CLEAN_CTE, LEX_CTE, POL_CTE) + f"SELECT doc_id, score, pos, neg, {LABEL_SQL} AS sentiment FROM scores")
@@ -367,7 +381,24 @@ def q_enrich_reviews(spark, sf):
     reviews = d.select("doc_id", content.alias("review_content"), score.alias("score"))
     translations = d.where(F.col("lang") == "de").select("text", F.upper("text").alias("en"))
     labels = RV.topic_autolabel(RV.topics_table(spark, TEST_TOPICS), RV.keywords_table(spark))
-    out = I.enrich_reviews(reviews, "doc_id", lexicon=F.broadcast(lexicon_df(spark)), topics=TEST_TOPICS,
-                           topic_labels=labels, translations=translations, lemmas=TEST_LEMMAS,
+    out = I.enrich_reviews(reviews, "doc_id", lexicon=lexicon_df(spark), topics=RV.topics_table(spark, TEST_TOPICS),
+                           topic_labels=labels, translations=translations, lemmas=lemmas_df(spark),
                            score_col="score", already_numeric=True)
     return out.select("doc_id", "sentiment", "label")
+
+
+@register("fit_and_enrich", _with(ENRICH_CLEAN_CTE, LEX_CTE, POL_CTE) + f"SELECT doc_id, {LABEL_SQL} AS sentiment FROM scores")
+def q_fit_and_enrich(spark, sf):
+    """T3 -> T4 -> T5 -> T7 on the fitted path; the sentiment does not depend on the topics, the label does (tested for
+    determinism)."""
+    d = read_table(spark, sf, "documents")
+    k = F.col("doc_id")
+    content = (F.when(k % 7 == 0, F.lit(T.NO_COMMENT_PLACEHOLDER)).when(k % 11 == 0, F.lit(None).cast("string"))
+               .otherwise(F.col("text")))
+    score = (F.when(k % 17 == 0, F.lit(None).cast("double")).when(k % 19 == 0, F.lit(float("nan")))
+             .otherwise((k % 101) / F.lit(10.0)))
+    reviews = d.select("doc_id", content.alias("review_content"), score.alias("score"))
+    translations = d.where(F.col("lang") == "de").select("text", F.upper("text").alias("en"))
+    out = I.fit_and_enrich(reviews, "doc_id", lexicon_df(spark), lemmas_df(spark), translations=translations,
+                           score_col="score", already_numeric=True)
+    return out.select("doc_id", "sentiment")
