@@ -26,7 +26,8 @@ def price_vnd(c: Column) -> Column:
 
 def url_path_segment(c: Column) -> Column:
     """Fourth '/'-piece of the URL path, up to its first dot ('/hotel/vn/abc.vi.html' -> 'abc')."""
-    path = F.try_parse_url(c, F.lit("PATH"))
+    # by pattern, not by a URL parser: those give NULL for blanks, braces or pipes, which links contain
+    path = F.regexp_extract(c, "(?s)^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
     seg = F.get(F.split(path, "/"), 3)
     return F.get(F.split(seg, "\\."), 0)
 

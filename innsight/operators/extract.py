@@ -1,5 +1,7 @@
 """Page -> record extraction over stored pages (DataFrame -> DataFrame).
 
+Fields are found by the marker attributes and classes they stand behind.
+
 Pages are not fetched here; they arrive as rows (page_id, url, html) and every
 step is a Spark job over them: regex extraction, JSON parsing and windowed
 row-to-room assembly, all JVM-side.
@@ -26,8 +28,25 @@ ROOM_SIZE_RE = "(?U)(\\d+\\.\\d+)\\s*m²"
 ROOM_FACILITIES_RE = "(?Us)\\d+\\.\\d+\\s*m²(.+?)Xem chi tiết phòng"
 ROOM_PRICE_RE = "(?U)(\\d{1,3}(?:\\.\\d{3})*|\\d+)\\s+VND"
 EMBEDDED_SCRIPT_RE = "(?s)<script id=\"__NEXT_DATA__\"[^>]*>(.*?)</script>"
-HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", "\""), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
-                 ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+DETAIL_BASE = "https://www.traveloka.com/vi-vn/hotel/detail?"
+REVIEW_LIST_BASE = "https://www.booking.com/reviewlist.vi.html?"
+REVIEW_LIST_PARAMS = [("type", "total"), ("lang", "vn"), ("sort", "f_recent_desc"), ("cc1", "vn"), ("dist", "1")]
+FILLERS = ["n/a", "ko", "không", "no", "nothing"]
+# Markers of the stored pages: attributes and classes that the fields stand behind.
+CARD = 'data-testid="property-card-container"'
+CARD_LINK, CARD_TITLE = 'data-testid="title-link"', 'data-testid="title"'
+CARD_PRICE, CARD_SCORE = 'data-testid="price-and-discounted-price"', 'data-testid="review-score"'
+ADDRESS_CLASS, DESCRIPTION_BOUNDARY = "hp_address_subtitle", "PropertyDescriptionDesktop"
+HIGHLIGHTS_CLASS = "aca0ade214 aaf30230d9 c2931f4182 e7d9f93f4d ed5cdd3fb3 fb5b81c565"
+PHOTOS_CLASS, PHOTO_LINK_CLASS = "nha_large_photo_main_content", "bh-photo-grid-item"
+REVIEW_COUNT_CLASS = "f13857cc8c a5cc9f664c c4b07b6aa8"
+ROW_CLASS, ROW_CELL_CLASS, ROW_LAST_CLASS = "js-rt-block-row", "hprt-table-cell", "hprt-table-last-row"
+ROW_TYPE_CLASS, ROW_FACILITY_CLASS = "hprt-roomtype-icon-link", "hprt-facilities-facility"
+ROW_PRICE_CLASS, ROW_OCCUPANCY_CLASS, BASIC_BLOCK = "bui-price-display__value", "bui-u-sr-only", "bbasic_0"
+REVIEW_LIST_CLASS, AVATAR_CLASS = "review_list", "bui-avatar__image"
+REVIEWER_CLASS, COUNTRY_CLASS = "bui-avatar-block__title", "bui-avatar-block__subtitle"
+REVIEW_DATE_CLASS, REVIEW_TITLE_CLASS = "c-review-block__date", "c-review-block__title"
+REVIEW_SCORE_CLASS, REVIEW_BODY_CLASS = "bui-review-score__badge", "c-review__body"
 # ---------------------------------------------------------------------------
 
 
@@ -47,6 +66,24 @@ def crawl_frontier(cities: DataFrame, run_date: str, en: str = "en") -> DataFram
                          F.concat(F.lit(SEARCH_BASE_2 + "spec="), form_url_encode(spec)).alias("search_url_2"))
 
 
+def detail_link(home_id: Column, homename: Column, run_date: str) -> Column:
+    """Link of one home's page for the stay (run+1, run+2); NULL without id or name."""
+    d = F.to_date(F.lit(run_date))
+    spec = F.concat(F.date_format(F.date_add(d, 1), "dd-MM-yyyy"), F.lit("."), F.date_format(F.date_add(d, 2), "dd-MM-yyyy"),
+                    F.lit(".1.1.HOTEL."), home_id.cast("string"), F.lit("."), homename, F.lit(".1"))
+    return F.concat(F.lit(DETAIL_BASE + "spec="), form_url_encode(spec))
+
+
+def review_list_link(pagename: Column, offset: Column, page_size: int = REVIEW_PAGE_SIZE) -> Column:
+    """Link of one page of a home's review list; ``pagename`` is the home's url segment."""
+    params = [(k, F.lit(v)) for k, v in REVIEW_LIST_PARAMS] + [
+        ("pagename", pagename), ("rows", F.lit(str(page_size))), ("offset", offset.cast("string"))]
+    pieces = []
+    for i, (k, v) in enumerate(params):
+        pieces += [F.lit(("&" if i else "") + k + "="), form_url_encode(v)]
+    return F.concat(F.lit(REVIEW_LIST_BASE), *pieces)
+
+
 def review_page_expand(homes: DataFrame, total: str = "total", page_size: int = REVIEW_PAGE_SIZE) -> DataFrame:
     """Pages 0..total div page_size (the extra empty page at exact multiples is kept)."""
     pages = F.sequence(F.lit(0), F.floor(F.col(total) / page_size).cast("int"))
@@ -74,10 +111,45 @@ def first_containing(options: DataFrame, cities: DataFrame, key: str = "city_id"
 
 # --- P7 / P8 / P10 / W8 ----------------------------------------------------------------------
 
+ENTITY_RE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _entity_names() -> dict[str, str]:
+    """Named entities of HTML 5 (closed by a semicolon), from the standard library."""
+    from html.entities import html5
+
+    return {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+
+
+def _old_code_points() -> dict[int, str]:
+    """Numbers 128-159 name characters of the Windows code page in pages, not control characters."""
+    return {i: bytes([i]).decode("cp1252") for i in range(0x80, 0xA0) if bytes([i]).decode("cp1252", "ignore")}
+
+
+def _literal_map(items: dict, key_type: str) -> Column:
+    return F.create_map(*[F.lit(x) for kv in sorted(items.items()) for x in kv]).cast(f"map<{key_type},string>")
+
+
 def decode_entities(c: Column) -> Column:
-    for ent, ch in HTML_ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """Decode named (HTML 5) and numeric entities that a semicolon closes; anything else stays as it is.
+
+    A number that is no character (0, surrogates, beyond Unicode) becomes U+FFFD.
+    """
+    names, old = _literal_map(_entity_names(), "string"), _literal_map(_old_code_points(), "int")
+
+    def point(n: Column) -> Column:
+        good = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.when(~good, F.lit("\ufffd")).otherwise(F.coalesce(F.try_element_at(old, n), utf32))
+
+    def one(e: Column) -> Column:
+        number = F.when(e.rlike("^#[xX]"), F.conv(F.substring(e, 3, 8), 16, 10)).otherwise(F.substring(e, 2, 8)).cast("int")
+        return F.when(e.startswith("#"), point(number)).otherwise(
+            F.coalesce(F.try_element_at(names, e), F.concat(F.lit("&"), e, F.lit(";"))))
+
+    decoded = F.transform(F.regexp_extract_all(c, F.lit(ENTITY_RE), F.lit(1)), one)
+    whole = F.array_join(F.zip_with(F.split(c, ENTITY_RE, -1), F.array_append(decoded, F.lit("")), lambda a, b: F.concat(a, b)), "")
+    return F.when(c.contains("&"), whole).otherwise(c)
 
 
 def html_text(c: Column) -> Column:
@@ -121,6 +193,111 @@ def card_rating(c: Column) -> Column:
     return F.replace(c, F.lit(","), F.lit("."))
 
 
+def _found(c: Column, pattern: str) -> Column:
+    """First group of the first match, NULL when there is none (``regexp_extract`` gives '')."""
+    return F.get(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), 0)
+
+
+def _class(name: str) -> str:
+    """Pattern of a tag's rest from a class attribute that holds ``name`` to the tag's end."""
+    return f'class="[^"]*{name}[^"]*"[^>]*>'
+
+
+def _text_of(c: Column, marker: str, tail: str = "") -> Column:
+    """Decoded text right behind the first tag with the marker; NULL when there is none."""
+    return decode_entities(_found(c, f"{marker}{tail}([^<]*)<"))
+
+
+def property_cards(pages: DataFrame, html: str = "html") -> DataFrame:
+    """P7 over search pages: one row per property card: pos, homename, cheapest_price, rating, link.
+
+    A card without a price or rating has NULL there; a page without cards gives no row.
+    """
+    pieces = F.slice(F.split(F.col(html), CARD, -1), 2, 1_000_000)
+    cards = pages.select(*[c for c in pages.columns if c != html], F.posexplode(pieces).alias("pos", "_c"))
+    c = F.col("_c")
+    tag = _found(c, f"(<a[^>]*{CARD_LINK}[^>]*>)")
+    return cards.select(
+        *[x for x in cards.columns if x != "_c"], py_strip(_text_of(c, f"{CARD_TITLE}[^>]*>")).alias("homename"),
+        card_price(_text_of(c, f"{CARD_PRICE}[^>]*>")).alias("cheapest_price"),
+        card_rating(_text_of(c, f"{CARD_SCORE}[^>]*>\\s*<div[^>]*>")).alias("rating"),
+        decode_entities(_found(tag, 'href="([^"]*)"')).alias("link"))
+
+
+def property_page(pages: DataFrame, html: str = "html") -> DataFrame:
+    """P8 over property pages: address, description, property_highlights, images, total_reviews.
+
+    Texts are decoded and trimmed; what a page lacks is NULL, lists are empty.
+    ``total_reviews`` is the number in the second counter of the page (NULL: none announced).
+    """
+    from innsight.functions.parse import dotted_count
+
+    h = F.col(html)
+    items = F.regexp_extract_all(_found(h, f'(?s)<ul class="{HIGHLIGHTS_CLASS}"[^>]*>(.*?)</ul>'), F.lit("(?s)<li[^>]*>(.*?)</li>"), F.lit(1))
+    first_text = lambda x: py_strip(decode_entities(F.regexp_extract(x, "(?s)^(?:\\s*<[^>]*>)*([^<]*)", 1)))
+    photos = _found(h, f"(?s){_class(PHOTOS_CLASS)}(.*)")
+    images = F.regexp_extract_all(photos, F.lit(f'<a[^>]*{_class(PHOTO_LINK_CLASS)}\\s*<img[^>]*src="([^"]*)"'), F.lit(1))
+    counters = F.regexp_extract_all(h, F.lit(f'class="{REVIEW_COUNT_CLASS}"[^>]*>([^<]*)<'), F.lit(1))
+    empty = F.array().cast("array<string>")
+    return pages.select(
+        *[c for c in pages.columns if c != html],
+        py_strip(_text_of(h, _class(ADDRESS_CLASS))).alias("address"),
+        py_strip(_text_of(h, f"(?s){DESCRIPTION_BOUNDARY}\"[^>]*>.*?<p[^>]*>")).alias("description"),
+        F.coalesce(F.transform(items, first_text), empty).alias("property_highlights"),
+        F.coalesce(F.transform(images, decode_entities), empty).alias("images"),
+        dotted_count(F.get(counters, 1)).alias("total_reviews"))
+
+
+def review_rows(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Review-list pages -> one row per review: pos, user_name, user_country, review_date, review_title, review_score, review_content.
+
+    Only blocks with an avatar image are reviews. The date is a DATE (NULL if
+    it does not parse), the score keeps its text with a dot, body texts are joined by P15.
+    """
+    from innsight.functions.parse import review_date_parse
+
+    body = _found(F.col(html), f'(?s)<ul[^>]*{_class(REVIEW_LIST_CLASS)}(.*?)</ul>')
+    blocks = F.slice(F.split(body, "<li[ >]", -1), 2, 1_000_000)
+    rows = pages.select(*[c for c in pages.columns if c != html], F.posexplode(blocks).alias("pos", "_b"))
+    b = F.col("_b")
+    rows = rows.where(b.rlike(f'<img[^>]*class="[^"]*{AVATAR_CLASS}[^"]*"[^>]*src="[^"]+"'))
+    text = lambda cls: _text_of(b, _class(cls))
+    parts = F.transform(F.regexp_extract_all(b, F.lit(f"{_class(REVIEW_BODY_CLASS)}([^<]*)<"), F.lit(1)), decode_entities)
+    return rows.select(
+        *[c for c in rows.columns if c != "_b"], text(REVIEWER_CLASS).alias("user_name"), text(COUNTRY_CLASS).alias("user_country"),
+        review_date_parse(text(REVIEW_DATE_CLASS)).alias("review_date"), py_strip(text(REVIEW_TITLE_CLASS)).alias("review_title"),
+        F.replace(py_strip(text(REVIEW_SCORE_CLASS)), F.lit(","), F.lit(".")).alias("review_score"),
+        review_text_join(parts).alias("review_content"))
+
+
+def room_table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Property pages -> ordered rows of the room table, the input of :func:`row_islands`.
+
+    pos, has_cell, is_last, roomtype, roomsize (of the room-size facility, square
+    metres), facilities (without room size and privacy; NULL if the row lists none), occupancy, price.
+    """
+    pieces = F.slice(F.split(F.col(html), "<tr(?=[ >])", -1), 2, 1_000_000)
+    rows = pages.select(*[c for c in pages.columns if c != html], F.posexplode(pieces).alias("_pos", "_r"))
+    r = F.col("_r")
+    tag = F.regexp_extract(r, "^([^>]*)>", 1)
+    rows = rows.where(tag.rlike(f'class="[^"]*{ROW_CLASS}'))
+    listed = F.regexp_extract_all(r, F.lit(f'(?s)(<div[^>]*class="[^"]*{ROW_FACILITY_CLASS}[^"]*"[^>]*>.*?</div>)'), F.lit(1))
+    named = lambda x, name: x.rlike(f'^<div[^>]*data-name-en="{name}"')
+    inner = lambda x: py_strip(html_text(x))
+    size = F.get(F.filter(listed, lambda x: named(x, "room size")), 0)
+    rest = F.transform(F.filter(listed, lambda x: ~named(x, "room size") & ~named(x, "privacy")), inner)
+    block = _found(tag, 'data-block-id="([^"]*)"')
+    basic = F.get(F.split(_text_of(r, _class(ROW_PRICE_CLASS)), "\u00a0"), 1)
+    return rows.select(
+        *[c for c in rows.columns if c not in ("_pos", "_r")], F.col("_pos").alias("pos"),
+        r.rlike(f'<td[^>]*class="[^"]*{ROW_CELL_CLASS}').alias("has_cell"), tag.rlike(ROW_LAST_CLASS).alias("is_last"),
+        _text_of(r, _class(ROW_TYPE_CLASS)).alias("roomtype"),
+        F.get(F.split(inner(size), " "), 0).try_cast("int").alias("roomsize"),
+        F.when(F.size(listed) > 0, rest).alias("facilities"),
+        block_occupancy(block, _text_of(r, _class(ROW_OCCUPANCY_CLASS))).alias("occupancy"),
+        F.when(block == BASIC_BLOCK, basic).otherwise(_found(tag, 'data-hotel-rounded-price="([^"]*)"')).alias("price"))
+
+
 def last_match(c: Column, pattern: str, group: int = 1) -> Column:
     """Last of all regex matches, NULL when none."""
     return F.try_element_at(F.regexp_extract_all(c, F.lit(pattern), group), F.lit(-1))
@@ -128,21 +305,10 @@ def last_match(c: Column, pattern: str, group: int = 1) -> Column:
 
 # --- P9 / P11 / P12 ------------------------------------------------------------------------------
 
-HOTEL_SCHEMA = T.StructType([
-    T.StructField("address", T.StringType()),
-    T.StructField("userRating", T.DoubleType()),
-    T.StructField("attribute", T.StructType([T.StructField("description", T.StringType())])),
-    T.StructField("assets", T.ArrayType(T.StructType([T.StructField("url", T.StringType())]))),
-    T.StructField("hotelFacilitiesTagDisplay", T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))),
-])
 REVIEW_ITEM = T.StructType([
     T.StructField("timestamp", T.LongType()), T.StructField("reviewerName", T.StringType()),
     T.StructField("overallScore", T.DoubleType()), T.StructField("reviewText", T.StringType()),
 ])
-PAGE_DATA_SCHEMA = T.StructType([T.StructField("props", T.StructType([T.StructField("pageProps", T.StructType([
-    T.StructField("hotel", HOTEL_SCHEMA),
-    T.StructField("reviewSummary", T.StructType([T.StructField("reviewList", T.ArrayType(REVIEW_ITEM))])),
-]))]))])
 
 
 def embedded_json(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -155,7 +321,9 @@ def embedded_json(pages: DataFrame, html: str = "html") -> DataFrame:
     """
     payload = py_strip(F.regexp_extract(F.col(html), EMBEDDED_SCRIPT_RE, 1))
     clipped = F.regexp_extract(payload, "(?s)(\\{.*\\})", 1)
-    df = pages.withColumn("_v", F.try_parse_json(F.nullif(clipped, F.lit("")))).where(F.col("_v").isNotNull())
+    # through a generator, so that no later filter or projection repeats the regexes and the parse
+    parsed = F.explode_outer(F.array(F.try_parse_json(F.nullif(clipped, F.lit("")))))
+    df = pages.select(*[c for c in pages.columns if c != html], parsed.alias("_v")).where(F.col("_v").isNotNull())
 
     def get(path: str, typ) -> Column:
         t = typ if isinstance(typ, str) else typ.simpleString()
@@ -211,9 +379,6 @@ def zip_shortest(a: Column, b: Column) -> Column:
 
 # --- P15 --------------------------------------------------------------------------------------------
 
-FILLERS = ["n/a", "ko", "không", "no", "nothing"]
-
-
 def review_text_join(parts: Column, drop_fillers: bool = False) -> Column:
     """P15: '. '-join of the stripped parts.
 
@@ -229,28 +394,35 @@ def review_text_join(parts: Column, drop_fillers: bool = False) -> Column:
 # --- W4 / A4 -------------------------------------------------------------------------------------------
 
 def row_islands(rows: DataFrame, page: str = "page_id", pos: str = "pos") -> DataFrame:
-    """W4 + A4: ordered table rows -> rooms.
+    """W4 + A4: ordered table rows -> rooms (page, room, roomtype, roomsize, facilities, availables).
 
     rows: page, pos, has_cell, is_last, roomtype (of the cell, may be NULL),
-    occupancy, price. A room starts at the first cell after the previous room's
-    last-row flag; every row from there appends an availability; a cell with a
-    non-empty type sets the type (later cells overwrite); the last-row flag closes
-    the room. Rows before the first cell are ignored and a room never closed is
-    not written. Windows are per page (one page's rows).
+    occupancy, price; roomsize and facilities (of the cell, NULL when it lists
+    none) are optional. A room starts at the first cell after the previous
+    room's last-row flag; every row from there appends an availability; a cell
+    with a non-empty type sets the type and one with facilities sets size and
+    facilities (later cells overwrite); the last-row flag closes the room. Rows
+    before the first cell are ignored and a room never closed is not written.
+    Windows are per page (one page's rows).
     """
+    for c, t in (("roomsize", "int"), ("facilities", "array<string>")):
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast(t))
     w_run = Window.partitionBy(page).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
     r = rows.withColumn("room", F.coalesce(F.sum(F.col("is_last").cast("int")).over(w_run), F.lit(0)))
     w_room = Window.partitionBy(page, "room")
     r = r.withColumn("_first_cell", F.min(F.when(F.col("has_cell"), F.col(pos))).over(w_room))
     active = r.where(F.col(pos) >= F.col("_first_cell"))
     rt = py_strip(F.col("roomtype"))
+    typed, listed = F.col("has_cell") & (rt != ""), F.col("has_cell") & F.col("facilities").isNotNull()
     g = active.groupBy(page, "room").agg(
         F.max(F.col("is_last").cast("int")).alias("_closed"),
-        F.max_by(F.when(F.col("has_cell") & (rt != ""), rt), F.when(F.col("has_cell") & (rt != ""), F.col(pos))).alias("roomtype"),
+        F.max_by(F.when(typed, rt), F.when(typed, F.col(pos))).alias("roomtype"),
+        F.max_by(F.when(listed, F.struct("roomsize", "facilities")), F.when(listed, F.col(pos))).alias("_f"),
         F.array_sort(F.collect_list(F.struct(F.col(pos).alias("pos"), F.col("occupancy"), F.col("price")))).alias("_av"),
     )
     g = g.where(F.col("_closed") == 1)
-    return g.select(page, "room", "roomtype",
+    return g.select(page, "room", "roomtype", F.col("_f.roomsize").alias("roomsize"), F.col("_f.facilities").alias("facilities"),
                     F.transform("_av", lambda x: F.struct(x["occupancy"].alias("occupancy"), x["price"].alias("price"))).alias("availables"))
 
 

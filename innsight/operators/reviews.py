@@ -49,17 +49,22 @@ def with_score(df: DataFrame, col: str = "review_score", out: str = "score") ->
 
 # --- J9 -----------------------------------------------------------------------
 
+def translation_index(translations: DataFrame) -> DataFrame:
+    """translations(text, en) by a 64-bit hash of the text: the form that J9 joins."""
+    tr = translations.where(F.col("text").isNotNull()).groupBy("text").agg(F.min("en").alias("en"))
+    return tr.groupBy(F.xxhash64("text").alias("_tr_h")).agg(
+        F.map_from_entries(F.collect_list(F.struct("text", "en"))).alias("_tr_m"))
+
+
 def translation_lookup(df: DataFrame, translations: DataFrame, text_col: str = "review_content",
                        out: str = "en_review") -> DataFrame:
-    """Left equi-join to translations(text, en); untranslated text stays as is.
+    """Left equi-join to translations(text, en), or their index; untranslated text stays as is.
 
     The join key is a 64-bit hash of the text, not the text; texts with one
     hash sit in one small map, and the text itself is looked up there, so a
     chance collision changes nothing. The least translation of a text counts.
     """
-    tr = translations.where(F.col("text").isNotNull()).groupBy("text").agg(F.min("en").alias("en"))
-    tr = tr.groupBy(F.xxhash64("text").alias("_tr_h")).agg(
-        F.map_from_entries(F.collect_list(F.struct("text", "en"))).alias("_tr_m"))
+    tr = translations if "_tr_h" in translations.columns else translation_index(translations)
     j = df.withColumn("_tr_k", F.xxhash64(text_col)).join(tr, F.col("_tr_k") == F.col("_tr_h"), "left")
     return j.withColumn(out, F.coalesce(F.try_element_at("_tr_m", F.col(text_col)), F.col(text_col))).drop("_tr_k", "_tr_h", "_tr_m")
 
@@ -72,18 +77,24 @@ def clean_reviews(df: DataFrame, text_col: str = "review_content", out: str = "c
     return df.withColumn(out, T.clean_review(F.col(text_col), stop_words, lemmas))
 
 
+def lemma_index(lemmas: DataFrame) -> DataFrame:
+    """lemmas(token, lemma), one lemma a token (the least): the form that T2 joins."""
+    lem = lemmas.where(F.col("token").isNotNull() & F.col("lemma").isNotNull())
+    return lem.groupBy(F.col("token").alias("_tok")).agg(F.min("lemma").alias("_lemma"))
+
+
 def lemmatise(df: DataFrame, key: str, tokens_col: str, lemmas: DataFrame,
               out: str = "clean_review") -> DataFrame:
-    """T2 with a lemma table of any size (token, lemma).
+    """T2 with a lemma table of any size (token, lemma), or its index.
 
     ``tokens_col`` is the token array before lemmatisation (``T.review_tokens``);
     ``key`` must be unique per row. Only a row's distinct tokens are looked up,
     only those with a lemma travel on, and they come back to the row as one
     small map; the text is rebuilt in the row, in order.
     """
-    lem = lemmas.where(F.col("token").isNotNull()).groupBy(F.col("token").alias("_tok")).agg(F.min("lemma").alias("_lemma"))
+    lem = lemmas if "_lemma" in lemmas.columns else lemma_index(lemmas)
     ex = df.select(F.col(key).alias("_k"), F.explode(F.array_distinct(tokens_col)).alias("_tok"))
-    hits = ex.join(lem.where(F.col("_lemma").isNotNull()), "_tok").groupBy("_k").agg(
+    hits = ex.join(lem, "_tok").groupBy("_k").agg(
         F.map_from_entries(F.collect_list(F.struct("_tok", "_lemma"))).alias("_m"))
     res = df.join(hits, df[key] == hits["_k"], "left")
     none = F.create_map().cast("map<string,string>")
@@ -109,8 +120,14 @@ def vocabulary_top_k(df: DataFrame, text_col: str = "clean_review", k: int = 100
 
 # --- A7 / J8 / P18 --------------------------------------------------------------
 
+def lexicon_index(lexicon: DataFrame) -> DataFrame:
+    """lexicon(token, valence), one valence a token, in tenths: the form that J8 joins."""
+    return lexicon.where(F.col("token").isNotNull()).groupBy(F.col("token").alias("_tok")).agg(
+        F.coalesce(F.max(F.round(F.col("valence") * 10).cast("bigint")), F.lit(0)).alias("_v"))
+
+
 def lexicon_hits(df: DataFrame, key: str, lexicon: DataFrame, text_col: str = "clean_review") -> DataFrame:
-    """(key, n_tokens, n_known, s10, p10, n10) per row from lexicon(token, valence).
+    """(key, n_tokens, n_known, s10, p10, n10) per row from lexicon(token, valence), or its index.
 
     Tokens are joined to the lexicon by equality. Valences are read to one
     decimal place and summed as integers (s10: sum, p10: sum of v + 10 over
@@ -119,8 +136,7 @@ def lexicon_hits(df: DataFrame, key: str, lexicon: DataFrame, text_col: str = "c
     counts as 0, a NULL token is no entry. ``key`` must be unique per row.
     Only (key, token) travel; a row's tokens are summed up before the shuffle.
     """
-    lex = lexicon.where(F.col("token").isNotNull()).groupBy(F.col("token").alias("_tok")).agg(
-        F.coalesce(F.max(F.round(F.col("valence") * 10).cast("bigint")), F.lit(0)).alias("_v"))
+    lex = lexicon if "_v" in lexicon.columns else lexicon_index(lexicon)
     toks = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), " "), lambda w: F.length(w) > 0)
     ex = df.select(F.col(key), F.explode_outer(toks).alias("_tok"))
     v = F.col("_v")

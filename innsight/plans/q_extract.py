@@ -19,9 +19,20 @@ def _q(s: str) -> str:
 
 
 def _entities_sql(expr: str) -> str:
-    for ent, ch in X.HTML_ENTITIES:
-        expr = f"replace({expr}, {_q(ent)}, {_q(ch)})"
-    return expr
+    """Named and numeric entities, from the standard library's tables."""
+    from html.entities import html5
+
+    names = "MAP {" + ", ".join(f"{_q(k[:-1])}: {_q(v)}" for k, v in sorted(html5.items()) if k.endswith(";")) + "}"
+    old = "MAP {" + ", ".join(f"{i}: {_q(bytes([i]).decode('cp1252'))}" for i in range(128, 160)
+                              if bytes([i]).decode("cp1252", "ignore")) + "}"
+    num = ("CASE WHEN regexp_matches(e, '^#[xX]') THEN CAST('0x' || substr(e, 3) AS INTEGER) ELSE CAST(substr(e, 2) AS INTEGER) END")
+    point = (f"CASE WHEN {num} = 0 OR {num} > 1114111 OR {num} BETWEEN 55296 AND 57343 THEN chr(65533) "
+             f"ELSE coalesce(element_at({old}, {num})[1], chr({num})) END")
+    one = f"CASE WHEN e LIKE '#%' THEN {point} ELSE coalesce(element_at({names}, e)[1], '&' || e || ';') END"
+    ents = f"list_transform(regexp_extract_all({expr}, {_q(X.ENTITY_RE)}, 1), lambda e: {one})"
+    pieces = f"regexp_split_to_array({expr}, {_q(X.ENTITY_RE.replace('(#', '(?:#'))})"
+    whole = f"array_to_string(list_transform(list_zip({pieces}, {ents}), lambda z: coalesce(z[1], '') || coalesce(z[2], '')), '')"
+    return f"CASE WHEN contains({expr}, '&') THEN {whole} ELSE {expr} END"
 
 
 def _html_text_sql(expr: str) -> str:
@@ -68,6 +79,7 @@ def q_last_match(spark, sf):
                     X.last_match(F.col("html"), "<b>([^<]*)</b>").alias("last_bold"))
 
 
+_ODD_URL = "'https://stay.example/hotel/vn/a b{' || CAST(page_id AS VARCHAR) || '|c.vi.html?x={1}|2'"
 _HOTEL_URL = "'https://stay.example/hotel/vn/p' || CAST(page_id AS VARCHAR) || '.vi.html?aid=1'"
 
 
@@ -76,12 +88,13 @@ def _seg_sql(u: str) -> str:
     return f"split_part(string_split({path}, '/')[4], '.', 1)"
 
 
-@register("url_path_segment", f"SELECT page_id, {_seg_sql('url')} AS seg, {_seg_sql(_HOTEL_URL)} AS hotel_seg FROM pages")
+@register("url_path_segment", f"SELECT page_id, {_seg_sql('url')} AS seg, {_seg_sql(_HOTEL_URL)} AS hotel_seg, {_seg_sql(_ODD_URL)} AS odd_seg FROM pages")
 def q_url_path_segment(spark, sf):
     p = read_table(spark, sf, "pages")
     hotel = F.concat(F.lit("https://stay.example/hotel/vn/p"), F.col("page_id").cast("string"), F.lit(".vi.html?aid=1"))
+    odd = F.concat(F.lit("https://stay.example/hotel/vn/a b{"), F.col("page_id").cast("string"), F.lit("|c.vi.html?x={1}|2"))
     return p.select("page_id", PZ.url_path_segment(F.col("url")).alias("seg"),
-                    PZ.url_path_segment(hotel).alias("hotel_seg"))
+                    PZ.url_path_segment(hotel).alias("hotel_seg"), PZ.url_path_segment(odd).alias("odd_seg"))
 
 
 # --- P9 / P11 / P12 on events wrapped as pages ----------------------------------------------------
@@ -363,3 +376,161 @@ def q_row_islands(spark, sf):
 @register("collect_availabilities", "WITH " + _ROWS_SQL + " SELECT page_id, room, availables FROM rooms")
 def q_collect_availabilities(spark, sf):
     return _rooms_flat(spark, sf).select("page_id", "room", "availables")
+
+
+# --- pages built from table rows; the SQL gives the fields those pages were made of -----------------------
+
+def _esc(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&#34;"))
+
+
+def _page_of(rows, page, key, html):
+    """One page per ``page`` value: its pieces in key order (a bounded number)."""
+    g = rows.groupBy(page.alias("page_id")).agg(F.array_sort(F.collect_list(F.struct(key.alias("k"), html.alias("h")))).alias("p"))
+    return g.select("page_id", F.array_join(F.transform("p", lambda x: x["h"]), "\n").alias("body"))
+
+
+ENTITY_NAMES = [("agrave", "à"), ("ecirc", "ê"), ("ndash", "–"), ("hellip", "…"), ("Dstrok", "Đ"), ("nbsp", " "), ("NotEqualTilde", "≂̸")]
+
+
+@register("decode_entities", f"""SELECT p_partkey, 'C' || [{', '.join(_q(v) for _, v in ENTITY_NAMES)}][p_size % {len(ENTITY_NAMES)} + 1] || ' ' ||
+  chr(CAST(p_partkey * 37 % 50000 + 160 AS INTEGER)) || chr(CAST(p_partkey * 41 % 50000 + 160 AS INTEGER)) || '–' || chr(65533) || ' &bogus; & ' || p_name AS text FROM part""")
+def q_decode_entities(spark, sf):
+    p = read_table(spark, sf, "part")
+    k = F.col("p_partkey")
+    names = F.array(*[F.lit(n) for n, _ in ENTITY_NAMES])
+    text = F.concat(F.lit("C&"), F.element_at(names, (F.col("p_size") % len(ENTITY_NAMES) + 1).cast("int")), F.lit("; &#"),
+                    (k * 37 % 50000 + 160).cast("string"), F.lit(";&#x"), F.lower(F.hex(k * 41 % 50000 + 160)),
+                    F.lit(";&#150;&#xD800; &bogus; & "), F.col("p_name"))
+    return p.select("p_partkey", X.decode_entities(text).alias("text"))
+
+
+@register("property_cards", """SELECT p_partkey // 5 AS page_id, row_number() OVER (PARTITION BY p_partkey // 5 ORDER BY p_partkey) - 1 AS pos,
+  p_name || ' & ' || p_type AS homename,
+  CASE WHEN p_size % 4 <> 0 THEN replace(format('{:,}', p_partkey * 1000 + 9000), ',', '.') END AS cheapest_price,
+  CASE WHEN p_size % 3 <> 0 THEN CAST(p_size % 10 AS VARCHAR) || '.' || CAST(p_size % 7 AS VARCHAR) END AS rating,
+  '/hotel/vn/p' || CAST(p_partkey AS VARCHAR) || '.vi.html?a=1&b=2' AS link FROM part""")
+def q_property_cards(spark, sf):
+    p = read_table(spark, sf, "part")
+    k, size = F.col("p_partkey"), F.col("p_size")
+    price = F.replace(F.format_number(k * 1000 + 9000, 0), F.lit(","), F.lit("."))
+    card = F.concat(
+        F.lit('<div data-testid="property-card-container" class="c"><h3><a class="t" href="/hotel/vn/p'), k.cast("string"),
+        F.lit('.vi.html?a=1&amp;b=2" data-testid="title-link"><div data-testid="title" class="n">'),
+        _esc(F.concat(F.col("p_name"), F.lit(" & "), F.col("p_type"))), F.lit("</div></a></h3>"),
+        F.when(size % 4 != 0, F.concat(F.lit('<span class="p" data-testid="price-and-discounted-price">VND&nbsp;'), price, F.lit("</span>"))).otherwise(F.lit("")),
+        F.when(size % 3 != 0, F.concat(F.lit('<div data-testid="review-score"><div class="s">'), (size % 10).cast("string"), F.lit(","),
+                                       (size % 7).cast("string"), F.lit("</div></div>"))).otherwise(F.lit("")), F.lit("</div>"))
+    pages = _page_of(p, F.floor(k / 5), k, card).select("page_id", F.concat(F.lit("<html><body>"), "body", F.lit("</body></html>")).alias("html"))
+    return X.property_cards(pages).select(F.col("page_id").cast("bigint").alias("page_id"), F.col("pos").cast("bigint").alias("pos"),
+                                          "homename", "cheapest_price", "rating", "link")
+
+
+@register("property_page", """SELECT p_partkey AS page_id, CASE WHEN p_size % 6 <> 0 THEN 'Street ' || p_size || ' & Co' END AS address,
+  CASE WHEN p_size % 5 <> 0 THEN p_name || ' – ' || p_type END AS description,
+  CASE WHEN p_size % 3 = 0 THEN '' ELSE p_type || '|' || p_brand END AS property_highlights,
+  CASE WHEN p_size % 4 = 0 THEN '' ELSE 'img/' || CAST(p_partkey AS VARCHAR) || '?w=1&h=2|img/b' END AS images,
+  CASE WHEN p_size % 7 <> 0 THEN CAST(p_partkey * 17 AS INTEGER) END AS total_reviews FROM part""")
+def q_property_page(spark, sf):
+    p = read_table(spark, sf, "part")
+    k, size, s = F.col("p_partkey").cast("string"), F.col("p_size"), F.lit
+    part = lambda cond, *cols: F.when(cond, F.concat(*cols)).otherwise(s(""))
+    html = F.concat(
+        s("<html><body>"),
+        part(size % 6 != 0, s('<span class="x hp_address_subtitle y">\n Street '), size.cast("string"), s(" &amp; Co\n</span>")),
+        part(size % 5 != 0, s('<div data-capla-component-boundary="b-property-web-property-page/PropertyDescriptionDesktop"><div><p class="d"> '),
+             _esc(F.col("p_name")), s(" &ndash; "), _esc(F.col("p_type")), s(" </p><p>more</p></div></div>")),
+        part(size % 3 != 0, s(f'<ul class="{X.HIGHLIGHTS_CLASS}"><li><div> '), _esc(F.col("p_type")), s("</div></li>\n<li> "), _esc(F.col("p_brand")), s(" <b>x</b></li></ul>")),
+        s('<ul><li>other</li></ul><a class="bh-photo-grid-item"><img src="before"></a>'),
+        part(size % 4 != 0, s('<div class="nha_large_photo_main_content"><a href="#" class="bh-photo-grid-item big"><img alt="" src="img/'), k,
+             s('?w=1&amp;h=2"></a>\n<a class="bh-photo-grid-item">\n<img src="img/b"></a></div>')),
+        part(size % 7 != 0, s(f'<span class="{X.REVIEW_COUNT_CLASS}">7,1</span><span class="{X.REVIEW_COUNT_CLASS}"> '),
+             F.replace(F.format_number(F.col("p_partkey") * 17, 0), s(","), s(".")), s(" đánh giá</span>")), s("</body></html>"))
+    out = X.property_page(p.select(F.col("p_partkey").alias("page_id"), html.alias("html")))
+    return out.select("page_id", "address", "description", F.array_join("property_highlights", "|").alias("property_highlights"),
+                      F.array_join("images", "|").alias("images"), "total_reviews")
+
+
+@register("review_rows", """SELECT p_partkey // 5 AS page_id, p_name AS user_name, CASE WHEN p_size % 3 <> 0 THEN p_brand END AS user_country,
+  CAST(CASE WHEN p_size % 9 <> 0 THEN make_date(2023, CAST(p_size % 12 + 1 AS BIGINT), CAST(p_size % 28 + 1 AS BIGINT)) END AS VARCHAR) AS review_date,
+  CASE WHEN p_size % 4 <> 0 THEN p_type || ' & more' END AS review_title,
+  CASE WHEN p_size % 5 <> 0 THEN CAST(p_size % 10 AS VARCHAR) || '.5' END AS review_score,
+  CASE WHEN p_size % 8 = 0 THEN '' ELSE p_name || '. n/a' END AS review_content
+FROM part WHERE p_size % 10 <> 0""")
+def q_review_rows(spark, sf):
+    p = read_table(spark, sf, "part")
+    k, size, s = F.col("p_partkey"), F.col("p_size"), F.lit
+    part = lambda cond, *cols: F.when(cond, F.concat(*cols)).otherwise(s(""))
+    day = F.make_date(s(2023), (size % 12 + 1).cast("int"), (size % 28 + 1).cast("int"))
+    date = F.when(size % 9 == 0, s("yesterday")).otherwise(F.date_format(day, "d MMMM yyyy"))
+    block = F.concat(
+        s('<li class="review">'), part(size % 10 != 0, s('<img class="bui-avatar__image x" src="u.png">')),
+        s('<div class="bui-avatar-block__text"><span class="bui-avatar-block__title">'), _esc(F.col("p_name")), s("</span>"),
+        part(size % 3 != 0, s('<span class="bui-avatar-block__subtitle">'), _esc(F.col("p_brand")), s("</span>")),
+        s('</div><div class="c-review-block__row"><span class="c-review-block__date">Reviewed: '), date, s("</span>"),
+        part(size % 4 != 0, s('<h3 class="c-review-block__title">\n'), _esc(F.col("p_type")), s(" &amp; more </h3>")),
+        part(size % 5 != 0, s('<div class="bui-review-score__badge"> '), (size % 10).cast("string"), s(",5 </div>")),
+        part(size % 8 != 0, s('<div class="c-review"><span class="c-review__body"> '), _esc(F.col("p_name")),
+             s('</span><span class="c-review__body" lang="x">n/a </span></div>')), s("</div></li>"))
+    pages = _page_of(p, F.floor(k / 5), k, block).select(
+        F.col("page_id").cast("bigint").alias("page_id"), F.concat(s('<ul class="review_list">'), "body", s("</ul><ul><li>x</li></ul>")).alias("html"))
+    r = X.review_rows(pages)
+    return r.select("page_id", "user_name", "user_country", F.col("review_date").cast("string").alias("review_date"), "review_title",
+                    "review_score", "review_content")
+
+
+def _room_pages(spark, sf):
+    c = read_table(spark, sf, "conversations")
+    n, user, s = F.length("text"), F.col("role") == "user", F.lit
+    word = F.get(F.split(py_strip(F.col("text")), " "), 0)
+    last = (F.col("role") == "assistant") & (n % 3 != 0)
+    basic = n % 7 == 0
+    occ = (n % 4 + 1).cast("string")
+    part = lambda cond, *cols: F.when(cond, F.concat(*cols)).otherwise(s(""))
+    row = F.concat(
+        s('<tr class="js-rt-block-row'), part(last, s(" hprt-table-last-row")), s('" data-block-id="'),
+        F.when(basic, s("bbasic_0")).otherwise(F.concat(s("b_1_"), occ, s("_0"))), s('"'),
+        part(~basic, s(' data-hotel-rounded-price="'), (n * 1000).cast("string"), s('"')), s(">"),
+        part(user, s('<td class="hprt-table-cell"><a class="hprt-roomtype-link"><span class="hprt-roomtype-icon-link"> '), _esc(word), s(" </span></a>"),
+             part(n % 5 != 0, s('<div class="hprt-facilities-facility" data-name-en="room size"><span>'), (n % 60).cast("string"),
+                  s(' m²</span></div><div class="hprt-facilities-facility" data-name-en="privacy"><span>Private</span></div>'
+                    '<div class="hprt-facilities-facility"><span>Wifi &amp; TV</span></div><div class="hprt-facilities-facility">f'),
+                  (n % 3).cast("string"), s("</div>")), s("</td>")),
+        part(basic, s('<div class="wholesalers_table__occupancy__icons jq_tooltip"><span class="bui-u-sr-only">Max people: '), occ,
+             s('</span></div><div class="bui-price-display__value">VND '), (n * 1000).cast("string"), s("</div>")), s("</tr>"))
+    pages = _page_of(c, F.col("conv_id"), F.col("turn"), row)
+    return pages.select("page_id", F.concat(s("<table><tr class=\"head\"><th>x</th></tr>"), "body", s("</table>")).alias("html"))
+
+
+@register("room_table_rows", "WITH " + _ROWS_SQL.replace("AS price FROM conversations)", """AS price,
+    CASE WHEN role = 'user' AND length(text) % 5 <> 0 THEN length(text) % 60 END AS roomsize,
+    CASE WHEN role = 'user' AND length(text) % 5 <> 0 THEN 'Wifi & TV|f' || CAST(length(text) % 3 AS VARCHAR) END AS facilities
+    FROM conversations)""").replace("    string_agg(", """    arg_max(roomsize, pos) FILTER (WHERE has_cell AND facilities IS NOT NULL) AS roomsize,
+    arg_max(facilities, pos) FILTER (WHERE has_cell AND facilities IS NOT NULL) AS facilities,
+    string_agg(""") + " SELECT page_id, room, roomtype, CAST(roomsize AS INTEGER) AS roomsize, facilities, availables FROM rooms")
+def q_room_table_rows(spark, sf):
+    """The room table of pages, row by row, and the rooms its rows make up."""
+    r = X.row_islands(X.room_table_rows(_room_pages(spark, sf)))
+    av = F.array_join(F.transform("availables", lambda x: F.concat(x["occupancy"].cast("string"), F.lit(":"), x["price"])), "|")
+    return r.select("page_id", F.col("room").cast("bigint").alias("room"), "roomtype", "roomsize",
+                    F.array_join("facilities", "|").alias("facilities"), av.alias("availables"))
+
+
+def _links_sql() -> str:
+    def enc(x: str) -> str:
+        return f"replace(url_encode({x}), '%20', '+')"
+    spec = (f"strftime(DATE '{RUN_DATE}' + 1, '%d-%m-%Y') || '.' || strftime(DATE '{RUN_DATE}' + 2, '%d-%m-%Y') || "
+            "'.1.1.HOTEL.' || CAST(p_partkey AS VARCHAR) || '.' || p_name || ' & ' || p_type || '.1'")
+    params = " || ".join([_q("&".join(f"{k}={v}" for k, v in X.REVIEW_LIST_PARAMS)), "'&pagename='", enc("p_name"), "'&rows=25&offset='",
+                          "CAST(p_size * 25 AS VARCHAR)"])
+    return (f"SELECT p_partkey, {_q(X.DETAIL_BASE)} || 'spec=' || {enc(spec)} AS detail_link, "
+            f"{_q(X.REVIEW_LIST_BASE)} || {params} AS review_link FROM part")
+
+
+@register("page_links", _links_sql())
+def q_page_links(spark, sf):
+    """Links of a home's page (P3) and of a page of its review list."""
+    p = read_table(spark, sf, "part")
+    name = F.concat("p_name", F.lit(" & "), "p_type")
+    return p.select("p_partkey", X.detail_link(F.col("p_partkey"), name, RUN_DATE).alias("detail_link"),
+                    X.review_list_link(F.col("p_name"), F.col("p_size") * 25).alias("review_link"))

@@ -41,6 +41,19 @@ def q_scan_entity(spark, sf):
     return out.select("source", "id", "homename", "rating", "url")
 
 
+@register("read_json_entity", """SELECT 'x' AS source, CAST(p_partkey AS VARCHAR) AS id, p_partkey AS seq, p_name AS homename,
+  p_type AS vn, CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS rating, NULL::VARCHAR AS address FROM part""")
+def q_read_json_entity(spark, sf):
+    """S1 from JSON lines with the declared schema: absent fields are NULL."""
+    p = read_table(spark, sf, "part")
+    path = scratch_path(spark, "homes-json")
+    p.select(F.col("p_partkey").cast("string").alias("id"), F.col("p_partkey").alias("seq"), F.col("p_name").alias("homename"),
+             F.struct(F.lit("e").alias("en"), F.col("p_type").alias("vn")).alias("city"),
+             F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string")).alias("rating")).write.json(path)
+    h = S.read_json_entity(spark, path, S.HOME_SCHEMA, "x")
+    return h.select("source", "id", "seq", "homename", "city.vn", "rating", "address")
+
+
 @register("city_dimension", """SELECT n_nationkey AS ord, n_name AS vn, lower(n_name) AS en FROM nation
 UNION ALL SELECT (SELECT count(*) FROM nation), n_name, lower(n_name) FROM nation WHERE n_nationkey = 0""")
 def q_city_dimension(spark, sf):
@@ -130,40 +143,37 @@ PAGE_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructFiel
                             T.StructField("page", T.LongType()), T.StructField("n_reviews", T.LongType())])
 
 
-@register("stream_complete_homes", "WITH " + _HOMES_SQL + """
-SELECT h.conv_id, h.announced, arr.arrived FROM h JOIN arr USING (conv_id)
-WHERE h.announced IS NOT NULL AND arr.arrived = h.announced""")
-def q_stream_complete_homes(spark, sf):
-    """R1 over review pages (two turns per page) written as four files in arrival order."""
-    c = read_table(spark, sf, "conversations")
-    ann = c.groupBy("conv_id").agg((F.max("turn") + 1).cast("bigint").alias("announced")).where(F.col("conv_id") % 10 != 0)
-    pages = (c.withColumn("page", F.floor(F.col("turn") / 2).cast("bigint"))
-             .groupBy("conv_id", "page").agg(F.count(F.when(F.col("role") != "system", 1)).cast("bigint").alias("n_reviews")))
-    pages = pages.join(ann, "conv_id").select("conv_id", "announced", "page", "n_reviews")
-    src = scratch_path(spark, "review-pages")
-    # arrival order: later pages first, spread over four files
-    pages.repartition(4, (F.col("page") * 7 + F.col("conv_id")) % 4).write.mode("overwrite").parquet(src)
-    return ST.stream_complete_homes(spark, src, PAGE_SCHEMA, key="conv_id", max_files=1)
+_RELEASED_SQL = "WITH " + _HOMES_SQL + """
+SELECT h.conv_id, h.announced, CASE WHEN h.announced IS NOT NULL THEN coalesce(arr.arrived, 0) END AS arrived
+FROM h LEFT JOIN arr USING (conv_id) WHERE h.announced IS NULL OR coalesce(arr.arrived, 0) = h.announced"""
 
 
 def _review_pages(spark, sf):
+    """Review pages (two turns a page) of all homes as files in arrival order: later pages first, spread over four
+    files, then the empty last page of every home (P4) in a fifth. A tenth of the homes announces no total."""
     c = read_table(spark, sf, "conversations")
-    ann = c.groupBy("conv_id").agg((F.max("turn") + 1).cast("bigint").alias("announced")).where(F.col("conv_id") % 10 != 0)
+    total = F.when(F.col("conv_id") % 10 == 0, F.lit(None)).otherwise(F.max("turn") + 1).cast("bigint")
+    ann = c.groupBy("conv_id").agg(total.alias("announced"), F.max("turn").alias("last"))
     pages = (c.withColumn("page", F.floor(F.col("turn") / 2).cast("bigint"))
              .groupBy("conv_id", "page").agg(F.count(F.when(F.col("role") != "system", 1)).cast("bigint").alias("n_reviews")))
     pages = pages.join(ann, "conv_id").select("conv_id", "announced", "page", "n_reviews")
+    empty = ann.select("conv_id", "announced", (F.floor(F.col("last") / 2) + 1).cast("bigint").alias("page"), F.lit(0).cast("bigint").alias("n_reviews"))
     src = scratch_path(spark, "review-pages")
     pages.repartition(4, (F.col("page") * 7 + F.col("conv_id")) % 4).write.mode("overwrite").parquet(src)
+    empty.coalesce(1).write.mode("append").parquet(src)
     return src
 
 
-@register("stream_complete_homes_expiring", "WITH " + _HOMES_SQL + """
-SELECT h.conv_id, h.announced, arr.arrived FROM h JOIN arr USING (conv_id)
-WHERE h.announced IS NOT NULL AND arr.arrived = h.announced""")
+@register("stream_complete_homes", _RELEASED_SQL)
+def q_stream_complete_homes(spark, sf):
+    """Every home is released once, those without a total too, also with an empty page after the release."""
+    return ST.stream_complete_homes(spark, _review_pages(spark, sf), PAGE_SCHEMA, key="conv_id", max_files=1)
+
+
+@register("stream_complete_homes_expiring", _RELEASED_SQL)
 def q_stream_complete_homes_expiring(spark, sf):
     """R1 with bounded state (per-home state removed on release, expired when idle)."""
-    return ST.stream_complete_homes_expiring(spark, _review_pages(spark, sf), PAGE_SCHEMA, key="conv_id",
-                                             max_files=1)
+    return ST.stream_complete_homes_expiring(spark, _review_pages(spark, sf), PAGE_SCHEMA, key="conv_id", max_files=1)[0]
 
 
 # --- R2 ----------------------------------------------------------------------------------------------
@@ -190,8 +200,8 @@ def q_stream_enrich_reviews(spark, sf):
         .repartition(4, "doc_id").write.mode("overwrite").parquet(src)
     base = d.select("doc_id", "lang", F.lit(None).cast("string").alias("sentiment"), F.lit(None).cast("string").alias("label"))
     labels = RV.topic_autolabel(RV.topics_table(spark, QT.TEST_TOPICS), RV.keywords_table(spark))
-    kwargs = dict(lexicon=QT.lexicon_df(spark), topics=QT.TEST_TOPICS, topic_labels=labels,
+    kwargs = dict(lexicon=QT.lexicon_df(spark), topics=RV.topics_table(spark, QT.TEST_TOPICS), topic_labels=labels,
                   translations=d.where(F.col("lang") == "de").select("text", F.upper("text").alias("en")),
-                  lemmas=QT.TEST_LEMMAS, score_col="score", already_numeric=True)
+                  lemmas=QT.lemmas_df(spark), score_col="score", already_numeric=True)
     out = ST.stream_enrich_reviews(spark, src, REVIEW_FILE_SCHEMA, base, "doc_id", kwargs, max_files=1)
     return out.select("doc_id", "lang", "sentiment", "label")

@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innsight.session import scratch_path
-
 CITY = T.StructType([T.StructField("vn", T.StringType()), T.StructField("en", T.StringType())])
 
 HOME_SCHEMA = T.StructType([
@@ -101,8 +99,3 @@ def write_document_tables(docs: DataFrame, reviews: DataFrame, path: str, fmt: s
     write_documents(docs, f"{path}/documents", fmt)
     (reviews.sortWithinPartitions("pass", "anchor_id", "seq")
      .write.mode("overwrite").partitionBy("source").format(fmt).save(f"{path}/reviews"))
-
-
-def fresh_table_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared checkpoint folder (never a machine-local temp dir)."""
-    return scratch_path(spark, name)

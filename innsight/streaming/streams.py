@@ -1,14 +1,16 @@
 """Structured Streaming forms of the incremental operators.
 
-R1 stream_complete_homes: review pages arrive in any order, each carrying the
-home, its announced total and the number of reviews on the page; a stateful
-aggregate (sum per home) releases the home when the sum reaches the total.
-R2 stream_enrich_reviews: new reviews are enriched statelessly with a fitted
-topic summary and upserted by key.
-
-Both use ``trigger(availableNow=True)`` and sinks that are idempotent per
-micro-batch id (each batch overwrites its own folder), so a replayed batch after
-a failure writes the same rows again instead of adding duplicates.
+R1: review pages arrive in any order, each with its home, the home's announced
+total and the number of reviews on the page; a home is released when its sum
+reaches the total, at once if no total is announced.
+R2: new reviews are enriched statelessly and upserted by key.
+
+All run with ``trigger(availableNow=True)``. The caller names the checkpoint
+and output folders: a later call with the same two goes on where the last one
+stopped (only new files are read, state is kept), also after a crash. Sinks
+overwrite one folder per micro-batch, so a replayed batch writes the same rows
+again, and readers take one row per key. Without folders given, a run is a
+one-off below the session's scratch folder.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innsight.operators import incremental as I
-from innsight.session import scratch_path
+from innsight.operators import reviews as RV
+from innsight.session import scratch_path, written
 
 # Files read per micro-batch: large enough that a backlog is a few big batches,
 # small enough that one batch's state update and commit stay bounded.
@@ -31,87 +34,95 @@ def _batch_sink(path: str):
     return write
 
 
-def stream_complete_homes(spark: SparkSession, pages_dir: str, schema: T.StructType, key: str = "home",
-                          announced: str = "announced", n: str = "n_reviews", max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Run the release stream over the page files in ``pages_dir``; return released homes.
+def _read_sink(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows that any batch wrote, with the ``batch`` they came in; none if no batch has been written yet."""
+    schema = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
-    The state is one running sum per home (bounded by the number of homes in
-    flight); homes are released once, when the sum first equals the total.
-    """
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
-    agg = src.groupBy(key, announced).agg(F.sum(n).cast("bigint").alias("arrived"))
-    released = agg.where(F.col("arrived") == F.col(announced))
-    out = scratch_path(spark, "released")
-    ckpt = scratch_path(spark, "released-ckpt")
-    q = (released.writeStream.outputMode("update").option("checkpointLocation", ckpt)
-         .foreachBatch(_batch_sink(out)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    res_schema = T.StructType([schema[key], schema[announced], T.StructField("arrived", T.LongType())])
-    try:
-        return spark.read.schema(res_schema).parquet(out).select(key, announced, "arrived")
-    except Exception:  # no batch released anything
-        return spark.createDataFrame([], res_schema)
 
+def _folders(spark: SparkSession, name: str, out_dir: str | None, checkpoint_dir: str | None) -> tuple[str, str]:
+    if (out_dir is None) != (checkpoint_dir is None):
+        raise ValueError("give both folders, or none for a one-off run")
+    return out_dir or scratch_path(spark, name), checkpoint_dir or scratch_path(spark, f"{name}-ckpt")
 
-def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.StructType, base: DataFrame, key: str,
-                          enrich_kwargs: dict, cols=("sentiment", "label"), max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """R2: enrich every new review file and upsert (key) the result into ``base``.
 
-    Each micro-batch writes its enriched rows to its own folder; the upsert (S5)
-    takes the latest batch per key, so replays and re-runs are idempotent.
-    """
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(reviews_dir)
-    out = scratch_path(spark, "enriched")
-    ckpt = scratch_path(spark, "enriched-ckpt")
+def _once(rows: DataFrame, key: str, announced: str) -> DataFrame:
+    """One row per released home, whatever was replayed or reached the total again with an empty page."""
+    return rows.groupBy(key).agg(F.min(announced).alias(announced), F.min("arrived").alias("arrived"))
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        enriched = I.enrich_reviews(batch, key, **enrich_kwargs).select(key, *cols)
-        enriched.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/b={batch_id}")
 
-    q = src.writeStream.option("checkpointLocation", ckpt).foreachBatch(per_batch).trigger(availableNow=True).start()
+def stream_complete_homes(spark: SparkSession, pages_dir: str, schema: T.StructType, key: str = "home",
+                          announced: str = "announced", n: str = "n_reviews", max_files: int = MAX_FILES_PER_TRIGGER,
+                          out_dir: str | None = None, checkpoint_dir: str | None = None) -> DataFrame:
+    """R1 as a streaming aggregate: (key, announced, arrived) of every home released so far, once each.
+
+    The state is one running sum per home. Homes without an announced total
+    are released with their first page and carry a NULL ``arrived``. A page of
+    no reviews after the release (P4 produces one at multiples of the page
+    size) releases nothing anew. Use the expiring form where homes that never complete must not stay in the state.
+    """
+    out, ckpt = _folders(spark, "released", out_dir, checkpoint_dir)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
+    total, arrived = F.col(announced), F.col("arrived")
+    agg = src.groupBy(key).agg(F.max(announced).cast("bigint").alias(announced), F.sum(n).cast("bigint").alias("arrived"))
+    released = agg.where(total.isNull() | (arrived == total)).withColumn("arrived", F.when(total.isNotNull(), arrived))
+    q = (released.writeStream.outputMode("update").option("checkpointLocation", ckpt)
+         .foreachBatch(_batch_sink(out)).trigger(availableNow=True).start())
     q.awaitTermination()
-    ups = spark.read.parquet(out)
-    latest = ups.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("_batch")).alias("_u")).select(key, "_u.*")
-    return I.keyed_upsert(base, latest, key, list(cols))
+    shape = T.StructType([schema[key], T.StructField(announced, T.LongType()), T.StructField("arrived", T.LongType())])
+    return _once(_read_sink(spark, out, shape), key, announced)
 
 
 def stream_complete_homes_expiring(spark: SparkSession, pages_dir: str, schema: T.StructType, key: str = "home",
                                    announced: str = "announced", n: str = "n_reviews", max_files: int = MAX_FILES_PER_TRIGGER,
-                                   idle_timeout_ms: int = 3_600_000) -> DataFrame:
-    """R1 with bounded state: one (arrived, announced) state per home in flight.
-
-    The state of a home is removed when it is released and expires when no page
-    of it arrived for ``idle_timeout`` (processing time), so homes that never
-    complete do not keep state forever. Released homes equal the plain form.
+                                   idle_timeout_ms: int = 3_600_000, out_dir: str | None = None,
+                                   checkpoint_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """R1 with bounded state: (released homes, expired homes).
+
+    One (arrived, announced) state per home in flight, removed on release. A
+    home that no page reached for ``idle_timeout_ms`` (processing time) leaves
+    the state for the expired table with the count reached so far: (key,
+    announced, arrived, batch); its later pages count anew. Released homes are those of the plain form.
     """
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    out_schema = T.StructType([T.StructField(key, schema[key].dataType), T.StructField(announced, T.LongType()),
-                               T.StructField("arrived", T.LongType())])
+    shape = T.StructType([T.StructField(key, schema[key].dataType), T.StructField(announced, T.LongType()),
+                          T.StructField("arrived", T.LongType())])
+    made = T.StructType([*shape.fields, T.StructField("expired", T.BooleanType())])
     state_schema = T.StructType([T.StructField("arrived", T.LongType()), T.StructField("announced", T.LongType())])
+    columns = [key, announced, "arrived", "expired"]
+
+    def row(k, total, arrived, expired):
+        return pd.DataFrame([(k[0], total, arrived, expired)], columns=columns).astype({announced: "Int64", "arrived": "Int64"})
 
     def release(k, pdfs, state):
         if state.hasTimedOut:
+            arrived, total = state.get
             state.remove()
+            yield row(k, total, arrived, True)
             return
         arrived, total = state.get if state.exists else (0, None)
         for pdf in pdfs:
-            arrived += int(pdf[n].sum())
-            total = int(pdf[announced].iloc[0])
-        if total is not None and arrived == total:
+            arrived += int(pdf[n].fillna(0).sum())
+            seen = pdf[announced].dropna()
+            if len(seen):
+                total = int(seen.max()) if total is None else max(total, int(seen.max()))
+        if total is None or arrived == total:
             if state.exists:
                 state.remove()
-            yield pd.DataFrame({key: [k[0]], announced: [total], "arrived": [arrived]})
+            yield row(k, total, None if total is None else arrived, False)
         else:
             state.update((arrived, total))
             state.setTimeoutDuration(int(idle_timeout_ms))
 
+    out, ckpt = _folders(spark, "released-ttl", out_dir, checkpoint_dir)
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
     rel = src.select(key, announced, n).groupBy(key).applyInPandasWithState(
-        release, out_schema, state_schema, "append", GroupStateTimeout.ProcessingTimeTimeout)
-    out = scratch_path(spark, "released-ttl")
-    ckpt = scratch_path(spark, "released-ttl-ckpt")
+        release, made, state_schema, "append", GroupStateTimeout.ProcessingTimeTimeout)
     # Pending timeouts make a query run no-data batches forever, so an
     # availableNow run would not end; this query runs without them (the
     # streaming query snapshots the session conf at start) and timeouts fire
@@ -125,7 +136,37 @@ def stream_complete_homes_expiring(spark: SparkSession, pages_dir: str, schema:
     finally:
         spark.conf.set(key_conf, before)
     q.awaitTermination()
-    try:
-        return spark.read.schema(out_schema).parquet(out).select(key, announced, "arrived")
-    except Exception:  # nothing released
-        return spark.createDataFrame([], out_schema)
+    rows = _read_sink(spark, out, made)
+    expired = rows.where("expired").groupBy(key, "batch").agg(F.max(announced).alias(announced), F.max("arrived").alias("arrived"))
+    return _once(rows.where("not expired"), key, announced), expired.select(key, announced, "arrived", "batch")
+
+
+def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.StructType, base: DataFrame, key: str,
+                          enrich_kwargs: dict, cols=("sentiment", "label"), max_files: int = MAX_FILES_PER_TRIGGER,
+                          out_dir: str | None = None, checkpoint_dir: str | None = None) -> DataFrame:
+    """R2: enrich every new review file and upsert (key) the result into ``base``.
+
+    Parameter tables (lexicon, lemmas, translations, labels) are brought into
+    the form that joins need once, before the stream starts. Each micro-batch
+    writes its enriched rows to its own folder, one row per key (of rows with
+    one key in a batch, the greatest); the upsert (S5) takes the latest batch per key.
+    """
+    out, ckpt = _folders(spark, "enriched", out_dir, checkpoint_dir)
+    kwargs = dict(enrich_kwargs)
+    for name, index in (("lexicon", RV.lexicon_index), ("lemmas", RV.lemma_index), ("translations", RV.translation_index)):
+        if isinstance(kwargs.get(name), DataFrame):
+            kwargs[name] = written(index(kwargs[name]), name)
+    kwargs["topics"] = RV.topic_lists(kwargs["topics"])
+    if isinstance(kwargs.get("topic_labels"), DataFrame):
+        kwargs["topic_labels"] = written(kwargs["topic_labels"], "labels")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(reviews_dir)
+    rest = [c for c in src.columns if c != key]
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        one = batch.groupBy(key).agg(F.max(F.struct(*rest)).alias("_r")).select(key, "_r.*")
+        I.enrich_reviews(one, key, **kwargs).select(key, *cols).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = src.writeStream.option("checkpointLocation", ckpt).foreachBatch(per_batch).trigger(availableNow=True).start()
+    q.awaitTermination()
+    shape = T.StructType([schema[key], *[T.StructField(c, T.StringType()) for c in cols]])
+    return I.keyed_upsert(base, _read_sink(spark, out, shape), key, list(cols), order="batch")
