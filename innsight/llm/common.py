@@ -9,7 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innsight.session import ensure_checkpoint_dir, scratch_path
+from innsight.session import written
+
+
+#: Write once below ``spark.checkpoint.dir`` and read back: cuts the lineage.
+materialise = written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,24 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once below ``spark.checkpoint.dir`` and read it back.
-
-    Cuts the lineage: a lost executor replays nothing before this point, and
-    every later reader sees the same rows in the same files.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of narrow rows in the session's shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def key_of(col: Column) -> Column:
     """A non-null string key: null is told apart from every text."""
     return F.when(col.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), col.cast("string")))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innsight.llm.common import materialise
-from innsight.llm.components import components
+from innsight.operators.components import components
 
 #: Words of a shingle, and the least similarity as a fraction (4/5).
 WORDS, SIMILAR = 5, (4, 5)
@@ -127,8 +127,9 @@ def _paths(sets: DataFrame) -> DataFrame:
     leaves = []
     for depth in range(MOST_SPLITS + 1):
         rows = materialise(rows, "paths")
-        sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        rows = rows.join(sizes, "leaf")
+        # the key as a struct: the join shuffles both sides for itself, and a bucket with many sets can be split
+        sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.struct("leaf").alias("k"), "m")
+        rows = rows.withColumn("k", F.struct("leaf")).join(sizes, "k").drop("k")
         large = F.col("m") > BRUTE_FORCE
         if depth < MOST_SPLITS:
             large = large & (F.col("parent").isNull() | (F.col("m") <= ALIKE * F.col("parent")))
@@ -292,7 +293,8 @@ def _shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 cols = zip(*rows, strict=True) if rows else [[], []]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    texts = docs.join(wanted.select(F.col("id").alias("td")), "td", "left_semi").select("td", "t")
+    # merged at every size: what is wanted grows with the corpus, and a text with many copies can be split
+    texts = docs.join(wanted.select(F.col("id").alias("td")).hint("merge"), "td", "left_semi").select("td", "t")
     return texts.mapInArrow(run, "id binary, shingles array<long>").groupBy("id").agg(F.any_value("shingles").alias("shingles"))
 
 
@@ -334,7 +336,7 @@ def near_duplicates(texts: DataFrame, text: Column, runs: int | None = None) ->
         return list(zip(*[c.to_pylist() for c in t.columns[:5]], strict=True)) if t.num_rows else []
 
     found = materialise(_grouped(blocks, pick, "leaf long, x int, y int, own int, id binary", cand_arrow), "candidates")
-    wanted = found.select("id").distinct()
+    wanted = materialise(found.select("id").distinct(), "wanted")
     whole = materialise(_shingles(docs, wanted), "shingles")
 
     link_arrow = pa.schema([("id", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
