@@ -173,7 +173,7 @@ def q_stream_complete_homes(spark, sf):
 @register("stream_complete_homes_expiring", _RELEASED_SQL)
 def q_stream_complete_homes_expiring(spark, sf):
     """R1 with bounded state (per-home state removed on release, expired when idle)."""
-    return ST.stream_complete_homes_expiring(spark, _review_pages(spark, sf), PAGE_SCHEMA, key="conv_id", max_files=1)[0]
+    return ST.stream_complete_homes_expiring(spark, _review_pages(spark, sf), PAGE_SCHEMA, key="conv_id", max_files=1)
 
 
 # --- R2 ----------------------------------------------------------------------------------------------

@@ -79,20 +79,18 @@ def stream_complete_homes(spark: SparkSession, pages_dir: str, schema: T.StructT
 def stream_complete_homes_expiring(spark: SparkSession, pages_dir: str, schema: T.StructType, key: str = "home",
                                    announced: str = "announced", n: str = "n_reviews", max_files: int = MAX_FILES_PER_TRIGGER,
                                    idle_timeout_ms: int = 3_600_000, out_dir: str | None = None,
-                                   checkpoint_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """R1 with bounded state: (released homes, expired homes).
+                                   checkpoint_dir: str | None = None) -> DataFrame:
+    """R1 with bounded state: the released homes, those of the plain form.
 
     One (arrived, announced) state per home in flight, removed on release. A
     home that no page reached for ``idle_timeout_ms`` (processing time) leaves
-    the state for the expired table with the count reached so far: (key,
-    announced, arrived, batch); its later pages count anew. Released homes are those of the plain form.
+    the state, and a row with the count reached goes to the same sink (see
+    :func:`expired_homes`); its later pages count anew.
     """
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    shape = T.StructType([T.StructField(key, schema[key].dataType), T.StructField(announced, T.LongType()),
-                          T.StructField("arrived", T.LongType())])
-    made = T.StructType([*shape.fields, T.StructField("expired", T.BooleanType())])
+    made = _expiring_rows(schema, key, announced)
     state_schema = T.StructType([T.StructField("arrived", T.LongType()), T.StructField("announced", T.LongType())])
     columns = [key, announced, "arrived", "expired"]
 
@@ -136,9 +134,19 @@ def stream_complete_homes_expiring(spark: SparkSession, pages_dir: str, schema:
     finally:
         spark.conf.set(key_conf, before)
     q.awaitTermination()
-    rows = _read_sink(spark, out, made)
-    expired = rows.where("expired").groupBy(key, "batch").agg(F.max(announced).alias(announced), F.max("arrived").alias("arrived"))
-    return _once(rows.where("not expired"), key, announced), expired.select(key, announced, "arrived", "batch")
+    return _once(_read_sink(spark, out, made).where("not expired"), key, announced)
+
+
+def _expiring_rows(schema: T.StructType, key: str, announced: str) -> T.StructType:
+    return T.StructType([T.StructField(key, schema[key].dataType), T.StructField(announced, T.LongType()),
+                         T.StructField("arrived", T.LongType()), T.StructField("expired", T.BooleanType())])
+
+
+def expired_homes(spark: SparkSession, out_dir: str, schema: T.StructType, key: str = "home", announced: str = "announced") -> DataFrame:
+    """(key, announced, arrived, batch) of homes that left the state of the expiring form incomplete, from its sink."""
+    rows = _read_sink(spark, out_dir, _expiring_rows(schema, key, announced)).where("expired")
+    return rows.groupBy(key, "batch").agg(F.max(announced).alias(announced), F.max("arrived").alias("arrived")).select(
+        key, announced, "arrived", "batch")
 
 
 def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.StructType, base: DataFrame, key: str,

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from innsight.functions import parse as PZ
 from innsight.operators import extract as X
 from innsight.operators import incremental as I
 from innsight.streaming import streams as ST
@@ -119,3 +120,131 @@ def test_card_price_and_rating(spark):
     got = df.select(X.card_price(F.col("p")).alias("p"), X.card_rating(F.col("r")).alias("r")).collect()
     assert (got[0]["p"], got[0]["r"]) == ("509.259", "7.1")
     assert (got[1]["p"], got[1]["r"]) == (None, None)
+
+
+def test_entities_are_decoded_as_the_standard_library_does(spark):
+    import html
+    from html.entities import html5
+
+    texts = ["C&agrave; ph&ecirc; &#225; &ndash; &#x27;", "&amp;amp;", "a & b &bogus; &;", "&#8364;&#x1F389;&#128;", "&NotEqualTilde;", "", "no entity"]
+    texts += [f"<{'&' + k}>" for k in list(html5)[::23] if k.endswith(";")]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(len(texts), None)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(X.decode_entities(F.col("t"))).collect()]
+    assert got == [html.unescape(t) for t in texts] + [None]
+    odd = spark.createDataFrame([("&#0;&#xD800;&#9999999;&copy &#x41",)], "t string").select(X.decode_entities(F.col("t"))).first()[0]
+    assert odd == "���&copy &#x41"  # only what a semicolon closes
+
+
+def test_json_is_parsed_once(spark):
+    pages = spark.createDataFrame([(1, "<x>")], "page_id long, html string")
+    for df in (X.embedded_json(pages).select("address", "rating"), X.reviews_explode(X.embedded_json(pages))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("parse_json(") + plan.count("parsejson(") <= 1, plan
+
+
+def test_url_segment_of_tolerated_links(spark):
+    urls = ["/hotel/vn/a b.vi.html", "https://x.example/hotel/vn/n{1}.html?q={|}", "https://x.example/hotel/vn/p.vi.html#f", "https://x.example", "", None]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string").orderBy("i")
+    assert [r[0] for r in df.select(PZ.url_path_segment(F.col("u"))).collect()] == ["a b", "n{1}", "p", None, None, None]
+
+
+def test_last_update_of_a_key_wins(spark):
+    base = spark.createDataFrame([(1, "a", None)], "id long, lang string, label string")
+    up = spark.createDataFrame([(1, "x", 2), (1, "y", 1), (2, "z", 1), (2, "w", 1)], "id long, label string, at int")
+    got = sorted(map(tuple, I.keyed_upsert(base, up, "id", ["label"], order="at").select("id", "lang", "label").collect()))
+    assert got == [(1, "a", "x"), (2, None, "z")]
+
+
+PAGES = "home long, announced long, page long, n_reviews long"
+
+
+def _write_pages(spark, rows, path):
+    spark.createDataFrame(rows, PAGES).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_release_stream_stops_and_resumes(spark):
+    from innsight.session import scratch_path
+
+    schema = spark.createDataFrame([], PAGES).schema
+    for stream in (ST.stream_complete_homes, ST.stream_complete_homes_expiring):
+        src, out, ckpt = (scratch_path(spark, n) for n in ("resume-pages", "resume-out", "resume-ckpt"))
+        _write_pages(spark, [(1, 25, 0, 20), (2, None, 0, 3), (3, 10, 0, 10)], src)
+        first = {tuple(r) for r in stream(spark, src, schema, out_dir=out, checkpoint_dir=ckpt).collect()}
+        assert first == {(2, None, None), (3, 10, 10)}
+        # home 1 completes, homes 1 and 3 get the empty page of an exact multiple, home 2 another page
+        _write_pages(spark, [(1, 25, 1, 5), (3, 10, 1, 0), (2, None, 1, 9)], src)
+        stream(spark, src, schema, out_dir=out, checkpoint_dir=ckpt)
+        _write_pages(spark, [(1, 25, 2, 0)], src)
+        again = stream(spark, src, schema, out_dir=out, checkpoint_dir=ckpt).collect()
+        assert sorted(map(tuple, again), key=repr) == sorted([(1, 25, 25), (2, None, None), (3, 10, 10)], key=repr)
+    try:
+        ST.stream_complete_homes(spark, src, schema, out_dir=out)
+    except ValueError:
+        return
+    raise AssertionError("one folder alone is an error")
+
+
+def test_expired_homes_keep_their_count(spark):
+    import time
+
+    from innsight.session import scratch_path
+
+    schema = spark.createDataFrame([], PAGES).schema
+    src, out, ckpt = (scratch_path(spark, n) for n in ("idle-pages", "idle-out", "idle-ckpt"))
+    _write_pages(spark, [(1, 25, 0, 20)], src)
+    run = lambda: ST.stream_complete_homes_expiring(spark, src, schema, idle_timeout_ms=500, out_dir=out, checkpoint_dir=ckpt)
+    assert run().count() == 0
+    time.sleep(1.5)
+    _write_pages(spark, [(2, 1, 0, 1)], src)
+    assert [tuple(r) for r in run().collect()] == [(2, 1, 1)]
+    assert [(r["home"], r["announced"], r["arrived"]) for r in ST.expired_homes(spark, out, schema).collect()] == [(1, 25, 20)]
+
+
+def test_enrich_stream_stops_and_resumes(spark):
+    from innsight.operators import reviews as RV
+    from innsight.session import scratch_path
+
+    src, out, ckpt = (scratch_path(spark, n) for n in ("rv-files", "rv-out", "rv-ckpt"))
+    schema = spark.createDataFrame([], "id long, review_content string, score double").schema
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id long, who string")
+    kwargs = dict(lexicon=RV.local_table(spark, [("best", 3.0), ("bad", -3.0), (None, 1.0)], "token string, valence double"),
+                  topics=[(0, ["room"])], lemmas=RV.local_table(spark, [("rooms", "room")], "token string, lemma string"),
+                  score_col="score", already_numeric=True)
+    run = lambda: sorted(tuple(r) for r in ST.stream_enrich_reviews(
+        spark, src, schema, base, "id", kwargs, out_dir=out, checkpoint_dir=ckpt).select("id", "who", "sentiment").collect())
+    spark.createDataFrame([(1, "best rooms", 9.0), (1, "best rooms", 9.0)], schema).coalesce(1).write.mode("append").parquet(src)
+    assert run() == [(1, "a", "positive"), (2, "b", None)]
+    spark.createDataFrame([(1, "bad", 9.0), (3, "best", 8.0)], schema).coalesce(1).write.mode("append").parquet(src)
+    assert run() == [(1, "a", "negative"), (2, "b", None), (3, None, "positive")]
+    assert run() == [(1, "a", "negative"), (2, "b", None), (3, None, "positive")]
+
+
+def test_no_sink_no_rows(spark):
+    from innsight.session import scratch_path
+
+    schema = spark.createDataFrame([], PAGES).schema
+    src = scratch_path(spark, "never-released")
+    _write_pages(spark, [(1, 25, 0, 20)], src)
+    assert ST.stream_complete_homes(spark, src, schema).count() == 0
+
+
+def test_a_cluster_needs_its_checkpoint_folder(spark):
+    import pytest
+
+    from innsight import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())

@@ -1,59 +1,22 @@
-"""Model checks: plain-Python restatements of the resolution rules vs the Spark operators."""
+"""Resolution: golden tables, random inputs against the SQL forms, plan checks."""
 
 import random
-import re
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from innsight.functions.keys import room_keywords_sql
 from innsight.operators import resolve as R
+from innsight.plans.q_resolve import combine_ctes
+from innsight.plans.q_rooms import _PHOTOS_SQL, _facilities_sql, _of_sql, fold_ctes
 
 WORDS = ["cold ring", "old ring", "ring", "r", "co", "(x)", "a (b)", "a (b) (c)", "Phone 1", "z Phone 9",
          "ld", "o", "Cold Ring", "gold ring sđt 0912", "ring (cold)", "b"]
 HOME_SCHEMA = "source int, id bigint, seq bigint, homename string, city string"
 
 
-# --- model of the three passes -------------------------------------------------------------------
-
-def _clean(name):
-    return re.sub(r"(Phone|sđt).*", "", name).strip()
-
-
-def _needle(name):
-    m = re.match(r"^(.*?)\((.*?)\)$", name)
-    return _clean(m.group(1).strip()) if m else _clean(name)
-
-
-def model_combine(homes, sources=(1, 2, 3)):
-    by_src = {s: sorted([h for h in homes if h["source"] == s], key=lambda h: h["seq"]) for s in sources}
-
-    def search(city, name, src):
-        nd = _needle(name).lower()
-        cands = [h for h in by_src[src] if h["city"] == city and nd in h["homename"].lower()]
-        return min(cands, key=lambda h: (h["homename"].encode("utf-8"), h["id"])) if cands else None
-
-    added = []
-    out = {}
-    for p, src in enumerate(sources, start=1):
-        firsts = {}
-        for h in by_src[src]:
-            firsts.setdefault(h["homename"], h)
-        for name, anchor in sorted(firsts.items(), key=lambda kv: kv[1]["seq"]):
-            if anchor["id"] in added:
-                continue
-            ids, own = {src: anchor["id"]}, {src: True}
-            for o in sources:
-                if o == src:
-                    continue
-                m = search(anchor["city"], name, o)
-                if m is None:
-                    continue
-                ids[o] = m["id"]
-                own[o] = m["id"] not in added
-                if own[o]:
-                    added.append(m["id"])
-            out[(p, anchor["id"])] = (ids, own)
-    return out
-
+# --- the three passes on random homes, against the SQL form ----------------------------------------
 
 def _random_homes(rng, n):
     rows, used = [], set()
@@ -67,19 +30,73 @@ def _random_homes(rng, n):
     return rows
 
 
-def test_combine_matches_model(spark):
+def _sql(name, rows, schema, sql):
+    """Run DuckDB SQL over a view ``name`` of the rows."""
+    con = duckdb.connect()
+    cols = [c.split() for c in schema.split(", ")]
+    types = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "array<string>": "VARCHAR[]"}
+    con.execute(f"CREATE TABLE {name} ({', '.join(f'{c} {types[t]}' for c, t in cols)})")
+    con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(cols))})", rows)
+    out = con.execute(sql).fetchall()
+    return out, [d[0] for d in con.description]
+
+
+def test_combine_matches_sql(spark):
     rng = random.Random(7)
-    for trial in range(12):
-        homes = _random_homes(rng, rng.randrange(5, 40))
-        df = spark.createDataFrame([(h["source"], h["id"], h["seq"], h["homename"], h["city"]) for h in homes], HOME_SCHEMA)
-        got = R.combine_three_sources(df).collect()
-        want = model_combine(homes)
-        got_map = {}
-        for r in got:
-            ids = {s: r[f"id_{s}"] for s in (1, 2, 3) if r[f"id_{s}"] is not None}
-            own = {s: r[f"own_{s}"] for s in ids}
-            got_map[(r["pass"], r["anchor_id"])] = (ids, own)
-        assert got_map == want, f"trial {trial}"
+    attrs = "url string, rating string, cheapest_price string, address string, description string, property_highlights array<string>, images array<string>"
+    schema = HOME_SCHEMA + ", " + attrs
+    final, ctes = combine_ctes("homes AS (SELECT * FROM given)")
+    for trial in range(8):
+        rows = [(h["source"], h["id"], h["seq"], h["homename"], h["city"], f"u{h['id']}", None, f"{h['id']}.000",
+                 rng.choice([None, "", "a"]), rng.choice([None, "", "d"]), rng.choice([None, [], ["x"]]), rng.choice([None, [], ["i", "j"]]))
+                for h in _random_homes(rng, rng.randrange(5, 40))]
+        out = R.combine_three_sources(spark.createDataFrame(rows, schema))
+        got = out.withColumn("property_highlights", F.array_join("property_highlights", "|")).withColumn("images", F.array_join("images", "|"))
+        want, names = _sql("given", rows, schema, "WITH " + ",\n".join(ctes) + "\n" + final)
+        assert sorted(map(repr, (tuple(r[n] for n in names) for r in got.collect()))) == sorted(map(repr, want)), trial
+
+
+def test_string_ids_and_any_sources(spark):
+    """The declared schema: ids are strings, sources have names, and there may be four of them."""
+    rows = [("w", "w1", 1, "Villa", "A"), ("x", "x1", 1, "villa lux", "A"), ("y", "y1", 1, "Villa (b)", "A"), ("z", "z1", 1, "z", "A")]
+    homes = spark.createDataFrame(rows, "source string, id string, seq bigint, homename string, city string")
+    rooms = spark.createDataFrame([("w", "Villa", "r1", 1, "Suite", None, ["p"]), ("x", "villa lux", "r2", 1, "suite", ["f"], None),
+                                   ("y", "Villa (b)", "r3", 1, "Cabin", None, None)],
+                                  "source string, homename string, id string, seq bigint, roomtype string, facilities array<string>, photos array<string>")
+    reviews = spark.createDataFrame([("x", "villa lux", "v1", 1, 2.0)], "source string, homename string, id string, seq bigint, score double")
+    docs, rv = R.combined_document_tables(homes, rooms, reviews, sources=("w", "x", "y", "z"))
+    got = {r["anchor_id"]: r for r in docs.collect()}
+    assert set(got) == {"w1", "z1"}  # x1 and y1 are matched by w1
+    d = got["w1"]
+    assert (d["id_w"], d["id_x"], d["id_y"], d["id_z"]) == ("w1", "x1", "y1", None)
+    assert [(r["roomtype"], r["id_w"], r["id_x"], r["id_y"], r["id_z"], r["facilities"], r["photos"]) for r in d["rooms"]] == [
+        ("Suite", "r1", "r2", "r3", None, ["f"], ["p"])]
+    assert [tuple(r) for r in rv.select("anchor_id", "source", "id").collect()] == [("w1", "x", "v1")]
+
+
+def test_first_per_name_without_order_or_name(spark):
+    rows = [(1, 1, None, "x", "A"), (1, 2, 7, "x", "A"), (1, 3, None, "only", "A"), (1, 4, 1, None, "A")]
+    got = {(r["homename"], r["id"]) for r in R.first_per_name(spark.createDataFrame(rows, HOME_SCHEMA)).collect()}
+    assert got == {("x", 2), ("only", 3)}
+
+
+def test_equal_needles_are_verified_once(spark):
+    """5,000 anchors with one needle in a city: the verify join sees the needle once, not once per anchor."""
+    rows = [(1, i, i, f"Homestay ({i})", "A") for i in range(5000)] + [(2, 9000 + i, i, f"homestay {i}", "A") for i in range(20)]
+    m = R.best_matches(spark.createDataFrame(rows, HOME_SCHEMA))
+    got = m.where("anchor_source = 1").collect()
+    assert len(got) == 5000 and {r["match_id"] for r in got} == {9000}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        m = R.best_matches(spark.createDataFrame(rows, HOME_SCHEMA))
+        m.write.format("noop").mode("overwrite").save()
+        plan = m._jdf.queryExecution().optimizedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the join that carries the contains test reads aggregated (distinct) needles, never the anchors with their ids
+    text = plan.toString()
+    at = text.index("Contains(") if "Contains(" in text else text.index("contains")
+    assert "anchor_id" not in text[at:text.index("\n", at)]
 
 
 def test_empty_and_short_needles(spark):
@@ -99,68 +116,74 @@ def test_containment_plan_has_no_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-# --- model of the greedy room match -----------------------------------------------------------------
-
-def _key(t):
-    from innsight.functions.keys import ROOM_KEYWORDS
-
-    low = t.lower()
-    return " ".join(kw for kw, vs in ROOM_KEYWORDS if kw in low or any(v in low for v in vs))
-
-
-def model_greedy(rooms):
-    """rooms: list per source of (id, type, facilities) in stored order."""
-    added, matched = [], []
-    for si, src_rooms in enumerate(rooms):
-        for rid, rt, fac in src_rooms:
-            if rt in added:
-                continue
-            added.append(rt)
-            m = {"roomtype": rt, "ids": {si: rid}, "facilities": fac or []}
-            for oi, other in enumerate(rooms):
-                if oi == si:
-                    continue
-                for oid, ort, ofac in other:
-                    if ort in added:
-                        continue
-                    a, b = ort.lower(), rt.lower()
-                    if a in b or b in a or _key(ort) == _key(rt):
-                        m["ids"][oi] = oid
-                        if len(ofac or []) > len(m["facilities"]):
-                            m["facilities"] = ofac or []
-                        added.append(ort)
-                        break
-            matched.append(m)
-    return matched
+# --- the greedy room match, against golden tables and the SQL form ------------------------------------
 
+ROOMS = "home string, source int, id bigint, seq bigint, roomtype string, facilities array<string>, photos array<string>"
 
 TYPES = ["Deluxe Room", "deluxe room", "Phòng Deluxe", "Double Room", "Phòng đôi", "Suite", "suite king",
          "Family Room", "phòng gia đình", "Standard", "Bungalow", "Deluxe Double Room", "Giường phụ"]
 
 
-def test_greedy_matches_model(spark):
+@pytest.mark.parametrize("mode", ["reference", "merge_equal"])
+def test_greedy_matches_sql(spark, mode):
     rng = random.Random(3)
-    rows, expected = [], {}
-    rid = 0
+    rows, rid = [], 0
     for h in range(40):
-        per_src = []
         for s in (1, 2, 3):
-            lst = []
             for _ in range(rng.randrange(0, 6)):
                 rid += 1
                 fac = None if rng.random() < 0.2 else [f"f{j}" for j in range(rng.randrange(0, 4))]
-                lst.append((rid, rng.choice(TYPES), fac))
-                rows.append((f"h{h}", s, rid, rid, lst[-1][1], fac, None))
-            per_src.append(lst)
-        expected[f"h{h}"] = model_greedy(per_src)
-    df = spark.createDataFrame(rows, "home string, source int, id bigint, seq bigint, roomtype string, "
-                                     "facilities array<string>, photos array<string>")
-    got = {}
-    for r in R.greedy_room_match(df).orderBy("home", "room_ord").collect():
-        ids = {i: r[f"id_{i + 1}"] for i in range(3) if r[f"id_{i + 1}"] is not None}
-        got.setdefault(r["home"], []).append({"roomtype": r["roomtype"], "ids": ids, "facilities": list(r["facilities"])})
-    for h, want in expected.items():
-        assert got.get(h, []) == want, h
+                rows.append((f"h{h}", s, rid, rid, rng.choice(TYPES), fac, rng.choice([None, [f"p{rid}"]])))
+    df = spark.createDataFrame(rows, ROOMS)
+    got = [(r["home"], r["room_ord"], r["roomtype"], r["id_1"], r["id_2"], r["id_3"], list(r["facilities"]), list(r["photos"]))
+           for r in R.greedy_room_match(df, mode=mode).collect()]
+    keyed = f"keyed AS (SELECT *, source AS rank, lower(roomtype) AS low, {room_keywords_sql('roomtype')} AS room_key, NULL AS availables FROM given)"
+    want, _ = _sql("given", rows, ROOMS, f"""WITH RECURSIVE {keyed}, {fold_ctes('keyed', mode)}
+        SELECT home, row_number() OVER (PARTITION BY home ORDER BY n) - 1, x.t, {_of_sql(1, 'id')}, {_of_sql(2, 'id')}, {_of_sql(3, 'id')},
+        {_facilities_sql()}, {_PHOTOS_SQL} FROM folded""")
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert "Python" not in R.greedy_room_match(df, mode=mode)._jdf.queryExecution().toString()
+
+
+GOLDEN = [
+    # case variants, one source each: one room, the longest facilities, photos of the first source
+    ([(1, 1, "Suite", ["a"], ["p1"]), (2, 2, "suite", ["a", "b"], ["p2"]), (3, 3, "SUITE", None, None)],
+     [("Suite", 1, 2, 3, ["a", "b"], ["p1"])]),
+    # within a source the stored order decides which room opens first
+    ([(2, 2, "Cabin by the lake", None, ["p2"]), (1, 5, "Suite", None, ["p1"]), (1, 1, "cabin", None, ["p0"])],
+     [("cabin", 1, 2, None, [], ["p0"]), ("Suite", 5, None, None, [], ["p1"])]),
+    # a taken string is skipped in every source
+    ([(1, 1, "Deluxe Room", None, None), (2, 2, "Deluxe Room", None, None), (2, 3, "phòng deluxe", None, None)],
+     [("Deluxe Room", 1, 3, None, [], [])]),
+    # stored order decides which of two matching rooms is taken
+    ([(1, 1, "Family", None, None), (2, 3, "family b", None, None), (2, 2, "family a", None, None)],
+     [("Family", 1, 2, None, [], []), ("family b", None, 3, None, [], [])]),
+    # ties of facility lists keep the first
+    ([(1, 1, "x", ["a"], None), (2, 2, "X", ["b"], None)], [("x", 1, 2, None, ["a"], [])]),
+]
+
+
+@pytest.mark.parametrize("rooms, want", GOLDEN)
+def test_greedy_golden(spark, rooms, want):
+    df = spark.createDataFrame([("h", s, i, i, t, f, p) for s, i, t, f, p in rooms], ROOMS)
+    got = [(r["roomtype"], r["id_1"], r["id_2"], r["id_3"], list(r["facilities"]), list(r["photos"]))
+           for r in R.greedy_room_match(df).orderBy("room_ord").collect()]
+    assert got == want
+
+
+def test_greedy_equal_strings_merge_on_request(spark):
+    df = spark.createDataFrame([("h", 1, 1, 1, "Suite", None, None), ("h", 2, 2, 2, "Suite", ["a"], None), ("h", 3, 3, 3, "Cabin", None, None)], ROOMS)
+    rows = R.greedy_room_match(df, mode="merge_equal").orderBy("room_ord").collect()
+    assert [(r["roomtype"], r["id_1"], r["id_2"], r["id_3"]) for r in rows] == [("Suite", 1, 2, None), ("Cabin", None, None, 3)]
+
+
+def test_keywords_and_modes_are_honoured(spark):
+    df = spark.createDataFrame([("h", 1, 1, 1, "aa zed", None, None), ("h", 2, 2, 2, "bb zed", None, None), ("h", 2, 3, 3, "cc", None, None)], ROOMS)
+    pairs = {(r["a_id"], r["b_id"]) for r in R.room_candidates(df, keywords=[("zed", [])]).collect()}
+    assert pairs == {(1, 2)}
+    for f in (R.room_candidates, R.type_candidates, R.greedy_room_match):
+        with pytest.raises(ValueError):
+            f(df, mode="other")
 
 
 def test_greedy_equal_strings_never_merge(spark):
@@ -219,12 +242,13 @@ def test_room_candidates_match_brute_force(spark):
                                      "facilities array<string>, photos array<string>")
     for mode in ("reference", "merge_equal"):
         got = {(r["home"], r["a_id"], r["b_id"]) for r in R.room_candidates(df, mode=mode).collect()}
+        keys = {t: k for t, k in df.select("roomtype", R.shorten_room_type(F.col("roomtype"))).distinct().collect()}
         want = set()
         for h1, s1, i1, _, t1, _, _ in rows:
             for h2, s2, i2, _, t2, _, _ in rows:
                 if h1 != h2 or s1 >= s2:
                     continue
-                k1, k2 = _key(t1), _key(t2)
+                k1, k2 = keys[t1], keys[t2]
                 key_ok = k1 == k2 and (mode == "reference" or k1 != "")
                 if t1.lower() in t2.lower() or t2.lower() in t1.lower() or key_ok:
                     want.add((h1, i1, i2))

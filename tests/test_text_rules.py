@@ -46,14 +46,13 @@ def _vader_model(tokens, lex):
     return round(n / tot, 3), round(u / tot, 3), round(p / tot, 3), round(comp, 4)
 
 
-@pytest.mark.parametrize("inline", [True, False])
-def test_polarity_matches_formula(spark, inline, monkeypatch):
-    if not inline:
-        monkeypatch.setattr(RV, "MAX_INLINE_LEXICON", 0)
+@pytest.mark.parametrize("more", [0, 8000])
+def test_polarity_matches_formula(spark, more):
     lex = {"good": 1.9, "bad": -2.5, "ok": 0.9, "awful": -3.1}
     docs = [(1, "good ok room"), (2, "bad awful"), (3, ""), (4, "good bad"), (5, "room view")]
     df = spark.createDataFrame(docs, "id long, clean_review string")
-    lx = spark.createDataFrame(list(lex.items()), "token string, valence double")
+    others = [(f"other{i}", 1.0) for i in range(more)]
+    lx = spark.createDataFrame(list(lex.items()) + others, "token string, valence double")
     got = {r["id"]: (r["neg"], r["neu"], r["pos"], r["compound"]) for r in RV.polarity_scores(df, "id", lx).collect()}
     for i, txt in docs:
         want = _vader_model([t for t in txt.split(" ") if t], lex)
@@ -126,3 +125,44 @@ def test_topic_top_words_plans_partial_limit(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert sorted((r["topic"], r["word"], r["rank"]) for r in out.collect()) == [(0, "a", 0), (1, "c", 0)]
+
+
+def test_lexicon_with_nulls_and_repeats(spark):
+    """One path for every lexicon: a NULL token is no entry, a NULL valence counts 0, the largest valence of a token counts."""
+    df = spark.createDataFrame([(1, "best bad best"), (2, ""), (3, None), (4, "unknown odd")], "id long, clean_review string")
+    lex = RV.local_table(spark, [("best", 3.0), ("best", 1.0), ("bad", -3.0), (None, 2.0), ("odd", None)], "token string, valence double")
+    hits = {r["id"]: (r["n_tokens"], r["n_known"], r["s10"]) for r in RV.lexicon_hits(df, "id", lex).collect()}
+    assert hits == {1: (3, 3, 30), 2: (0, 0, 0), 3: (0, 0, 0), 4: (2, 1, 0)}
+    got = {r["id"]: (r["neg"], r["neu"], r["pos"]) for r in RV.polarity_scores(df, "id", lex).collect()}
+    assert got[1] == (0.333, 0.0, 0.667) and got[2] == got[3] == (0.0, 0.0, 0.0) and got[4] == (0.0, 1.0, 0.0)
+    empty = RV.local_table(spark, [], "token string, valence double")
+    assert {r["neu"] for r in RV.polarity_scores(df.where("id = 4"), "id", empty).collect()} == {1.0}
+
+
+def test_translations_and_lemmas_by_table(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "")], "id long, review_content string")
+    tr = spark.createDataFrame([("a", "A2"), ("a", "A1"), (None, "n"), ("c", "C"), ("", "E")], "text string, en string")
+    assert {r["id"]: r["en_review"] for r in RV.translation_lookup(df, tr).collect()} == {1: "A1", 2: "b", 3: None, 4: "E"}
+    toks = spark.createDataFrame([(1, ["xs", "y", "xs", "zz"]), (2, []), (3, None)], "id long, tokens array<string>")
+    lem = RV.local_table(spark, [("xs", "xx"), ("xs", "xy"), ("zz", None), (None, "q")], "token string, lemma string")
+    assert {r["id"]: r["clean_review"] for r in RV.lemmatise(toks, "id", "tokens", lem).collect()} == {1: "xx xx zz", 2: "", 3: ""}
+
+
+def test_batch_numbers_take_one_shuffle_of_the_rows(spark):
+    df = spark.range(0, 2345, 1, 7).select((F.lit(9999) - F.col("id")).alias("k"))
+    out = RV.batch_number(df, "k", 500)
+    assert sorted((r["k"], r["batch"]) for r in out.collect()) == [(9999 - 2344 + i, i // 500) for i in range(2345)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "RepartitionByExpression" not in plan
+
+
+def test_fitted_topics_are_deterministic(spark):
+    from innsight.plans import q_text as QT
+
+    clean = QT.cleaned(spark, "/root/testdata/sf0.001").persist()
+    one, two = ([tuple(r) for r in RV.topic_model(clean, k=3, max_iter=3).orderBy("topic", "rank").collect()] for _ in range(2))
+    clean.unpersist()
+    assert one == two and len(one) == 30
+    lists = RV.topic_lists(RV.topic_model(clean, k=3, max_iter=3))
+    assert [t for t, _ in lists] == [0, 1, 2] and all(len(w) == 10 for _, w in lists)
+    assert RV.topic_model(clean.limit(0)).count() == 0
