@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -17,7 +18,7 @@ from innsight.llm.common import map_text
 
 #: Words of up to so many bytes are merged in rank arrays; longer ones by a heap over linked parts.
 SHORT_WORD = 64
-#: Pieces of text whose ids a worker remembers at a time; beyond it, it forgets all and goes on.
+#: Pieces of text of a generation that a worker remembers.
 REMEMBERED = 250_000
 #: Rank of a pair that never merges.
 NEVER = np.int32(2**31 - 1)
@@ -25,6 +26,7 @@ NEVER = np.int32(2**31 - 1)
 # --- fixed values: the split pattern of the vocabulary, over an alphabet where this module and the tokenizers
 # library agree (printable ASCII and the letters of Latin-1); other pieces go through the library's own splitting
 PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+STOPS = b".,;:!?"
 PLAIN_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 
 
@@ -62,24 +64,29 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
         return np.where(self.keys[at] == k, self.ranks[at], NEVER)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word (not empty)."""
-        out: list = [None] * len(words)
-        by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(i)
-        for n, at in by_length.items():
+    def merge(self, words: list[bytes]) -> dict[bytes, tuple[bytes, str]]:
+        """Ids (little-endian 32-bit) and decoded text of each word (not empty)."""
+        out: dict[bytes, tuple[bytes, str]] = {}
+        by_length: dict[int, list[bytes]] = {}
+        for w in words:
+            by_length.setdefault(len(w), []).append(w)
+        for n, same in by_length.items():
             if n > SHORT_WORD:
-                for i in at:
-                    out[i] = self._merge_long(words[i])
+                for w in same:
+                    ids = self._merge_long(w)
+                    out[w] = (ids.astype("<u4").tobytes(), decode(ids.tolist(), self))
                 continue
-            raw = np.frombuffer(b"".join([words[i] for i in at]), np.uint8).reshape(len(at), n)
-            for i, ids in zip(at, self._merge_short(raw), strict=True):
-                out[i] = ids
+            part, count = self._merge_short(np.frombuffer(b"".join(same), np.uint8).reshape(len(same), n))
+            raw = part.astype("<u4").tobytes()
+            for i, (w, c, ids) in enumerate(zip(same, count.tolist(), part.tolist(), strict=True)):
+                out[w] = (raw[4 * n * i:4 * (n * i + c)], decode(ids[:c], self))
         return out
 
-    def _merge_short(self, raw: np.ndarray) -> list[np.ndarray]:
-        """Words of one length. Row by row: ``part`` the ids of the parts that are left, ``ranks`` those of neighbours."""
+    def _merge_short(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words of one length: ids of their parts, and how many are left of each.
+
+        Row by row, ``part`` holds the ids of the parts that are left, ``ranks`` those of neighbours.
+        """
         m, n = raw.shape
         part = self.inner[raw]
         part[:, -1] = self.last[raw[:, -1]]
@@ -111,7 +118,7 @@ class Vocabulary:
             left = at > 0
             r, a = live[left], at[left]
             ranks[r, a - 1] = self.rank(part[r, a - 1], part[r, a])
-        return [part[i, :c] for i, c in enumerate(count.tolist())]
+        return part, count
 
     def _merge_long(self, word: bytes) -> np.ndarray:
         """One long word: linked parts and a heap of neighbour ranks, n log n."""
@@ -138,6 +145,10 @@ class Vocabulary:
 
     def words(self, piece: bytes) -> list[bytes]:
         """The words of a piece without blanks, in lower case; their bytes carry the merges."""
+        if piece.isalpha():  # ASCII letters only
+            return [piece.lower()]
+        if piece[-1] in STOPS and piece[:-1].isalpha():
+            return [piece[:-1].lower(), piece[-1:]]
         if PLAIN.fullmatch(piece):
             return [w.encode() for w in PLAIN_SPLIT.findall(piece.decode().lower())]
         text = self.normalizer.normalize_str(piece.decode("utf-8", "replace"))
@@ -158,42 +169,67 @@ def _byte_chars() -> list[str]:
 
 
 class Encoder:
-    """Encodes texts piece by piece and remembers pieces."""
+    """Encodes texts piece by piece.
+
+    Pieces met lately are remembered in two generations: when the young one is
+    full it becomes the old one, and a piece that is met again moves back, so
+    frequent pieces stay and memory is bounded.
+    """
 
     def __init__(self, vocab: Vocabulary):
         self.v = vocab
-        self.known: dict[bytes, tuple[bytes, str]] = {}
-        self.word_ids: dict[bytes, np.ndarray] = {}
+        self.young: dict[bytes, tuple[bytes, str]] = {}
+        self.old: dict[bytes, tuple[bytes, str]] = {}
+        self.words: dict[bytes, tuple[bytes, str]] = {}
         marks = [re.escape(s.encode()) for s in sorted(vocab.special, key=len, reverse=True)]
         self.marks = re.compile(b"(" + b"|".join(marks) + b")") if marks else None
 
     def learn(self, pieces: set[bytes]) -> None:
+        special, v = {}, self.v
         split: dict[bytes, list[bytes]] = {}
         for p in pieces:
-            cut = self.marks.split(p) if self.marks and b"<|" in p else [p]
-            split[p] = [w for i, c in enumerate(cut) for w in ([c] if i % 2 else self.v.words(c) if c else [])]
-        special = {s.encode(): np.array([i], np.int64) for s, i in self.v.special.items()}
-        fresh = list({w for ws in split.values() for w in ws} - self.word_ids.keys() - special.keys())
-        self.word_ids.update(zip(fresh, self.v.merge(fresh), strict=True))
+            if self.marks and b"<|" in p:
+                # odd parts are special tokens, which are no words
+                cut = self.marks.split(p)
+                special[p] = [(i % 2, w) for i, c in enumerate(cut) for w in ([c] if i % 2 else v.words(c) if c else [])]
+                split[p] = [w for odd, w in special[p] if not odd]
+            else:
+                split[p] = v.words(p)
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        merged = self.words
+        merged.update(v.merge(list({w for ws in split.values() for w in ws} - merged.keys())))
         for p, ws in split.items():
-            ids = [special[w] if w in special and self.marks.fullmatch(w) and b"<|" in p else self.word_ids[w] for w in ws]
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-            self.known[p] = (flat.astype("<u4").tobytes(), decode(flat.tolist(), self.v))
+            if len(ws) == 1 and p not in special:
+                self.young[p] = merged[ws[0]]
+                continue
+            parts = [merged[w] for w in ws]
+            if p in special:
+                parts = [(np.array([v.special[w.decode()]], "<u4").tobytes(), w.decode()) if odd else merged[w] for odd, w in special[p]]
+            self.young[p] = (b"".join([i for i, _ in parts]), " ".join([t for _, t in parts]))
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Ids of each text as little-endian 32-bit integers, and the decoded text."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.word_ids.clear()
-        pieces = [t.encode("utf-8", "replace").split() for t in texts]
+        gc.disable()  # millions of small tuples, and no cycles among them
+        try:
+            return self._encode([t.encode("utf-8", "replace").split() for t in texts])
+        finally:
+            gc.enable()
+
+    def _encode(self, pieces: list[list[bytes]]) -> list[tuple[bytes, str]]:
         fresh: set[bytes] = set()
         for ps in pieces:
             fresh.update(ps)
-        self.learn(fresh - self.known.keys())
-        out = []
+        fresh -= self.young.keys()
+        for p in fresh & self.old.keys():
+            self.young[p] = self.old[p]
+        self.learn(fresh - self.old.keys())
+        get, out = self.young.__getitem__, []
         for ps in pieces:
-            both = [self.known[p] for p in ps]
-            out.append((b"".join([b[0] for b in both]), " ".join([b[1] for b in both if b[1]])))
+            ids, words = zip(*map(get, ps), strict=True) if ps else ((), ())
+            out.append((b"".join(ids), " ".join(filter(None, words))))
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
         return out
 
 
