@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,12 +18,12 @@ from innsight.llm.common import map_text, uniform
 SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 3_000, 40_000, 40_000
 #: n-gram orders, longest first, and the weight of a word that only they know.
 ORDERS, GRAM_WEIGHT = (4, 3, 2, 1), 0.5
-#: Words whose scores a worker remembers at a time; beyond it, it forgets all and goes on.
-REMEMBERED = 300_000
+#: Pieces of text of a generation that a worker remembers.
+REMEMBERED = 250_000
 
 UNDETERMINED = "und"
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 @dataclass
@@ -81,39 +81,59 @@ def _frequencies(counts: DataFrame, langs: list[str], most: int) -> dict[str, np
 
 
 class _Scores(dict):
-    """Blank-separated piece of text -> row of ``table``: the sum of its words' scores, and their number."""
+    """Blank-separated piece of text -> row of ``table``: the sum of its words' scores, and their number.
+
+    Pieces met lately are remembered in two generations: when the young one
+    (this dict) is full it becomes the old one, and a piece that is met again
+    moves back, so frequent pieces stay and memory is bounded.
+    """
 
     def __init__(self, model: Model):
         super().__init__()
         self.model, self.k = model, len(model.langs)
+        self.words = {w: tuple(x.tolist()) for w, x in model.words.items()}
+        self.grams = {g: tuple(x.tolist()) for g, x in model.grams.items()}
+        self.nothing = (0.0,) * self.k
         self.table, self.n = np.zeros((1024, self.k + 1)), 0
+        self.old: dict[bytes, int] = {}
+        self.old_table = self.table
 
-    def word(self, w: str) -> np.ndarray:
-        known = self.model.words.get(w)
+    def word(self, w: str) -> tuple[float, ...]:
+        known = self.words.get(w)
         if known is not None:
             return known
         w = f"^{w}$"
+        grams = self.grams.get
         for n in ORDERS:
-            hits = [g for i in range(len(w) - n + 1) if (g := self.model.grams.get(w[i:i + n])) is not None]
+            hits = [g for i in range(len(w) - n + 1) if (g := grams(w[i:i + n])) is not None]
             if hits:
-                return GRAM_WEIGHT * np.add.reduce(hits) / len(hits) * min(len(hits), 8)
-        return np.zeros(self.k)
+                scale = GRAM_WEIGHT * min(len(hits), 8) / len(hits)
+                return tuple([scale * sum(c) for c in zip(*hits, strict=True)])
+        return self.nothing
 
     def __missing__(self, piece: bytes) -> int:
         if self.n == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        row = self.table[self.n]
-        row[:] = 0
-        for w in _LETTERS.findall(piece.decode("utf-8", "replace").lower()):
-            row[:-1] += self.word(w)
-            row[-1] += 1
+        at = self.old.get(piece)
+        if at is not None:
+            self.table[self.n] = self.old_table[at]
+        else:
+            text = piece.decode("utf-8", "replace").lower()
+            words = [text] if text.isalpha() else _LETTERS.findall(text)
+            if len(words) == 1:
+                self.table[self.n] = (*self.word(words[0]), 1)
+            else:
+                scores = [self.word(w) for w in words]
+                self.table[self.n] = (*[sum(c) for c in zip(self.nothing, *scores, strict=True)], len(words))
         self[piece] = self.n
         self.n += 1
         return self.n - 1
 
-    def forget(self) -> None:
+    def age(self) -> None:
+        """Make the young generation the old one."""
+        self.old, self.old_table = dict(self), self.table
         self.clear()
-        self.n = 0
+        self.table, self.n = np.zeros((1024, self.k + 1)), 0
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -136,7 +156,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
             if not pieces or not k:
                 return UNDETERMINED, 0.0
             if len(scores) > REMEMBERED:
-                scores.forget()
+                scores.age()
             sums = scores_of(pieces)
             if not sums[-1]:
                 return UNDETERMINED, 0.0
