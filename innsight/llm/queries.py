@@ -103,7 +103,49 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
-@_query("op4_quality_rules")
+def _quality_sql() -> str:
+    from innsight.llm import quality as Q
+
+    def lit(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    def some(words) -> str:
+        return "[" + ", ".join(map(lit, sorted(words))) + "]"
+
+    blank, word = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
+    phrases = " OR ".join(f"contains(low, {lit(p)})" for p in Q.BOILERPLATE)
+    ends, starts = some(r"#*$%&~^=@\\"[:-1]), some(r"#*$%&~^=\\"[:-1])
+    strip = "' ' || chr(9) || chr(13) || chr(11) || chr(12) || '.!:|»›'"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rn, doc_id, t, regexp_extract_all(t, '{word}') AS ws FROM d),
+windows AS (SELECT rn, unnest(generate_series(1, len(ws) - 4)) AS i, ws FROM w),
+twice AS (SELECT rn, i FROM (SELECT rn, i, count(*) OVER (PARTITION BY rn, ws[i:i + 4]) AS c FROM windows) WHERE c > 1),
+rep AS (SELECT rn, count(DISTINCT p) AS n FROM (SELECT rn, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS p FROM twice) GROUP BY rn),
+lines AS (SELECT rn, l, lower(l) AS low, regexp_extract_all(l, '{word}') AS ws FROM (SELECT rn, unnest(string_split(t, chr(10))) AS l FROM d)),
+counted AS (SELECT rn, l, low, ws, len(ws) AS n,
+    len(list_filter(ws, lambda x: list_contains({some(Q.SEPARATORS)}, x))) AS marks,
+    len(list_filter(ws, lambda x: list_contains({ends}, right(x, 1)) OR list_contains({starts}, left(x, 1)))) AS marked,
+    len(list_filter(ws, lambda x: length(x) > 1 AND upper(x) = x AND lower(x) <> x)) AS shouted,
+    len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS echoed,
+    list_max(map_values(list_histogram(ws))) AS most
+  FROM lines WHERE len(ws) > 0),
+judged AS (SELECT rn, l, length(regexp_replace(l, '{blank}', '', 'g')) AS chars,
+    (n >= {Q.PROSE_WORDS} AND len(list_filter(ws, lambda x: list_contains({some(Q.TERMINAL)}, right(x, 1)))) = 0)
+    OR (n <= 4 AND list_contains({some(Q.NAVIGATION)}, trim(low, {strip})))
+    OR (n <= 40 AND ({phrases})) OR (marks >= 3 AND marks > {Q.SEPARATOR_SHARE} * n)
+    OR (n >= 5 AND ((regexp_matches(l, '[#*$%&~^=@\\\\]') AND marked > {Q.SYMBOL_SHARE} * n) OR shouted > {Q.SHOUT_SHARE} * n))
+    OR (n >= 10 AND (echoed > {Q.SAME_SHARE} * n OR most > {Q.SAME_SHARE} * n)) AS fails
+  FROM counted),
+byline AS (SELECT rn, count(*) - count(DISTINCT l) AS dups, coalesce(sum(chars) FILTER (fails), 0) AS lost FROM judged GROUP BY rn),
+m AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '{blank}', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dups, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+    coalesce(lost, 0)::BIGINT AS removed_chars FROM w LEFT JOIN rep USING (rn) LEFT JOIN byline USING (rn))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND word_chars - removed_chars >= {Q.KEEP_SHARE} * word_chars AS kept FROM m"""
+
+
+@_query("op4_quality_rules", _quality_sql())
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict on every document."""
     from innsight.llm.quality import clean_documents
@@ -192,7 +234,24 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("embedding"), F.col("vec_id") % 100 == 0)
 
 
-@_query("op3_jaccard_join")
+_JACCARD_SQL = r"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS id, text, min(doc_id) AS k FROM documents WHERE regexp_matches(text, '[^\x20\x09-\x0D]') GROUP BY text),
+w AS (SELECT id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM t),
+s AS (SELECT DISTINCT id, CASE WHEN len(ws) < 5 THEN ws ELSE ws[i:i + 4] END AS g
+      FROM (SELECT id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS i FROM w)),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+p AS (SELECT a.id AS x, b.id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.id <> b.id GROUP BY a.id, b.id),
+l AS (SELECT x, y, c = a.n AND c = b.n AS same FROM p JOIN n a ON a.id = x JOIN n b ON b.id = y WHERE 5 * c >= 4 * (a.n + b.n - c)),
+reach AS (SELECT id, id AS r FROM t UNION SELECT reach.id, l.y FROM reach JOIN l ON l.x = reach.r),
+cls AS (SELECT reach.id, min(t.k) AS class_id FROM reach JOIN t ON t.id = reach.r GROUP BY reach.id),
+sets AS (SELECT t.id, least(t.k, coalesce(min(o.k), t.k)) AS set_class, count(l.y) AS n_links
+  FROM t LEFT JOIN l ON l.x = t.id LEFT JOIN t o ON o.id = l.y AND l.same GROUP BY t.id, t.k)
+SELECT d.doc_id, coalesce(cls.class_id, d.doc_id) AS class_id, coalesce(sets.set_class, d.doc_id) AS set_class,
+  coalesce(sets.n_links, 0) AS n_links
+FROM documents d LEFT JOIN t ON t.text = d.text LEFT JOIN cls ON cls.id = t.id LEFT JOIN sets ON sets.id = t.id"""
+
+
+@_query("op3_jaccard_join", _JACCARD_SQL)
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
     from innsight.llm.jaccard import link_documents
