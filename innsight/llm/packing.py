@@ -106,8 +106,8 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int, text_col: str = "text",
     classes by itself while it tokenises; only its last, unfilled sequence of each class
     stays open. The pieces of open sequences (under k for each class and
     worker) are then ranked by class over all workers and fill sequences in
-    the same way; what is left at last (under k for each class, a bound that
-    no input changes) shares closing sequences, longest pieces first.
+    the same way; what is left at last, less than a sequence for each class,
+    shares closing sequences, longest rests first.
     """
     new = [n for n, _ in PIECE] + ["ids"]
     carry = [c for c in (docs.columns if carry is None else carry) if c not in new and (carry is not None or c != text_col)]
@@ -213,23 +213,24 @@ def _fill_loose(loose: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _close(last: DataFrame, capacity: int) -> DataFrame:
-    """Under k pieces of each class are left: a bounded number that shares sequences, first fit by falling length."""
-    schema = last.schema
+    """What is left of each class is less than a sequence long: these few rests (one a class) share sequences, first fit by
+    falling length."""
+    rests = last.groupBy("k").agg(F.sum("length").alias("n"))
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(tables), _arrow(schema))
-        lengths = t.column("length").to_numpy()
+        rows = sorted(((r["n"], r["k"]) for t in tables for r in t.to_pylist()), reverse=True)
         room: list[int] = []
-        seq, off = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        for i in np.argsort(-lengths, kind="stable"):
-            n = int(lengths[i])
+        out = []
+        for n, k in rows:
             j = next((j for j, free in enumerate(room) if free >= n), len(room))
             if j == len(room):
                 room.append(capacity)
-            seq[i], off[i] = CLOSING + j, capacity - room[j]
+            out.append({"c": k, "seq": CLOSING + j, "base": capacity - room[j]})
             room[j] -= n
-        for name, values in (("sequence_id", seq), ("offset", off)):
-            t = t.set_column(t.schema.get_field_index(name), name, pa.array(values))
-        yield from t.to_batches()
+        yield pa.RecordBatch.from_pylist(out, pa.schema([("c", pa.int32()), ("seq", pa.int64()), ("base", pa.int64())]))
 
-    return last.repartition(1).sortWithinPartitions("k", "r").mapInArrow(run, schema)
+    places = rests.repartition(1).mapInArrow(run, "c int, seq long, base long")
+    before = Window.partitionBy("k").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
+    return (last.join(places, F.col("k") == F.col("c"))
+            .withColumn("offset", F.col("base") + F.sum("length").over(before) - F.col("length"))
+            .withColumn("sequence_id", F.col("seq")))
