@@ -9,8 +9,9 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
-    from innsight.session import build_session
+    from innsight.session import build_session, drop_scratch
 
     s = build_session(master="local[4]", shuffle_partitions=4, driver_memory="4g")
     yield s
+    drop_scratch(s)
     s.stop()
