@@ -244,8 +244,9 @@ def search(embeddings: DataFrame, key: Column, vector: Column, query: Column, to
     blocks = lambda n, size: F.ceil(F.col(n) / size).cast("int")
     in_cell = stored.select(F.posexplode("keys").alias("tab", "key")).groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n"))
     asked = probes.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("m"))
-    sizes = in_cell.join(asked, ["tab", "key"]).select("tab", "key", blocks("n", BLOCK_ROWS).alias("nb"),
-                                                       blocks("m", BLOCK_QUERIES).alias("mb"))
+    # written: a join with it shuffles both sides for itself, and a cell with many rows can be split
+    sizes = materialise(in_cell.join(asked, ["tab", "key"]).select(
+        "tab", "key", blocks("n", BLOCK_ROWS).alias("nb"), blocks("m", BLOCK_QUERIES).alias("mb")), "cell-sizes")
     spread = lambda c: F.pmod(F.xxhash64("vec_id"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = (cells.join(sizes, ["tab", "key"]).withColumn("x", spread("nb")).withColumn("y", every("mb"))
