@@ -10,9 +10,10 @@ SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
 def _names():
-    from __spark_entry__ import queries
+    from innsight.plans.registry import QUERIES, load_all
 
-    return sorted(queries())
+    load_all()  # the training-data queries have their tests in tests/llm
+    return sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
