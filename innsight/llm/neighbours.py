@@ -22,7 +22,7 @@ TABLES, CELL_WIDTH, TARGET_RECALL = 3, 2.5, 0.94
 #: Most cells probed in a table; if they do not reach the target, every row is compared in blocks instead.
 MOST_PROBES = 4_096
 #: Rows and queries that are compared with each other at a time.
-BLOCK_ROWS, BLOCK_QUERIES = 512, 1_024
+BLOCK_ROWS, BLOCK_QUERIES = 256, 1_024
 
 FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
                       T.StructField("score", T.DoubleType())])
@@ -144,20 +144,23 @@ def fit(rows: DataFrame, n: int, seed: int = 11, tables: int = TABLES, target: f
     index = Index(a, rng.uniform(0, width, (tables, k)), width, 1, ids, x, 1.0)
 
     picked = rng.choice(len(x), min(SAMPLE_QUERIES, len(x)), replace=False)
-    first = []  # for each true neighbour: the least number of probes that finds it in any table
+    truths = [np.searchsorted(ids, [r[1] for r in nearest(x[i][None], ids[i:i + 1], np.array([np.inf]), x, ids, 10)]) for i in picked]
     keys = [index.key(index.cells(x, t)[0]) for t in range(tables)]
-    for i in picked:
-        truth = [r[1] for r in nearest(x[i][None], ids[i:i + 1], np.array([np.inf]), x, ids, 10)]
-        at = np.searchsorted(ids, truth)
-        best = np.full(len(at), MOST_PROBES + 1)
-        for t in range(tables):
-            cell, place = index.cells(x[i][None], t)
-            rank: dict[int, int] = {}
-            for r, key in enumerate(index.key(probe_cells(cell[0], place[0], MOST_PROBES)).tolist()):
-                rank.setdefault(key, r + 1)
-            best = np.minimum(best, [rank.get(key, MOST_PROBES + 1) for key in keys[t][at].tolist()])
-        first += best.tolist()
-    need = int(np.quantile(first, target, method="higher")) if first else 1
+    need, first = 1, []
+    for most in sorted({min(m, MOST_PROBES) for m in (64, 256, 1024, MOST_PROBES)}):
+        first = []  # for each true neighbour: the least number of probes that finds it in any table
+        for i, at in zip(picked, truths, strict=True):
+            best = np.full(len(at), most + 1)
+            for t in range(tables):
+                cell, place = index.cells(x[i][None], t)
+                rank: dict[int, int] = {}
+                for r, key in enumerate(index.key(probe_cells(cell[0], place[0], most)).tolist()):
+                    rank.setdefault(key, r + 1)
+                best = np.minimum(best, [rank.get(key, most + 1) for key in keys[t][at].tolist()])
+            first += best.tolist()
+        need = int(np.quantile(first, target, method="higher")) if first else 1
+        if need <= most:  # else more probes are tried
+            break
     if need > MOST_PROBES:  # one cell for all rows: blocks of every row
         return Index(np.zeros((1, x.shape[1], 0)), np.zeros((1, 0)), 1.0, 1, ids, x, 1.0)
     index.probes, index.recall = need, float(np.mean(np.array(first) <= need)) if first else 1.0
