@@ -201,16 +201,23 @@ def topic_model(df: DataFrame, text_col: str = "clean_review", k: int = 5, max_i
     spark = df.sparkSession
     # the vocabulary is A5 (ties by term), a bounded list; the vectors are read
     # by every pass of the fit and keep the partitioning of the input
+    df = df.select(text_col).persist(StorageLevel.MEMORY_AND_DISK)  # the text is cleaned once, for vocabulary and vectors
     vocab = [r["term"] for r in vocabulary_top_k(df, text_col, vocab_size).collect()]
     if not vocab:
+        df.unpersist()
         return spark.createDataFrame([], "topic int, rank int, word string, weight double")
     cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="_terms", outputCol="_tf")
     toks = df.select(T.terms(F.col(text_col)).alias("_terms")).filter(F.size("_terms") > 0)
-    vec = cv.transform(toks).select("_tf").persist(StorageLevel.MEMORY_AND_DISK)
+    vec = cv.transform(toks).select("_tf")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if vec.rdd.getNumPartitions() < n:  # few input splits: spread the vectors (not the texts)
+        vec = vec.repartition(n)
+    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="_tf",
               subsamplingRate=1.0, learningOffset=10.0, learningDecay=0.7)
     model = lda.fit(vec)
     vec.unpersist()
+    df.unpersist()
     # the model summary: k x top_words term indices
     words = local_table(spark, list(enumerate(vocab)), "term_index int, word string")
     ex = model.describeTopics(top_words).select(
