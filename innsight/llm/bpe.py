@@ -19,7 +19,7 @@ from innsight.llm.common import map_text
 #: Words of up to so many bytes are merged in rank arrays; longer ones by a heap over linked parts.
 SHORT_WORD = 64
 #: Pieces of text of a generation that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: Rank of a pair that never merges.
 NEVER = np.int32(2**31 - 1)
 

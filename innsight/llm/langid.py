@@ -19,7 +19,7 @@ SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 3_000, 40_000, 40_000
 #: n-gram orders, longest first, and the weight of a word that only they know.
 ORDERS, GRAM_WEIGHT = (4, 3, 2, 1), 0.5
 #: Pieces of text of a generation that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 UNDETERMINED = "und"
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
