@@ -31,6 +31,10 @@ def uniform(hash_col: Column, n: int) -> Column:
     return F.shiftright(F.shiftrightunsigned(hash_col, 33) * F.lit(n).cast("long"), 31)
 
 
+#: Rows whose results a worker holds at a time.
+ROWS_AT_ONCE = 1_000
+
+
 def map_text(df: DataFrame, text_col: str, fields: list[T.StructField],
              make: Callable[[], Callable[[pa.Array], list]], carry: list[str] | None = None) -> DataFrame:
     """Add ``fields`` computed from a text column, one Arrow batch at a time.
@@ -52,7 +56,7 @@ def map_text(df: DataFrame, text_col: str, fields: list[T.StructField],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for b in batches:
+        for b in (x.slice(lo, ROWS_AT_ONCE) for x in batches for lo in range(0, x.num_rows, ROWS_AT_ONCE)):
             out = fn(b.column(0))
             arrays = [b.column(i + 1) for i in range(len(carry))]
             arrays += [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out, types, strict=True)]
