@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -23,26 +23,37 @@ REMEMBERED = 150_000
 
 UNDETERMINED = "und"
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+KNOWN = T.StructField("known", T.DoubleType())
 _LETTERS = regex.compile(r"\p{L}+")
+#: Letters of scripts written without blanks: a run of them is no word, so its pairs of letters are looked up.
+UNSPACED = "[" + "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")) + "]"
+_UNSPACED = regex.compile(UNSPACED)
 
 
 @dataclass
 class Model:
-    """Log frequencies by language; the rows of ``words`` and ``grams`` follow ``langs``."""
+    """Log frequencies by language; the rows of ``words`` and ``grams`` follow ``langs``.
+
+    ``pairs`` holds pairs of letters of scripts written without blanks; ``no_word`` and ``no_pair`` the log frequency of
+    a word and of a pair that was never met in a language.
+    """
 
     langs: list[str]
     words: dict[str, np.ndarray]
     grams: dict[str, np.ndarray]
+    no_word: np.ndarray | float = -np.inf
+    pairs: dict[str, np.ndarray] = field(default_factory=dict)
+    no_pair: np.ndarray | float = -np.inf
 
 
 def fit(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_rows: int = SAMPLE_ROWS,
-        max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, seed: int = 7) -> Model:
+        max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, seed: int = 7, with_pairs: bool = False) -> Model:
     """Count words and n-grams of a bounded, seeded sample of labelled rows.
 
     Rows without text or language teach nothing. Of each language about
     ``sample_rows`` rows are drawn by a hash of ``key``, whole texts; the model
     holds the ``max_words`` words and ``max_grams`` n-grams counted most often
-    (ties by text). Only these bounded tables reach the driver.
+    (ties by text), and as many pairs of letters if ``with_pairs``. Only these bounded tables reach the driver.
     """
     t = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.col(f"`{lang_col}`").cast("string").alias("l"),
                     key.alias("k")).where("t is not null and l is not null")
@@ -62,42 +73,55 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_rows:
     grams = (words.select("l", "n", F.explode(F.concat(*orders)).alias("w"))
              .groupBy("l", "w").agg(F.sum("n").alias("n")))
     langs = sorted(rows)
-    model = Model(langs, _frequencies(words, langs, max_words), _frequencies(grams, langs, max_grams))
+    (known, no_word), (parts, _) = _frequencies(words, langs, max_words), _frequencies(grams, langs, max_grams)
+    model = Model(langs, known, parts, no_word)
+    if with_pairs:
+        pair = F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - 1, F.lit(1))), lambda i: F.substr("w", i, F.lit(2)))
+        pairs = (words.where(F.col("w").rlike(UNSPACED)).select("l", "n", F.explode(pair).alias("w"))
+                 .groupBy("l", "w").agg(F.sum("n").alias("n")))
+        model.pairs, model.no_pair = _frequencies(pairs, langs, max_grams)
     words.unpersist()
     return model
 
 
-def _frequencies(counts: DataFrame, langs: list[str], most: int) -> dict[str, np.ndarray]:
-    """Smoothed log frequency by language of the entries counted most often."""
+def _frequencies(counts: DataFrame, langs: list[str], most: int) -> tuple[dict[str, np.ndarray], np.ndarray | float]:
+    """Smoothed log frequency by language of the entries counted most often, and that of no count."""
     top = (counts.groupBy("w").agg(F.sum("n").alias("total"),
                                    *[F.sum(F.when(F.col("l") == x, F.col("n")).otherwise(0)).alias(f"n{i}")
                                      for i, x in enumerate(langs)])
            .orderBy(F.desc("total"), "w").limit(most).collect())
     if not top:
-        return {}
+        return {}, -np.inf
     n = np.array([[r[f"n{i}"] for i in range(len(langs))] for r in top], np.float64)
-    logs = np.log(n + 0.1) - np.log(n.sum(0) + 0.1 * len(top))
-    return {r["w"]: logs[i] for i, r in enumerate(top)}
+    every = np.log(n.sum(0) + 0.1 * len(top))
+    logs = np.log(n + 0.1) - every
+    return {r["w"]: logs[i] for i, r in enumerate(top)}, np.log(0.1) - every
 
 
 class _Scores(dict):
     """Blank-separated piece of text -> row of ``table``: the sum of its words' scores, and their number.
 
+    With ``known``, the row goes on with the number of its words known in each language.
+
     Pieces met lately are remembered in two generations: when the young one
     (this dict) is full it becomes the old one, and a piece that is met again
     moves back, so frequent pieces stay and memory is bounded.
     """
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, known: bool = False):
         super().__init__()
-        self.model, self.k = model, len(model.langs)
+        self.model, self.k, self.known = model, len(model.langs), known
+        self.no_word, self.no_pair = (np.broadcast_to(x, self.k) + 0.5 for x in (model.no_word, model.no_pair))
         self.words = {w: tuple(x.tolist()) for w, x in model.words.items()}
         self.grams = {g: tuple(x.tolist()) for g, x in model.grams.items()}
         self.nothing = (0.0,) * self.k
-        self.table, self.n = np.zeros((1024, self.k + 1)), 0
+        self.table, self.n = self.empty(), 0
         self.old: dict[bytes, int] = {}
         self.old_table = self.table
 
+    def empty(self) -> np.ndarray:
+        return np.zeros((1024, self.k + 1 + self.known * self.k))
+
     def word(self, w: str) -> tuple[float, ...]:
         known = self.words.get(w)
         if known is not None:
@@ -111,6 +135,16 @@ class _Scores(dict):
                 return tuple([scale * sum(c) for c in zip(*hits, strict=True)])
         return self.nothing
 
+    def met(self, w: str) -> np.ndarray:
+        """Whether the word was met in each language; for a run of a script without blanks, the share of its pairs that were."""
+        known = self.model.words.get(w)
+        if known is not None:
+            return known > self.no_word
+        if not _UNSPACED.search(w):
+            return np.zeros(self.k)
+        pairs = [self.model.pairs.get(w[i:i + 2]) for i in range(max(1, len(w) - 1))]
+        return sum((p > self.no_pair for p in pairs if p is not None), np.zeros(self.k)) / len(pairs)
+
     def __missing__(self, piece: bytes) -> int:
         if self.n == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
@@ -120,11 +154,15 @@ class _Scores(dict):
         else:
             text = piece.decode("utf-8", "replace").lower()
             words = [text] if text.isalpha() else _LETTERS.findall(text)
+            row = self.table[self.n]
             if len(words) == 1:
-                self.table[self.n] = (*self.word(words[0]), 1)
+                row[:self.k + 1] = (*self.word(words[0]), 1)
             else:
                 scores = [self.word(w) for w in words]
-                self.table[self.n] = (*[sum(c) for c in zip(self.nothing, *scores, strict=True)], len(words))
+                row[:self.k + 1] = (*[sum(c) for c in zip(self.nothing, *scores, strict=True)], len(words))
+            if self.known:
+                for w in words:
+                    row[self.k + 1:] += self.met(w)
         self[piece] = self.n
         self.n += 1
         return self.n - 1
@@ -133,10 +171,11 @@ class _Scores(dict):
         """Make the young generation the old one."""
         self.old, self.old_table = dict(self), self.table
         self.clear()
-        self.table, self.n = np.zeros((1024, self.k + 1)), 0
+        self.table, self.n = self.empty(), 0
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None,
+            with_known: bool = False) -> DataFrame:
     """Add ``lang_pred`` and ``score`` to the columns in ``carry`` (all, if None), from the whole text alone.
 
     Each word known to the model adds its log frequency in every language, an
@@ -144,24 +183,30 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
     the share of the best language in the softmax of these sums. Ties go to the
     first language by name; columns of the new names are replaced. ``und`` and 0 if the text is
     null or has no letter, or the model knows no language.
+
+    The score runs to 1 with the length of the text, in whatever language it is. ``known``, added if
+    ``with_known``, does not depend on length: the share of the words that were met in the best language
+    (of a run in a script without blanks, the share of its pairs; the model has them if fitted ``with_pairs``).
     """
+    fields = FIELDS + ([KNOWN] if with_known else [])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        scores = _Scores(shared.value)
+        scores = _Scores(shared.value, with_known)
         langs, k = scores.model.langs, scores.k
 
-        def one(text: str | None) -> tuple[str, float]:
+        def one(text: str | None) -> tuple[str, float, float]:
             pieces = (text or "").encode("utf-8", "replace").split()
             if not pieces or not k:
-                return UNDETERMINED, 0.0
+                return UNDETERMINED, 0.0, 0.0
             if len(scores) > REMEMBERED:
                 scores.age()
             sums = scores_of(pieces)
-            if not sums[-1]:
-                return UNDETERMINED, 0.0
-            best = int(np.argmax(sums[:-1]))
-            return langs[best], round(float(1 / np.exp(np.minimum(sums[:-1] - sums[best], 0)).sum()), 6)
+            if not sums[k]:
+                return UNDETERMINED, 0.0, 0.0
+            best = int(np.argmax(sums[:k]))
+            share = round(float(1 / np.exp(np.minimum(sums[:k] - sums[best], 0)).sum()), 6)
+            return langs[best], share, round(float(sums[k + 1 + best] / sums[k]), 6) if with_known else 0.0
 
         def scores_of(pieces: list[bytes]) -> np.ndarray:
             at = np.fromiter(map(scores.__getitem__, pieces), np.int64, len(pieces))
@@ -169,7 +214,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
 
         def run(texts: pa.Array) -> list:
             rows = [one(t.as_py()) for t in texts]
-            return [[r[0] for r in rows], [r[1] for r in rows]]
+            return [[r[i] for r in rows] for i in range(len(fields))]
         return run
 
-    return map_text(docs, text_col, FIELDS, make, carry)
+    return map_text(docs, text_col, fields, make, carry)

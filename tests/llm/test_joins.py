@@ -1,6 +1,7 @@
 """Jaccard join, components, nearest neighbours, pipeline."""
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from innsight.llm import jaccard, neighbours
+from innsight.llm import jaccard, langid, neighbours
 from innsight.operators.components import components
 from innsight.llm.queries import QUERIES
 from innsight.llm.quality import judge
@@ -214,6 +215,40 @@ def test_pipeline_against_a_model(spark):
     assert len(kept) < len(docs)
 
 
+FOREIGN = {
+    "it": "Il governo ha annunciato ieri una nuova serie di misure per sostenere le famiglie e le piccole imprese che negli ultimi "
+          "mesi hanno dovuto affrontare costi molto alti, mentre la gente aspetta ancora una risposta chiara dal ministro. ",
+    "pt": "O governo anunciou ontem uma nova série de medidas para apoiar as famílias e as pequenas empresas que nos últimos meses "
+          "tiveram de enfrentar custos de energia muito altos, enquanto as pessoas ainda esperam uma resposta do ministro. ",
+    "nl": "De regering heeft gisteren een nieuwe reeks maatregelen aangekondigd om gezinnen en kleine bedrijven te steunen die de "
+          "afgelopen maanden met zeer hoge energiekosten te maken kregen, terwijl de mensen nog steeds wachten. ",
+    "fi": "Hallitus ilmoitti eilen uusista toimista joilla tuetaan perheitä ja pieniä yrityksiä jotka ovat viime kuukausina "
+          "joutuneet maksamaan erittäin korkeita energiakustannuksia. "}
+
+
+def test_long_foreign_and_noise_texts_have_no_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(5)
+    noise = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(1, 11))) for _ in range(50)) for _ in range(50)]
+    texts = [t * n for t in FOREIGN.values() for n in (1, 20)] + noise
+    held = [i for i in range(10**6, 10**6 + 1000) if zlib.crc32(str(i).encode()) % 4 == 2]
+    more = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in zip(held, texts, strict=False)], docs.schema)
+    left = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs.unionByName(more), SF).collect()}
+    assert len(texts) <= len(held) and not left & set(held)
+    clean = {r["doc_id"] for r in docs.where("length(text) > 0").collect()}
+    assert len(clean - left) <= 1 and clean
+
+
+def test_scripts_without_blanks_are_known_by_pairs(spark):
+    zh, ja = "政府昨天宣布了一系列新的措施以支持家庭和小企业", "彼らはまだ大臣の明確な答えを待っています"
+    df = spark.createDataFrame([(1, zh, "zh"), (2, "some plain words", "en")], "doc_id long, text string, lang string")
+    model = langid.fit(df, "text", "lang", F.col("doc_id"), with_pairs=True)
+    asked = spark.createDataFrame([(1, "昨天宣布了新的措施"), (2, ja), (3, "plain words 12 some other")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in langid.predict(asked, model, with_known=True).collect()}
+    assert rows[1]["lang_pred"] == "zh" and rows[1]["known"] > 0.7 and rows[2]["known"] < 0.1
+    assert (rows[3]["lang_pred"], rows[3]["known"]) == ("en", 0.75)
+
+
 def test_stages_take_odd_rows(spark):
     text = "This is a plain line of prose that ends as it should, with a full stop, number {}."
     data = [(i, text.format(" ".join(f"n{i}{j}" for j in range(20))), "en", "s", 1, True) for i in range(6)]
