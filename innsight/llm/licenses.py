@@ -83,8 +83,21 @@ KNOWN_LICENSES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC0-1.0", "Released under CC0 1.0 Universal."),
 ]
 
+#: Other usual titles of the same texts.
+_TITLES = [(_MIT, "MIT", ("The MIT License (MIT)", "The MIT License", "MIT License (MIT)")),
+           (_ISC + _AS_IS, "ISC", ("The ISC License", "ISC License (ISC)", "The ISC License (ISC)")),
+           (_ZERO + _AS_IS, "0BSD", ("Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)")),
+           (_BSD_HEAD + _BSD_TAIL, "BSD-2-Clause", ("The 2-Clause BSD License", "The BSD 2-Clause License", "Simplified BSD License",
+                                                    'BSD 2-Clause "Simplified" License')),
+           (_BSD_HEAD + _BSD_THIRD + _BSD_TAIL, "BSD-3-Clause", ("The 3-Clause BSD License", "The BSD 3-Clause License",
+                                                                'BSD 3-Clause "New" or "Revised" License'))]
+KNOWN_LICENSES += [(i, f"{title}\n\n{text}") for text, i, titles in _TITLES for title in titles]
+
 #: A line that only states a copyright: it names the owner, so no two are equal.
 COPYRIGHT_LINE = r"(?m)^[ \t#*;/-]*(?:copyright\b|\(c\)|©)[^\n]*(?:\d{4}|all rights reserved)[^\n]*$"
+#: More such lines, for the lookup of whole texts: rights reserved alone, and owners named without a year.
+OWNER_LINE = (r"(?m)^[ \t#*;/-]*(?:all rights reserved[ \t\r.!]*|(?:copyright[ \t]*(?:\(c\)|©|by\b)|\(c\)|©)[^\n]*"
+              r"|copyright[ \t]+(?!holder|owner|notice|law|licen|and\b|or\b)[^\n]{1,60})$")
 PUNCTUATION = r"[!-/:-@\[-`{-~“”‘’«»–—…©\t\r\f\x0B ]+"
 
 
@@ -101,7 +114,7 @@ def known_digests(spark: SparkSession, known: Sequence[tuple[str, str]] = KNOWN_
     """(license_id, digest) of the known licences, canonicalised as documents are; one row per digest."""
     entries = F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("t")) for i, t in known])
     lic = spark.range(1).select(F.inline(entries))
-    return (lic.select("license_id", whole_digest(canonical_lines(F.col("t"))).alias("digest"))
+    return (lic.select("license_id", lookup_digest(F.col("t"), canonical_lines(F.col("t"))).alias("digest"))
             .groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
@@ -109,6 +122,20 @@ def whole_digest(canonical: Column) -> Column:
     return F.sha2(F.trim(F.regexp_replace(canonical, "[ \n]+", " ")), 256)
 
 
+def lookup_digest(text: Column, canonical: Column) -> Column:
+    """Digest by which a whole text is looked up: it depends neither on where lines wrap nor on copyright lines of any form.
+
+    ``canonical`` is the text's. Of the spellings only those of two words can meet where lines were joined.
+    """
+    low = F.lower(text)
+    c = F.when(low.rlike(OWNER_LINE), canonical_lines(F.regexp_replace(low, OWNER_LINE, ""))).otherwise(canonical)
+    c = F.trim(F.regexp_replace(c, "[ \n]+", " "))
+    for a, b in SPELLINGS:
+        if " " in a:
+            c = F.replace(c, F.lit(a), F.lit(b))
+    return F.sha2(c, 256)
+
+
 #: A list of at most so many known texts is broadcast (a digest and an id each: under 2 MB); a longer one is shuffled.
 BROADCAST_KNOWN = 10_000
 
@@ -117,8 +144,8 @@ def scan_licenses(docs: DataFrame, text_col: str,
                   known: Sequence[tuple[str, str]] = KNOWN_LICENSES) -> DataFrame:
     """Look up the digest of every whole canonical text, and of each of its lines, among known licence digests.
 
-    docs -> its columns and ``license_digest`` (of the whole text; null if the
-    text is null), ``license_id`` (null: not a known text), ``line_license_ids``
+    docs -> its columns and ``license_digest`` (of the whole text, line by line; null if the
+    text is null), ``license_id`` (by ``lookup_digest``, however its lines wrap; null: not a known text), ``line_license_ids``
     (sorted, distinct licences stated by whole lines; never null). Columns of
     ``docs`` with these names are replaced. An empty text, or one of nothing but
     copyright lines and punctuation, matches no licence. A text listed for two
@@ -129,11 +156,13 @@ def scan_licenses(docs: DataFrame, text_col: str,
     """
     out = ("license_digest", "license_id", "line_license_ids")
     carry = [c for c in docs.columns if c not in out]
+    text = F.col(f"`{text_col}`").cast("string")
     base = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)],
-                       canonical_lines(F.col(f"`{text_col}`").cast("string")).alias("canon"))
+                       text.alias("t"), canonical_lines(text).alias("canon"))
     empty = F.sha2(F.lit(""), 256)
     lines = F.array_distinct(F.transform(F.filter(F.split("canon", "\n"), lambda x: F.length(x) > 0), whole_digest))
     base = base.select(*[f"c{i}" for i in range(len(carry))], whole_digest(F.col("canon")).alias("digest"),
+                       lookup_digest(F.col("t"), F.col("canon")).alias("wanted"),
                        F.coalesce(lines, F.array().cast("array<string>")).alias("lines"),
                        F.monotonically_increasing_id().alias("row"))
     hits = known_digests(docs.sparkSession, known).where(F.col("digest") != empty).select(
@@ -142,7 +171,7 @@ def scan_licenses(docs: DataFrame, text_col: str,
         hits = F.broadcast(hits)
     # position 0 carries the row itself, the others one line digest each
     units = base.select(*[f"c{i}" for i in range(len(carry))], "digest", "row",
-                        F.posexplode(F.concat(F.array(F.coalesce("digest", F.lit(""))), "lines")).alias("pos", "u"))
+                        F.posexplode(F.concat(F.array(F.coalesce("wanted", F.lit(""))), "lines")).alias("pos", "u"))
     found = units.join(hits, F.col("u") == F.col("kd"), "left").where((F.col("pos") == 0) | F.col("kd").isNotNull())
     whole = F.col("pos") == 0
     res = found.groupBy("row").agg(

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import pytest
@@ -93,6 +94,21 @@ def test_licenses_of_whole_texts_and_lines(spark):
     assert L.scan_licenses(df.limit(0), "text").count() == 0
 
 
+def test_wrapped_licenses_have_their_id(spark):
+    known = {}
+    for i, t in L.KNOWN_LICENSES:
+        known.setdefault(i, t)
+    heads = ["", "All rights reserved.\n\n", "Copyright (c) Some Body\nAll rights reserved.\n\n", "Copyright The Authors\n"]
+    rows = [(i, h + textwrap.fill(" ".join(known[i].split()), w, break_long_words=False, break_on_hyphens=False))
+            for i in ("MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause") for h in heads for w in (1, 30, 60, 72, 80)]
+    rows += [("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Me\n\n" + MIT), ("MIT", MIT.replace("sublicense", "sub-\nlicense")),
+             ("BSD-3-Clause", 'BSD 3-Clause "New" or "Revised" License\n\n' + known["BSD-3-Clause"]),
+             (None, "All rights reserved."), (None, "C code\n" + MIT)]
+    got = L.scan_licenses(spark.createDataFrame(rows, "want string, text string"), "text").collect()
+    assert len(got) == len(rows)
+    assert [r["text"] for r in got if r["license_id"] != r["want"]] == []
+
+
 # --- urls
 
 def model_verdict(url):
