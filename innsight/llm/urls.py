@@ -31,7 +31,7 @@ def host_rule(verdict: str, host: str, path: str) -> Rule:
     name = host + path
     # the last run of a path prefix may go on in the url, so only runs closed by the prefix itself are whole tokens
     closed = re.findall(TOKEN, host) + re.findall(r"[a-z0-9]+(?=[^a-z0-9])", path.lower())
-    return Rule(name, verdict, rf"^(?:[^ ]*\.)?{re.escape(host)} {re.escape(path)}", tuple(closed), len(name), True)
+    return Rule(name, verdict, rf"^(?:[^/]*\.)?{re.escape(host)} {re.escape(path)}", tuple(closed), len(name), True)
 
 
 def word_rule(word: str) -> Rule:

@@ -147,6 +147,12 @@ def test_urls_match_the_rules(spark):
     assert U.judge_urls(df.limit(0), "url", U.HOST_RULES).count() == 0
 
 
+def test_hosts_may_hold_blanks(spark):
+    urls = ["http://a b.example.com/de/x", "http://a b.net/", "http://a b.example.net/en/1", "http://a bnet/", "http://x.y/a.net /"]
+    rows = U.judge_urls(spark.createDataFrame([(u,) for u in urls], "url string"), "url", U.HOST_RULES + U.WORD_RULES).collect()
+    assert {r["url"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in rows} == {u: model_verdict(u) for u in urls}
+
+
 def test_rules_need_a_literal():
     with pytest.raises(ValueError):
         U.judge_urls(None, "url", [U.Rule("x", "block", ".*", (), 1, False)])
