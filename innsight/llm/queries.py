@@ -257,3 +257,100 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from innsight.llm.jaccard import link_documents
 
     return link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: The checksums of the 256 octets, by the rule of crc32, as one list.
+_CRC_TABLE = """
+bits AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n) ORDER BY n) AS by_octet
+  FROM (SELECT unnest(range(256)) AS n))"""
+
+
+def _crc_sql(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8 bytes, where ``bits`` is joined."""
+    h = f"hex(encode({text}))"
+    octets = f"list_transform(range(1, length({h}), 2), lambda i: ('0x' || substr({h}, i, 2))::BIGINT)"
+    return f"xor(list_reduce({octets}, lambda s, o: xor(s // 256, by_octet[xor(s % 256, o) + 1]), 4294967295::BIGINT), 4294967295)"
+
+
+_ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_RESAMPLE_SQL = rf"""
+WITH {_CRC_TABLE.strip()},
+d AS (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(coalesce(translate(text, {_ASCII}), ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+words AS (SELECT true AS corpus, rn, unnest(ws) AS w FROM d UNION ALL
+  SELECT false, 0, unnest(regexp_extract_all(translate(text, {_ASCII}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+bucket AS (SELECT w, {_crc_sql('w')} % 10000 AS b FROM (SELECT DISTINCT w FROM words), bits),
+n AS (SELECT b, count(*) FILTER (corpus) AS s, count(*) FILTER (NOT corpus) AS t FROM words JOIN bucket USING (w) GROUP BY b),
+gain AS (SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS g FROM n),
+doc AS (SELECT rn, count(*) AS n_features, sum(g)::BIGINT AS total FROM words JOIN bucket USING (w) JOIN gain USING (b) WHERE corpus GROUP BY rn),
+scored AS (SELECT rn, doc_id, coalesce(n_features, 0) AS n_features,
+    coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS noise
+  FROM d LEFT JOIN doc USING (rn)),
+placed AS (SELECT rn, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS p, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN p <= 10 * n // 100 THEN p END AS rank
+FROM scored LEFT JOIN placed USING (rn)"""
+
+
+@_query("op11_resampling", _RESAMPLE_SQL)
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the words of the benchmark texts."""
+    from innsight.llm.resample import resample
+
+    return resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), "doc_id",
+                    carry=["doc_id"])
+
+
+def _merkle_sql(levels: int = 7) -> str:
+    """Levels beyond the depth of a tree leave its lone node alone, so ``levels`` only bounds the table (16 ** 7 documents a source)."""
+    def enc(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR)) || ':' || {c} END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(enc, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+    parts = [f"""d AS (SELECT row_number() OVER () AS rn, doc_id, source, {leaf('text')} AS leaf,
+  CASE WHEN {_crc_sql('doc_id::VARCHAR')} % 5 = 0 THEN {leaf(f'translate(text, {_ASCII})')} ELSE {leaf('text')} END AS shown FROM documents, bits)""",
+             """a0 AS (SELECT rn, source AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, rn) - 1 AS pos,
+  leaf AS node, shown AS fold, '' AS proof FROM d)"""]
+
+    def level(src: str, out: str) -> str:
+        # one row per row of the table and level: the row's node, the fold of its presented leaf and the siblings so far
+        return f"""
+{out}_nodes AS (SELECT t, pos, any_value(node) AS node, max(pos) OVER (PARTITION BY t) AS last FROM {src} GROUP BY t, pos),
+{out}_runs AS (SELECT t, pos // 16 AS up, sha256(string_agg(node, '' ORDER BY pos)) AS node, list(node ORDER BY pos) AS run, any_value(last) AS last
+  FROM {out}_nodes GROUP BY t, pos // 16),
+{out} AS (SELECT rn, {src}.t, CASE WHEN last = 0 THEN pos ELSE up END AS pos, CASE WHEN last = 0 THEN {src}.node ELSE r.node END AS node,
+  CASE WHEN last = 0 THEN fold ELSE sha256(array_to_string(list_concat(run[:pos % 16], [fold], run[pos % 16 + 2:]), '')) END AS fold,
+  CASE WHEN last = 0 THEN proof ELSE proof || array_to_string(list_concat(run[:pos % 16], run[pos % 16 + 2:]), '') END AS proof
+  FROM {src} JOIN {out}_runs r ON r.t IS NOT DISTINCT FROM {src}.t AND up = pos // 16)"""
+
+    for k in range(levels):
+        parts.append(level(f"a{k}", f"a{k + 1}"))
+    parts.append(f"b0 AS (SELECT rn, 0 AS t, dense_rank() OVER (ORDER BY encode(t) NULLS FIRST) - 1 AS pos, node, fold, proof FROM a{levels})")
+    for k in range(levels):
+        parts.append(level(f"b{k}", f"b{k + 1}"))
+    return "WITH " + _CRC_TABLE.strip() + ",\n" + ",\n".join(p.strip() for p in parts) + f"""
+SELECT doc_id, leaf, a{levels}.node AS subroot, top.node AS root, sha256(top.proof) AS proof_sha256, top.fold AS folded_root, top.fold = top.node AS verified
+FROM d JOIN a{levels} USING (rn) JOIN b{levels} top USING (rn)"""
+
+
+@_query("op12_merkle_manifest", _merkle_sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document checked against the manifest of all; those whose checksum 5 divides come with their text lower-cased."""
+    from innsight.llm.merkle import leaf_digest, verify_rows
+
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    leaf = leaf_digest([*fields, F.col("text")])
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    shown = F.when(tampered, leaf_digest([*fields, lowered])).otherwise(leaf)
+    return verify_rows(table(spark, sf_dir, "documents"), F.col("source"), F.col("doc_id"), leaf, shown, ["doc_id"])
+
+
+@_query("op13_simhash")
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    from innsight.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", carry=["doc_id"])
