@@ -14,6 +14,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from innsight.functions import html as H
+from innsight.functions.html import ENTITY_RE, decode_entities, elements, first_text, html_text, inners, visible  # noqa: F401
 from innsight.functions.keys import py_strip
 from innsight.functions.parse import form_url_encode, price_vnd, text_after
 
@@ -32,16 +34,17 @@ DETAIL_BASE = "https://www.traveloka.com/vi-vn/hotel/detail?"
 REVIEW_LIST_BASE = "https://www.booking.com/reviewlist.vi.html?"
 REVIEW_LIST_PARAMS = [("type", "total"), ("lang", "vn"), ("sort", "f_recent_desc"), ("cc1", "vn"), ("dist", "1")]
 FILLERS = ["n/a", "ko", "không", "no", "nothing"]
-# Markers of the stored pages: attributes and classes that the fields stand behind.
-CARD = 'data-testid="property-card-container"'
-CARD_LINK, CARD_TITLE = 'data-testid="title-link"', 'data-testid="title"'
-CARD_PRICE, CARD_SCORE = 'data-testid="price-and-discounted-price"', 'data-testid="review-score"'
-ADDRESS_CLASS, DESCRIPTION_BOUNDARY = "hp_address_subtitle", "PropertyDescriptionDesktop"
+# Markers of the stored pages: tag, class tokens and attribute values of the elements that hold the fields.
+CARD, CARD_LINK = {"data-testid": "property-card-container"}, {"data-testid": "title-link"}
+CARD_TITLE, CARD_PRICE = {"data-testid": "title"}, {"data-testid": "price-and-discounted-price"}
+CARD_SCORE = {"data-testid": "review-score"}
+ADDRESS_CLASS = "hp_address_subtitle"
+DESCRIPTION = {"data-capla-component-boundary": "b-property-web-property-page/PropertyDescriptionDesktop"}
 HIGHLIGHTS_CLASS = "aca0ade214 aaf30230d9 c2931f4182 e7d9f93f4d ed5cdd3fb3 fb5b81c565"
 PHOTOS_CLASS, PHOTO_LINK_CLASS = "nha_large_photo_main_content", "bh-photo-grid-item"
 REVIEW_COUNT_CLASS = "f13857cc8c a5cc9f664c c4b07b6aa8"
 ROW_CLASS, ROW_CELL_CLASS, ROW_LAST_CLASS = "js-rt-block-row", "hprt-table-cell", "hprt-table-last-row"
-ROW_TYPE_CLASS, ROW_FACILITY_CLASS = "hprt-roomtype-icon-link", "hprt-facilities-facility"
+ROW_TYPE_CLASS, ROW_FACILITY_CLASS, ROW_FACILITY = "hprt-roomtype-icon-link", "hprt-facilities-facility", "data-name-en"
 ROW_PRICE_CLASS, ROW_OCCUPANCY_CLASS, BASIC_BLOCK = "bui-price-display__value", "bui-u-sr-only", "bbasic_0"
 REVIEW_LIST_CLASS, AVATAR_CLASS = "review_list", "bui-avatar__image"
 REVIEWER_CLASS, COUNTRY_CLASS = "bui-avatar-block__title", "bui-avatar-block__subtitle"
@@ -111,55 +114,6 @@ def first_containing(options: DataFrame, cities: DataFrame, key: str = "city_id"
 
 # --- P7 / P8 / P10 / W8 ----------------------------------------------------------------------
 
-ENTITY_RE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-
-
-def _entity_names() -> dict[str, str]:
-    """Named entities of HTML 5 (closed by a semicolon), from the standard library."""
-    from html.entities import html5
-
-    return {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
-
-
-def _old_code_points() -> dict[int, str]:
-    """Numbers 128-159 name characters of the Windows code page in pages, not control characters."""
-    return {i: bytes([i]).decode("cp1252") for i in range(0x80, 0xA0) if bytes([i]).decode("cp1252", "ignore")}
-
-
-def _literal_map(items: dict, key_type: str) -> Column:
-    return F.create_map(*[F.lit(x) for kv in sorted(items.items()) for x in kv]).cast(f"map<{key_type},string>")
-
-
-def decode_entities(c: Column) -> Column:
-    """Decode named (HTML 5) and numeric entities that a semicolon closes; anything else stays as it is.
-
-    A number that is no character (0, surrogates, beyond Unicode) becomes U+FFFD.
-    """
-    names, old = _literal_map(_entity_names(), "string"), _literal_map(_old_code_points(), "int")
-
-    def point(n: Column) -> Column:
-        good = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-        utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-        return F.when(~good, F.lit("\ufffd")).otherwise(F.coalesce(F.try_element_at(old, n), utf32))
-
-    def one(e: Column) -> Column:
-        number = F.when(e.rlike("^#[xX]"), F.conv(F.substring(e, 3, 8), 16, 10)).otherwise(F.substring(e, 2, 8)).cast("int")
-        return F.when(e.startswith("#"), point(number)).otherwise(
-            F.coalesce(F.try_element_at(names, e), F.concat(F.lit("&"), e, F.lit(";"))))
-
-    decoded = F.transform(F.regexp_extract_all(c, F.lit(ENTITY_RE), F.lit(1)), one)
-    whole = F.array_join(F.zip_with(F.split(c, ENTITY_RE, -1), F.array_append(decoded, F.lit("")), lambda a, b: F.concat(a, b)), "")
-    return F.when(c.contains("&"), whole).otherwise(c)
-
-
-def html_text(c: Column) -> Column:
-    """P10: text nodes outside script/style/comments, entity-decoded, stripped, joined by one space."""
-    body = F.regexp_replace(c, "(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", "")
-    pieces = F.split(body, "<[^>]*>")
-    pieces = F.transform(pieces, lambda p: py_strip(decode_entities(p)))
-    return F.array_join(F.filter(pieces, lambda p: F.length(p) > 0), " ")
-
-
 def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """One page -> title, heading, link list, paragraph count (trimmed, decoded)."""
     h = F.col(html)
@@ -193,19 +147,27 @@ def card_rating(c: Column) -> Column:
     return F.replace(c, F.lit(","), F.lit("."))
 
 
-def _found(c: Column, pattern: str) -> Column:
-    """First group of the first match, NULL when there is none (``regexp_extract`` gives '')."""
-    return F.get(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), 0)
+def _shown(pages: DataFrame, html: str) -> DataFrame:
+    """The page without comments and scripts as ``_h``, behind a generator, so that no field repeats the work."""
+    return pages.select(*[c for c in pages.columns if c != html], F.explode_outer(F.array(visible(F.col(html)))).alias("_h"))
 
 
-def _class(name: str) -> str:
-    """Pattern of a tag's rest from a class attribute that holds ``name`` to the tag's end."""
-    return f'class="[^"]*{name}[^"]*"[^>]*>'
+def _each(pages: DataFrame, found: str, html: str) -> DataFrame:
+    """One row per element found in ``_h``: pos, _e (open, inner) in place of the page."""
+    rows = _shown(pages, html)
+    return rows.select(*[c for c in rows.columns if c != "_h"], F.posexplode(F.expr(found)).alias("pos", "_e"))
 
 
-def _text_of(c: Column, marker: str, tail: str = "") -> Column:
-    """Decoded text right behind the first tag with the marker; NULL when there is none."""
-    return decode_entities(_found(c, f"{marker}{tail}([^<]*)<"))
+def _decoded(rows: DataFrame, drop: list[str], **fields: str) -> DataFrame:
+    """The rows without ``drop``, with a struct ``_t`` of decoded texts, each the SQL text of an expression: one decoding of all, behind a generator."""
+    texts = F.transform(F.expr(f"array({', '.join(fields.values())})"), decode_entities)
+    rows = rows.select("*", F.explode(F.array(texts)).alias("_a"))
+    named = F.struct(*[F.get("_a", F.lit(i)).alias(n) for i, n in enumerate(fields)])
+    return rows.select(*[c for c in rows.columns if c not in (*drop, "_a")], named.alias("_t"))
+
+
+def _others(rows: DataFrame, *own: str) -> list[str]:
+    return [c for c in rows.columns if c not in ("_t", *own)]
 
 
 def property_cards(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -213,61 +175,59 @@ def property_cards(pages: DataFrame, html: str = "html") -> DataFrame:
 
     A card without a price or rating has NULL there; a page without cards gives no row.
     """
-    pieces = F.slice(F.split(F.col(html), CARD, -1), 2, 1_000_000)
-    cards = pages.select(*[c for c in pages.columns if c != html], F.posexplode(pieces).alias("pos", "_c"))
-    c = F.col("_c")
-    tag = _found(c, f"(<a[^>]*{CARD_LINK}[^>]*>)")
-    return cards.select(
-        *[x for x in cards.columns if x != "_c"], py_strip(_text_of(c, f"{CARD_TITLE}[^>]*>")).alias("homename"),
-        card_price(_text_of(c, f"{CARD_PRICE}[^>]*>")).alias("cheapest_price"),
-        card_rating(_text_of(c, f"{CARD_SCORE}[^>]*>\\s*<div[^>]*>")).alias("rating"),
-        decode_entities(_found(tag, 'href="([^"]*)"')).alias("link"))
+    cards, c = _each(pages, elements("_h", "div", attrs=CARD), html), "_e.inner"
+    score = f"get(filter(transform({inners(c, 'div', attrs=CARD_SCORE)}, v -> {H.leading_text('get(' + inners('v', 'div') + ', 0)')}), v -> v IS NOT NULL), 0)"
+    cards = _decoded(cards, ["_e"], name=first_text(c, "div", attrs=CARD_TITLE), price=first_text(c, "span", attrs=CARD_PRICE),
+                     score=score, link=H.attribute(f"get({elements(c, 'a', attrs=CARD_LINK)}, 0).open", "href"))
+    return cards.select(*_others(cards), py_strip("_t.name").alias("homename"), card_price(F.col("_t.price")).alias("cheapest_price"),
+                        card_rating(py_strip("_t.score")).alias("rating"), F.col("_t.link").alias("link"))
 
 
 def property_page(pages: DataFrame, html: str = "html") -> DataFrame:
     """P8 over property pages: address, description, property_highlights, images, total_reviews.
 
     Texts are decoded and trimmed; what a page lacks is NULL, lists are empty.
+    Every item of the highlight list counts, also those of lists inside it, and only photos inside the photo block.
     ``total_reviews`` is the number in the second counter of the page (NULL: none announced).
     """
     from innsight.functions.parse import dotted_count
 
-    h = F.col(html)
-    items = F.regexp_extract_all(_found(h, f'(?s)<ul class="{HIGHLIGHTS_CLASS}"[^>]*>(.*?)</ul>'), F.lit("(?s)<li[^>]*>(.*?)</li>"), F.lit(1))
-    first_text = lambda x: py_strip(decode_entities(F.regexp_extract(x, "(?s)^(?:\\s*<[^>]*>)*([^<]*)", 1)))
-    photos = _found(h, f"(?s){_class(PHOTOS_CLASS)}(.*)")
-    images = F.regexp_extract_all(photos, F.lit(f'<a[^>]*{_class(PHOTO_LINK_CLASS)}\\s*<img[^>]*src="([^"]*)"'), F.lit(1))
-    counters = F.regexp_extract_all(h, F.lit(f'class="{REVIEW_COUNT_CLASS}"[^>]*>([^<]*)<'), F.lit(1))
-    empty = F.array().cast("array<string>")
-    return pages.select(
-        *[c for c in pages.columns if c != html],
-        py_strip(_text_of(h, _class(ADDRESS_CLASS))).alias("address"),
-        py_strip(_text_of(h, f"(?s){DESCRIPTION_BOUNDARY}\"[^>]*>.*?<p[^>]*>")).alias("description"),
-        F.coalesce(F.transform(items, first_text), empty).alias("property_highlights"),
-        F.coalesce(F.transform(images, decode_entities), empty).alias("images"),
-        dotted_count(F.get(counters, 1)).alias("total_reviews"))
+    items = H.each(inners("_h", "ul", tuple(HIGHLIGHTS_CLASS.split())), "slice(split(v, '(?i)<li(?=[ />])[^>]*>', -1), 2, 1000000)")
+    items = f"transform({items}, v -> coalesce({H.leading_text('v')}, ''))"
+    photos = H.each(inners("_h", "div", (PHOTOS_CLASS,)), inners("v", "a", (PHOTO_LINK_CLASS,)))
+    images = f"transform({H.each(photos, 'regexp_extract_all(v, ' + H.quoted('(?i)<(img(?=[ />])[^>]*>)') + ', 1)')}, v -> {H.attribute('v', 'src')})"
+    described = H.each(inners("_h", "div", attrs=DESCRIPTION), H.texts_of("v", "p"))
+    counters = H.texts_of("_h", "span", tuple(REVIEW_COUNT_CLASS.split()))
+    # four lists in one column, so that all are decoded by one expression
+    lists = [f"slice({H.texts_of('_h', 'span', (ADDRESS_CLASS,))}, 1, 1)", f"slice({described}, 1, 1)", items, images, f"slice({counters}, 2, 1)"]
+    page = _shown(pages, html)
+    decoded = F.transform(F.expr("array(" + ", ".join(f"coalesce({x}, array())" for x in lists) + ")"), lambda x: F.transform(x, decode_entities))
+    page = page.select(*_others(page, "_h"), F.explode(F.array(decoded)).alias("_t"))
+    at = lambda i: F.get("_t", F.lit(i))
+    return page.select(
+        *_others(page), py_strip(F.get(at(0), 0)).alias("address"), py_strip(F.get(at(1), 0)).alias("description"),
+        F.transform(at(2), py_strip).alias("property_highlights"), at(3).alias("images"), dotted_count(F.get(at(4), 0)).alias("total_reviews"))
 
 
 def review_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     """Review-list pages -> one row per review: pos, user_name, user_country, review_date, review_title, review_score, review_content.
 
-    Only blocks with an avatar image are reviews. The date is a DATE (NULL if
-    it does not parse), the score keeps its text with a dot, body texts are joined by P15.
+    Only items of the review list with an avatar image are reviews; lists inside an item belong to its review. The date
+    is a DATE (NULL if it does not parse), the score keeps its text with a dot, body texts are joined by P15.
     """
     from innsight.functions.parse import review_date_parse
 
-    body = _found(F.col(html), f'(?s)<ul[^>]*{_class(REVIEW_LIST_CLASS)}(.*?)</ul>')
-    blocks = F.slice(F.split(body, "<li[ >]", -1), 2, 1_000_000)
-    rows = pages.select(*[c for c in pages.columns if c != html], F.posexplode(blocks).alias("pos", "_b"))
-    b = F.col("_b")
-    rows = rows.where(b.rlike(f'<img[^>]*class="[^"]*{AVATAR_CLASS}[^"]*"[^>]*src="[^"]+"'))
-    text = lambda cls: _text_of(b, _class(cls))
-    parts = F.transform(F.regexp_extract_all(b, F.lit(f"{_class(REVIEW_BODY_CLASS)}([^<]*)<"), F.lit(1)), decode_entities)
+    rows, b = _each(pages, H.each(inners("_h", "ul", (REVIEW_LIST_CLASS,)), elements("v", "li")), html), "_e.inner"
+    avatars = f"regexp_extract_all({b}, {H.quoted('<(' + H.tag_pattern('img', (AVATAR_CLASS,)) + '[^>]*>)')}, 1)"
+    rows = rows.where(F.expr(f"coalesce({H.attribute(f'get({avatars}, 0)', 'src')}, '') <> ''"))
+    rows = rows.withColumn("_b", F.transform(F.expr(H.texts_of(b, "span", (REVIEW_BODY_CLASS,))), decode_entities))
+    rows = _decoded(rows, ["_e"], name=first_text(b, "span", (REVIEWER_CLASS,)), country=first_text(b, "span", (COUNTRY_CLASS,)),
+                    day=first_text(b, "span", (REVIEW_DATE_CLASS,)), title=first_text(b, "h3", (REVIEW_TITLE_CLASS,)),
+                    score=first_text(b, "div", (REVIEW_SCORE_CLASS,)))
     return rows.select(
-        *[c for c in rows.columns if c != "_b"], text(REVIEWER_CLASS).alias("user_name"), text(COUNTRY_CLASS).alias("user_country"),
-        review_date_parse(text(REVIEW_DATE_CLASS)).alias("review_date"), py_strip(text(REVIEW_TITLE_CLASS)).alias("review_title"),
-        F.replace(py_strip(text(REVIEW_SCORE_CLASS)), F.lit(","), F.lit(".")).alias("review_score"),
-        review_text_join(parts).alias("review_content"))
+        *_others(rows, "_b"), F.col("_t.name").alias("user_name"), F.col("_t.country").alias("user_country"),
+        review_date_parse(F.col("_t.day")).alias("review_date"), py_strip("_t.title").alias("review_title"),
+        F.replace(py_strip("_t.score"), F.lit(","), F.lit(".")).alias("review_score"), review_text_join(F.col("_b")).alias("review_content"))
 
 
 def room_table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -275,27 +235,25 @@ def room_table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
 
     pos, has_cell, is_last, roomtype, roomsize (of the room-size facility, square
     metres), facilities (without room size and privacy; NULL if the row lists none), occupancy, price.
+    Tables inside a cell belong to the row that holds the cell.
     """
-    pieces = F.slice(F.split(F.col(html), "<tr(?=[ >])", -1), 2, 1_000_000)
-    rows = pages.select(*[c for c in pages.columns if c != html], F.posexplode(pieces).alias("_pos", "_r"))
-    r = F.col("_r")
-    tag = F.regexp_extract(r, "^([^>]*)>", 1)
-    rows = rows.where(tag.rlike(f'class="[^"]*{ROW_CLASS}'))
-    listed = F.regexp_extract_all(r, F.lit(f'(?s)(<div[^>]*class="[^"]*{ROW_FACILITY_CLASS}[^"]*"[^>]*>.*?</div>)'), F.lit(1))
-    named = lambda x, name: x.rlike(f'^<div[^>]*data-name-en="{name}"')
-    inner = lambda x: py_strip(html_text(x))
-    size = F.get(F.filter(listed, lambda x: named(x, "room size")), 0)
-    rest = F.transform(F.filter(listed, lambda x: ~named(x, "room size") & ~named(x, "privacy")), inner)
-    block = _found(tag, 'data-block-id="([^"]*)"')
-    basic = F.get(F.split(_text_of(r, _class(ROW_PRICE_CLASS)), "\u00a0"), 1)
+    rows, r = _each(pages, elements("_h", "tr", (ROW_CLASS,)), html), "_e.inner"
+    named = f"transform({elements(r, 'div', (ROW_FACILITY_CLASS,))}, v -> named_struct('name', {H.attribute('v.open', ROW_FACILITY)}, 'html', v.inner))"
+    listed = F.transform(F.expr(named), lambda x: F.struct(x["name"].alias("name"), py_strip(html_text(x["html"])).alias("text")))
+    rows = rows.select("*", F.explode(F.array(listed)).alias("_l"), F.expr(H.has_tag(r, "td", (ROW_CELL_CLASS,))).alias("has_cell"),
+                       F.expr(H.has_tag("concat('<', _e.open)", "tr", (ROW_LAST_CLASS,))).alias("is_last"))
+    rows = _decoded(rows, ["_e"], block=H.attribute("_e.open", "data-block-id"), rounded=H.attribute("_e.open", "data-hotel-rounded-price"),
+                    price=first_text(r, "div", (ROW_PRICE_CLASS,)), type=first_text(r, "span", (ROW_TYPE_CLASS,)),
+                    people=first_text(r, "span", (ROW_OCCUPANCY_CLASS,)))
+    listed, block = F.col("_l"), F.col("_t.block")
+    size = F.get(F.filter(listed, lambda x: x["name"].eqNullSafe("room size")), 0)["text"]
+    rest = F.filter(listed, lambda x: ~F.coalesce(x["name"].isin("room size", "privacy"), F.lit(False)))
     return rows.select(
-        *[c for c in rows.columns if c not in ("_pos", "_r")], F.col("_pos").alias("pos"),
-        r.rlike(f'<td[^>]*class="[^"]*{ROW_CELL_CLASS}').alias("has_cell"), tag.rlike(ROW_LAST_CLASS).alias("is_last"),
-        _text_of(r, _class(ROW_TYPE_CLASS)).alias("roomtype"),
-        F.get(F.split(inner(size), " "), 0).try_cast("int").alias("roomsize"),
-        F.when(F.size(listed) > 0, rest).alias("facilities"),
-        block_occupancy(block, _text_of(r, _class(ROW_OCCUPANCY_CLASS))).alias("occupancy"),
-        F.when(block == BASIC_BLOCK, basic).otherwise(_found(tag, 'data-hotel-rounded-price="([^"]*)"')).alias("price"))
+        *_others(rows, "_l", "has_cell", "is_last"), "has_cell", "is_last", F.col("_t.type").alias("roomtype"),
+        F.get(F.split(size, " "), 0).try_cast("int").alias("roomsize"),
+        F.when(F.size(listed) > 0, F.transform(rest, lambda x: x["text"])).alias("facilities"),
+        block_occupancy(block, F.col("_t.people")).alias("occupancy"),
+        F.when(block == BASIC_BLOCK, F.get(F.split("_t.price", "\u00a0"), 1)).otherwise(F.col("_t.rounded")).alias("price"))
 
 
 def last_match(c: Column, pattern: str, group: int = 1) -> Column:
@@ -431,4 +389,4 @@ def block_occupancy(block_id: Column, fallback_text: Column | None = None) -> Co
     main = F.get(F.split(block_id, "_"), 2).try_cast("int")
     if fallback_text is None:
         return main
-    return F.when(block_id == "bbasic_0", text_after(fallback_text, ": ").try_cast("int")).otherwise(main)
+    return F.when(block_id == BASIC_BLOCK, text_after(fallback_text, ": ").try_cast("int")).otherwise(main)

@@ -5,9 +5,10 @@ Streaming forms are in :mod:`innsight.streaming.streams`; they reuse these.
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innsight.functions import text as T
@@ -94,6 +95,114 @@ def keyed_upsert(base: DataFrame, updates: DataFrame, key: Sequence[str] | str,
     return j.select(*out, *extra)
 
 
+# --- S5 over a stored table -----------------------------------------------------------------
+
+#: Folders below a stored table; names with an underscore are no data to readers.
+PENDING, APPLIED = "_pending", "_applied"
+
+
+def _bucket(keys: list[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _write_buckets(rows: DataFrame, path: str, column: str, keys: list[str], files: int) -> None:
+    """Replace a folder by these rows: each bucket in ``files`` files at most, whatever the number of tasks; a success marker ends it."""
+    part = F.pmod(F.xxhash64(F.lit("file"), *keys), F.lit(files))
+    (rows.repartition(F.col(column), part).write.partitionBy(column).mode("overwrite")
+     .option("partitionOverwriteMode", "static").parquet(path))
+
+
+def store_bucketed(df: DataFrame, path: str, key: Sequence[str] | str, buckets: int = 64, files: int = 1) -> None:
+    """Write a table for :func:`upsert_stored`: one folder per bucket of the key's hash.
+
+    The folder column is named ``bucket_<number of buckets>``, so the table itself says how it is cut. Choose as many
+    buckets as make one fit for a rewrite (say 1 GB), and ``files`` per bucket as many tasks as shall write one.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    column = f"bucket_{buckets}"
+    _write_buckets(df.withColumn(column, _bucket(keys, buckets)), path, column, keys, files)
+
+
+def _bucket_column(df: DataFrame) -> str:
+    found = [c for c in df.columns if re.fullmatch(r"bucket_[0-9]+", c)]
+    if len(found) != 1:
+        raise ValueError("not a table written by store_bucketed")
+    return found[0]
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a stored table, after finishing an update that was cut off."""
+    _finish(spark, path)
+    df = spark.read.parquet(path)
+    return df.drop(_bucket_column(df))
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Move the merged buckets of a pending update into the table, also again after a crash; a pending folder that is not complete is dropped."""
+    pending = f"{path}/{PENDING}"
+    if _exists(spark, f"{pending}/_SUCCESS"):
+        rows = spark.read.parquet(pending)
+        column = _bucket_column(rows)
+        # the files of a bucket as they are: one task takes over each
+        rows.write.partitionBy(column).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    fs, p = _fs(spark, pending)
+    fs.delete(p, True)
+
+
+def upsert_stored(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str] | str, cols: Sequence[str],
+                  order: str | None = None, files: int = 1) -> list[int]:
+    """S5 in place: :func:`keyed_upsert` into a stored table, rewriting only buckets that hold a key of ``updates``.
+
+    Only those buckets are read (partition pruning) and joined; files of other buckets are neither read nor written. Returns the buckets touched.
+    The table keeps its columns, so ``cols`` must be among them. Merged buckets are first written beside the table and then
+    replace theirs: an update that is cut off before that leaves the table as it was, one cut off later is finished by
+    the next call or read. One writer at a time. Applying the same updates again changes no row.
+    """
+    keys, cols = [key] if isinstance(key, str) else list(key), list(cols)
+    _finish(spark, path)
+    base = spark.read.parquet(path)
+    column = _bucket_column(base)
+    n = int(column.removeprefix("bucket_"))
+    missing = [c for c in [*keys, *cols] if c not in base.columns]
+    if missing:
+        raise ValueError(f"the table has no column {', '.join(missing)}")
+    touched = sorted(r[0] for r in updates.select(_bucket(keys, n)).distinct().collect())  # at most n numbers
+    if not touched:
+        return touched
+    old = base.where(F.col(column).isin(touched))
+    merged = keyed_upsert(old.drop(column), updates, keys, cols, order)
+    # null keys join nothing and are kept as they are
+    _write_buckets(merged.withColumn(column, _bucket(keys, n)), f"{path}/{PENDING}", column, keys, files)
+    _finish(spark, path)
+    return touched
+
+
+def last_applied(spark: SparkSession, path: str) -> int:
+    """Number of the last batch merged into a stored table; -1 if none was."""
+    fs, p = _fs(spark, f"{path}/{APPLIED}")
+    return max((int(f.getPath().getName()) for f in fs.listStatus(p)), default=-1) if fs.exists(p) else -1
+
+
+def log_applied(spark: SparkSession, path: str, batch: int) -> None:
+    """Note that all batches up to ``batch`` are merged; the marker before it goes afterwards."""
+    before = last_applied(spark, path)
+    fs, p = _fs(spark, f"{path}/{APPLIED}/{batch}")
+    fs.mkdirs(p)
+    if 0 <= before < batch:
+        fs, p = _fs(spark, f"{path}/{APPLIED}/{before}")
+        fs.delete(p, True)
+
+
 # --- A2 ----------------------------------------------------------------------------------------
 
 def complete_homes(homes: DataFrame, arrivals: DataFrame, key: Sequence[str] | str,

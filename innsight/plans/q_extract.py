@@ -440,10 +440,11 @@ def q_property_page(spark, sf):
         part(size % 6 != 0, s('<span class="x hp_address_subtitle y">\n Street '), size.cast("string"), s(" &amp; Co\n</span>")),
         part(size % 5 != 0, s('<div data-capla-component-boundary="b-property-web-property-page/PropertyDescriptionDesktop"><div><p class="d"> '),
              _esc(F.col("p_name")), s(" &ndash; "), _esc(F.col("p_type")), s(" </p><p>more</p></div></div>")),
-        part(size % 3 != 0, s(f'<ul class="{X.HIGHLIGHTS_CLASS}"><li><div> '), _esc(F.col("p_type")), s("</div></li>\n<li> "), _esc(F.col("p_brand")), s(" <b>x</b></li></ul>")),
+        part(size % 3 != 0, s(f'<ul class="{X.HIGHLIGHTS_CLASS}"><li><div> '), _esc(F.col("p_type")),
+             s("</div><ul><li> "), _esc(F.col("p_brand")), s(" <b>x</b></li></ul></li></ul>")),
         s('<ul><li>other</li></ul><a class="bh-photo-grid-item"><img src="before"></a>'),
         part(size % 4 != 0, s('<div class="nha_large_photo_main_content"><a href="#" class="bh-photo-grid-item big"><img alt="" src="img/'), k,
-             s('?w=1&amp;h=2"></a>\n<a class="bh-photo-grid-item">\n<img src="img/b"></a></div>')),
+             s('?w=1&amp;h=2"></a>\n<a class="bh-photo-grid-item">\n<img src="img/b"></a><div></div></div><a class="bh-photo-grid-item"><img src="after"></a>')),
         part(size % 7 != 0, s(f'<span class="{X.REVIEW_COUNT_CLASS}">7,1</span><span class="{X.REVIEW_COUNT_CLASS}"> '),
              F.replace(F.format_number(F.col("p_partkey") * 17, 0), s(","), s(".")), s(" đánh giá</span>")), s("</body></html>"))
     out = X.property_page(p.select(F.col("p_partkey").alias("page_id"), html.alias("html")))
@@ -468,12 +469,13 @@ def q_review_rows(spark, sf):
         s('<div class="bui-avatar-block__text"><span class="bui-avatar-block__title">'), _esc(F.col("p_name")), s("</span>"),
         part(size % 3 != 0, s('<span class="bui-avatar-block__subtitle">'), _esc(F.col("p_brand")), s("</span>")),
         s('</div><div class="c-review-block__row"><span class="c-review-block__date">Reviewed: '), date, s("</span>"),
-        part(size % 4 != 0, s('<h3 class="c-review-block__title">\n'), _esc(F.col("p_type")), s(" &amp; more </h3>")),
+        part(size % 4 == 1, s('<ul class="pros"><li>quiet<ul><li>very</li></ul></li><li>near</ul><span class="c-review-block__title-x">no</span>')),
+        part(size % 4 != 0, s('<h3 class="c-review-block__title-x">none</h3><h3 class="c-review-block__title">\n'), _esc(F.col("p_type")), s(" &amp; more </h3>")),
         part(size % 5 != 0, s('<div class="bui-review-score__badge"> '), (size % 10).cast("string"), s(",5 </div>")),
-        part(size % 8 != 0, s('<div class="c-review"><span class="c-review__body"> '), _esc(F.col("p_name")),
-             s('</span><span class="c-review__body" lang="x">n/a </span></div>')), s("</div></li>"))
+        part(size % 8 != 0, s('<div class="c-review"><span class="c-review__body"><i title="a > b">&quot;</i> '), _esc(F.col("p_name")),
+             s("</span><span lang=x class='wide c-review__body'>n/a </span></div>")), s("</div>"), part(size % 3 == 0, s("</li>")))
     pages = _page_of(p, F.floor(k / 5), k, block).select(
-        F.col("page_id").cast("bigint").alias("page_id"), F.concat(s('<ul class="review_list">'), "body", s("</ul><ul><li>x</li></ul>")).alias("html"))
+        F.col("page_id").cast("bigint").alias("page_id"), F.concat(s('<!-- <ul class="review_list"><li> --><ul class="review_list_top"><li>x</li></ul><UL id=r class="a review_list">'), "body", s("</UL><ul><li>x</li></ul>")).alias("html"))
     r = X.review_rows(pages)
     return r.select("page_id", "user_name", "user_country", F.col("review_date").cast("string").alias("review_date"), "review_title",
                     "review_score", "review_content")
@@ -490,11 +492,11 @@ def _room_pages(spark, sf):
     row = F.concat(
         s('<tr class="js-rt-block-row'), part(last, s(" hprt-table-last-row")), s('" data-block-id="'),
         F.when(basic, s("bbasic_0")).otherwise(F.concat(s("b_1_"), occ, s("_0"))), s('"'),
-        part(~basic, s(' data-hotel-rounded-price="'), (n * 1000).cast("string"), s('"')), s(">"),
-        part(user, s('<td class="hprt-table-cell"><a class="hprt-roomtype-link"><span class="hprt-roomtype-icon-link"> '), _esc(word), s(" </span></a>"),
+        part(~basic, s(' data-hotel-rounded-price="'), (n * 1000).cast("string"), s('"')), s('><td class="hprt-table-cell-occupancy">x</td>'),
+        part(user, s('<td class="a hprt-table-cell b"><table><tr class="js-rt-block-row"><td>inner</td></tr></table><a class="hprt-roomtype-link"><span class="hprt-roomtype-icon-link"> '), _esc(word), s(" </span></a>"),
              part(n % 5 != 0, s('<div class="hprt-facilities-facility" data-name-en="room size"><span>'), (n % 60).cast("string"),
                   s(' m²</span></div><div class="hprt-facilities-facility" data-name-en="privacy"><span>Private</span></div>'
-                    '<div class="hprt-facilities-facility"><span>Wifi &amp; TV</span></div><div class="hprt-facilities-facility">f'),
+                    '<div class="hprt-facilities-facility"><div><span>Wifi</span></div> &amp; TV</div><div class="hprt-facilities-facility">f'),
                   (n % 3).cast("string"), s("</div>")), s("</td>")),
         part(basic, s('<div class="wholesalers_table__occupancy__icons jq_tooltip"><span class="bui-u-sr-only">Max people: '), occ,
              s('</span></div><div class="bui-price-display__value">VND '), (n * 1000).cast("string"), s("</div>")), s("</tr>"))
@@ -534,3 +536,43 @@ def q_page_links(spark, sf):
     name = F.concat("p_name", F.lit(" & "), "p_type")
     return p.select("p_partkey", X.detail_link(F.col("p_partkey"), name, RUN_DATE).alias("detail_link"),
                     X.review_list_link(F.col("p_name"), F.col("p_size") * 25).alias("review_link"))
+
+
+# --- S1 over JSON text of every form ------------------------------------------------------------------------
+
+@register("scan_json_entity", """SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS homename, CASE WHEN p_size % 5 <> 0 THEN p_type END AS roomtype,
+  CASE p_size % 4 WHEN 0 THEN p_size + 0.5 WHEN 1 THEN p_size WHEN 2 THEN p_size + 0.25 END::DOUBLE AS roomsize,
+  CASE p_size % 3 WHEN 0 THEN p_brand || '|3' WHEN 1 THEN p_brand END AS facilities,
+  CASE WHEN p_size % 7 >= 2 THEN CASE p_size % 4 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 4 END END::INTEGER AS occupancy,
+  CASE WHEN p_size % 7 >= 2 THEN CASE p_size % 5 WHEN 0 THEN '1.050.000' WHEN 1 THEN CAST(p_partkey AS VARCHAR) WHEN 2 THEN replace(format('{:,}', p_partkey * 1000 + 9000), ',', '.') END END AS price,
+  CASE WHEN p_size % 7 >= 2 THEN CASE p_size % 5 WHEN 0 THEN 1050000 WHEN 1 THEN p_partkey WHEN 2 THEN p_partkey * 1000 + 9000 END END::BIGINT AS price_vnd,
+  CASE WHEN p_size % 7 = 0 THEN 0 WHEN p_size % 7 = 1 THEN NULL ELSE 1 END::INTEGER AS n_availables, 'x' AS source
+FROM part WHERE p_size % 11 <> 0""")
+def q_scan_json_entity(spark, sf):
+    """Rooms written as JSON lines in which every field takes several forms, and read into the declared schema."""
+    from innsight.session import scratch_path
+    from innsight.sources.tables import ROOM_SCHEMA, read_json_entity
+
+    k, size, s = F.col("p_partkey").cast("string"), F.col("p_size"), F.lit
+    q = lambda c: F.concat(s('"'), c, s('"'))
+    pick = lambda n, *forms: F.element_at(F.array(*[f if not isinstance(f, str) else s(f) for f in forms]), (size % n + 1).cast("int"))
+    price = F.replace(F.format_number(F.col("p_partkey") * 1000 + 9000, 0), s(","), s("."))
+    one = F.concat(
+        s('{"occupancy": '), pick(4, "2", '"3"', '"4.0"', "null"), s(', "price": '),
+        pick(5, '"1.050.000"', k, F.concat(s('["VND", "'), price, s('"]')), "null", "[]"), s("}"))
+    row = F.concat(
+        s('{"_id": '), F.when(size % 2 == 0, F.concat(s('{"$oid": '), q(k), s("}"))).otherwise(k),
+        s(', "homename": '), q(F.col("p_name")), F.when(size % 5 != 0, F.concat(s(', "roomtype": '), q(F.col("p_type")))).otherwise(s("")),
+        s(', "roomsize": '), pick(4, q(F.concat(size.cast("string"), s(".5"))), size.cast("string"), q(F.concat(size.cast("string"), s(",25"))), '"large"'),
+        F.when(size % 3 == 2, s(', "facilities": null')).otherwise(F.concat(
+            s(', "facilities": '), F.when(size % 3 == 0, F.concat(s("["), q(F.col("p_brand")), s(", 3]"))).otherwise(q(F.col("p_brand"))))),
+        F.when(size % 7 == 0, s(', "availables": []')).when(size % 7 == 1, s("")).when(size % 7 == 2, F.concat(s(', "availables": '), one))
+        .otherwise(F.concat(s(', "availables": ['), one, s("]"))), s("}"))
+    line = F.when(size % 11 == 0, F.substring(row, 1, 30)).otherwise(row)
+    path = scratch_path(spark, "rooms-json")
+    read_table(spark, sf, "part").select(line.alias("value")).write.text(path)
+    r = read_json_entity(spark, path, ROOM_SCHEMA, "x")
+    a = F.get("availables", F.lit(0))
+    return r.select("id", "homename", "roomtype", "roomsize", F.array_join("facilities", "|").alias("facilities"),
+                    a["occupancy"].alias("occupancy"), a["price"].alias("price"), a["price_vnd"].alias("price_vnd"),
+                    F.when(F.col("availables").isNotNull(), F.size("availables")).alias("n_availables"), "source")

@@ -120,6 +120,18 @@ def q_keyed_upsert(spark, sf):
     return I.keyed_upsert(base, upd, "doc_id", ["sentiment", "label"]).select("doc_id", "lang", "sentiment", "label")
 
 
+@register("keyed_upsert_stored", _UPSERT_SQL)
+def q_keyed_upsert_stored(spark, sf):
+    """S5 into a stored table: the updates come in two parts, each rewriting only the buckets it touches."""
+    base, upd = _upsert_inputs(spark, sf)
+    path = scratch_path(spark, "stored")
+    I.store_bucketed(base, path, "doc_id", 32)
+    few = F.pmod(F.xxhash64("doc_id"), F.lit(32)) < 4
+    for part in (upd.where(few), upd.where(~few)):
+        I.upsert_stored(spark, path, part, "doc_id", ["sentiment", "label"])
+    return I.read_stored(spark, path).select("doc_id", "lang", "sentiment", "label")
+
+
 # --- A2 / R1 ------------------------------------------------------------------------------------------
 
 _HOMES_SQL = """h AS (SELECT conv_id, CASE WHEN conv_id % 10 = 0 THEN NULL ELSE max(turn) + 1 END AS announced
@@ -182,26 +194,51 @@ REVIEW_FILE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.Stru
                                    T.StructField("score", T.DoubleType())])
 
 
-@register("stream_enrich_reviews", QT._with(QT.ENRICH_CLEAN_CTE, QT.LEX_CTE, QT.POL_CTE, QT.TOPIC_LABEL_CTE) + f"""
+_R2_SQL = QT._with(QT.ENRICH_CLEAN_CTE, QT.LEX_CTE, QT.POL_CTE, QT.TOPIC_LABEL_CTE) + f"""
 , res AS (SELECT s.doc_id, {QT.LABEL_SQL} AS sentiment, coalesce(l.label, 'Unknown') AS label
   FROM (SELECT *, {QT._argmax_sql('clean_review', QT.TEST_TOPICS)} AS topic FROM scores) s
   LEFT JOIN labels l ON l.topic = s.topic)
-SELECT d.doc_id, d.lang, res.sentiment, res.label FROM documents d LEFT JOIN res USING (doc_id)""")
-def q_stream_enrich_reviews(spark, sf):
-    """R2: documents arrive as review files; enriched rows are upserted into the base table."""
-    d = read_table(spark, sf, "documents")
+SELECT d.doc_id, d.lang, res.sentiment, res.label FROM documents d LEFT JOIN res USING (doc_id)"""
+
+
+def _review_files(d):
     k = F.col("doc_id")
     content = (F.when(k % 7 == 0, F.lit(QT.T.NO_COMMENT_PLACEHOLDER)).when(k % 11 == 0, F.lit(None).cast("string"))
                .otherwise(F.col("text")))
     score = (F.when(k % 17 == 0, F.lit(None).cast("double")).when(k % 19 == 0, F.lit(float("nan")))
              .otherwise((k % 101) / F.lit(10.0)))
-    src = scratch_path(spark, "review-files")
-    d.select("doc_id", content.alias("review_content"), score.alias("score")) \
-        .repartition(4, "doc_id").write.mode("overwrite").parquet(src)
+    return d.select("doc_id", content.alias("review_content"), score.alias("score"))
+
+
+def _r2_inputs(spark, d):
     base = d.select("doc_id", "lang", F.lit(None).cast("string").alias("sentiment"), F.lit(None).cast("string").alias("label"))
     labels = RV.topic_autolabel(RV.topics_table(spark, QT.TEST_TOPICS), RV.keywords_table(spark))
     kwargs = dict(lexicon=QT.lexicon_df(spark), topics=RV.topics_table(spark, QT.TEST_TOPICS), topic_labels=labels,
                   translations=d.where(F.col("lang") == "de").select("text", F.upper("text").alias("en")),
                   lemmas=QT.lemmas_df(spark), score_col="score", already_numeric=True)
+    return base, kwargs
+
+
+@register("stream_enrich_reviews", _R2_SQL)
+def q_stream_enrich_reviews(spark, sf):
+    """R2: documents arrive as review files; enriched rows are upserted into the base table."""
+    d = read_table(spark, sf, "documents")
+    src = scratch_path(spark, "review-files")
+    _review_files(d).repartition(4, "doc_id").write.mode("overwrite").parquet(src)
+    base, kwargs = _r2_inputs(spark, d)
     out = ST.stream_enrich_reviews(spark, src, REVIEW_FILE_SCHEMA, base, "doc_id", kwargs, max_files=1)
     return out.select("doc_id", "lang", "sentiment", "label")
+
+
+@register("stream_enrich_stored", _R2_SQL)
+def q_stream_enrich_stored(spark, sf):
+    """R2 into a stored table: files arrive before two calls, and the second merges only what the first has not."""
+    d = read_table(spark, sf, "documents")
+    base, kwargs = _r2_inputs(spark, d)
+    src, path, out, ckpt = (scratch_path(spark, n) for n in ("review-files", "stored", "enriched", "enriched-ckpt"))
+    I.store_bucketed(base, path, "doc_id", 16)
+    early = F.xxhash64("doc_id") % 3 == 0
+    for part in (early, ~early):
+        _review_files(d).where(part).write.mode("append").parquet(src)
+        ST.stream_enrich_stored(spark, src, REVIEW_FILE_SCHEMA, path, "doc_id", kwargs, out_dir=out, checkpoint_dir=ckpt)
+    return I.read_stored(spark, path).select("doc_id", "lang", "sentiment", "label")

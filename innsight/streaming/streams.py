@@ -149,17 +149,9 @@ def expired_homes(spark: SparkSession, out_dir: str, schema: T.StructType, key:
         key, announced, "arrived", "batch")
 
 
-def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.StructType, base: DataFrame, key: str,
-                          enrich_kwargs: dict, cols=("sentiment", "label"), max_files: int = MAX_FILES_PER_TRIGGER,
-                          out_dir: str | None = None, checkpoint_dir: str | None = None) -> DataFrame:
-    """R2: enrich every new review file and upsert (key) the result into ``base``.
-
-    Parameter tables (lexicon, lemmas, translations, labels) are brought into
-    the form that joins need once, before the stream starts. Each micro-batch
-    writes its enriched rows to its own folder, one row per key (of rows with
-    one key in a batch, the greatest); the upsert (S5) takes the latest batch per key.
-    """
-    out, ckpt = _folders(spark, "enriched", out_dir, checkpoint_dir)
+def _enriched_batches(spark: SparkSession, reviews_dir: str, schema: T.StructType, key: str, enrich_kwargs: dict, cols,
+                      max_files: int, out: str, ckpt: str) -> None:
+    """Enrich every file not yet read; one folder per micro-batch, one row per key (of rows with one key, the greatest)."""
     kwargs = dict(enrich_kwargs)
     for name, index in (("lexicon", RV.lexicon_index), ("lemmas", RV.lemma_index), ("translations", RV.translation_index)):
         if isinstance(kwargs.get(name), DataFrame):
@@ -176,5 +168,50 @@ def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.Struc
 
     q = src.writeStream.option("checkpointLocation", ckpt).foreachBatch(per_batch).trigger(availableNow=True).start()
     q.awaitTermination()
-    shape = T.StructType([schema[key], *[T.StructField(c, T.StringType()) for c in cols]])
-    return I.keyed_upsert(base, _read_sink(spark, out, shape), key, list(cols), order="batch")
+
+
+def _enriched_shape(schema: T.StructType, key: str, cols) -> T.StructType:
+    return T.StructType([schema[key], *[T.StructField(c, T.StringType()) for c in cols]])
+
+
+def stream_enrich_reviews(spark: SparkSession, reviews_dir: str, schema: T.StructType, base: DataFrame, key: str,
+                          enrich_kwargs: dict, cols=("sentiment", "label"), max_files: int = MAX_FILES_PER_TRIGGER,
+                          out_dir: str | None = None, checkpoint_dir: str | None = None) -> DataFrame:
+    """R2: enrich every new review file and upsert (key) the result into the frame ``base``.
+
+    Parameter tables (lexicon, lemmas, translations, labels) are brought into
+    the form that joins need once, before the stream starts. Each micro-batch
+    writes its enriched rows to its own folder; the upsert (S5) takes the latest batch per key of all batches ever written.
+    Use :func:`stream_enrich_stored` where the base is a table that calls go on updating.
+    """
+    out, ckpt = _folders(spark, "enriched", out_dir, checkpoint_dir)
+    _enriched_batches(spark, reviews_dir, schema, key, enrich_kwargs, cols, max_files, out, ckpt)
+    return I.keyed_upsert(base, _read_sink(spark, out, _enriched_shape(schema, key, cols)), key, list(cols), order="batch")
+
+
+def new_batches(spark: SparkSession, out_dir: str, after: int) -> list[int]:
+    """Numbers of the batch folders of a sink above ``after``, ascending."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(b for b in (int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")) if b > after)
+
+
+def stream_enrich_stored(spark: SparkSession, reviews_dir: str, schema: T.StructType, base_path: str, key: str,
+                         enrich_kwargs: dict, cols=("sentiment", "label"), max_files: int = MAX_FILES_PER_TRIGGER,
+                         out_dir: str | None = None, checkpoint_dir: str | None = None) -> list[int]:
+    """R2 into a stored table (:func:`I.store_bucketed`): enrich every new review file and merge only batches not merged yet.
+
+    The table logs the last batch merged into it. A call reads the batch folders above that number and rewrites only
+    the buckets their keys are in, so its cost follows the new rows and not the history. A call cut off between the merge
+    and the log merges the same batches again, which changes no row. Returns the batches merged by this call.
+    """
+    out, ckpt = _folders(spark, "enriched", out_dir, checkpoint_dir)
+    _enriched_batches(spark, reviews_dir, schema, key, enrich_kwargs, cols, max_files, out, ckpt)
+    batches = new_batches(spark, out, I.last_applied(spark, base_path))
+    if batches:
+        shape = T.StructType([*_enriched_shape(schema, key, cols).fields, T.StructField("batch", T.LongType())])
+        rows = spark.read.schema(shape).option("basePath", out).parquet(*[f"{out}/batch={b}" for b in batches])
+        I.upsert_stored(spark, base_path, rows, key, list(cols), order="batch")
+        I.log_applied(spark, base_path, batches[-1])
+    return batches
