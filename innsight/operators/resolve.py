@@ -456,6 +456,123 @@ def _assign(items: Column, n_sources: int, mode: str, item_type: str) -> Column:
     return F.aggregate(items, init, step)["out"]
 
 
+#: A group of more types than this is matched in rounds over tables; a smaller one is folded in its row. Both give the same rooms.
+LARGE_GROUP = 400
+#: Anchors of a group that one round settles.
+ROUND = 2_000
+
+
+def _settle(n_sources: int, mode: str):
+    """One round of one group: its next anchors in order, and for them enough of the free types that they match.
+
+    Rows: kind 'anchor'; 'class' (a free type, for all anchors with its key); 'pair' (a free type whose text holds, or is held by, that of ``x``).
+    """
+    import pyarrow as pa
+
+    schema = pa.schema([("home", pa.string()), ("grp", pa.string()), ("rank", pa.int32()), ("roomtype", pa.string()),
+                        ("picks", pa.list_(pa.struct([("rank", pa.int32()), ("roomtype", pa.string())])))])
+
+    def order(r: dict) -> tuple:
+        return r["rank"], r["seq"] is not None, r["seq"] or 0, r["id"] is not None, r["id"], r["roomtype"]
+
+    def run(key, t):
+        rows = sorted(t.to_pylist(), key=order)
+        classes: dict[tuple, list] = {}
+        pairs: dict[tuple, list] = {}
+        for r in rows:
+            if r["kind"] == "class":
+                classes.setdefault((r["room_key"], r["rank"]), []).append(r)
+            elif r["kind"] == "pair":
+                pairs.setdefault((r["x"], r["rank"]), []).append(r)
+        taken: set[str] = set()
+        out = []
+
+        for listed in (*classes.values(), *pairs.values()):
+            listed.reverse()
+
+        def first(listed: list, mine: set[str]):
+            """First type that is free; what earlier rooms took is dropped for good."""
+            while listed and listed[-1]["roomtype"] in taken:
+                listed.pop()
+            return next((r for r in reversed(listed) if r["roomtype"] not in taken and r["roomtype"] not in mine), None)
+
+        for x in rows:
+            if x["kind"] != "anchor" or x["roomtype"] in taken:
+                continue
+            # equal strings stay apart in the reference mode; else they are blocked only by earlier rooms
+            mine, picks = {x["roomtype"]}, []
+            for rank in range(n_sources):
+                if rank == x["rank"]:
+                    continue
+                blocked = set() if mode == "merge_equal" else mine
+                keyed = classes.get((x["room_key"], rank), []) if mode != "merge_equal" or x["room_key"] else []
+                found = [first(listed, blocked) for listed in (keyed, pairs.get((x["roomtype"], rank), []))]
+                best = min((r for r in found if r), key=order, default=None)
+                if best:
+                    picks.append({"rank": rank, "roomtype": best["roomtype"]})
+                    mine.add(best["roomtype"])
+            taken |= mine
+            out.append({"home": x["home"], "grp": x["grp"], "rank": x["rank"], "roomtype": x["roomtype"], "picks": picks})
+        return pa.Table.from_pylist(out, schema)
+
+    return run
+
+
+def _in_rounds(items: DataFrame, n_sources: int, mode: str) -> DataFrame:
+    """(home, grp, rank, roomtype, picks) of every room that opens in the given groups, by the ordered rule of :func:`_assign`.
+
+    items: home, grp, rank, seq, id, roomtype, low, room_key. A round takes the next ``ROUND`` free types of each group as
+    anchors. They can take only so many types, so for each key that is how many free types of every source
+    a round needs, and as many of those that contain an anchor's text or are contained in it. The round's rows are bounded and
+    settled exactly in order; then what was taken leaves the table. All groups move on together.
+    """
+    cols = ["home", "grp", "rank", "seq", "id", "roomtype"]
+    sort = [F.col("rank"), F.col("seq").asc_nulls_first(), F.col("id").asc_nulls_first(), F.col("roomtype")]
+    texts = items.select("home", "low").distinct()
+    inside = _contained(texts, "home", "low")
+    pairs = inside.select("home", "x", "y").unionByName(inside.select("home", F.col("y").alias("x"), F.col("x").alias("y")))
+    pairs = written(pairs.unionByName(texts.select("home", F.col("low").alias("x"), F.col("low").alias("y"))), "room-pairs")
+    free, opened = written(items, "room-free"), None
+    while True:
+        top = Window.partitionBy("home", "grp").orderBy(*sort)
+        anchors = written(free.withColumn("n", F.row_number().over(top)).where(F.col("n") <= ROUND).drop("n"), "room-anchors")
+        if anchors.isEmpty():
+            return opened
+        most = n_sources * ROUND + 1
+        held = (anchors.select("home", "grp", F.col("roomtype").alias("of"), F.col("low").alias("x"), F.col("rank").alias("own"))
+                .join(pairs, ["home", "x"]).join(free.withColumnRenamed("low", "y"), ["home", "grp", "y"])
+                .where("rank <> own").select(*cols, "room_key", F.col("of").alias("x")))
+        near = Window.partitionBy("home", "grp", "x", "rank").orderBy(*sort)
+        held = written(held.withColumn("n", F.row_number().over(near)).where(F.col("n") <= most).drop("n"), "room-held")
+        # of a key: every anchor with it may take one type of each source and itself, every pair one more
+        per_key = (anchors.select("home", "grp", "room_key", F.lit(n_sources + 1).alias("w"))
+                   .unionByName(held.select("home", "grp", "room_key", F.lit(1).alias("w"))).groupBy("home", "grp", "room_key").agg((F.sum("w") + 1).alias("need")))
+        bound = int(per_key.agg(F.max("need")).first()[0])
+        of_key = Window.partitionBy("home", "grp", "room_key", "rank").orderBy(*sort)
+        keyed = (free.withColumn("n", F.row_number().over(of_key)).where(F.col("n") <= bound)
+                 .join(per_key, ["home", "grp", "room_key"]).where("n <= need").select(*cols, "room_key", F.lit(None).cast("string").alias("x")))
+        kind = lambda df, k: df.select(*cols, "room_key", "x", F.lit(k).alias("kind"))
+        rows = kind(anchors.withColumn("x", F.lit(None).cast("string")), "anchor").unionByName(kind(keyed, "class")).unionByName(kind(held, "pair"))
+        done = written(rows.groupBy("home", "grp").applyInArrow(
+            _settle(n_sources, mode), "home string, grp string, rank int, roomtype string, picks array<struct<rank:int,roomtype:string>>"), "room-opened")
+        opened = done if opened is None else opened.unionByName(done)
+        taken = done.select("home", "roomtype").unionByName(done.select("home", F.explode("picks").alias("p")).select("home", "p.roomtype"))
+        # an anchor that found its string taken is settled too
+        gone = taken.unionByName(anchors.select("home", "roomtype")).distinct()
+        free = written(free.join(gone, ["home", "roomtype"], "left_anti").select(items.columns), "room-free")
+
+
+def _with_items(opened: DataFrame, first: DataFrame) -> DataFrame:
+    """Rooms of :func:`_in_rounds` as (home, m), m the anchor and its picks with all their fields."""
+    of = first.select("home", F.col("item.rank").alias("rank"), "roomtype", "item")
+    rooms = opened.withColumn("own", F.col("roomtype"))
+    picks = (rooms.select("home", "own", F.explode("picks").alias("p")).select("home", "own", "p.rank", "p.roomtype").join(of, ["home", "rank", "roomtype"])
+             .groupBy("home", "own").agg(F.array_sort(F.collect_list("item")).alias("picks")))  # at most one a source
+    none = F.array().cast(picks.schema["picks"].dataType)
+    both = rooms.select("home", "own", "rank", "roomtype").join(of, ["home", "rank", "roomtype"]).join(picks, ["home", "own"], "left")
+    return both.select("home", F.struct(F.col("item").alias("anchor"), F.coalesce("picks", none).alias("picks")).alias("m"))
+
+
 def matched_rooms(rooms: DataFrame, home: str = "home", sources: Sequence = (1, 2, 3), keywords=None,
                   mode: str = "reference") -> DataFrame:
     """A9 (+A10) without numbering: home, anchor_rank, anchor_seq, roomtype, anchor_source, id_<s>, facilities, photos, availables_<s>.
@@ -480,9 +597,16 @@ def matched_rooms(rooms: DataFrame, home: str = "home", sources: Sequence = (1,
     first = written(first.select("home", "roomtype", "item"), "room-types")
     # rooms act on each other only inside a group of matching types, so a home is folded group by group
     groups = _type_groups(first.select("home", "roomtype", "item.low", "item.room_key"), mode)
-    items = first.join(groups, ["home", "roomtype"]).groupBy("home", "grp").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    grouped = written(first.join(groups, ["home", "roomtype"]), "room-groups")
+    sizes = grouped.groupBy("home", "grp").agg(F.count(F.lit(1)).alias("size"))
+    # as structs: a large group is split where it is set apart, not shuffled to one task
+    sized = grouped.withColumn("k", F.struct("home", "grp")).join(sizes.select(F.struct("home", "grp").alias("k"), "size"), "k").drop("k")
+    items = sized.where(F.col("size") <= LARGE_GROUP).groupBy("home", "grp").agg(F.array_sort(F.collect_list("item")).alias("items"))
     item_type = first.schema["item"].dataType.simpleString()
     rec = items.select("home", F.explode(_assign(F.col("items"), len(sources), mode, item_type)).alias("m"))
+    if not sizes.where(F.col("size") > LARGE_GROUP).isEmpty():
+        large = sized.where(F.col("size") > LARGE_GROUP).select("home", "grp", *[f"item.{c}" for c in ("rank", "seq", "id", "roomtype", "low", "room_key")])
+        rec = rec.unionByName(_with_items(_in_rounds(large, len(sources), mode), first))
     a, picks = F.col("m.anchor"), F.col("m.picks")
     lead = F.filter(picks, lambda p: p["rank"] == 0)
     out = rec.select(
@@ -512,8 +636,9 @@ def greedy_room_match(rooms: DataFrame, home: str = "home", sources: Sequence =
     equal strings of different sources merge and empty keys do not match.
 
     Plan: types that cannot meet, directly or over other types, are apart
-    (connected groups of J5); each group is one row whose sorted items are
-    folded by a built-in aggregate expression, so a home's work is spread over its groups and no Python runs.
+    (connected groups of J5; in the reference mode all types of a home without a keyword are one group). A group of up to
+    ``LARGE_GROUP`` types is one row whose sorted items are folded by a built-in aggregate expression; a larger one is matched in rounds
+    over tables (:func:`_in_rounds`), of which each holds a bounded part of it.
     """
     m = matched_rooms(rooms, home, sources, keywords, mode)
     order = Window.partitionBy("home").orderBy("anchor_rank", "anchor_seq", "roomtype")
