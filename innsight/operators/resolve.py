@@ -11,7 +11,7 @@ Plan notes (scale)
 * first_per_name is ``groupBy`` + ``min_by``: partial aggregation, so a name held
   by a third of all rows collapses map-side instead of filling one window task.
 * containment_match never pairs a city with itself. Needles of 3+ characters
-  join on (city, source, rarest 3-gram of the needle) and are verified with
+  join on (city, source, rarest gram of the needle; longer grams where 3-grams are common) and are verified with
   ``contains``; 1-2 character needles join to a pre-aggregated table of the best
   name per (city, source, substring); an empty needle joins to the best name per
   (city, source). Every per-key table is built with partial aggregates.
@@ -66,6 +66,44 @@ def _grams(s: Column, n: int) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
+#: A gram that more names of a block hold than this is too common to find names by: longer ones are taken.
+COMMON_GRAM = 64
+
+
+def _gram_levels(needles: DataFrame, texts: DataFrame, by: list[str], group: list[str], allowed=lambda df: df) -> list[tuple[DataFrame, DataFrame]]:
+    """How needles of 3+ characters find the texts that hold them: (chosen, grams) per level of gram lengths.
+
+    needles: ``by``, ``_needle`` and more; texts: ``by``, ``group``, ``_lname`` and more. ``chosen`` adds to a needle a value of
+    ``group``, the ``_gram`` its texts are found by and ``_whole`` (the gram is the needle); ``grams`` are the texts by gram.
+    A needle takes the rarest of its 3-grams if at most ``COMMON_GRAM`` texts of the block hold it; else it goes on with grams
+    of twice the length (at most its own), over the blocks that still have such a needle. A gram as long as its needle
+    holds it for certain. A needle with a gram that no text has finds nothing.
+    """
+    cols = needles.columns
+    rest = allowed(needles.where(F.length("_needle") >= 3).withColumn("_g", F.lit(3)).join(texts.select(*by, *group).distinct(), by))
+    levels, first = [], True
+    while True:
+        if first:  # every text has its 3-grams
+            grams = texts.withColumn("_g", F.lit(3))
+        else:
+            grams = texts.join(rest.select(*by, *group, "_g").distinct(), [*by, *group])
+        grams = grams.where("length(_lname) >= _g").select(*texts.columns, F.explode(F.expr(
+            "array_distinct(transform(sequence(1, length(_lname) - _g + 1), i -> substring(_lname, i, _g)))")).alias("_gram"))
+        freq = grams.groupBy(*by, *group, "_gram").agg(F.count(F.lit(1)).alias("_freq"))
+        own = rest.withColumn("_own", F.expr("array_distinct(transform(sequence(1, length(_needle) - _g + 1), i -> substring(_needle, i, _g)))"))
+        own = own.select(*cols, *group, "_g", F.size("_own").alias("_n"), F.explode("_own").alias("_gram"))
+        rare = own.join(freq, [*by, *group, "_gram"]).groupBy(*cols, *group, "_g", "_n").agg(
+            F.count(F.lit(1)).alias("_hit"), F.min(F.struct("_freq", "_gram")).alias("_r"))
+        rare = written(rare.where("_hit = _n").select(
+            *cols, *group, "_g", F.col("_r._gram").alias("_gram"), (F.col("_g") == F.length("_needle")).alias("_whole"),
+            (F.col("_r._freq") > COMMON_GRAM).alias("_common")), "rare-grams")
+        levels.append((rare.where("_whole or not _common").drop("_g", "_common"), grams))
+        rest = rare.where("_common and not _whole").select(*cols, *group, F.least(F.col("_g") * 2, F.length("_needle")).alias("_g"))
+        if rest.isEmpty():
+            return levels
+        first = False
+
+
 def containment_match(anchors: DataFrame, candidates: DataFrame, key: Sequence[str] = ("anchor_source", "anchor_id"),
                       anchor_group: str | None = "anchor_source", by: Sequence[str] = ("city",),
                       group: str = "source", name: str = "homename", cid: str = "id") -> DataFrame:
@@ -103,18 +141,16 @@ def containment_match(anchors: DataFrame, candidates: DataFrame, key: Sequence[s
     s_tab = subs.groupBy(*by, group, "_needle").agg(F.min("_b").alias("_m"))
     short = other_group(needles.where(nlen <= 2).join(s_tab, [*by, "_needle"])).select(*same, group, "_m")
 
-    # 3+ characters: rarest 3-gram index join, verified by contains
-    cg = cand.select(*by, group, name, cid, "_lname", F.explode(_grams(F.col("_lname"), 3)).alias("_gram"))
-    freq = cg.groupBy(*by, group, "_gram").agg(F.count(F.lit(1)).alias("_freq"))
-    ng = needles.where(nlen >= 3).withColumn("_ng", _grams(F.col("_needle"), 3))
-    ng = ng.select(*same, F.size("_ng").alias("_n_ng"), F.explode("_ng").alias("_gram"))
-    rare = other_group(ng.join(freq, [*by, "_gram"])).groupBy(*same, "_n_ng", group).agg(
-        F.count(F.lit(1)).alias("_hit"), F.min(F.struct("_freq", "_gram")).alias("_r"))
-    rare = rare.where(F.col("_hit") == F.col("_n_ng")).select(*same, group, F.col("_r._gram").alias("_gram"))
-    pairs = rare.join(cg, [*by, group, "_gram"]).where(F.col("_lname").contains(F.col("_needle")))
-    long = pairs.groupBy(*same, group).agg(F.min(best).alias("_m"))
-
-    out = anc.join(short.unionByName(long), same)
+    # 3+ characters: the rarest gram of the needle finds the names, which are verified by contains; where the gram is
+    # the whole needle, the best name of the gram is the answer
+    found = short
+    for chosen, grams in _gram_levels(needles, cand, by, [group], other_group):
+        pairs = chosen.where("not _whole").join(grams, [*by, group, "_gram"]).where(F.col("_lname").contains(F.col("_needle")))
+        found = found.unionByName(pairs.groupBy(*same, group).agg(F.min(best).alias("_m")))
+        tops = grams.groupBy(*by, group, "_gram").agg(F.min(best).alias("_m"))
+        found = found.unionByName(chosen.where("_whole").join(tops, [*by, group, "_gram"]).select(*same, group, "_m"))
+
+    out = anc.join(found, same)
     return out.select(*key, group, F.col("_m.match_name").alias("match_name"), F.col("_m.match_id").alias("match_id"))
 
 
@@ -324,20 +360,20 @@ def _check_mode(mode: str) -> None:
 def _contained(strings: DataFrame, by: str, col: str) -> DataFrame:
     """(by, x, y): distinct strings x, y of one ``by`` value where y contains x, x <> y.
 
-    A string of 3+ characters joins the strings that hold its rarest 3-gram
-    (verified by ``contains``), a shorter one the strings that hold it among
+    A string of 3+ characters joins the strings that hold its rarest gram
+    (see :func:`_gram_levels`; verified by ``contains``), a shorter one the strings that hold it among
     their 0-2 character substrings: a few rows per string, no theta join.
     """
     d = strings.select(F.col(by).alias("_h"), F.col(col).alias("_s")).where(F.col("_s").isNotNull()).distinct()
-    grams = d.select("_h", F.col("_s").alias("_y"), F.explode(_grams(F.col("_s"), 3)).alias("_g"))
-    freq = grams.groupBy("_h", "_g").agg(F.count(F.lit(1)).alias("_f"))
-    own = d.where(F.length("_s") >= 3).select("_h", F.col("_s").alias("_x"), F.explode(_grams(F.col("_s"), 3)).alias("_g"))
-    rare = own.join(freq, ["_h", "_g"]).groupBy("_h", "_x").agg(F.min(F.struct("_f", "_g")).alias("_r"))
-    long = rare.select("_h", "_x", F.col("_r._g").alias("_g")).join(grams, ["_h", "_g"]).where(F.col("_y").contains(F.col("_x")))
+    long = None
+    for chosen, grams in _gram_levels(d.withColumnRenamed("_s", "_needle"), d.withColumnRenamed("_s", "_lname"), ["_h"], []):
+        found = (chosen.join(grams, ["_h", "_gram"]).where(F.col("_whole") | F.col("_lname").contains(F.col("_needle")))
+                 .select("_h", F.col("_needle").alias("_x"), F.col("_lname").alias("_y")))
+        long = found if long is None else long.unionByName(found)
     parts = d.select("_h", F.col("_s").alias("_y"), F.explode(F.concat(
         F.array(F.lit("")), _grams(F.col("_s"), 1), _grams(F.col("_s"), 2))).alias("_x"))
     short = d.where(F.length("_s") <= 2).select("_h", F.col("_s").alias("_x")).join(parts, ["_h", "_x"])
-    both = long.select("_h", "_x", "_y").unionByName(short.select("_h", "_x", "_y")).where("_x <> _y")
+    both = long.unionByName(short.select("_h", "_x", "_y")).where("_x <> _y")
     return both.select(F.col("_h").alias(by), F.col("_x").alias("x"), F.col("_y").alias("y"))
 
 
