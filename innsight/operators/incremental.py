@@ -27,7 +27,8 @@ def enrich_reviews(reviews: DataFrame, key: str, lexicon: DataFrame, topics: lis
     ``topics`` is the fitted topic summary (topic, rank, word) of
     :func:`RV.topic_model`, or lists; ``topic_labels`` is (topic, label), by
     default from :func:`RV.topic_autolabel` over the topics. ``lemmas`` is a
-    table (token, lemma) of any size, or a small dict. ``key`` must be unique.
+    table (token, lemma) of any size (then lemmas and valences come by one token join), its
+    :func:`RV.token_index` with the lexicon, or a small dict. ``key`` must be unique.
     Returns the input columns plus clean_review, neg, neu, pos, compound,
     sentiment and label.
     """
@@ -42,11 +43,12 @@ def enrich_reviews(reviews: DataFrame, key: str, lexicon: DataFrame, topics: lis
     else:
         r = r.withColumn("en_review", F.col(text_col))
     if isinstance(lemmas, DataFrame):
+        index = lemmas if "n_valued" in lemmas.columns else RV.token_index(lemmas, lexicon)
         r = r.withColumn("_tokens", T.review_tokens(F.col("en_review"), stop_words))
-        r = RV.lemmatise(r, key, "_tokens", lemmas, "clean_review")
+        r = RV.lemmatise_and_score(r, key, "_tokens", index, "clean_review")
     else:
         r = RV.clean_reviews(r, "en_review", "clean_review", stop_words, lemmas)
-    r = RV.polarity_scores(r, key, lexicon)
+        r = RV.polarity_scores(r, key, lexicon)
     r = RV.label_sentiment(r, "score", "sentiment")
     return RV.assign_topics(r, topics, topic_labels, "clean_review", "label")
 

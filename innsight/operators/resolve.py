@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from innsight.functions.keys import match_needle, shorten_room_type
 from innsight.operators.components import components
+from innsight.operators.numbering import running_number
 from innsight.session import ensure_checkpoint_dir, written
 
 HOME_ATTRS = ["url", "rating", "cheapest_price", "address", "description", "property_highlights", "images"]
@@ -323,14 +324,29 @@ def nest_by_source(rows: DataFrame, key: Sequence[str], sources: Sequence = (1,
                    payload: Sequence[str] = ("review_id",), order: str = "seq") -> DataFrame:
     """A3: per key, one array per source of the rows' payload, in stored order.
 
-    The arrays hold one property's rows; use :func:`count_by_source` for a
-    bounded summary when a key may be hot.
+    The arrays hold one property's rows; use :func:`nest_in_chunks` where a key
+    may be hot, or :func:`count_by_source` for a bounded summary.
     """
     item = F.struct(F.col(order).alias("_o"), *[F.col(c) for c in payload])
     aggs = [F.array_sort(F.collect_list(F.when(F.col("source") == s, item))).alias(f"rows_{s}") for s in sources]
     return rows.groupBy(*key).agg(*aggs)
 
 
+def nest_in_chunks(rows: DataFrame, key: Sequence[str], payload: Sequence[str] = ("review_id",), order: str = "seq",
+                   size: int = 1_000) -> DataFrame:
+    """A3 for keys of any size: (key, source, chunk, rows), at most ``size`` rows each, in stored order.
+
+    Chunk 0 holds the first rows of a key and source, chunk 1 the next, and so on; only the last may hold fewer. Rows are numbered by
+    :func:`running_number`, so the chunks of a hot key are built by different tasks. Ties of ``order`` follow the payload.
+    """
+    parts = [*key, "source"]
+    n = running_number(rows.select(*parts, F.col(order).alias("_o"), *[F.col(c).alias(f"_p{i}") for i, c in enumerate(payload)]),
+                       parts, [F.col("_o"), *[F.col(f"_p{i}") for i in range(len(payload))]], "_n")
+    item = F.struct("_n", *[F.col(f"_p{i}").alias(c) for i, c in enumerate(payload)])
+    grouped = n.withColumn("chunk", F.expr(f"_n div {int(size)}")).groupBy(*parts, "chunk").agg(F.array_sort(F.collect_list(item)).alias("_rows"))
+    return grouped.select(*parts, "chunk", F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in payload])).alias("rows"))
+
+
 def count_by_source(rows: DataFrame, key: Sequence[str], sources: Sequence = (1, 2, 3),
                     value: str | None = None) -> DataFrame:
     """A3 summary: per key and source the row count (and sum of ``value``)."""

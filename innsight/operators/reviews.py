@@ -83,37 +83,73 @@ def lemma_index(lemmas: DataFrame) -> DataFrame:
     return lem.groupBy(F.col("token").alias("_tok")).agg(F.min("lemma").alias("_lemma"))
 
 
+def _lookup(df: DataFrame, key: str, tokens_col: str, index: DataFrame, sums: list[str]) -> DataFrame:
+    """(_k, _text, sums): the rows' texts rebuilt from what their tokens stand for, and sums of the tokens' entries: one token join.
+
+    ``index``: _tok, _out and the columns ``sums``; a token that it does not have stands for itself. Tokens are exploded once and
+    combined by row before the shuffle, so one row per text travels. Parts of one character or none are dropped.
+    """
+    # the outer form: the plain one would repeat the tokens in an inferred filter
+    ex = df.select(F.col(key).alias("_k"), F.posexplode_outer(tokens_col).alias("_pos", "_tok"))
+    out = F.coalesce("_out", F.col("_tok"))
+    part = F.when(F.length(out) > 1, F.struct("_pos", out.alias("w")))
+    g = ex.join(index, "_tok", "left").groupBy("_k").agg(
+        F.array_sort(F.collect_list(part)).alias("_parts"),
+        *[F.sum(F.when(F.length(out) > 1, F.coalesce(c, F.lit(1 if c == "n_tokens" else 0)))).alias(c) for c in sums])
+    return g.select("_k", F.array_join(F.transform("_parts", lambda p: p["w"]), " ").alias("_text"), *sums)
+
+
+def _looked_up(df: DataFrame, key: str, tokens_col: str, index: DataFrame, out: str, sums: list[str]) -> DataFrame:
+    hits = _lookup(df, key, tokens_col, index, sums)
+    rest = [c for c in df.columns if c != tokens_col]
+    return df.select(*rest).join(hits, F.col(key).eqNullSafe(F.col("_k")), "left").select(*rest, F.coalesce("_text", F.lit("")).alias(out), *sums)
+
+
 def lemmatise(df: DataFrame, key: str, tokens_col: str, lemmas: DataFrame,
               out: str = "clean_review") -> DataFrame:
     """T2 with a lemma table of any size (token, lemma), or its index.
 
     ``tokens_col`` is the token array before lemmatisation (``T.review_tokens``);
-    ``key`` must be unique per row. Only a row's distinct tokens are looked up,
-    only those with a lemma travel on, and they come back to the row as one
-    small map; the text is rebuilt in the row, in order.
+    ``key`` must be unique per row. One token join; see :func:`_lookup`.
+    """
+    lem = lemmas if "_lemma" in lemmas.columns else lemma_index(lemmas)
+    return _looked_up(df, key, tokens_col, lem.withColumnRenamed("_lemma", "_out"), out, [])
+
+
+SUMS = ["n_tokens", "s10", "p10", "n10", "n_valued"]
+
+
+def token_index(lemmas: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """One dictionary of tokens for T2 and J8: _tok, _out (the lemma, or the token itself) and the J8 sums of ``_out``.
+
+    Holds every token with a lemma or a valence; a lemma of several words has the sums of its words.
     """
     lem = lemmas if "_lemma" in lemmas.columns else lemma_index(lemmas)
-    ex = df.select(F.col(key).alias("_k"), F.explode(F.array_distinct(tokens_col)).alias("_tok"))
-    hits = ex.join(lem, "_tok").groupBy("_k").agg(
-        F.map_from_entries(F.collect_list(F.struct("_tok", "_lemma"))).alias("_m"))
-    res = df.join(hits, df[key] == hits["_k"], "left")
-    none = F.create_map().cast("map<string,string>")
-    mapped = F.transform(tokens_col, lambda w: F.coalesce(F.try_element_at(F.coalesce("_m", none), w), w))
-    text = F.array_join(F.filter(F.coalesce(mapped, F.array().cast("array<string>")), lambda w: F.length(w) > 1), " ")
-    return res.select(*[df[c] for c in df.columns if c != tokens_col], text.alias(out))
+    lex = lexicon if "_v" in lexicon.columns else lexicon_index(lexicon)
+    entries = lem.select("_tok", F.col("_lemma").alias("_out")).unionByName(
+        lex.join(lem, "_tok", "left_anti").select("_tok", F.col("_tok").alias("_out")))
+    scored = lexicon_hits(entries.withColumnRenamed("_tok", "_entry"), "_entry", lex, "_out").withColumnRenamed("_entry", "_tok")
+    return entries.join(scored, "_tok").select("_tok", "_out", *SUMS)
+
+
+def lemmatise_and_score(df: DataFrame, key: str, tokens_col: str, index: DataFrame, out: str = "clean_review") -> DataFrame:
+    """T2 and A7 by one token join with :func:`token_index`: the clean text, neg, neu, pos and compound in place of the tokens."""
+    j = _looked_up(df, key, tokens_col, index, out, SUMS)
+    return j.select(*[c for c in j.columns if c not in SUMS],
+                    *_scores(F.col("s10"), F.col("p10"), F.col("n10"), F.col("n_tokens") - F.col("n_valued")))
 
 
 # --- A5 / A6 ------------------------------------------------------------------
 
 def term_counts(df: DataFrame, key: str, text_col: str = "clean_review") -> DataFrame:
     """(key, term, cnt) document-term counts."""
-    ex = df.select(key, F.explode(T.terms(F.col(text_col))).alias("term"))
+    ex = df.select(key, F.explode_outer(T.terms(F.col(text_col))).alias("term")).where("term is not null")
     return ex.groupBy(key, "term").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
 
 
 def vocabulary_top_k(df: DataFrame, text_col: str = "clean_review", k: int = 1000) -> DataFrame:
     """A5: the k most frequent corpus terms, ties by term; planned as a partial top-k."""
-    ex = df.select(F.explode(T.terms(F.col(text_col))).alias("term"))
+    ex = df.select(F.explode_outer(T.terms(F.col(text_col))).alias("term")).where("term is not null")
     counts = ex.groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
     return counts.orderBy(F.desc("cnt"), F.asc("term")).limit(k)
 

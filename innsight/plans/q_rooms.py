@@ -172,6 +172,18 @@ def q_nest_by_source(spark, sf):
     return n.select("homename", *[_reviews_text(F.col(f"rows_{s}")).alias(f"reviews_{s}") for s in (1, 2, 3)])
 
 
+@register("nest_in_chunks", _with(homes_cte(), home_rows_cte()) + """
+SELECT homename, source, n // 20 AS chunk, count(*) AS n_rows,
+  string_agg(CAST(id AS VARCHAR) || ':' || CAST(CAST(score AS INTEGER) AS VARCHAR), '|' ORDER BY n) AS rows FROM (
+    SELECT *, row_number() OVER (PARTITION BY homename, source ORDER BY seq NULLS FIRST, id NULLS FIRST, score NULLS FIRST) - 1 AS n
+    FROM hrows WHERE kind = 'review') GROUP BY homename, source, n // 20""")
+def q_nest_in_chunks(spark, sf):
+    """A3 for names of any size: chunks of 20 reviews."""
+    rows = home_rows_from_lineitem(spark, sf).where(F.col("kind") == "review")
+    n = R.nest_in_chunks(rows, ["homename"], payload=("id", "score"), size=20)
+    return n.select("homename", "source", "chunk", F.size("rows").cast("long").alias("n_rows"), _reviews_text(F.col("rows")).alias("rows"))
+
+
 @register("count_by_source", _with(homes_cte(), home_rows_cte()) + """
 SELECT homename,
   count(CASE WHEN source = 1 THEN id END) AS n_1, count(CASE WHEN source = 2 THEN id END) AS n_2,

@@ -211,7 +211,8 @@ lex AS (SELECT token, coalesce(max(CAST(round(valence * 10) AS BIGINT)), 0) AS v
 
 def big_lexicon(spark, sf):
     toks = F.filter(F.split("clean_review", " "), lambda w: F.length(w) > 0)
-    t = cleaned(spark, sf).select(F.explode(toks).alias("token")).distinct()
+    # the outer form: the plain one would clean every text again in an inferred filter
+    t = cleaned(spark, sf).select(F.explode_outer(toks).alias("token")).where("token is not null").distinct()
     rows = t.select("token", ((F.length("token") * 13 % 81 - 40) / F.lit(10.0)).alias("valence"))
     return rows.unionByName(RV.local_table(spark, [(None, 1.0), ("of", None), ("the", None)], "token string, valence double"))
 

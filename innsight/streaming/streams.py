@@ -82,57 +82,65 @@ def stream_complete_homes_expiring(spark: SparkSession, pages_dir: str, schema:
                                    checkpoint_dir: str | None = None) -> DataFrame:
     """R1 with bounded state: the released homes, those of the plain form.
 
-    One (arrived, announced) state per home in flight, removed on release. A
-    home that no page reached for ``idle_timeout_ms`` (processing time) leaves
-    the state, and a row with the count reached goes to the same sink (see
+    One value state (arrived, announced, timer) per home in flight, in a RocksDB state store and so not bound by memory; it is
+    removed on release. A home that no page reached for ``idle_timeout_ms`` (processing time) leaves
+    the state when its timer fires, and a row with the count reached goes to the same sink (see
     :func:`expired_homes`); its later pages count anew.
     """
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
+    from pyspark.sql import Row
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     made = _expiring_rows(schema, key, announced)
-    state_schema = T.StructType([T.StructField("arrived", T.LongType()), T.StructField("announced", T.LongType())])
-    columns = [key, announced, "arrived", "expired"]
-
-    def row(k, total, arrived, expired):
-        return pd.DataFrame([(k[0], total, arrived, expired)], columns=columns).astype({announced: "Int64", "arrived": "Int64"})
-
-    def release(k, pdfs, state):
-        if state.hasTimedOut:
-            arrived, total = state.get
-            state.remove()
-            yield row(k, total, arrived, True)
-            return
-        arrived, total = state.get if state.exists else (0, None)
-        for pdf in pdfs:
-            arrived += int(pdf[n].fillna(0).sum())
-            seen = pdf[announced].dropna()
-            if len(seen):
-                total = int(seen.max()) if total is None else max(total, int(seen.max()))
-        if total is None or arrived == total:
-            if state.exists:
-                state.remove()
-            yield row(k, total, None if total is None else arrived, False)
-        else:
-            state.update((arrived, total))
-            state.setTimeoutDuration(int(idle_timeout_ms))
+    made_row = Row(*made.names)
+
+    class Homes(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.home = handle.getValueState("home", T.StructType([T.StructField(n, T.LongType()) for n in ("arrived", "announced", "timer")]))
+
+        def handleInputRows(self, key, rows, timerValues):
+            arrived, total, timer = self.home.get() if self.home.exists() else (0, None, None)
+            for r in rows:
+                arrived += r[2] or 0
+                if r[1] is not None:
+                    total = r[1] if total is None else max(total, r[1])
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if total is None or arrived == total:
+                self.home.clear()
+                yield made_row(key[0], total, None if total is None else arrived, False)
+            else:
+                timer = timerValues.getCurrentProcessingTimeInMs() + int(idle_timeout_ms)
+                self.handle.registerTimer(timer)
+                self.home.update((arrived, total, timer))
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            arrived, total, _ = self.home.get()
+            self.home.clear()
+            yield made_row(key[0], total, arrived, True)
+
+        def close(self):
+            pass
 
     out, ckpt = _folders(spark, "released-ttl", out_dir, checkpoint_dir)
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
-    rel = src.select(key, announced, n).groupBy(key).applyInPandasWithState(
-        release, made, state_schema, "append", GroupStateTimeout.ProcessingTimeTimeout)
-    # Pending timeouts make a query run no-data batches forever, so an
+    rel = src.select(key, F.col(announced).cast("long"), F.col(n).cast("long")).groupBy(key).transformWithState(
+        Homes(), made, "append", "processingTime")
+    # Pending timers make a query run no-data batches forever, so an
     # availableNow run would not end; this query runs without them (the
-    # streaming query snapshots the session conf at start) and timeouts fire
+    # streaming query snapshots the session conf at start) and timers fire
     # with the next batch that carries data.
-    key_conf = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key_conf, "true")
-    spark.conf.set(key_conf, "false")
+    confs = {"spark.sql.streaming.noDataMicroBatches.enabled": "false",
+             "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
         q = (rel.writeStream.outputMode("append").option("checkpointLocation", ckpt)
              .foreachBatch(_batch_sink(out)).trigger(availableNow=True).start())
     finally:
-        spark.conf.set(key_conf, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     return _once(_read_sink(spark, out, made).where("not expired"), key, announced)
 
@@ -153,9 +161,11 @@ def _enriched_batches(spark: SparkSession, reviews_dir: str, schema: T.StructTyp
                       max_files: int, out: str, ckpt: str) -> None:
     """Enrich every file not yet read; one folder per micro-batch, one row per key (of rows with one key, the greatest)."""
     kwargs = dict(enrich_kwargs)
-    for name, index in (("lexicon", RV.lexicon_index), ("lemmas", RV.lemma_index), ("translations", RV.translation_index)):
+    for name, index in (("lexicon", RV.lexicon_index), ("translations", RV.translation_index)):
         if isinstance(kwargs.get(name), DataFrame):
             kwargs[name] = written(index(kwargs[name]), name)
+    if isinstance(kwargs.get("lemmas"), DataFrame):
+        kwargs["lemmas"] = written(RV.token_index(kwargs["lemmas"], kwargs["lexicon"]), "tokens")
     kwargs["topics"] = RV.topic_lists(kwargs["topics"])
     if isinstance(kwargs.get("topic_labels"), DataFrame):
         kwargs["topic_labels"] = written(kwargs["topic_labels"], "labels")
