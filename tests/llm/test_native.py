@@ -57,6 +57,35 @@ def test_shards_hold_the_law_and_the_mixture(spark):
     assert other != {k: v[0] for k, v in again.items()}
 
 
+def test_a_shard_depends_on_the_seed_and_the_row_alone(spark):
+    rng = random.Random(2)
+    data = [(i, "hot" if rng.random() < 0.4 else f"s{rng.randrange(6)}") for i in range(500)]
+    schema = "doc_id long, source string"
+    frames = [spark.createDataFrame(data, schema), spark.createDataFrame(data, schema).repartition(3), spark.createDataFrame(data[::-1], schema)]
+    got = [{r["doc_id"]: (r["shard"], r["slot"]) for r in assign_shards(df, 7, F.col("source"), F.col("doc_id")).collect()} for df in frames]
+    assert got[0] == got[1] == got[2]
+
+
+def test_shards_are_those_of_a_plain_interleaving(spark):
+    rng = random.Random(3)
+    data = [(i, rng.choice([None, "", "hot", "hot", "hot", "rare"]) if i else "one") for i in range(900)]
+    df = spark.createDataFrame(data, "doc_id long, source string")
+    key = F.concat(F.lit("1"), F.col("doc_id").cast("string"))
+    source = F.when(F.col("source").isNull(), "0").otherwise(F.concat(F.lit("1"), "source"))
+    hashed = df.select("doc_id", source.alias("s"), F.xxhash64(F.lit(1), key).alias("h"),
+                       (F.shiftrightunsigned(F.xxhash64(F.lit(1), F.lit("phase"), source), 33) * 2 ** 20 / 2 ** 31).cast("long").alias("u")).collect()
+    ranked = []
+    by = defaultdict(list)
+    for r in hashed:
+        by[r["s"]].append(r)
+    for s, rows in by.items():
+        rows.sort(key=lambda r: (r["h"], f"1{r['doc_id']}"))
+        ranked += [((i + r["u"] / 2 ** 20) / len(rows), r["h"], s, r["doc_id"]) for i, r in enumerate(rows)]
+    ranked.sort()
+    want = {d: (p * 7 // 900, p - -(-(p * 7 // 900) * 900 // 7)) for p, (_, _, _, d) in enumerate(ranked)}
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in assign_shards(df, 7, F.col("source"), F.col("doc_id")).collect()} == want
+
+
 def test_shards_of_odd_rows(spark):
     schema = "doc_id long, source string, shard string, h int, s int"
     data = [(None, None, "x", 1, 2)] * 5 + [(1, None, None, None, None), (1, "a", "y", 0, 0), (1, "a", "y", 0, 0)]
