@@ -91,28 +91,37 @@ def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def nearest(q: np.ndarray, q_ids: np.ndarray, bound: np.ndarray, x: np.ndarray, ids: np.ndarray, top: int) -> list[tuple]:
-    """(query, row, distance) of each query's nearest rows within its bound, ties to the smaller id."""
+    """(query, row, distance) of each query's nearest ids within its bound, ties to the smaller id; of several rows with one id the nearest counts."""
+    alone = len(np.unique(ids)) == len(ids)
     rough = (q ** 2).sum(1)[:, None] + (x ** 2).sum(1)[None] - 2 * (q @ x.T)
     slack = 1e-9 * ((q ** 2).sum(1)[:, None] + (x ** 2).sum(1)[None])
     near = (rough <= (bound ** 2)[:, None] + slack) & (q_ids[:, None] != ids[None])
     out = []
     for i in np.flatnonzero(near.any(1)):
         at = np.flatnonzero(near[i])
-        if len(at) > 4 * top:
+        if alone and len(at) > 4 * top:
             r = rough[i, at]
             cut = np.partition(r, top - 1)[top - 1] + 2 * slack[i, at].max()
             at = at[r <= cut]
         d = distances(q[i][None], x[at])
-        best = np.lexsort((ids[at], d))[:top]
+        best = np.lexsort((ids[at], d))
+        if not alone:  # the first of each id, in order
+            best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])]
+        best = best[:top]
         out += [(int(q_ids[i]), int(ids[at][j]), float(d[j])) for j in best if d[j] <= bound[i]]
     return out
 
 
 def reach(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
-    """A distance that each query's ``top``-th nearest row does not exceed; infinite if there are fewer rows."""
+    """A distance that each query's ``top``-th nearest id does not exceed; infinite if there are fewer ids."""
     out = np.full(len(q), np.inf)
+    order = np.argsort(ids, kind="stable")
+    x, ids = x[order], ids[order]
     for i in range(len(q)):
-        d = distances(q[i][None], x[ids != q_ids[i]])
+        other = ids != q_ids[i]
+        d, own = distances(q[i][None], x[other]), ids[other]
+        if len(d):  # one distance an id, its least
+            d = np.minimum.reduceat(d, np.flatnonzero(np.append(True, own[1:] != own[:-1])))
         if len(d) >= top:
             out[i] = np.partition(d, top - 1)[top - 1]
     return out
@@ -130,7 +139,7 @@ def _valid(df: DataFrame, key: Column, vector: Column) -> DataFrame:
 def fit(rows: DataFrame, n: int, seed: int = 11, tables: int = TABLES, target: float = TARGET_RECALL) -> Index | None:
     """Draw projections and choose the number of probes by the recall on a bounded sample of ``rows`` (vec_id, v)."""
     share = min(1.0, SAMPLE_ROWS / max(n, 1))
-    got = rows.where(uniform(F.xxhash64(F.lit(seed), "vec_id"), 1 << 24) < math.ceil(share * (1 << 24))).toArrow()
+    got = rows.where(uniform(F.xxhash64(F.lit(seed), "vec_id", "v"), 1 << 24) < math.ceil(share * (1 << 24))).toArrow()
     if not got.num_rows:
         return None
     ids = got.column("vec_id").to_numpy()
@@ -193,7 +202,7 @@ def search(embeddings: DataFrame, key: Column, vector: Column, query: Column, to
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(index)
-    queries = valid.where(query).distinct()
+    queries = materialise(valid.where(query).distinct().withColumn("q", F.monotonically_increasing_id()), "queries")
 
     def arrays(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         return b.column("vec_id").to_numpy(), np.array(b.column("v").flatten()).reshape(b.num_rows, -1)
@@ -236,26 +245,26 @@ def search(embeddings: DataFrame, key: Column, vector: Column, query: Column, to
                     keys.append(own)
                     tabs.append(np.full(len(own), t))
                 keys, tabs = np.concatenate(keys), np.concatenate(tabs)
-                take = pa.array(np.full(len(keys), i))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tabs.astype(np.int32)), pa.array(keys), b.column("vec_id").take(take), b.column("v").take(take),
-                     pa.array(np.full(len(keys), bound[i]))], names=["tab", "key", "vec_id", "v", "bound"])
+                    [pa.array(tabs.astype(np.int32)), pa.array(keys), pa.array(np.full(len(keys), b.column("q")[i].as_py(), np.int64)),
+                     pa.array(np.full(len(keys), bound[i]))], names=["tab", "key", "q", "bound"])
 
     stored = materialise(rows.mapInArrow(hashed, "vec_id long, v array<double>, keys array<long>"), "hashed-vectors")
     cells = stored.select("vec_id", "v", F.posexplode("keys").alias("tab", "key"))
-    probes = materialise(queries.mapInArrow(probed, "tab int, key long, vec_id long, v array<double>, bound double"), "probes")
+    # a probe is a number and a cell; the query's vector goes only to cells that hold rows
+    probes = materialise(queries.mapInArrow(probed, "tab int, key long, q long, bound double"), "probes")
     blocks = lambda n, size: F.ceil(F.col(n) / size).cast("int")
     in_cell = stored.select(F.posexplode("keys").alias("tab", "key")).groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n"))
     asked = probes.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("m"))
     # written: a join with it shuffles both sides for itself, and a cell with many rows can be split
     sizes = materialise(in_cell.join(asked, ["tab", "key"]).select(
         "tab", "key", blocks("n", BLOCK_ROWS).alias("nb"), blocks("m", BLOCK_QUERIES).alias("mb")), "cell-sizes")
-    spread = lambda c: F.pmod(F.xxhash64("vec_id"), F.col(c)).cast("int")
+    spread = lambda c: F.pmod(F.xxhash64("vec_id", "v"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = (cells.join(sizes, ["tab", "key"]).withColumn("x", spread("nb")).withColumn("y", every("mb"))
             .select("tab", "key", "x", "y", "vec_id", "v"))
-    right = (probes.join(sizes, ["tab", "key"]).withColumn("y", spread("mb")).withColumn("x", every("nb"))
-             .select("tab", "key", "x", "y", "vec_id", "v", "bound"))
+    right = (probes.join(sizes, ["tab", "key"]).withColumn("y", F.pmod(F.xxhash64("q"), F.col("mb")).cast("int")).withColumn("x", every("nb"))
+             .select("tab", "key", "x", "y", "q", "bound").join(queries, "q").drop("q"))
 
     def compare(rows: pa.Table, asked: pa.Table) -> pa.Table:
         if not rows.num_rows or not asked.num_rows:
@@ -268,6 +277,6 @@ def search(embeddings: DataFrame, key: Column, vector: Column, query: Column, to
 
     by = ["tab", "key", "x", "y"]
     met = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(compare, FOUND)
-    found = met.unionByName(queries.mapInArrow(started, FOUND)).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    found = met.unionByName(queries.drop("q").mapInArrow(started, FOUND)).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

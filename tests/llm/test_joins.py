@@ -182,6 +182,19 @@ def test_index_beyond_its_sample(spark, monkeypatch, most_probes):
     assert r >= (0.9 if most_probes > 1 else 1.0)
 
 
+def test_one_id_with_very_many_vectors(spark):
+    """Ten ids come back, however many rows of one id are nearer than the others."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=8)
+    rows = [(0, base.tolist())] + [(1, (base + rng.normal(size=8) * 0.001).tolist()) for _ in range(39)]
+    rows += [(i, (base + rng.normal(size=8) * (0.1 + i / 50)).tolist()) for i in range(2, 60)]
+    got = search(spark, rows, 100, "vec_id long, embedding array<double>")
+    d = {}
+    for i, v in rows[1:]:
+        d[i] = min(d.get(i, np.inf), float(np.sqrt(((base - np.array(v)) ** 2).sum())))
+    assert [i for _, i in got[0]] == sorted(d, key=lambda i: (d[i], i))[:10]
+
+
 def test_given_embeddings(spark):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     got = defaultdict(list)
