@@ -15,6 +15,8 @@ Plan notes
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -222,17 +224,58 @@ def label_sentiment(df: DataFrame, score_col: str = "score", out: str = "sentime
 
 # --- T3 / W6 --------------------------------------------------------------------
 
-def topic_model(df: DataFrame, text_col: str = "clean_review", k: int = 5, max_iter: int = 10,
-                seed: int = 42, vocab_size: int = 1000, top_words: int = 10) -> DataFrame:
-    """T3 + W6: online LDA over the whole corpus -> (topic, rank, word, weight).
+@dataclass
+class TopicFit:
+    """A fitted topic model over the A5 vocabulary of a corpus."""
+
+    spark: SparkSession
+    vocabulary: list[str]
+    model: object
+    text_col: str
+
+    def vectors(self, df: DataFrame) -> DataFrame:
+        """``df`` and ``_tf``, the counts of the vocabulary's terms; texts without a term have none."""
+        from pyspark.ml.feature import CountVectorizerModel
+
+        cv = CountVectorizerModel.from_vocabulary(self.vocabulary, inputCol="_terms", outputCol="_tf")
+        return cv.transform(df.withColumn("_terms", T.terms(F.col(self.text_col)))).drop("_terms")
+
+    def summary(self, top_words: int) -> DataFrame:
+        """(topic, rank, word, weight): k x top_words rows."""
+        words = local_table(self.spark, list(enumerate(self.vocabulary)), "term_index int, word string")
+        ex = self.model.describeTopics(top_words).select(
+            F.col("topic").cast("int").alias("topic"), F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
+        ex = ex.select("topic", "rank", F.col("tw.termIndices").alias("term_index"), F.col("tw.termWeights").alias("weight"))
+        return ex.join(words, "term_index").select("topic", "rank", "word", "weight")
+
+    def mixtures(self, df: DataFrame, key: str) -> DataFrame:
+        """(key, n_terms, mixture array<double>, topic): the share of each topic in each text, and the largest one (first on ties).
+
+        The variational E-step of the model, run where the rows are. A text without a term of the
+        vocabulary has a mixture of zeros and no topic.
+        """
+        from pyspark.ml.functions import vector_to_array
+
+        v = self.model.setTopicDistributionCol("_mix").transform(self.vectors(df.select(key, self.text_col)))
+        v = v.select(key, F.aggregate(vector_to_array("_tf"), F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("n_terms"),
+                     vector_to_array("_mix").alias("mixture"))
+        best = F.array_position("mixture", F.array_max("mixture")) - 1
+        return v.withColumn("topic", F.when(F.col("n_terms") > 0, best.cast("int")))
+
+    def bound(self, df: DataFrame) -> float:
+        """Lower bound of the log likelihood of the texts, topics included; the larger, the better the fit."""
+        return self.model.logLikelihood(self.vectors(df.select(self.text_col)).select("_tf"))
+
+
+def fit_topics(df: DataFrame, text_col: str = "clean_review", k: int = 5, max_iter: int = 10, seed: int = 42,
+               vocab_size: int = 1000) -> TopicFit | None:
+    """Online LDA over the whole corpus; None if no text holds a term.
 
     Settings follow the batch learner being replaced: full passes
-    (subsamplingRate=1), learningOffset=10, learningDecay=0.7. The model is
-    distributed; only its k x top_words summary is turned into a table.
+    (subsamplingRate=1), learningOffset=10, learningDecay=0.7. The fit is distributed.
     """
     from pyspark import StorageLevel
     from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizerModel
 
     spark = df.sparkSession
     # the vocabulary is A5 (ties by term), a bounded list; the vectors are read
@@ -241,25 +284,37 @@ def topic_model(df: DataFrame, text_col: str = "clean_review", k: int = 5, max_i
     vocab = [r["term"] for r in vocabulary_top_k(df, text_col, vocab_size).collect()]
     if not vocab:
         df.unpersist()
-        return spark.createDataFrame([], "topic int, rank int, word string, weight double")
-    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="_terms", outputCol="_tf")
-    toks = df.select(T.terms(F.col(text_col)).alias("_terms")).filter(F.size("_terms") > 0)
-    vec = cv.transform(toks).select("_tf")
+        return None
+    fit = TopicFit(spark, vocab, None, text_col)
+    vec = fit.vectors(df.where(F.size(T.terms(F.col(text_col))) > 0)).select("_tf")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if vec.rdd.getNumPartitions() < n:  # few input splits: spread the vectors (not the texts)
         vec = vec.repartition(n)
     vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="_tf",
               subsamplingRate=1.0, learningOffset=10.0, learningDecay=0.7)
-    model = lda.fit(vec)
+    fit.model = lda.fit(vec)
     vec.unpersist()
     df.unpersist()
-    # the model summary: k x top_words term indices
-    words = local_table(spark, list(enumerate(vocab)), "term_index int, word string")
-    ex = model.describeTopics(top_words).select(
-        F.col("topic").cast("int").alias("topic"), F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
-    ex = ex.select("topic", "rank", F.col("tw.termIndices").alias("term_index"), F.col("tw.termWeights").alias("weight"))
-    return ex.join(words, "term_index").select("topic", "rank", "word", "weight")
+    return fit
+
+
+def topic_model(df: DataFrame, text_col: str = "clean_review", k: int = 5, max_iter: int = 10,
+                seed: int = 42, vocab_size: int = 1000, top_words: int = 10) -> DataFrame:
+    """T3 + W6: (topic, rank, word, weight) of :func:`fit_topics`; only this summary of the model becomes a table."""
+    fit = fit_topics(df, text_col, k, max_iter, seed, vocab_size)
+    if fit is None:
+        return df.sparkSession.createDataFrame([], "topic int, rank int, word string, weight double")
+    return fit.summary(top_words)
+
+
+def topic_mixtures(df: DataFrame, key: str, text_col: str = "clean_review", k: int = 5, max_iter: int = 10, seed: int = 42,
+                   vocab_size: int = 1000) -> DataFrame:
+    """Topics fitted on the texts and the mixture of each text (see :meth:`TopicFit.mixtures`)."""
+    fit = fit_topics(df, text_col, k, max_iter, seed, vocab_size)
+    if fit is None:
+        return df.select(key, F.lit(0).cast("bigint").alias("n_terms"), F.array_repeat(F.lit(0.0), k).alias("mixture"), F.lit(None).cast("int").alias("topic"))
+    return fit.mixtures(df, key)
 
 
 def topic_top_words(topic_terms: DataFrame, n: int = 10) -> DataFrame:

@@ -350,6 +350,13 @@ def q_topic_model(spark, sf):
     return RV.topic_model(cleaned(spark, sf))
 
 
+@register("topic_mixtures")
+def q_topic_mixtures(spark, sf):
+    """The topic mixture of every document under the fitted model (tested against a plain E-step)."""
+    m = RV.topic_mixtures(cleaned(spark, sf), "doc_id")
+    return m.select("doc_id", "n_terms", F.array_join(F.transform("mixture", lambda x: F.round(x, 3).cast("string")), "|").alias("mixture"), "topic")
+
+
 # --- W5 ------------------------------------------------------------------------------------------
 
 @register("batch_number", "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 500 AS batch FROM documents")
