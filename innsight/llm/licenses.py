@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# --- fixed values: spellings that count as equal (from, to), after lower-casing
+# --- fixed values: spellings that count as equal (from, to), after lower-casing; no "to" holds its "from"
 SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"),
     ("authorisation", "authorization"), ("authorised", "authorized"), ("calibre", "caliber"),
     ("cancelled", "canceled"), ("catalogue", "catalog"), ("centre", "center"), ("emphasised", "emphasized"),
-    ("favour", "favor"), ("favourite", "favorite"), ("fulfil", "fulfill"), ("fulfilment", "fulfillment"),
+    ("favour", "favor"), ("favourite", "favorite"), ("fulfill", "fulfil"),
     ("initialise", "initialize"), ("judgement", "judgment"), ("labelling", "labeling"), ("labour", "labor"),
     ("licence", "license"), ("licenced", "licensed"), ("maximise", "maximize"), ("modelled", "modeled"),
     ("modelling", "modeling"), ("offence", "offense"), ("optimise", "optimize"), ("organisation", "organization"),
@@ -95,9 +95,12 @@ KNOWN_LICENSES += [(i, f"{title}\n\n{text}") for text, i, titles in _TITLES for
 
 #: A line that only states a copyright: it names the owner, so no two are equal.
 COPYRIGHT_LINE = r"(?m)^[ \t#*;/-]*(?:copyright\b|\(c\)|©)[^\n]*(?:\d{4}|all rights reserved)[^\n]*$"
-#: More such lines, for the lookup of whole texts: rights reserved alone, and owners named without a year.
-OWNER_LINE = (r"(?m)^[ \t#*;/-]*(?:all rights reserved[ \t\r.!]*|(?:copyright[ \t]*(?:\(c\)|©|by\b)|\(c\)|©)[^\n]*"
-              r"|copyright[ \t]+(?!holder|owner|notice|law|licen|and\b|or\b)[^\n]{1,60})$")
+#: More such lines, for the lookup of whole texts: rights reserved alone or an owner behind a sign (OWNED), and owners named
+#: without a year, unless the line goes on with one of NO_OWNER.
+MARGIN = r"[ \t#*;/-]*"
+OWNED = r"(?:all rights reserved[ \t\r.!]*|(?:copyright[ \t]*(?:\(c\)|©|by\b)|\(c\)|©)[^\n]*)"
+NO_OWNER = r"(?:holder|owner|notice|law|licen|and\b|or\b)"
+OWNER_LINE = rf"(?m)^{MARGIN}(?:{OWNED}|copyright[ \t]+(?!{NO_OWNER})[^\n]{{1,60}})$"
 PUNCTUATION = r"[!-/:-@\[-`{-~“”‘’«»–—…©\t\r\f\x0B ]+"
 
 

@@ -52,15 +52,31 @@ def _license_sql() -> str:
     def whole(x: str) -> str:
         return f"sha256(trim(regexp_replace({x}, '[ \\n]+', ' ', 'g')))"
 
+    # DuckDB's patterns have no look-ahead: the lines are tested one by one
+    owned = lit(f"^{L.MARGIN}{L.OWNED}$")
+    named = lit(f"^{L.MARGIN}copyright[ \\t]+[^\\n]{{1,60}}$")
+    not_named = lit(f"^{L.MARGIN}copyright[ \\t]{L.NO_OWNER}")
+
+    def unowned(x: str) -> str:
+        drop = f"regexp_matches(l, {owned}) OR (regexp_matches(l, {named}) AND NOT regexp_matches(l, {not_named}))"
+        return f"array_to_string(list_transform(string_split(lower({x}), chr(10)), lambda l: CASE WHEN {drop} THEN '' ELSE l END), chr(10))"
+
+    def wanted(x: str) -> str:
+        c = f"trim(regexp_replace({canon(unowned(x))}, '[ \\n]+', ' ', 'g'))"
+        for a, b in L.SPELLINGS:
+            if " " in a:
+                c = f"replace({c}, {lit(a)}, {lit(b)})"
+        return f"sha256({c})"
+
     known = ", ".join(f"({lit(i)}, {lit(t)})" for i, t in L.KNOWN_LICENSES)
     return f"""
-WITH known AS (SELECT {whole(canon('t'))} AS d, min(i) AS license_id FROM (VALUES {known}) k(i, t) GROUP BY 1),
-canon AS (SELECT doc_id, {canon('text')} AS c, row_number() OVER () AS rn FROM documents),
+WITH known AS (SELECT {wanted('t')} AS d, min(i) AS license_id FROM (VALUES {known}) k(i, t) GROUP BY 1),
+canon AS (SELECT doc_id, {canon('text')} AS c, {wanted('text')} AS w, row_number() OVER () AS rn FROM documents),
 lines AS (SELECT DISTINCT rn, {whole('l')} AS d FROM (SELECT rn, unnest(string_split(c, chr(10))) AS l FROM canon) WHERE l <> ''),
 hits AS (SELECT rn, list_sort(list(DISTINCT license_id)) AS ids FROM lines JOIN known USING (d) GROUP BY rn)
 SELECT doc_id, {whole('c')} AS license_digest, known.license_id AS license_id,
        coalesce(array_to_string(hits.ids, ','), '') AS line_license_ids
-FROM canon LEFT JOIN known ON known.d = {whole('c')} LEFT JOIN hits USING (rn)"""
+FROM canon LEFT JOIN known ON known.d = w LEFT JOIN hits USING (rn)"""
 
 
 @_query("op5_license_scan", _license_sql())

@@ -5,6 +5,7 @@ import re
 import textwrap
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from innsight.llm import licenses as L
 from innsight.llm import urls as U
 from innsight.llm.queries import ORACLES, QUERIES
 from innsight.llm.sharding import assign_shards
-from tests.oracle_harness import compare, duck
+from tests.oracle_harness import compare, duck, rows_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -123,6 +124,31 @@ def test_licenses_of_whole_texts_and_lines(spark):
     assert L.scan_licenses(df.limit(0), "text").count() == 0
 
 
+def test_every_pair_of_spellings_meets(spark):
+    rows = [(i, j, f"the {w} of it") for i, pair in enumerate(L.SPELLINGS) for j, w in enumerate(pair)]
+    rows += [(i, j + 2, f"some\n{w}s") for i, pair in enumerate(L.SPELLINGS) for j, w in enumerate(pair)]
+    df = spark.createDataFrame(rows, "i int, j int, t string")
+    got = {(r["i"], r["j"]): r["d"] for r in df.select("i", "j", L.lookup_digest(F.col("t"), L.canonical_lines(F.col("t"))).alias("d")).collect()}
+    for i, pair in enumerate(L.SPELLINGS):
+        assert got[i, 0] == got[i, 1], pair
+        assert got[i, 2] == got[i, 3], pair
+
+
+def test_the_sql_finds_whole_licences(spark, tmp_path):
+    texts = [t for _, t, _, _ in TEXTS if t is None or len(t) < 100_000]
+    for title, text in ((i, t) for i, t in L.KNOWN_LICENSES if len(t) > 200):
+        wrapped = "\n".join(textwrap.wrap(text, 37))
+        texts += [text, wrapped, f"Copyright 2020 {title}\nAll rights reserved.\n\n{wrapped}", "# copyright Some One\n" + wrapped, wrapped + "\nmore"]
+    texts += [MIT.replace("PARTICULAR", "particular") + "\n(c) me", "Copyright holders\n" + MIT, "copyright  holder x\n" + MIT]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = rows_of(con.execute(ORACLES["op5_license_scan"]).fetchdf())
+    assert rows_of(QUERIES["op5_license_scan"](spark, str(tmp_path)).toPandas()) == want
+    assert sum("MIT" in r for r in want) >= 10 and sum("BSD-3-Clause" in r for r in want) >= 10
+
+
 def test_wrapped_licenses_have_their_id(spark):
     known = {}
     for i, t in L.KNOWN_LICENSES:
