@@ -129,27 +129,29 @@ def elements(x: str, tag: str, classes: tuple[str, ...] = (), attrs: dict[str, s
     """
     tag = tag.lower()
     outer = IMPLIED_END.get(tag, tag)
-    test, closing = quoted("^" + tag_pattern(tag, classes, attrs)), "startswith(t, '/')"
-    starts = f"(s.i >= 0 AND rlike(t, {test}))"  # the first token is the text before any tag
+    # what a token does is found out once, before the fold: it closes, it opens an element searched for, it is of the kind itself, and its move of the depth
+    closing = "startswith(t, '/')"
+    starts = f"NOT {closing} AND rlike(t, {quoted('^' + tag_pattern(tag, classes, attrs))})"
     alone = f"rlike(t, {quoted('^' + _REST + '(?<=/)>')})"  # <x/> holds nothing
+    mine = "true" if outer == tag else f"rlike(t, {quoted('(?i)^/?' + tag + '[' + chr(92) + 's/>]')})"
+    # where a closing tag may be missing, lists or tables inside move the depth, and the kind itself does not
+    move = f"CASE WHEN {closing} THEN -1 WHEN {alone} THEN 0 ELSE 1 END"
+    done = f"transform(p, t -> named_struct('close', {closing}, 'starts', {starts}, 'mine', {mine}, 'alone', {alone}, 'move', {move}))"
     if outer == tag:
-        # tags of the kind itself: the element ends where one more closes than opened since
-        move = f"CASE WHEN {closing} THEN -1 WHEN {alone} THEN 0 ELSE 1 END"
-        again, ends = "false", f"(s.at >= 0 AND s.depth + {move} < 0)"
+        # the element ends where one more of its kind closes than opened since
+        depth, again, ends = "s.depth + t.move", "false", "(s.at >= 0 AND s.depth + t.move < 0)"
     else:
-        # own tags count where no list or table inside is open; those move the depth, and the end of the outer one ends the element
-        mine = f"rlike(t, {quoted('(?i)^/?' + tag + '[' + chr(92) + 's/>]')})"
-        move = f"CASE WHEN {mine} OR {alone} THEN 0 WHEN {closing} THEN -1 ELSE 1 END"
-        again = f"(s.at >= 0 AND {mine} AND NOT {closing} AND s.depth = 0)"
-        ends = f"(s.at >= 0 AND ({mine} AND s.depth = 0 OR s.depth + {move} < 0))"
-    begins = f"((s.at < 0 OR {again}) AND {starts} AND NOT {alone})"
+        depth = "s.depth + if(t.mine, 0, t.move)"
+        again = "(s.at >= 0 AND t.mine AND NOT t.close AND s.depth = 0)"
+        ends = f"(s.at >= 0 AND (t.mine AND s.depth = 0 OR {depth} < 0))"
+    begins = f"((s.at < 0 OR {again}) AND s.i >= 0 AND t.starts AND NOT t.alone)"  # token 0 is the text before any tag
     span = "named_struct('a', {}, 'b', {})"
-    fold = f"""aggregate(p, named_struct('i', -1, 'at', -1, 'depth', 0, 'found', cast(array() AS array<struct<a:int,b:int>>)),
+    fold = f"""aggregate({done}, named_struct('i', -1, 'at', -1, 'depth', 0, 'found', cast(array() AS array<struct<a:int,b:int>>)),
       (s, t) -> named_struct('i', s.i + 1,
         'at', CASE WHEN {begins} THEN s.i + 1 WHEN {ends} THEN -1 ELSE s.at END,
-        'depth', CASE WHEN s.at < 0 OR {ends} THEN 0 ELSE s.depth + {move} END,
+        'depth', CASE WHEN s.at < 0 OR {ends} THEN 0 ELSE {depth} END,
         'found', CASE WHEN {ends} THEN array_append(s.found, {span.format('s.at', 's.i + 1')})
-                      WHEN s.at < 0 AND {starts} AND {alone} THEN array_append(s.found, {span.format('s.i + 1', 's.i + 2')}) ELSE s.found END),
+                      WHEN s.at < 0 AND s.i >= 0 AND t.starts AND t.alone THEN array_append(s.found, {span.format('s.i + 1', 's.i + 2')}) ELSE s.found END),
       s -> if(s.at >= 0, array_append(s.found, {span.format('s.at', 's.i + 1')}), s.found))"""
     opening = f"regexp_extract(get(p, e.a), {quoted('^' + _REST)}, 0)"
     cut = f"""transform({fold}, e -> named_struct('open', concat({opening}, '>'),
@@ -175,12 +177,13 @@ def each(array: str, body: str, var: str = "v") -> str:
 def own_texts(x: str) -> str:
     """Texts that stand directly in an element, not in elements inside it, in order: a fold over all its tags with the depth."""
     alone = f"rlike(t, {quoted(f'(?i)^(?:{VOID})[{chr(92)}s/>]|^{_REST}(?<=/)>')})"
-    move = f"CASE WHEN s.first OR {alone} THEN 0 WHEN startswith(t, '/') THEN -1 ELSE 1 END"
-    depth, text = f"greatest(s.depth + {move}, 0)", f"if(s.first, t, regexp_replace(t, {quoted(f'^{_REST}>?')}, ''))"
-    return f"""CASE WHEN contains({x}, '<') THEN aggregate(split({x}, '<(?=/?[a-zA-Z])', -1),
-      named_struct('first', true, 'depth', 0, 'texts', cast(array() AS array<string>)),
-      (s, t) -> named_struct('first', false, 'depth', {depth},
-        'texts', if({depth} = 0 AND {text} <> '', array_append(s.texts, {text}), s.texts)), s -> s.texts)
+    moves = f"transform(p, (t, i) -> CASE WHEN i = 0 THEN 0 WHEN startswith(t, '/') THEN -1 WHEN {alone} THEN 0 ELSE 1 END)"
+    fold = f"""aggregate({moves}, named_struct('i', 0, 'depth', 0, 'at', cast(array() AS array<int>)),
+      (s, m) -> named_struct('i', s.i + 1, 'depth', greatest(s.depth + m, 0),
+        'at', if(greatest(s.depth + m, 0) = 0, array_append(s.at, s.i), s.at)), s -> s.at)"""
+    text = f"if(i = 0, get(p, 0), regexp_replace(get(p, i), {quoted(f'^{_REST}>?')}, ''))"
+    found = f"get(transform(array(split({x}, '<(?=/?[a-zA-Z])', -1)), p -> filter(transform({fold}, i -> {text}), w -> w <> '')), 0)"
+    return f"""CASE WHEN contains({x}, '<') THEN {found}
       WHEN {x} <> '' THEN array({x}) ELSE cast(array() AS array<string>) END"""
 
 

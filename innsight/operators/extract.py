@@ -155,7 +155,8 @@ def _shown(pages: DataFrame, html: str) -> DataFrame:
 def _each(pages: DataFrame, found: str, html: str) -> DataFrame:
     """One row per element found in ``_h``: pos, _e (open, inner) in place of the page."""
     rows = _shown(pages, html)
-    return rows.select(*[c for c in rows.columns if c != "_h"], F.posexplode(F.expr(found)).alias("pos", "_e"))
+    # the outer form: the plain one would scan every page again in an inferred filter
+    return rows.select(*[c for c in rows.columns if c != "_h"], F.posexplode_outer(F.expr(found)).alias("pos", "_e")).where("pos is not null")
 
 
 def _decoded(rows: DataFrame, drop: list[str], **fields: str) -> DataFrame:
