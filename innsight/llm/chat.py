@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,14 +24,20 @@ ROLE_OPEN, ROLE_CLOSE, OTHER_CLOSE = "[ROLE]", "[/ROLE]", "</s>"
 CONTROL = re.compile(r"(<</?SYS>>|\[/?INST\]|\[/?ROLE\]|</?s>)")
 ESCAPED = r"([<\[])(</?SYS>>|/?INST\]|/?ROLE\]|/?s>)"
 
-#: A part of a conversation is at most about so long; only conversations beyond it have more than one part.
+#: A part of a conversation is at most about so long; only conversations beyond it, or cut by a border of the ranges that
+#: tasks take, have more than one part.
 PART_BYTES = 8_000_000
+#: Characters of a role and a text that say to which range a turn goes.
+RANGE_CHARS = 64
+#: Parts are numbered inside a range; the number of the range stands above these bits.
+RANGE_BITS = 32
 
 PARTS = T.StructType([
-    T.StructField("conv_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("formatted", T.StringType()),
-    T.StructField("loss_start", T.ArrayType(T.LongType())), T.StructField("loss_end", T.ArrayType(T.LongType()))])
-_PARTS_ARROW = pa.schema([("conv_id", pa.int64()), ("part", pa.int32()), ("formatted", pa.string()),
-                          ("loss_start", pa.list_(pa.int64())), ("loss_end", pa.list_(pa.int64()))])
+    T.StructField("conv_id", T.LongType()), T.StructField("part", T.LongType()), T.StructField("formatted", T.StringType()),
+    T.StructField("loss_start", T.ArrayType(T.LongType())), T.StructField("loss_end", T.ArrayType(T.LongType())),
+    T.StructField("open", T.BooleanType())])
+_PARTS_ARROW = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("formatted", pa.string()),
+                          ("loss_start", pa.list_(pa.int64())), ("loss_end", pa.list_(pa.int64())), ("open", pa.bool_())])
 
 
 def escape(texts: pa.Array) -> pa.Array:
@@ -99,36 +106,49 @@ def _contiguous(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sorted_turns(conversations: DataFrame, conv: Column, turn: Column, role: Column, text: Column) -> DataFrame:
-    """Turns of one conversation together and in order (turn, then role and text; nulls first)."""
+    """Turns in ranges of (conversation, turn, role, text; nulls first), sorted inside each range.
+
+    A conversation with very many turns fills several ranges. What the ranges are cut by is a prefix of that order of
+    bounded length, as Spark draws a sample of it to the driver.
+    """
     t = conversations.select(conv.cast("long").alias("conv_id"), turn.cast("long").alias("turn"),
                              role.cast("string").alias("role"), text.cast("string").alias("text"))
-    return t.repartition(key_of(F.col("conv_id"))).sortWithinPartitions("conv_id", "turn", "role", "text")
+    # the text counts only among equal roles, so only where the prefix holds the whole role
+    whole = F.col("role").isNull() | (F.length("role") <= RANGE_CHARS)
+    return t.repartitionByRange(F.col("conv_id"), F.col("turn"), F.substring("role", 1, RANGE_CHARS + 1),
+                                F.when(whole, F.substring("text", 1, RANGE_CHARS))
+                                ).sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
 def format_conversations(conversations: DataFrame, conv: Column, turn: Column, role: Column, text: Column) -> DataFrame:
-    """(conv_id, part, formatted, loss_start, loss_end): every conversation as one text with its loss mask.
+    """(conv_id, part, formatted, loss_start, loss_end, open): every conversation as one text with its loss mask.
 
     The template marks each turn by its role; control strings in texts and in
     other roles are escaped reversibly. The mask holds byte ranges of assistant
     texts. A null text or role counts as empty; rows with a null conversation
     id form one conversation; equal turn numbers are ordered by role and text,
     and repeated rows stay repeated turns. Other columns are not read, whatever their names; an empty table gives no row.
-    A conversation beyond ``PART_BYTES`` comes in several parts, in order, whose texts just follow each other: no
-    task holds more than one part.
+
+    Tasks take ranges of turns, not conversations, so that one with a third of all rows is formatted by many. A conversation
+    beyond ``PART_BYTES``, or cut by a border of ranges, comes in several parts whose texts follow each other in the
+    order of ``part`` (ascending, not gapless); no task holds more than one part. ``open`` is false where a row is known to
+    be its whole conversation.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        base = (context.partitionId() if context else 0) << RANGE_BITS
         held = _TURNS.empty_table()  # turns of the conversation that the last batch ended in
-        part = 0  # parts of it that are out already
+        part, border = 0, True  # parts of it that are out already; whether the range's first conversation comes next
         for b in batches:
             turns = pa.concat_tables([held, pa.Table.from_batches([b]).cast(_TURNS)]).combine_chunks()
             cuts = _cuts(turns)
             for lo, hi, same in cuts[:-1]:
-                yield _format(turns.slice(lo, hi - lo), part)
-                part = part + 1 if same else 0
+                yield _format(turns.slice(lo, hi - lo), base + part, border or same or part > 0)
+                part, border = part + 1 if same else 0, False
             lo, hi, _ = cuts[-1] if cuts else (0, 0, False)
             held = turns.slice(lo, hi - lo)
         if held.num_rows:
-            yield _format(held, part)
+            yield _format(held, base + part, True)
 
     return sorted_turns(conversations, conv, turn, role, text).mapInArrow(run, PARTS)
 
@@ -173,8 +193,8 @@ def _cuts(turns: pa.Table) -> list[tuple[int, int, bool]]:
     return out
 
 
-def _format(turns: pa.Table, first_part: int) -> pa.RecordBatch:
-    """Whole conversations or a part of one -> a row for each."""
+def _format(turns: pa.Table, first_part: int, first_open: bool) -> pa.RecordBatch:
+    """Whole conversations or a part of one -> a row for each; number and openness of the first row are given."""
     turns = turns.combine_chunks()
     one = lambda name: turns.column(name).chunk(0) if turns.num_rows else pa.array([], _TURNS.field(name).type)
     roles, texts = one("role"), one("text")
@@ -186,9 +206,10 @@ def _format(turns: pa.Table, first_part: int) -> pa.RecordBatch:
     at = np.searchsorted(starts, np.flatnonzero(learn), "right") - 1
     lists = np.append(0, np.cumsum(np.bincount(at, minlength=len(starts)))).astype(np.int32)
     mask = [pa.ListArray.from_arrays(pa.array(lists), pa.array(inside[learn, j] - bounds[at])) for j in (0, 1)]
-    part = np.zeros(len(starts), np.int32)
-    part[:1] = first_part
-    return pa.RecordBatch.from_arrays([one("conv_id").take(pa.array(starts)), pa.array(part), formatted, *mask], schema=_PARTS_ARROW)
+    part, is_open = np.full(len(starts), first_part >> RANGE_BITS << RANGE_BITS, np.int64), np.zeros(len(starts), bool)
+    part[:1], is_open[:1] = first_part, first_open
+    return pa.RecordBatch.from_arrays([one("conv_id").take(pa.array(starts)), pa.array(part), formatted, *mask, pa.array(is_open)],
+                                      schema=_PARTS_ARROW)
 
 
 DIGESTS = T.StructType([
@@ -213,30 +234,62 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 
 
 def read_back(parts: DataFrame) -> DataFrame:
-    """Digests of each conversation, from the formatted parts alone as ``format_conversations`` gives them (in order)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of each conversation, from the formatted parts alone as ``format_conversations`` gives them.
+
+    Whole conversations are read where they lie. Only the parts of open ones (at most two to a range, but for those beyond
+    ``PART_BYTES``) travel: a digest of a whole conversation runs over its bytes in order, part after part.
+    """
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            is_open = b.column("open")
+            rows = []
+            for r in b.filter(pc.invert(is_open)).to_pylist():
+                state = _state(r["conv_id"])
+                _read(state, r)
+                rows.append(_row(state))
+            yield _carried(rows, b.filter(is_open))
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: list | None = None
         for b in batches:
+            done = b.filter(pc.is_null(b.column("part")))
+            yield done.select(DIGESTS.names)
             rows = []
-            for r in b.to_pylist():
-                if r["part"] == 0 and state:
-                    rows.append(_row(state))
-                if r["part"] == 0:
-                    state = [r["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                turns = read_turns(r["formatted"])
-                for role, text in turns:
-                    state[2].update(f"{role}\n{text}\n".encode())
-                raw = r["formatted"].encode()
-                loss = [unescape(raw[i:j].decode()) for i, j in zip(r["loss_start"], r["loss_end"], strict=True)]
-                for text in loss:
-                    state[4].update(text.encode())
-                state[1] += len(turns)
-                state[3] += sum(map(len, loss))
-                state[5] += len(r["formatted"])
+            for r in b.filter(pc.is_valid(b.column("part"))).to_pylist():
+                if state is None or state[0] != r["conv_id"]:
+                    rows += [_row(state)] if state else []
+                    state = _state(r["conv_id"])
+                _read(state, r)
             yield _digests(rows)
         yield _digests([_row(state)] if state else [])
 
-    return parts.mapInArrow(run, DIGESTS)
+    read = parts.mapInArrow(whole, T.StructType(DIGESTS.fields + PARTS.fields[1:5]))
+    return (read.repartition(key_of(F.col("conv_id"))).sortWithinPartitions("conv_id", "part").mapInArrow(rest, DIGESTS))
+
+
+def _state(conv_id: int | None) -> list:
+    return [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+
+
+def _read(state: list, r: dict) -> None:
+    """Take the turns of one part into the running digests of its conversation."""
+    turns = read_turns(r["formatted"])
+    for role, text in turns:
+        state[2].update(f"{role}\n{text}\n".encode())
+    raw = r["formatted"].encode()
+    for i, j in zip(r["loss_start"], r["loss_end"], strict=True):
+        text = unescape(raw[i:j].decode())
+        state[3] += len(text)
+        state[4].update(text.encode())
+    state[1] += len(turns)
+    state[5] += len(r["formatted"])
+
+
+def _carried(rows: list[dict], parts: pa.RecordBatch) -> pa.RecordBatch:
+    """Digests of whole conversations, then open parts as they are; what a row does not have is null."""
+    done = pa.Table.from_batches([_digests(rows)])
+    return pa.concat_tables([done, pa.Table.from_batches([parts.drop_columns(["open"])])], promote_options="default").select(
+        [*DIGESTS.names, *PARTS.names[1:5]]).combine_chunks().to_batches()[0] if rows or parts.num_rows else _NOTHING
 
 
 def _row(s: list) -> dict:
@@ -247,3 +300,6 @@ def _row(s: list) -> dict:
 def _digests(rows: list[dict]) -> pa.RecordBatch:
     types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     return pa.RecordBatch.from_pylist(rows, pa.schema(list(zip(DIGESTS.names, types, strict=True))))
+
+
+_NOTHING = pa.RecordBatch.from_pylist([], pa.schema([*_digests([]).schema, *list(_PARTS_ARROW)[1:5]]))

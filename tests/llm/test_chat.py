@@ -1,5 +1,6 @@
 """Chat formatting: exact round trips."""
 
+import hashlib
 import random
 
 import pyarrow as pa
@@ -41,6 +42,7 @@ def test_round_trip(monkeypatch, part_bytes, batch):
         for o in (o for b in made["run"](iter(batches)) for o in b.to_pylist()):
             turns, loss, parts = got.setdefault(o["conv_id"], [[], [], [0]])
             assert o["part"] == parts[0]
+            assert o["open"] or o["part"] == 0
             parts[0] += 1
             turns += C.read_turns(o["formatted"])
             raw = o["formatted"].encode()
@@ -63,3 +65,37 @@ def test_odd_tables(spark):
     first = C.format_conversations(df.where("conv_id = 2"), *cols).collect()
     assert [r["formatted"] for r in first] == ["<<SYS>><</SYS>>[INST]x[/INST][INST]x[/INST]"]
     assert C.read_back(C.format_conversations(df.limit(0), *cols)).count() == 0
+
+
+def digests(rows):
+    """Plain digests by conversation."""
+    out = {}
+    for c in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == c),
+                     key=lambda r: [(x is not None, x.encode() if isinstance(x, str) else x or 0) for x in r[1:]])
+        loss = "".join(r[3] or "" for r in own if r[2] == "assistant")
+        turns = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own)
+        out[c] = (len(own), hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def test_a_hot_conversation_is_formatted_by_many_tasks(spark):
+    rng = random.Random(7)
+    long_role = "r" * C.RANGE_CHARS
+    rows = [(5, t // 3, rng.choice(["user", "assistant", None, long_role, long_role + "a", long_role + "b"]), rng.choice(BITS) * rng.randrange(9))
+            for t in range(4_000)]
+    rows += [(c, t, rng.choice(["user", "assistant"]), rng.choice(BITS)) for c in (None, *range(40)) for t in range(rng.randrange(1, 30))]
+    rows += [(None, None, None, None)] * 3
+    rows += [(77, t, "assistant", "x" * 4_000_000) for t in range(3)]  # beyond PART_BYTES
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # small ranges would be taken together
+    try:
+        made = C.format_conversations(df, *[F.col(c) for c in ("conv_id", "turn", "role", "text")])
+        parts = made.select("conv_id", "part", "open").collect()
+        assert len({r["part"] >> C.RANGE_BITS for r in parts if r["conv_id"] == 5}) > 1  # several ranges
+        assert all(r["open"] for r in parts if sum(p["conv_id"] == r["conv_id"] for p in parts) > 1)
+        got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in C.read_back(made).collect()}
+        assert got == digests(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
