@@ -15,14 +15,38 @@ SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
 
 # --- fixed values of the line rules
-TERMINAL = tuple(".!?:;…\"'”’»)]}。！？")
+TERMINAL = tuple(".!?:;…\"'”’»)]}。！？．｡।॥؟۔።։။។")
 SEPARATORS = {"|", "›", "»", "•", "·", "/", ">", "<", "::"}
-NAVIGATION = {"about us", "back to top", "click here", "contact us", "home", "log in", "login", "menu", "next", "next page",
-              "previous", "read more", "register", "search", "share", "sign in", "sign up", "site map", "skip to content",
-              "subscribe", "view all"}
-BOILERPLATE = ("accept all cookies", "all rights reserved", "cookie policy", "enable javascript", "lorem ipsum",
-               "powered by", "privacy policy", "terms of service", "terms of use", "this site uses cookies",
-               "use of cookies")
+NAVIGATION = {
+    # English
+    "about us", "back to top", "click here", "contact us", "home", "log in", "login", "menu", "next", "next page",
+    "previous", "read more", "register", "search", "share", "sign in", "sign up", "site map", "skip to content",
+    "subscribe", "view all",
+    # French
+    "accueil", "aller au contenu", "connexion", "contactez-nous", "en savoir plus", "lire la suite", "mentions légales",
+    "page suivante", "partager", "plan du site", "précédent", "rechercher", "retour en haut", "s'abonner", "s'inscrire",
+    "se connecter", "suivant", "tout afficher", "à propos",
+    # German
+    "alle anzeigen", "abonnieren", "anmelden", "datenschutz", "impressum", "kontakt", "mehr erfahren", "menü", "nach oben",
+    "nächste seite", "registrieren", "startseite", "suchen", "teilen", "weiter", "weiterlesen", "zum inhalt springen", "zurück",
+    "über uns",
+    # Spanish
+    "anterior", "aviso legal", "buscar", "compartir", "contacto", "iniciar sesión", "inicio", "leer más", "mapa del sitio", "menú",
+    "página siguiente", "registrarse", "saltar al contenido", "siguiente", "sobre nosotros", "suscribirse", "ver todo",
+    "volver arriba"}
+BOILERPLATE = (
+    # English
+    "accept all cookies", "all rights reserved", "cookie policy", "enable javascript", "lorem ipsum", "powered by",
+    "privacy policy", "terms of service", "terms of use", "this site uses cookies", "use of cookies",
+    # French
+    "accepter tous les cookies", "activer javascript", "ce site utilise des cookies", "conditions d'utilisation",
+    "conditions d’utilisation", "politique de confidentialité", "politique de cookies", "tous droits réservés",
+    # German
+    "alle cookies akzeptieren", "alle rechte vorbehalten", "cookie-richtlinie", "datenschutzerklärung",
+    "diese website verwendet cookies", "javascript aktivieren", "nutzungsbedingungen",
+    # Spanish
+    "aceptar todas las cookies", "condiciones de uso", "este sitio utiliza cookies", "habilitar javascript",
+    "política de cookies", "política de privacidad", "términos de uso", "todos los derechos reservados")
 
 #: A line of at least so many words must end like a sentence, or hold the end of one.
 PROSE_WORDS = 8
