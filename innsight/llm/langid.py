@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import math
+from array import array
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innsight.llm.common import map_text, uniform
 
-#: Bounds of the fit: labelled rows drawn for each language (in expectation), and entries of the model.
-SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 3_000, 40_000, 40_000
+#: Bounds of the fit: labelled rows drawn for each language (in expectation), entries of the model for each language and
+#: for all of them, and languages (those of most labelled rows).
+SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS, MAX_ENTRIES, MAX_LANGS = 3_000, 10_000, 10_000, 400_000, 200
 #: n-gram orders, longest first, and the weight of a word that only they know.
 ORDERS, GRAM_WEIGHT = (4, 3, 2, 1), 0.5
-#: Pieces of text of a generation that a worker remembers.
-REMEMBERED = 150_000
+#: Pieces of text of a generation that a worker remembers, and numbers kept for them; pieces whose rows are added up at once.
+REMEMBERED, REMEMBERED_CELLS, AT_ONCE = 100_000, 1_500_000, 8_192
 
 UNDETERMINED = "und"
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -30,6 +33,37 @@ UNSPACED = "[" + "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana"
 _UNSPACED = regex.compile(UNSPACED)
 
 
+class Entries:
+    """Entry -> log frequencies by language, held only for the languages that have the entry.
+
+    The others get ``base``, the log frequency of no count. ``get`` spells a row out.
+    """
+
+    def __init__(self, counts: list[tuple[str, list[tuple[int, int]]]], langs: int):
+        total = np.zeros(langs)
+        for _, row in counts:
+            for i, n in row:
+                total[i] += n
+        every = np.log(total + 0.1 * len(counts))
+        self.base = (np.log(0.1) - every).tolist()
+        self.at = {w: i for i, (w, _) in enumerate(counts)}
+        self.begin = array("q", np.cumsum([0, *(len(row) for _, row in counts)]).tolist())
+        self.lang = array("H", [i for _, row in counts for i, _ in row])
+        self.log = array("d", [math.log(n + 0.1) - every[i] for _, row in counts for i, n in row])
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def get(self, w: str) -> list[float] | None:
+        i = self.at.get(w)
+        if i is None:
+            return None
+        row = self.base.copy()
+        for j in range(self.begin[i], self.begin[i + 1]):
+            row[self.lang[j]] = self.log[j]
+        return row
+
+
 @dataclass
 class Model:
     """Log frequencies by language; the rows of ``words`` and ``grams`` follow ``langs``.
@@ -39,63 +73,75 @@ class Model:
     """
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: Mapping | Entries
+    grams: Mapping | Entries
     no_word: np.ndarray | float = -np.inf
-    pairs: dict[str, np.ndarray] = field(default_factory=dict)
+    pairs: Mapping | Entries = field(default_factory=dict)
     no_pair: np.ndarray | float = -np.inf
 
 
-def fit(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_rows: int = SAMPLE_ROWS,
-        max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, seed: int = 7, with_pairs: bool = False) -> Model:
-    """Count words and n-grams of a bounded, seeded sample of labelled rows.
+def labelled_sample(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_rows: int = SAMPLE_ROWS,
+                    max_langs: int = MAX_LANGS, seed: int = 7) -> tuple[DataFrame, list[str]]:
+    """(t, l): whole texts and labels of about ``sample_rows`` rows of each language, by a hash of ``key``; and the languages.
 
-    Rows without text or language teach nothing. Of each language about
-    ``sample_rows`` rows are drawn by a hash of ``key``, whole texts; the model
-    holds the ``max_words`` words and ``max_grams`` n-grams counted most often
-    (ties by text), and as many pairs of letters if ``with_pairs``. Only these bounded tables reach the driver.
+    Rows without text or language are left out, and labels beyond the ``max_langs`` with most rows (ties by name), so
+    that a dirty label column cannot make the sample grow without bound.
     """
     t = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.col(f"`{lang_col}`").cast("string").alias("l"),
                     key.alias("k")).where("t is not null and l is not null")
-    rows = {r["l"]: r["n"] for r in t.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not rows:
+    rows = t.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_langs).collect()
+    shares = [(r["l"], math.ceil((1 << 24) * min(1.0, sample_rows / r["n"]))) for r in rows]
+    # at most max_langs rows: the hint is bounded
+    few = F.broadcast(docs.sparkSession.createDataFrame(shares, "l string, share long"))
+    drawn = t.join(few, "l").where(uniform(F.xxhash64(F.lit(seed), "k"), 1 << 24) < F.col("share"))
+    return drawn.select("t", "l"), sorted(r["l"] for r in rows)
+
+
+def fit(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_rows: int = SAMPLE_ROWS,
+        max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, seed: int = 7, with_pairs: bool = False,
+        max_langs: int = MAX_LANGS, max_entries: int = MAX_ENTRIES) -> Model:
+    """Count words and n-grams of a bounded, seeded sample of labelled rows (``labelled_sample``).
+
+    Of each language the model holds the ``max_words`` words and ``max_grams`` n-grams counted most often in it
+    (ties by text), and as many pairs of letters if ``with_pairs``; with so many languages that this makes more than
+    ``max_entries``, an equal share of these each. So one language takes no place from another. Only these bounded tables
+    reach the driver; no column or condition is made per language.
+    """
+    sample, langs = labelled_sample(docs, text_col, lang_col, key, sample_rows, max_langs, seed)
+    if not langs:
         return Model([], {}, {})
-    draw = uniform(F.xxhash64(F.lit(seed), "k"), 1 << 24)
-    keep = F.lit(False)
-    for lang, n in rows.items():
-        keep = keep | ((F.col("l") == lang) & (draw < math.ceil((1 << 24) * min(1.0, sample_rows / n))))
-    words = (t.where(keep).select("l", F.explode(F.split(F.regexp_replace(F.lower("t"), r"[^\p{L}]+", " "), " ")).alias("w"))
+    most_words, most_grams = (max(1, min(m, max_entries // len(langs))) for m in (max_words, max_grams))
+    words = (sample.select("l", F.explode(F.split(F.regexp_replace(F.lower("t"), r"[^\p{L}]+", " "), " ")).alias("w"))
              .where("w <> ''").groupBy("l", "w").agg(F.count(F.lit(1)).alias("n"))).cache()
     padded = F.concat(F.lit("^"), "w", F.lit("$"))
-    orders = [F.when(F.length("w") + 2 >= n, F.transform(F.sequence(F.lit(1), F.length("w") + 3 - n),
-                                                         lambda i, n=n: F.substr(padded, i, F.lit(n))))
-              .otherwise(F.array().cast("array<string>")) for n in ORDERS]
-    grams = (words.select("l", "n", F.explode(F.concat(*orders)).alias("w"))
+
+    def of_order(n: int) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.length("w") + 3 - n), lambda i: F.substr(padded, i, F.lit(n)))
+        return F.when(F.length("w") + 2 >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    grams = (words.select("l", "n", F.explode(F.concat(*map(of_order, ORDERS))).alias("w"))
              .groupBy("l", "w").agg(F.sum("n").alias("n")))
-    langs = sorted(rows)
-    (known, no_word), (parts, _) = _frequencies(words, langs, max_words), _frequencies(grams, langs, max_grams)
+    (known, no_word), (parts, _) = _frequencies(words, langs, most_words), _frequencies(grams, langs, most_grams)
     model = Model(langs, known, parts, no_word)
     if with_pairs:
         pair = F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - 1, F.lit(1))), lambda i: F.substr("w", i, F.lit(2)))
         pairs = (words.where(F.col("w").rlike(UNSPACED)).select("l", "n", F.explode(pair).alias("w"))
                  .groupBy("l", "w").agg(F.sum("n").alias("n")))
-        model.pairs, model.no_pair = _frequencies(pairs, langs, max_grams)
+        model.pairs, model.no_pair = _frequencies(pairs, langs, most_grams)
     words.unpersist()
     return model
 
 
-def _frequencies(counts: DataFrame, langs: list[str], most: int) -> tuple[dict[str, np.ndarray], np.ndarray | float]:
-    """Smoothed log frequency by language of the entries counted most often, and that of no count."""
-    top = (counts.groupBy("w").agg(F.sum("n").alias("total"),
-                                   *[F.sum(F.when(F.col("l") == x, F.col("n")).otherwise(0)).alias(f"n{i}")
-                                     for i, x in enumerate(langs)])
-           .orderBy(F.desc("total"), "w").limit(most).collect())
+def _frequencies(counts: DataFrame, langs: list[str], most: int) -> tuple[Mapping | Entries, np.ndarray | float]:
+    """Smoothed log frequencies of the entries counted most often in some language, and that of no count by language."""
+    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "w"))
+    top = (counts.withColumn("r", rank).groupBy("w").agg(F.min("r").alias("r"), F.collect_list(F.struct("l", "n")).alias("c"))
+           .where(F.col("r") <= most).select("w", "c").collect())
     if not top:
         return {}, -np.inf
-    n = np.array([[r[f"n{i}"] for i in range(len(langs))] for r in top], np.float64)
-    every = np.log(n.sum(0) + 0.1 * len(top))
-    logs = np.log(n + 0.1) - every
-    return {r["w"]: logs[i] for i, r in enumerate(top)}, np.log(0.1) - every
+    number = {x: i for i, x in enumerate(langs)}
+    made = Entries(sorted((r["w"], sorted((number[x["l"]], x["n"]) for x in r["c"])) for r in top), len(langs))
+    return made, np.array(made.base)
 
 
 class _Scores(dict):
@@ -112,8 +158,7 @@ class _Scores(dict):
         super().__init__()
         self.model, self.k, self.known = model, len(model.langs), known
         self.no_word, self.no_pair = (np.broadcast_to(x, self.k) + 0.5 for x in (model.no_word, model.no_pair))
-        self.words = {w: tuple(x.tolist()) for w, x in model.words.items()}
-        self.grams = {g: tuple(x.tolist()) for g, x in model.grams.items()}
+        self.most = max(1_000, min(REMEMBERED, REMEMBERED_CELLS // (self.k * (1 + known) + 1)))
         self.nothing = (0.0,) * self.k
         self.table, self.n = self.empty(), 0
         self.old: dict[bytes, int] = {}
@@ -123,11 +168,11 @@ class _Scores(dict):
         return np.zeros((1024, self.k + 1 + self.known * self.k))
 
     def word(self, w: str) -> tuple[float, ...]:
-        known = self.words.get(w)
+        known = self.model.words.get(w)
         if known is not None:
-            return known
+            return tuple(known)
         w = f"^{w}$"
-        grams = self.grams.get
+        grams = self.model.grams.get
         for n in ORDERS:
             hits = [g for i in range(len(w) - n + 1) if (g := grams(w[i:i + n])) is not None]
             if hits:
@@ -139,11 +184,11 @@ class _Scores(dict):
         """Whether the word was met in each language; for a run of a script without blanks, the share of its pairs that were."""
         known = self.model.words.get(w)
         if known is not None:
-            return known > self.no_word
+            return np.asarray(known) > self.no_word
         if not _UNSPACED.search(w):
             return np.zeros(self.k)
         pairs = [self.model.pairs.get(w[i:i + 2]) for i in range(max(1, len(w) - 1))]
-        return sum((p > self.no_pair for p in pairs if p is not None), np.zeros(self.k)) / len(pairs)
+        return sum((np.asarray(p) > self.no_pair for p in pairs if p is not None), np.zeros(self.k)) / len(pairs)
 
     def __missing__(self, piece: bytes) -> int:
         if self.n == len(self.table):
@@ -199,7 +244,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
             pieces = (text or "").encode("utf-8", "replace").split()
             if not pieces or not k:
                 return UNDETERMINED, 0.0, 0.0
-            if len(scores) > REMEMBERED:
+            if len(scores) > scores.most:
                 scores.age()
             sums = scores_of(pieces)
             if not sums[k]:
@@ -210,7 +255,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
 
         def scores_of(pieces: list[bytes]) -> np.ndarray:
             at = np.fromiter(map(scores.__getitem__, pieces), np.int64, len(pieces))
-            return scores.table[at].sum(0)
+            return sum(scores.table[at[i:i + AT_ONCE]].sum(0) for i in range(0, len(at), AT_ONCE))
 
         def run(texts: pa.Array) -> list:
             rows = [one(t.as_py()) for t in texts]

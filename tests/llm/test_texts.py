@@ -8,11 +8,12 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from innsight.llm import bpe, langid, packing, quality
-from innsight.llm.queries import QUERIES
+from innsight.llm.queries import QUERIES, held_out
 
 SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +73,34 @@ def test_lines_go_first_then_documents(spark):
     assert quality.clean_documents(df.limit(0)).count() == 0
 
 
+CLEAN = {
+    "fr": "Le train est parti à l'heure et les voyageurs ont lu leurs journaux.\nPlus tard, la pluie a cessé et chacun est rentré chez soi.",
+    "de": "Der Zug fuhr pünktlich ab und die Reisenden lasen ihre Zeitungen.\nSpäter hörte der Regen auf und alle gingen nach Hause.",
+    "es": "El tren salió a su hora y los viajeros leyeron sus periódicos.\nMás tarde dejó de llover y cada uno volvió a su casa.",
+    "hi": "आज सुबह गाड़ी समय पर चली और सभी यात्री अपने अखबार पढ़ते रहे।\nशाम को बारिश रुक गई और सब लोग अपने घर लौट गए।",
+    "ar": "هل غادر القطار في موعده هذا الصباح مع كل المسافرين إلى المدينة؟\nفي المساء توقف المطر وعاد الجميع إلى بيوتهم سيرا على الأقدام.",
+    "ur": "آج صبح گاڑی وقت پر روانہ ہوئی اور سب مسافر اپنے اخبار پڑھتے رہے۔\nشام کو بارش رک گئی اور سب لوگ اپنے گھر واپس چلے گئے۔",
+    "am": "ዛሬ ጠዋት ባቡሩ በሰዓቱ ተነሳ ሁሉም ተጓዦች ጋዜጣቸውን አነበቡ።\nማታ ዝናቡ ቆመ እና ሁሉም ሰው ወደ ቤቱ በእግሩ ተመለሰ።"}
+PAGES = {
+    "fr": "Accueil\nMentions légales\nTous droits réservés\nAccepter tous les cookies\nPolitique de confidentialité du site\nLire la suite",
+    "de": "Startseite\nÜber uns\nAlle Rechte vorbehalten\nAlle Cookies akzeptieren\nDatenschutzerklärung lesen\nNutzungsbedingungen hier",
+    "es": "Inicio\nAviso legal\nTodos los derechos reservados\nAceptar todas las cookies\nPolítica de privacidad\nLeer más"}
+
+
+@pytest.mark.parametrize("lang", CLEAN)
+def test_clean_text_of_any_language_stays(lang):
+    got = quality.judge(CLEAN[lang])
+    assert got[6] and got[7] == 0 and got[8] == CLEAN[lang]
+
+
+@pytest.mark.parametrize("lang", PAGES)
+def test_page_furniture_of_any_language_goes(lang):
+    got = quality.judge(PAGES[lang])
+    assert not got[6] and not got[8].strip()
+    both = quality.judge(CLEAN[lang] + "\n" + "\n".join(PAGES[lang].split("\n")[:2]))
+    assert both[6] and both[8] == CLEAN[lang]
+
+
 def test_quality_separates_labelled_documents(spark):
     got = {r["doc_id"]: r for r in QUERIES["op4_quality_rules"](spark, SF).collect()}
     labels = [(r["doc_id"], r["quality"]) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()]
@@ -128,6 +157,79 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def plain_scorer(docs):
+    """Word-first backoff over whole texts, from counts of all labelled texts; no table is cut."""
+    langs = sorted({d["lang"] for d in docs if d["text"] is not None and d["lang"] is not None})
+    words, grams = {x: Counter() for x in langs}, {x: Counter() for x in langs}
+    for d in docs:
+        if d["text"] is not None and d["lang"] is not None:
+            words[d["lang"]].update(regex.findall(r"\p{L}+", d["text"].lower()))
+    cut = lambda w, n: [f"^{w}$"[i:i + n] for i in range(len(w) + 3 - n)]
+    for x in langs:
+        for w, c in words[x].items():
+            for n in (1, 2, 3, 4):
+                for g in cut(w, n):
+                    grams[x][g] += c
+
+    def logs(counts):
+        every = {e for c in counts.values() for e in c}
+        total = [sum(counts[x].values()) + 0.1 * len(every) for x in langs]
+        return {e: np.array([np.log((counts[x][e] + 0.1) / t) for x, t in zip(langs, total)]) for e in every}
+    words, grams = logs(words), logs(grams)
+
+    def score(text):
+        found = regex.findall(r"\p{L}+", (text or "").lower())
+        if not found:
+            return "und", 0.0
+        sums = np.zeros(len(langs))
+        for w in found:
+            if w in words:
+                sums += words[w]
+                continue
+            for n in (4, 3, 2, 1):
+                hits = [grams[g] for g in cut(w, n) if g in grams]
+                if hits:
+                    sums += 0.5 * min(len(hits), 8) / len(hits) * sum(hits)
+                    break
+        best = int(np.argmax(sums))
+        return langs[best], float(1 / np.exp(sums - sums[best]).sum())
+    return score
+
+
+def test_whole_texts_against_a_plain_scorer(spark):
+    docs = [r.asDict() for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    score = plain_scorer([d for d in docs if zlib.crc32(str(d["doc_id"]).encode()) % 4 != 2])
+    frame = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.fit(frame.where(~held_out()), "text", "lang", F.col("doc_id"), max_words=10**6, max_grams=10**6, max_entries=10**7)
+    mixed = [(d["doc_id"] + 10**6, " ".join(w[::-1] for w in d["text"].split()[:30])) for d in docs if d["text"]]  # mostly unseen words
+    rows = langid.predict(frame.select("doc_id", "text").union(spark.createDataFrame(mixed, "doc_id long, text string")), model).collect()
+    assert len(rows) == len(docs) + len(mixed)
+    for r in rows:
+        lang, share = score(r["text"])
+        assert (r["lang_pred"], round(share, 5)) == (lang, pytest.approx(r["score"], abs=2e-5)), r["doc_id"]
+
+
+def test_no_language_takes_another_s_place(spark):
+    """A language with few texts keeps its own most frequent words; labels beyond the bound are not learnt."""
+    rng = random.Random(2)
+    word = lambda a: "".join(rng.choice(a) for _ in range(7))
+    rows = [(i, " ".join(word("abcdef") for _ in range(40)), "aa") for i in range(200)]
+    rows += [(1000 + i, "uvw xyz uvx", "zz") for i in range(3)] + [(2000, "lone", "only")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, "text", "lang", F.col("doc_id"), max_words=20, max_grams=30, max_langs=2)
+    assert model.langs == ["aa", "zz"] and len(model.words) == 23 and model.words.get("lone") is None
+    assert all(model.words.get(w)[1] > model.no_word[1] for w in ("uvw", "xyz", "uvx"))
+    assert len(langid.fit(df, "text", "lang", F.col("doc_id"), max_words=20, max_entries=6, max_langs=2).words) == 6
+
+
+def test_a_column_of_very_many_labels(spark):
+    df = spark.range(5_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), "id").alias("text"),
+                                   F.concat(F.lit("label"), F.col("id")).alias("lang"))
+    model = langid.fit(df, "text", "lang", F.col("doc_id"))
+    assert len(model.langs) == langid.MAX_LANGS and len(model.words) <= langid.MAX_ENTRIES
+    assert langid.predict(df.limit(50), model, "text", ["doc_id"]).where("score between 0 and 1").count() == 50
+
+
 def test_words_first_then_shorter_grams(spark):
     m = langid.Model(["a", "b"], {"known": np.array([0.0, -5.0])},
                      {"^unk": np.array([-1.0, -2.0]), "^u": np.array([-9.0, -1.0]), "z": np.array([-3.0, -1.0])})
