@@ -43,13 +43,17 @@ def map_text(df: DataFrame, text_col: str, fields: list[T.StructField],
     to one list or Arrow array per field. The columns named in ``carry`` (all, if
     None) pass through untouched; a carried column that has the name of a new
     field is replaced by it. Column names inside the batch are positions, so
-    no name of the input can clash.
+    no name of the input can clash. A text column that is carried too travels to the worker once.
     """
     new = {f.name for f in fields}
     carry = [c for c in (df.columns if carry is None else carry) if c not in new]
+    types_of = {f.name: f.dataType for f in df.schema}
+    as_is = types_of.get(text_col) == T.StringType()
+    sent = [c for c in carry if not (as_is and c == text_col)]
+    place = {c: i + 1 for i, c in enumerate(sent)}
     inner = df.select(F.col(f"`{text_col}`").cast("string").alias("t"),
-                      *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
-    kept = [T.StructField(f"c{i}", inner.schema[f"c{i}"].dataType, True) for i in range(len(carry))]
+                      *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(sent)])
+    kept = [T.StructField(f"c{i}", types_of[c], True) for i, c in enumerate(carry)]
     added = [T.StructField(f"n{i}", f.dataType, True) for i, f in enumerate(fields)]
     schema = T.StructType(kept + added)
     types = [_ARROW[f.dataType.simpleString()] for f in fields]
@@ -58,7 +62,7 @@ def map_text(df: DataFrame, text_col: str, fields: list[T.StructField],
         fn = make()
         for b in (x.slice(lo, ROWS_AT_ONCE) for x in batches for lo in range(0, x.num_rows, ROWS_AT_ONCE)):
             out = fn(b.column(0))
-            arrays = [b.column(i + 1) for i in range(len(carry))]
+            arrays = [b.column(place.get(c, 0)) for c in carry]
             arrays += [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema])
 
