@@ -18,7 +18,7 @@ from innsight.llm.common import map_text, uniform
 
 #: Bounds of the fit: labelled rows drawn for each language (in expectation), entries of the model for each language and
 #: for all of them, and languages (those of most labelled rows).
-SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS, MAX_ENTRIES, MAX_LANGS = 3_000, 10_000, 10_000, 400_000, 200
+SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS, MAX_ENTRIES, MAX_LANGS = 3_000, 20_000, 10_000, 400_000, 200
 #: n-gram orders, longest first, and the weight of a word that only they know.
 ORDERS, GRAM_WEIGHT = (4, 3, 2, 1), 0.5
 #: Pieces of text of a generation that a worker remembers, and numbers kept for them; pieces whose rows are added up at once.
@@ -263,3 +263,17 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
         return run
 
     return map_text(docs, text_col, fields, make, carry)
+
+
+def least_known(held: DataFrame, model: Model, text_col: str, lang_col: str, key: Column, most: float,
+                share: float = 0.4, sample_rows: int = 1_000) -> dict[str, float]:
+    """Language -> the ``known`` below which a text is not taken for that language.
+
+    ``share`` of the median over the language's own held-out texts (about ``sample_rows`` of them, by ``labelled_sample``, as
+    far as the model recognises them), and ``most`` at most: a language of many forms, whose texts hold more unseen words,
+    gets a lower bound, and wrong labels do not move it. A language without held-out texts has no entry.
+    """
+    sample, _ = labelled_sample(held, text_col, lang_col, key, sample_rows)
+    met = predict(sample, model, "t", ["l"], with_known=True).where("lang_pred = l and lang_pred <> 'und'")
+    rows = met.groupBy("l").agg(F.percentile_approx("known", 0.5, 10_000).alias("q")).collect()
+    return {r["l"]: min(most, share * r["q"]) for r in rows}

@@ -1,17 +1,19 @@
 """Jaccard join, components, nearest neighbours, pipeline."""
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from innsight.llm import jaccard, langid, neighbours
 from innsight.operators.components import components
-from innsight.llm.queries import QUERIES
+from innsight.llm.queries import QUERIES, held_out
 from innsight.llm.quality import judge
 from tests.llm.test_texts import check_packing
 
@@ -212,14 +214,50 @@ def test_probes_come_in_order_of_cost():
 
 # --- pipeline
 
+def plain_known(docs, languages):
+    """doc_id -> share of its words that other, not held-out documents of its predicted language hold; and the bound by language."""
+    held = {d["doc_id"] for d in docs if zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2}
+    words = {d["doc_id"]: regex.findall(r"\p{L}+", (d["text"] or "").lower()) for d in docs}
+    met = defaultdict(set)
+    for d in docs:
+        if d["doc_id"] not in held and d["lang"] is not None:
+            met[d["lang"]].update(words[d["doc_id"]])
+    pred = {i: r["lang_pred"] for i, r in languages.items()}
+    known = {i: round(sum(w in met[pred[i]] for w in ws) / len(ws), 6) if ws else 0.0 for i, ws in words.items()}
+    own = defaultdict(list)
+    for d in docs:
+        if d["doc_id"] in held and pred[d["doc_id"]] == d["lang"]:
+            own[d["lang"]].append(known[d["doc_id"]])
+    return known, {x: min(corpus_pipeline.LEAST_KNOWN, 0.4 * sorted(v)[math.ceil(0.5 * len(v)) - 1]) for x, v in own.items()}
+
+
+def test_bounds_follow_held_out_documents(spark):
+    docs = [r.asDict() for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    # a language whose held-out texts hold mostly unseen words
+    more = [(i, " ".join(f"{'xyz'[i % 3] if j % 6 else 'kept'}{chr(97 + j % 26)}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" if j % 6 else "kept"
+                         for j in range(30)), "qq", "s", 100) for i in range(9000, 9100)]
+    frame = spark.createDataFrame([tuple(d.values()) for d in docs] + more, spark.read.parquet(f"{SMALL}/documents.parquet").schema)
+    docs += [dict(zip(docs[0], r)) for r in more]
+    train = frame.where(~F.coalesce(held_out(), F.lit(False)))
+    model = langid.fit(train, "text", "lang", F.col("doc_id"), with_pairs=True)
+    languages = {r["doc_id"]: r for r in langid.predict(frame.select("doc_id", "text"), model, with_known=True).collect()}
+    known, least = plain_known(docs, languages)
+    assert all(r["known"] == pytest.approx(known[i], abs=1e-6) for i, r in languages.items())
+    got = langid.least_known(frame.where(held_out()), model, "text", "lang", F.col("doc_id"), corpus_pipeline.LEAST_KNOWN)
+    assert got == pytest.approx(least) and got["qq"] < 0.2 and got["en"] <= 0.3
+    left = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, frame, SMALL).collect()}
+    assert {r[0] for r in more} <= left
+
+
 def test_pipeline_against_a_model(spark):
     docs = [r.asDict() for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     languages = {r["doc_id"]: r for r in QUERIES["op8_language_id"](spark, SMALL).collect()}
     kept = {}
+    known, least = plain_known(docs, languages)
     for d in docs:
         r = languages[d["doc_id"]]
         j = judge(d["text"])
-        if r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.LEAST_SCORE and j[6]:
+        if r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.LEAST_SCORE and known[d["doc_id"]] >= least[r["lang_pred"]] and j[6]:
             kept[d["doc_id"]] = j[8]
     classes = model_classes(list(kept.items()))
     kept = {i: t for i, t in kept.items() if classes[i][0] == i}
