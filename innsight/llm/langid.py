@@ -22,7 +22,7 @@ SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS, MAX_ENTRIES, MAX_LANGS = 3_000, 20_000, 10_00
 #: n-gram orders, longest first, and the weight of a word that only they know.
 ORDERS, GRAM_WEIGHT = (4, 3, 2, 1), 0.5
 #: Pieces of text of a generation that a worker remembers, and numbers kept for them; pieces whose rows are added up at once.
-REMEMBERED, REMEMBERED_CELLS, AT_ONCE = 100_000, 1_500_000, 8_192
+REMEMBERED, REMEMBERED_CELLS, AT_ONCE = 150_000, 1_500_000, 8_192
 
 UNDETERMINED = "und"
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -36,7 +36,8 @@ _UNSPACED = regex.compile(UNSPACED)
 class Entries:
     """Entry -> log frequencies by language, held only for the languages that have the entry.
 
-    The others get ``base``, the log frequency of no count. ``get`` spells a row out.
+    The others get ``base``, the log frequency of no count. ``get`` spells a row out; a worker remembers rows of a bounded
+    number of cells.
     """
 
     def __init__(self, counts: list[tuple[str, list[tuple[int, int]]]], langs: int):
@@ -50,17 +51,24 @@ class Entries:
         self.begin = array("q", np.cumsum([0, *(len(row) for _, row in counts)]).tolist())
         self.lang = array("H", [i for _, row in counts for i, _ in row])
         self.log = array("d", [math.log(n + 0.1) - every[i] for _, row in counts for i, n in row])
+        self.rows: dict[int, tuple[float, ...]] = {}
+        self.most = REMEMBERED_CELLS // langs
 
     def __len__(self) -> int:
         return len(self.at)
 
-    def get(self, w: str) -> list[float] | None:
+    def get(self, w: str) -> tuple[float, ...] | None:
         i = self.at.get(w)
         if i is None:
             return None
-        row = self.base.copy()
-        for j in range(self.begin[i], self.begin[i + 1]):
-            row[self.lang[j]] = self.log[j]
+        row = self.rows.get(i)
+        if row is None:
+            spelled = self.base.copy()
+            for j in range(self.begin[i], self.begin[i + 1]):
+                spelled[self.lang[j]] = self.log[j]
+            row = tuple(spelled)
+            if len(self.rows) < self.most:
+                self.rows[i] = row
         return row
 
 
