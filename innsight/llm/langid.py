@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from array import array
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -51,24 +51,21 @@ class Entries:
         self.begin = array("q", np.cumsum([0, *(len(row) for _, row in counts)]).tolist())
         self.lang = array("H", [i for _, row in counts for i, _ in row])
         self.log = array("d", [math.log(n + 0.1) - every[i] for _, row in counts for i, n in row])
-        self.rows: dict[int, tuple[float, ...]] = {}
+        self.rows: dict[str, tuple[float, ...]] = {}
         self.most = REMEMBERED_CELLS // langs
 
     def __len__(self) -> int:
         return len(self.at)
 
     def get(self, w: str) -> tuple[float, ...] | None:
-        i = self.at.get(w)
-        if i is None:
-            return None
-        row = self.rows.get(i)
-        if row is None:
+        row = self.rows.get(w)
+        if row is None and (i := self.at.get(w)) is not None:
             spelled = self.base.copy()
             for j in range(self.begin[i], self.begin[i + 1]):
                 spelled[self.lang[j]] = self.log[j]
             row = tuple(spelled)
             if len(self.rows) < self.most:
-                self.rows[i] = row
+                self.rows[w] = row
         return row
 
 
@@ -166,6 +163,9 @@ class _Scores(dict):
         super().__init__()
         self.model, self.k, self.known = model, len(model.langs), known
         self.no_word, self.no_pair = (np.broadcast_to(x, self.k) + 0.5 for x in (model.no_word, model.no_pair))
+        self.least = self.no_word.tolist()
+        # rows of n-grams spelled out before, looked up without a call
+        self.spelled = model.grams.rows if isinstance(model.grams, Entries) else {}
         self.most = max(1_000, min(REMEMBERED, REMEMBERED_CELLS // (self.k * (1 + known) + 1)))
         self.nothing = (0.0,) * self.k
         self.table, self.n = self.empty(), 0
@@ -180,21 +180,21 @@ class _Scores(dict):
         if known is not None:
             return tuple(known)
         w = f"^{w}$"
-        grams = self.model.grams.get
+        near, grams = self.spelled.get, self.model.grams.get
         for n in ORDERS:
-            hits = [g for i in range(len(w) - n + 1) if (g := grams(w[i:i + n])) is not None]
+            hits = [g for i in range(len(w) - n + 1) if (g := near(x := w[i:i + n]) or grams(x)) is not None]
             if hits:
                 scale = GRAM_WEIGHT * min(len(hits), 8) / len(hits)
                 return tuple([scale * sum(c) for c in zip(*hits, strict=True)])
         return self.nothing
 
-    def met(self, w: str) -> np.ndarray:
+    def met(self, w: str) -> Sequence[float]:
         """Whether the word was met in each language; for a run of a script without blanks, the share of its pairs that were."""
         known = self.model.words.get(w)
         if known is not None:
-            return np.asarray(known) > self.no_word
-        if not _UNSPACED.search(w):
-            return np.zeros(self.k)
+            return [x > y for x, y in zip(known, self.least, strict=True)]
+        if w.isascii() or not _UNSPACED.search(w):
+            return self.nothing
         pairs = [self.model.pairs.get(w[i:i + 2]) for i in range(max(1, len(w) - 1))]
         return sum((np.asarray(p) > self.no_pair for p in pairs if p is not None), np.zeros(self.k)) / len(pairs)
 
@@ -207,15 +207,13 @@ class _Scores(dict):
         else:
             text = piece.decode("utf-8", "replace").lower()
             words = [text] if text.isalpha() else _LETTERS.findall(text)
-            row = self.table[self.n]
             if len(words) == 1:
-                row[:self.k + 1] = (*self.word(words[0]), 1)
+                row = (*self.word(words[0]), 1, *(self.met(words[0]) if self.known else ()))
             else:
-                scores = [self.word(w) for w in words]
-                row[:self.k + 1] = (*[sum(c) for c in zip(self.nothing, *scores, strict=True)], len(words))
-            if self.known:
-                for w in words:
-                    row[self.k + 1:] += self.met(w)
+                scores = zip(self.nothing, *map(self.word, words), strict=True)
+                met = zip(self.nothing, *map(self.met, words), strict=True) if self.known else ()
+                row = (*map(sum, scores), len(words), *map(sum, met))
+            self.table[self.n] = row
         self[piece] = self.n
         self.n += 1
         return self.n - 1
