@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innsight.llm.common import map_text, uniform
+from innsight.llm.common import map_text
+from innsight.session import written
 
-#: Bounds of the fit: labelled rows drawn for each language (in expectation), entries of the model for each language and
-#: for all of them, and languages (those of most labelled rows).
-SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS, MAX_ENTRIES, MAX_LANGS = 3_000, 20_000, 10_000, 400_000, 200
+#: Bounds of the model, not of what it is fitted on: entries for each language and for all of them, and languages (those of most labelled rows).
+MAX_WORDS, MAX_GRAMS, MAX_ENTRIES, MAX_LANGS = 20_000, 10_000, 400_000, 200
+#: Parts in which a language's entries are ranked first.
+RANK_PARTS = 64
 #: n-gram orders, longest first, and the weight of a word that only they know.
 ORDERS, GRAM_WEIGHT = (4, 3, 2, 1), 0.5
 #: Pieces of text of a generation that a worker remembers, and numbers kept for them; pieces whose rows are added up at once.
@@ -85,39 +87,34 @@ class Model:
     no_pair: np.ndarray | float = -np.inf
 
 
-def labelled_sample(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_rows: int = SAMPLE_ROWS,
-                    max_langs: int = MAX_LANGS, seed: int = 7) -> tuple[DataFrame, list[str]]:
-    """(t, l): whole texts and labels of about ``sample_rows`` rows of each language, by a hash of ``key``; and the languages.
+def labelled(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """(t, l): whole texts and labels of all rows that have both."""
+    return docs.select(F.col(f"`{text_col}`").cast("string").alias("t"),
+                       F.col(f"`{lang_col}`").cast("string").alias("l")).where("t is not null and l is not null")
 
-    Rows without text or language are left out, and labels beyond the ``max_langs`` with most rows (ties by name), so
-    that a dirty label column cannot make the sample grow without bound.
-    """
-    t = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.col(f"`{lang_col}`").cast("string").alias("l"),
-                    key.alias("k")).where("t is not null and l is not null")
-    rows = t.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_langs).collect()
-    shares = [(r["l"], math.ceil((1 << 24) * min(1.0, sample_rows / r["n"]))) for r in rows]
-    # at most max_langs rows: the hint is bounded
-    few = F.broadcast(docs.sparkSession.createDataFrame(shares, "l string, share long"))
-    drawn = t.join(few, "l").where(uniform(F.xxhash64(F.lit(seed), "k"), 1 << 24) < F.col("share"))
-    return drawn.select("t", "l"), sorted(r["l"] for r in rows)
 
-
-def fit(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_rows: int = SAMPLE_ROWS,
-        max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, seed: int = 7, with_pairs: bool = False,
-        max_langs: int = MAX_LANGS, max_entries: int = MAX_ENTRIES) -> Model:
-    """Count words and n-grams of a bounded, seeded sample of labelled rows (``labelled_sample``).
+def fit(docs: DataFrame, text_col: str, lang_col: str, key: Column | None = None, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS,
+        with_pairs: bool = False, max_langs: int = MAX_LANGS, max_entries: int = MAX_ENTRIES) -> Model:
+    """Count words and n-grams of all labelled rows (``key`` has no part in it: no row is drawn).
 
     Of each language the model holds the ``max_words`` words and ``max_grams`` n-grams counted most often in it
     (ties by text), and as many pairs of letters if ``with_pairs``; with so many languages that this makes more than
-    ``max_entries``, an equal share of these each. So one language takes no place from another. Only these bounded tables
-    reach the driver; no column or condition is made per language.
+    ``max_entries``, an equal share of these each. So one language takes no place from another. Labels beyond the ``max_langs``
+    with most rows (ties by name) are left out, so that a dirty label column cannot make the model grow without bound. Only these
+    bounded tables reach the driver; no column or condition is made per language.
     """
-    sample, langs = labelled_sample(docs, text_col, lang_col, key, sample_rows, max_langs, seed)
+    rows = labelled(docs, text_col, lang_col)
+    most_rows = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_langs).collect()
+    langs = sorted(r["l"] for r in most_rows)
     if not langs:
         return Model([], {}, {})
     most_words, most_grams = (max(1, min(m, max_entries // len(langs))) for m in (max_words, max_grams))
-    words = (sample.select("l", F.explode(F.split(F.regexp_replace(F.lower("t"), r"[^\p{L}]+", " "), " ")).alias("w"))
-             .where("w <> ''").groupBy("l", "w").agg(F.count(F.lit(1)).alias("n"))).cache()
+    # at most max_langs rows: the hint is bounded
+    few = F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in langs], "l string"))
+    # the outer form: the plain one would cut every text again in an inferred filter
+    pieces = F.explode_outer(F.split(F.regexp_replace(F.lower("t"), r"[^\p{L}]+", " "), " ")).alias("w")
+    words = written(rows.join(few, "l", "left_semi").select("l", pieces).where("w <> ''")
+                    .groupBy("l", "w").agg(F.count(F.lit(1)).alias("n")), "words")
     padded = F.concat(F.lit("^"), "w", F.lit("$"))
 
     def of_order(n: int) -> Column:
@@ -133,15 +130,18 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_rows:
         pairs = (words.where(F.col("w").rlike(UNSPACED)).select("l", "n", F.explode(pair).alias("w"))
                  .groupBy("l", "w").agg(F.sum("n").alias("n")))
         model.pairs, model.no_pair = _frequencies(pairs, langs, most_grams)
-    words.unpersist()
     return model
 
 
 def _frequencies(counts: DataFrame, langs: list[str], most: int) -> tuple[Mapping | Entries, np.ndarray | float]:
     """Smoothed log frequencies of the entries counted most often in some language, and that of no count by language."""
-    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "w"))
-    top = (counts.withColumn("r", rank).groupBy("w").agg(F.min("r").alias("r"), F.collect_list(F.struct("l", "n")).alias("c"))
-           .where(F.col("r") <= most).select("w", "c").collect())
+    order = [F.desc("n"), F.col("w")]
+    # every part's first entries, then the first of those: no task ranks all entries of a language
+    for by in (["l", F.pmod(F.xxhash64("w"), F.lit(RANK_PARTS))], ["l"]):
+        first = (counts if len(by) > 1 else first).withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+        first = first.where(F.col("r") <= most).drop("r")
+    top = (counts.join(first.select("w").distinct(), "w", "left_semi").groupBy("w")
+           .agg(F.collect_list(F.struct("l", "n")).alias("c")).collect())
     if not top:
         return {}, -np.inf
     number = {x: i for i, x in enumerate(langs)}
@@ -271,15 +271,14 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
     return map_text(docs, text_col, fields, make, carry)
 
 
-def least_known(held: DataFrame, model: Model, text_col: str, lang_col: str, key: Column, most: float,
-                share: float = 0.4, sample_rows: int = 1_000) -> dict[str, float]:
+def least_known(held: DataFrame, model: Model, text_col: str, lang_col: str, key: Column | None, most: float,
+                share: float = 0.4) -> dict[str, float]:
     """Language -> the ``known`` below which a text is not taken for that language.
 
-    ``share`` of the median over the language's own held-out texts (about ``sample_rows`` of them, by ``labelled_sample``, as
-    far as the model recognises them), and ``most`` at most: a language of many forms, whose texts hold more unseen words,
+    ``share`` of the median over all of the language's own held-out texts (as far as the model recognises them; ``key`` has no
+    part in it), and ``most`` at most: a language of many forms, whose texts hold more unseen words,
     gets a lower bound, and wrong labels do not move it. A language without held-out texts has no entry.
     """
-    sample, _ = labelled_sample(held, text_col, lang_col, key, sample_rows)
-    met = predict(sample, model, "t", ["l"], with_known=True).where("lang_pred = l and lang_pred <> 'und'")
+    met = predict(labelled(held, text_col, lang_col), model, "t", ["l"], with_known=True).where("lang_pred = l and lang_pred <> 'und'")
     rows = met.groupBy("l").agg(F.percentile_approx("known", 0.5, 10_000).alias("q")).collect()
     return {r["l"]: min(most, share * r["q"]) for r in rows}

@@ -1,6 +1,7 @@
 """Quality rules, byte-pair encoding, language identification, packing."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -222,6 +223,20 @@ def test_no_language_takes_another_s_place(spark):
     assert len(langid.fit(df, "text", "lang", F.col("doc_id"), max_words=20, max_entries=6, max_langs=2).words) == 6
 
 
+def test_every_labelled_row_is_counted(spark):
+    """Counts of the model and the bounds by language come from all rows, however many a language has."""
+    rows = [(i, f"common w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "aa") for i in range(5_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, "text", "lang", F.col("doc_id"))
+    assert len(model.words) == 5_001
+    total = math.log(10_000 + 0.1 * 5_001)
+    assert model.words.get("common")[0] == pytest.approx(math.log(5_000.1) - total)
+    n = 1_501
+    held = [(i, " ".join(["common"] * i + ["zzz"] * (n - i)), "aa") for i in range(n)]
+    got = langid.least_known(spark.createDataFrame(held, df.schema), model, "text", "lang", F.col("doc_id"), 1.0)
+    assert got == {"aa": pytest.approx(0.4 * round(750 / n, 6))}
+
+
 def test_a_column_of_very_many_labels(spark):
     df = spark.range(5_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), "id").alias("text"),
                                    F.concat(F.lit("label"), F.col("id")).alias("lang"))
