@@ -9,6 +9,7 @@ from innsight.functions import parse as PZ
 from innsight.functions.keys import py_strip
 from innsight.operators import extract as X
 from innsight.plans.registry import register
+from innsight.session import spread
 from innsight.sources.tables import read_table
 
 RUN_DATE = "2024-01-01"  # fixed run date of the frontier query (a parameter, never now())
@@ -277,7 +278,7 @@ def q_first_containing(spark, sf):
 # --- P13 / P14 on room text blocks built from part ---------------------------------------------------
 
 def _room_block(spark, sf):
-    p = read_table(spark, sf, "part")
+    p = spread(read_table(spark, sf, "part"))
     size = F.when(F.col("p_size") % 4 == 0, F.lit("")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(".5 m²\n")))
     p1 = F.replace(F.format_number(F.col("p_partkey") * 1000 + 850000, 0), F.lit(","), F.lit("."))
     p2 = F.replace(F.format_number(F.col("p_partkey") * 700 + 450000, 0), F.lit(","), F.lit("."))
@@ -396,7 +397,7 @@ ENTITY_NAMES = [("agrave", "à"), ("ecirc", "ê"), ("ndash", "–"), ("hellip",
 @register("decode_entities", f"""SELECT p_partkey, 'C' || [{', '.join(_q(v) for _, v in ENTITY_NAMES)}][p_size % {len(ENTITY_NAMES)} + 1] || ' ' ||
   chr(CAST(p_partkey * 37 % 50000 + 160 AS INTEGER)) || chr(CAST(p_partkey * 41 % 50000 + 160 AS INTEGER)) || '–' || chr(65533) || ' &bogus; & ' || p_name AS text FROM part""")
 def q_decode_entities(spark, sf):
-    p = read_table(spark, sf, "part")
+    p = spread(read_table(spark, sf, "part"))
     k = F.col("p_partkey")
     names = F.array(*[F.lit(n) for n, _ in ENTITY_NAMES])
     text = F.concat(F.lit("C&"), F.element_at(names, (F.col("p_size") % len(ENTITY_NAMES) + 1).cast("int")), F.lit("; &#"),
@@ -411,7 +412,7 @@ def q_decode_entities(spark, sf):
   CASE WHEN p_size % 3 <> 0 THEN CAST(p_size % 10 AS VARCHAR) || '.' || CAST(p_size % 7 AS VARCHAR) END AS rating,
   '/hotel/vn/p' || CAST(p_partkey AS VARCHAR) || '.vi.html?a=1&b=2' AS link FROM part""")
 def q_property_cards(spark, sf):
-    p = read_table(spark, sf, "part")
+    p = spread(read_table(spark, sf, "part"))
     k, size = F.col("p_partkey"), F.col("p_size")
     price = F.replace(F.format_number(k * 1000 + 9000, 0), F.lit(","), F.lit("."))
     card = F.concat(
@@ -432,7 +433,7 @@ def q_property_cards(spark, sf):
   CASE WHEN p_size % 4 = 0 THEN '' ELSE 'img/' || CAST(p_partkey AS VARCHAR) || '?w=1&h=2|img/b' END AS images,
   CASE WHEN p_size % 7 <> 0 THEN CAST(p_partkey * 17 AS INTEGER) END AS total_reviews FROM part""")
 def q_property_page(spark, sf):
-    p = read_table(spark, sf, "part")
+    p = spread(read_table(spark, sf, "part"))
     k, size, s = F.col("p_partkey").cast("string"), F.col("p_size"), F.lit
     part = lambda cond, *cols: F.when(cond, F.concat(*cols)).otherwise(s(""))
     html = F.concat(
@@ -459,7 +460,7 @@ def q_property_page(spark, sf):
   CASE WHEN p_size % 8 = 0 THEN '' ELSE p_name || '. n/a' END AS review_content
 FROM part WHERE p_size % 10 <> 0""")
 def q_review_rows(spark, sf):
-    p = read_table(spark, sf, "part")
+    p = spread(read_table(spark, sf, "part"))
     k, size, s = F.col("p_partkey"), F.col("p_size"), F.lit
     part = lambda cond, *cols: F.when(cond, F.concat(*cols)).otherwise(s(""))
     day = F.make_date(s(2023), (size % 12 + 1).cast("int"), (size % 28 + 1).cast("int"))
