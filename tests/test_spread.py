@@ -24,3 +24,32 @@ def test_pages_are_scanned_by_all_tasks(spark):
     load_all()
     for name in ("property_page", "room_text_extract", "decode_entities"):
         assert QUERIES[name](spark, SF).rdd.getNumPartitions() == 4, name
+
+
+def test_texts_are_cleaned_by_all_tasks(spark):
+    from innsight.plans.q_text import cleaned
+
+    assert cleaned(spark, SF).rdd.getNumPartitions() == 4
+
+
+def test_names_are_dealt_before_they_are_cut_into_grams(spark):
+    load_all()
+    files = QUERIES["fallback_match"](spark, SF).inputFiles()
+    assert len([f for f in files if "/names-" in f]) >= 4
+
+
+def test_passes_are_stored_tables(spark):
+    from innsight.operators import resolve as R
+    from innsight.plans.bindings import homes_from_part
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    anchors, matches = R.resolve_passes(homes_from_part(spark, SF, block=60))
+    assert anchors.inputFiles() and matches.inputFiles()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_rooms_are_not_sent_through_the_driver(spark):
+    load_all()
+    for name, joins in (("type_candidates", 6), ("room_candidates", 8)):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") >= joins, name
