@@ -3,10 +3,12 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import regex
@@ -262,6 +264,40 @@ def test_words_first_then_shorter_grams(spark):
     assert langid.predict(df.limit(0), m).count() == 0
 
 
+def test_n_grams_are_cut_once_and_counted_whole(spark, monkeypatch):
+    """Counts that two readers share are stored, and n-grams of any code points are counted apart."""
+    texts = [("ab abc", "x"), ("ab \U00010400\U00010401\U00020000 é漢字", "x"), ("ab é", "y"), ("abc" * 50, "y")] * 3
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(texts)], "doc_id long, text string, lang string")
+    seen, plain = [], langid._frequencies
+    monkeypatch.setattr(langid, "_frequencies", lambda counts, *a: (seen.append(counts), plain(counts, *a))[1])
+    langid.fit(df, "text", "lang", with_pairs=True)
+    for counts in seen:
+        plan = counts._jdf.queryExecution().optimizedPlan().toString()
+        assert "Relation" in plan and not any(x in plan for x in ("Generate", "Aggregate", "MapInArrow"))
+    want = Counter()
+    for text, lang in texts:
+        for w in regex.findall(r"\p{L}+", text.lower()):
+            want.update((lang, f"^{w}$"[i:i + n]) for n in (1, 2, 3, 4) for i in range(len(w) + 3 - n))
+    assert len(seen) == 3 and {(r["l"], r["w"]): r["n"] for r in seen[1].collect()} == want
+
+
+def test_workers_remember_no_words(spark, monkeypatch):
+    """Memory of a worker does not grow with the different words it has met."""
+    made = []
+    monkeypatch.setattr(langid, "map_text", lambda docs, text_col, fields, make, carry: made.append(make))
+    m = langid.Model(["a", "b"], {"known": np.array([0.0, -5.0])}, {x: np.array([-1.0, -2.0]) for x in "abcdefghij"})
+    langid.predict(spark.range(0), m, with_known=True)
+    run = made[0]()
+    lot = lambda k: pa.array([" ".join(f"w{chr(97 + k)}" + "".join(chr(97 + int(c)) for c in str(i)) for i in range(20_000))] + ["known"])
+    assert run(lot(0)) == [["a", "a"], [1.0, round(1 / (1 + math.exp(-5)), 6)], [0.0, 1.0]]
+    tracemalloc.start()
+    for k in range(1, 4):
+        run(lot(k))
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 1_000_000
+
+
 def test_fit_of_odd_tables(spark):
     df = spark.createDataFrame([(1, None, "en"), (2, "some words here", None), (None, "", "en")], "doc_id long, text string, lang string")
     model = langid.fit(df, "text", "lang", F.col("doc_id"))
